@@ -60,5 +60,7 @@ def heavy_key_hashes(
         .limit(int(1 / share) + 1)
         .collect()
     )
+    if not top:  # also when nothing was sampled, where there is nothing to observe
+        return []
     floor = seen.get["rows"] * share
     return [row["h"] for row in top if row["n"] >= floor]

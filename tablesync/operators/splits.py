@@ -54,7 +54,7 @@ def split_balance(df: DataFrame, key: str, splits: int) -> DataFrame:
         part = F.lit(0)
     else:
         at = F.floor(F.lit(float(splits)) * (k - F.lit(lo)) / F.lit(float(hi - lo)))
-        part = F.coalesce(F.least(at, F.lit(splits - 1)), F.lit(0)).cast("int")
+        part = F.when(k.isNull(), 0).otherwise(F.least(at, F.lit(splits - 1)).cast("int"))
     return (
         df.select(k)
         .groupBy(part.alias("part_id"))

@@ -124,12 +124,14 @@ def delete_insert_statements(dialect: Dialect, target: str, stage: str, keys: Se
 
 
 def run_in_transaction(connect: Callable[[], object], statements: Sequence[str]) -> list[int]:
-    """Run statements over one DB-API connection: all are committed or none. Returns row counts."""
+    """Run statements over one DB-API connection: all are committed or none. Returns row counts.
+
+    As DB-API has it, a connection opens its transaction by itself; it must not be in autocommit mode.
+    """
     connection = connect()
     try:
         cursor = connection.cursor()
         try:
-            cursor.execute("BEGIN")
             counts = []
             for statement in statements:
                 cursor.execute(statement)

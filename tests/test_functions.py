@@ -1,0 +1,88 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tablesync import functions as fn
+
+
+def one(spark, column, text="SELECT 1 AS x"):
+    return spark.sql(text).select(column.alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [("a=1;b;a=2", {"a": "2"}), (None, {}), ("", {}), ("junk", {}), ("a=;=b", {"a": "", "": "b"}), ("b=1;a=2;b=3;c=4", {"a": "2", "b": "3", "c": "4"})],
+)
+def test_key_values(spark, text, expected):
+    assert one(spark, fn.key_values(F.lit(text).cast("string"))) == expected
+
+
+def test_key_values_with_a_second_equals_sign(spark):
+    with pytest.raises(PySparkException, match="more than one"):
+        one(spark, fn.key_values(F.lit("a=1;c=x=y")))
+    assert one(spark, fn.key_values(F.lit("a=1,c=x=y,b"), ",", on_extra="skip")) == {"a": "1"}
+
+
+def test_key_values_separator_is_plain_text(spark):
+    assert one(spark, fn.key_values(F.lit("a=1|b=2"), "|")) == {"a": "1", "b": "2"}
+
+
+def test_period(spark):
+    ts = F.lit("2024-02-03 04:05:06").cast("timestamp_ntz")
+    for frequency in ("monthly", "MONTHLY", "", None):
+        assert one(spark, fn.period(ts, frequency)) == "202402"
+    assert str(one(spark, fn.period(ts, "daily"))) == "2024-02-03"
+    with pytest.warns(UserWarning, match="weekly"):
+        assert str(one(spark, fn.period(ts, "weekly"))) == "2024-02-03"
+
+
+def test_audit_key(spark):
+    key = one(spark, fn.audit_key(F.lit("k"), F.lit("t")))
+    assert key == one(spark, F.sha2(F.lit("k~t"), 256))
+    assert one(spark, fn.audit_key(F.lit(None), F.lit("t"))) is None
+
+
+def test_split_list_trims(spark):
+    assert one(spark, fn.split_list(F.lit("b , a,c"))) == ["b", "a", "c"]
+
+
+def test_json_field(spark):
+    assert one(spark, fn.json_field(F.lit('{"a": 3}'), "$.a", "int")) == 3
+    assert one(spark, fn.json_field(F.lit('{"a": 3}'), "$.b", "int", 5)) == 5
+    assert one(spark, fn.json_field(F.lit("{}"), "$.b")) is None
+
+
+def config(**changes):
+    import json
+
+    base = dict.fromkeys(
+        ["USER_DT_COL", "SRC_DB_TYPE", "SRC_DB", "SRC_PORT", "SRC_TABLE", "SRC_SCHEMA", "TGT_DB", "TGT_PORT", "STG_SCHEMA", "TGT_SCHEMA", "TGT_TABLE"],
+        "x",
+    )
+    base |= {"USER_DT_FLG": "N", "TGT_DB_TYPE": "MySQL", "LOAD_TYPE": "APPEND", "KEY_COLS": "a, b"} | changes
+    return F.lit(json.dumps({k: v for k, v in base.items() if v is not None}))
+
+
+def test_user_config_defaults(spark):
+    c = one(spark, fn.user_config(config()))
+    assert (c["split_mb"], c["part_rec_cnt"], c["key_cols"], c["user_dt_flg"]) == (130, 50_000, ["a", "b"], False)
+    assert c["tgt_db_type"] == "mysql" and c["start_dt"] is None and c["src_sql"] is None
+
+
+def test_user_config_split_size_only_grows(spark):
+    assert one(spark, fn.user_config(config(SPARK_PARTITION_SIZE_MB="64")))["split_mb"] == 130
+    assert one(spark, fn.user_config(config(SPARK_PARTITION_SIZE_MB=512)))["split_mb"] == 512
+
+
+def test_user_config_required_fields(spark):
+    with pytest.raises(PySparkException, match="KEY_COLS"):
+        one(spark, fn.user_config(config(KEY_COLS=None)))
+    with pytest.raises(PySparkException, match="START_DT"):
+        one(spark, fn.user_config(config(USER_DT_FLG="Y")))
+    c = one(spark, fn.user_config(config(USER_DT_FLG="Y", START_DT="2024-01-01")))
+    assert (c["start_dt"], c["end_dt"]) == ("2024-01-01", None)
+
+
+def test_text_or_sentinel(spark):
+    assert one(spark, fn.text_or_sentinel(F.lit(None))) == "\\n\\n"
+    assert one(spark, fn.text_or_sentinel(F.lit(1.05))) == "1.05"

@@ -1,0 +1,216 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tablesync.operators import merge
+from tablesync.operators.reconcile import compare_periods
+from tablesync.operators.skew import heavy_key_hashes
+
+ROW = "id int, v string"
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def plans(spark, target, batch, keys, **options):
+    """The three physical plans of a merge, which must agree."""
+    heavy = heavy_key_hashes(target, keys, share=0.01, fraction=1.0)
+    return [
+        merge.merge_with_actions(target, batch, keys, **options),
+        merge.merge_with_actions(target, batch, keys, small_batch=True, **options),
+        merge.merge_with_actions(target, batch, keys, heavy=heavy or [1, 2], **options),
+    ]
+
+
+def brute_upsert(target, batch, n_keys=1):
+    """(key parts..., value) tuples; the batch has one row per complete key."""
+    whole = {b[:n_keys]: b for b in batch if None not in b[:n_keys]}
+    seen = {t[:n_keys] for t in target}
+    out = Counter(whole.get(t[:n_keys], t) if None not in t[:n_keys] else t for t in target)
+    out.update(b for b in batch if None in b[:n_keys] or b[:n_keys] not in seen)
+    return out
+
+
+def test_basic_actions(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], ROW)
+    batch = spark.createDataFrame([(2, "B"), (3, "c"), (4, "d")], ROW)
+    expected = Counter([(1, "a", "keep"), (2, "B", "update"), (3, "c", "unchanged"), (4, "d", "insert")])
+    for df in plans(spark, target, batch, ["id"]):
+        assert rows(df) == expected
+        assert tuple(merge.merge_stats(df).first()) == (3, 1, 1, 1, 1)
+
+
+def test_null_keys_are_inserted_and_kept(spark):
+    target = spark.createDataFrame([(None, "t"), (1, "a")], ROW)
+    batch = spark.createDataFrame([(None, "x"), (None, "x"), (1, "A")], ROW)
+    expected = Counter([(None, "t", "keep"), (1, "A", "update"), (None, "x", "insert"), (None, "x", "insert")])
+    for df in plans(spark, target, batch, ["id"]):
+        assert rows(df) == expected
+
+
+def test_partly_null_composite_key(spark):
+    schema = "a int, b string, v int"
+    target = spark.createDataFrame([(1, "x", 1), (1, None, 2), (None, "x", 3)], schema)
+    batch = spark.createDataFrame([(1, "x", 10), (1, None, 20)], schema)
+    expected = brute_upsert([tuple(r) for r in target.collect()], [tuple(r) for r in batch.collect()], 2)
+    for df in plans(spark, target, batch, ["a", "b"]):
+        assert rows(df.drop(merge.ACTION)) == expected
+
+
+def test_duplicate_batch_key_is_an_error(spark):
+    target = spark.createDataFrame([(1, "a")], ROW)
+    batch = spark.createDataFrame([(5, "a"), (5, "b")], ROW)
+    for df in plans(spark, target, batch, ["id"]):
+        with pytest.raises(PySparkException, match="duplicate merge key"):
+            df.collect()
+
+
+def test_duplicate_batch_key_latest(spark):
+    schema = "id int, v string, t timestamp"
+    target = spark.createDataFrame([(5, "old", None)], schema)
+    batch = spark.sql(
+        "SELECT * FROM VALUES (5, 'a', TIMESTAMP'2024-01-01'), (5, 'b', TIMESTAMP'2024-01-02'),"
+        " (6, 'n', NULL), (6, 'm', TIMESTAMP'2023-01-01') AS x(id, v, t)"
+    )
+    for df in plans(spark, target, batch, ["id"], on_duplicate="latest", order_by=["t"]):
+        assert rows(df.select("id", "v")) == Counter([(5, "b"), (6, "m")])
+
+
+def test_latest_may_order_by_a_column_the_target_lacks(spark):
+    target = spark.createDataFrame([(5, "old")], ROW)
+    batch = spark.createDataFrame([(5, "a", 2), (5, "b", 1)], ROW + ", seq int")
+    merged = merge.apply_batch(target, batch, ["id"], on_duplicate="latest", order_by=["seq"])
+    assert rows(merged) == Counter([(5, "a")])
+
+
+def test_latest_ties_do_not_depend_on_row_order(spark):
+    values = [(1, 7, f"v{i}") for i in range(50)]
+    answers = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame(values, "id int, t int, v string").repartition(5)
+        answers.add(tuple(merge.latest_by_key(df, ["id"], ["t"]).first()))
+    assert answers == {(1, 7, "v9")}
+
+
+def test_latest_keeps_map_columns(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)) AS x(id, t, m)")
+    assert merge.latest_by_key(df, ["id"], ["t"]).first()["m"] == {"b": 2}
+
+
+def test_columns_of_one_side(spark):
+    target = spark.createDataFrame([(1, "a", "mine"), (2, "b", "mine")], "id int, v string, own string")
+    batch = spark.createDataFrame([("extra", "A", 1), ("extra", "c", 3)], "more string, V string, ID int")
+    merged = merge.apply_batch(target, batch, ["Id"])
+    assert merged.columns == ["id", "v", "own"]
+    assert rows(merged) == Counter([(1, "A", "mine"), (2, "b", "mine"), (3, "c", None)])
+
+
+def test_batch_takes_the_target_types(spark):
+    target = spark.createDataFrame([(1, 1)], "id bigint, v int")
+    merged = merge.apply_batch(target, spark.createDataFrame([(1, "7")], "id int, v string"), ["id"])
+    assert merged.schema["v"].dataType.simpleString() == "int"
+    assert rows(merged) == Counter([(1, 7)])
+
+
+def test_odd_column_names(spark):
+    target = spark.createDataFrame([(1, "a")], "`a.b` int, `c d` string")
+    batch = spark.createDataFrame([(1, "b"), (2, "c")], "`a.b` int, `c d` string")
+    for df in plans(spark, target, batch, ["a.b"]):
+        assert rows(df.drop(merge.ACTION)) == Counter([(1, "b"), (2, "c")])
+
+
+def test_keys_only_table(spark):
+    target = spark.createDataFrame([(1,), (2,)], "id int")
+    for df in plans(spark, target, spark.createDataFrame([(2,), (3,)], "id int"), ["id"]):
+        assert rows(df) == Counter([(1, "keep"), (2, "unchanged"), (3, "insert")])
+
+
+def test_map_and_nested_columns_compare(spark):
+    target = spark.sql("SELECT 1 AS id, map('a', 1) AS m, array(1, 2) AS l")
+    same = merge.merge_with_actions(target, target, ["id"])
+    assert same.first()[merge.ACTION] == "unchanged"
+    changed = spark.sql("SELECT 1 AS id, map('a', 2) AS m, array(1, 2) AS l")
+    assert merge.merge_with_actions(target, changed, ["id"]).first()[merge.ACTION] == "update"
+
+
+def test_empty_sides(spark):
+    some = spark.createDataFrame([(1, "a")], ROW)
+    none = spark.createDataFrame([], ROW)
+    for df in plans(spark, none, some, ["id"]) + plans(spark, some, none, ["id"]):
+        assert rows(df.drop(merge.ACTION)) == Counter([(1, "a")])
+
+
+def test_missing_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "a")], ROW)
+    with pytest.raises(ValueError):
+        merge.apply_batch(df, df, [])
+    with pytest.raises(ValueError):
+        merge.apply_batch(df, df, ["nope"])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_all_plans_agree_with_brute_force_on_skewed_data(spark, seed):
+    """A third of the target under one key, a third under NULL."""
+    rnd = random.Random(seed)
+    target = [(rnd.choice([7, None, rnd.randrange(60)]), f"t{i}") for i in range(600)]
+    batch = [(k, f"s{k}") for k in range(0, 90, 2)] + [(7, "s7")] + [(None, f"n{i}") for i in range(5)]
+    expected = brute_upsert(target, batch)
+    t, s = spark.createDataFrame(target, ROW), spark.createDataFrame(batch, ROW)
+    assert len(heavy_key_hashes(t, ["id"], share=0.1, fraction=1.0)) == 1
+    for df in plans(spark, t, s, ["id"]):
+        assert rows(df.drop(merge.ACTION)) == expected
+
+
+def test_heavy_keys_are_bounded(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
+    assert len(heavy_key_hashes(df, ["k"], share=0.01, fraction=0.1)) == 1
+    assert heavy_key_hashes(spark.range(100_000), ["id"], share=0.01, fraction=1.0) == []
+
+
+@pytest.mark.parametrize("option", [{}, {"small_batch": True}, {"heavy": True}])
+def test_delete_insert(spark, option):
+    target = [(1, "a", "o"), (2, "b", "o"), (None, "n", "o")] + [(9, f"h{i}", "o") for i in range(300)]
+    batch = [(2, "x"), (2, "y"), (None, "z"), (9, "new")]
+    t = spark.createDataFrame(target, "id int, v string, own string")
+    s = spark.createDataFrame(batch, ROW)
+    if option.get("heavy"):
+        option = {"heavy": heavy_key_hashes(t, ["id"], fraction=1.0)}
+        assert option["heavy"]
+    expected = Counter([(1, "a", "o"), (None, "n", "o")] + [(k, v, None) for k, v in batch])
+    assert rows(merge.delete_insert(t, s, ["id"], **option)) == expected
+
+
+def test_delete_insert_equals_upsert_without_duplicates(spark):
+    target = spark.range(100).select("id", F.lit("a").alias("v"))
+    batch = spark.range(50, 150).select("id", F.lit("b").alias("v"))
+    assert rows(merge.delete_insert(target, batch, ["id"])) == rows(merge.apply_batch(target, batch, ["id"]))
+
+
+def test_merging_twice_is_merging_once(spark):
+    target = spark.range(100).select("id", F.lit("a").alias("v"))
+    batch = spark.range(50, 150).select("id", F.lit("b").alias("v"))
+    once = merge.apply_batch(target, batch, ["id"])
+    twice = merge.merge_with_actions(once, batch, ["id"])
+    assert rows(twice.drop(merge.ACTION)) == rows(once)
+    assert merge.merge_stats(twice).first()["updated"] == 0
+
+
+def test_merge_closes_the_reconcile_gap(spark):
+    source = spark.range(100).select("id", F.expr("timestamp'2024-01-01' + id * interval 1 day").alias("t"))
+    merged = merge.apply_batch(source.where("id < 40"), source.where("id >= 30"), ["id"])
+    assert compare_periods(source, merged, "t").where("diff <> 0").isEmpty()
+
+
+@pytest.mark.parametrize("option", [{}, {"small_batch": True}, {"heavy": [3]}])
+def test_change_feed(spark, option):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], ROW)
+    batch = spark.createDataFrame([(2, "B"), (3, "c"), (4, "d")], ROW)
+    changes = [(2, "b", "update_preimage"), (2, "B", "update_postimage"), (4, "d", "insert")]
+    assert rows(merge.change_feed(target, batch, ["id"], **option)) == Counter(changes)
+    replaced = merge.change_feed(target, batch, ["id"], replace=True, **option)
+    assert rows(replaced) == Counter([*changes, (1, "a", "delete")])
