@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +41,11 @@ def as_column(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a costly expression several times but evaluate it once per row."""
+    return F.transform(F.array(value), use)[0]
+
+
 def period(c: ColumnLike, frequency: str | None = "monthly") -> Column:
     """Bucket a timestamp: ``yyyyMM`` text for monthly (or no) frequency, a date otherwise."""
     name = (frequency or "").lower()
@@ -78,26 +83,29 @@ def key_values(c: ColumnLike, separator: str = ";", on_extra: str = "error") ->
     """
     if on_extra not in ("error", "skip"):
         raise ValueError(f"on_extra must be 'error' or 'skip', not {on_extra!r}")
+    if len(separator) != 1 or separator == "=":
+        raise ValueError("the separator must be one character other than '='")
     text = F.coalesce(as_column(c), F.lit(""))
-    items = F.filter(F.split(text, rf"\Q{separator}\E"), lambda item: item.contains("="))
-    parts = F.transform(items, lambda item: F.split(item, "="))
-    if on_extra == "skip":
-        parts = F.filter(parts, lambda p: F.size(p) == 2)
-    else:
-        parts = F.transform(
-            parts,
-            lambda p: F.when(F.size(p) == 2, p).otherwise(
-                F.raise_error(F.concat(F.lit("more than one '=' in "), F.array_join(p, "=")))
-            ),
-        )
-    reversed_keys = F.reverse(F.transform(parts, lambda p: p[0]))
-    last_only = F.filter(
-        parts, lambda p, i: F.array_position(reversed_keys, p[0]) == (F.size(parts) - i).cast("bigint")
-    )
-    return F.map_from_entries(
-        F.transform(last_only, lambda p: F.struct(p[0].alias("key"), p[1].alias("value")))
+    sep = rf"\x{{{ord(separator):x}}}"
+    if on_extra == "error":
+        extra = text.rlike(rf"=[^{sep}]*=")
+        message = F.concat(F.lit("an item has more than one '=' in "), text)
+        text = F.when(extra, F.raise_error(message).cast("string")).otherwise(text)
+    item = F.lit(rf"(?:^|{sep})([^={sep}]*)=([^={sep}]*)(?={sep}|\z)")
+    found = F.struct(
+        F.regexp_extract_all(text, item, F.lit(1)).alias("k"), F.regexp_extract_all(text, item, F.lit(2)).alias("v")
     )
 
+    def to_map(pairs: Column) -> Column:
+        keys, from_end = pairs["k"], F.reverse(pairs["k"])
+        last = F.filter(
+            F.arrays_zip(keys, pairs["v"]), lambda p, i: F.array_position(from_end, p["k"]) == F.size(keys) - i
+        )
+        distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+        return F.when(distinct, F.map_from_arrays(keys, pairs["v"])).otherwise(F.map_from_entries(last))
+
+    return bind(found, to_map)
+
 
 def json_field(c: ColumnLike, path: str, dtype: str = "string", default=None) -> Column:
     """One field of JSON text, cast, with a default when it is missing."""
@@ -106,31 +114,29 @@ def json_field(c: ColumnLike, path: str, dtype: str = "string", default=None) ->
 
 
 def user_config(c: ColumnLike) -> Column:
-    """JSON table configuration to a typed struct; a missing required field raises."""
-    fields = F.from_json(as_column(c), T.MapType(T.StringType(), T.StringType()))
-
-    def required(name: str) -> Column:
-        return F.when(F.map_contains_key(fields, name), fields[name]).otherwise(
-            F.raise_error(F.lit(f"missing configuration field {name}"))
-        )
-
-    by_user = required("USER_DT_FLG") == "Y"
-    split_mb = F.coalesce(F.try_element_at(fields, F.lit("SPARK_PARTITION_SIZE_MB")).cast("int"), F.lit(0))
-    typed: Mapping[str, Column] = {
-        "user_dt_flg": by_user,
-        "tgt_db_type": F.lower(required("TGT_DB_TYPE")),
-        "key_cols": split_list(required("KEY_COLS")),
-        "split_mb": F.greatest(split_mb, F.lit(DEFAULT_SPLIT_MB)),
-        "part_rec_cnt": F.coalesce(
-            F.try_element_at(fields, F.lit("PART_REC_CNT")).cast("bigint"), F.lit(DEFAULT_ROWS_PER_PART)
-        ),
-        "start_dt": F.when(by_user, required("START_DT")),
-        "end_dt": F.when(by_user, F.try_element_at(fields, F.lit("END_DT"))),
-    }
-    plain = {n.lower(): required(n) for n in CONFIG_REQUIRED} | {
-        n.lower(): F.try_element_at(fields, F.lit(n)) for n in CONFIG_OPTIONAL
-    }
-    return F.struct(*[v.alias(k) for k, v in (plain | dict(typed)).items()])
+    """JSON table configuration to a typed struct; a missing (or null) required field raises."""
+    names = (*CONFIG_REQUIRED, *CONFIG_OPTIONAL, "SPARK_PARTITION_SIZE_MB", "PART_REC_CNT")
+    parsed = F.from_json(as_column(c), T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+    def typed(fields: Column) -> Column:
+        def required(field: str) -> Column:
+            missing = F.raise_error(F.lit(f"missing configuration field {field}")).cast("string")
+            return F.coalesce(fields[field], missing)
+
+        by_user = required("USER_DT_FLG") == "Y"
+        columns = {n.lower(): required(n) for n in CONFIG_REQUIRED} | {n.lower(): fields[n] for n in CONFIG_OPTIONAL}
+        columns |= {
+            "user_dt_flg": by_user,
+            "tgt_db_type": F.lower(required("TGT_DB_TYPE")),
+            "key_cols": split_list(required("KEY_COLS")),
+            "split_mb": F.greatest(fields["SPARK_PARTITION_SIZE_MB"].cast("int"), F.lit(DEFAULT_SPLIT_MB)),
+            "part_rec_cnt": F.coalesce(fields["PART_REC_CNT"].cast("bigint"), F.lit(DEFAULT_ROWS_PER_PART)),
+            "start_dt": F.when(by_user, required("START_DT")),
+            "end_dt": F.when(by_user, fields["END_DT"]),
+        }
+        return F.struct(*[column.alias(n) for n, column in columns.items()])
+
+    return bind(parsed, typed)
 
 
 def text_or_sentinel(c: ColumnLike, sentinel: str = DSV_NULL) -> Column:

@@ -3,23 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import storage
 from tablesync.operators.merge import apply_batch, unique_by_key
 from tablesync.operators.skew import name
 
+MAX_LISTED = 1000
+
+
+def read_partitioned(spark: SparkSession, path: str, fmt: str, like: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Partition values are directory names: take their types from ``like`` instead of guessing."""
+    found = spark.read.format(fmt).load(path).schema
+    wanted = {f.name: f for f in like.schema.fields if f.name in partition_by}
+    schema = T.StructType([wanted.get(f.name, f) for f in found.fields])
+    return spark.read.format(fmt).schema(schema).load(path)
+
 
 def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions the batch has rows in; the scan skips the other directories."""
-    parts = batch.select(*[F.col(name(c)).alias(f"p{i}") for i, c in enumerate(partition_by)]).distinct()
-    match = [F.col(name(c)).eqNullSafe(F.col(f"p{i}")) for i, c in enumerate(partition_by)]
-    on = match[0]
-    for m in match[1:]:
-        on = on & m
-    return target.join(parts, on, "left_semi")
+    """Target rows of the partitions the batch has rows in.
+
+    Up to ``MAX_LISTED`` partitions are listed on the driver, as the table's own file listing is, and
+    become a static partition filter: the scan skips the other directories. With more, rows of all
+    partitions are read and joined.
+    """
+    parts = batch.select(*[F.col(name(c)).cast("string").alias(f"p{i}") for i, c in enumerate(partition_by)]).distinct()
+    listed = parts.limit(MAX_LISTED + 1).collect()
+    if len(listed) > MAX_LISTED:
+        on = [F.col(name(c)).cast("string").eqNullSafe(F.col(f"p{i}")) for i, c in enumerate(partition_by)]
+        return target.join(parts, reduce(and_, on), "left_semi")
+    types = {f.name: f.dataType for f in target.schema.fields}
+
+    def is_value(column: str, value: str | None) -> Column:
+        c = F.col(name(column))
+        return c.isNull() if value is None else c == F.lit(value).cast(types[column])
+
+    wanted = [reduce(and_, [is_value(c, row[i]) for i, c in enumerate(partition_by)]) for row in listed]
+    return target.where(reduce(or_, wanted, F.lit(False)))
 
 
 def merge_partitions(
@@ -42,7 +67,7 @@ def merge_partitions(
     if missing or not partition_by:
         raise ValueError(f"partition columns must be merge keys, {missing or 'none given'}; use a VersionedDir instead")
     if storage.exists(spark, path):
-        target = spark.read.format(fmt).load(path)
+        target = read_partitioned(spark, path, fmt, batch, partition_by)
         result = apply_batch(touched(target, batch, partition_by), batch, keys, **merge_options)
     else:
         options = {k: v for k, v in merge_options.items() if k in ("on_duplicate", "order_by")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,10 +17,12 @@ from tablesync.operators.merge import (
     unique_by_key,
 )
 from tablesync.operators.skew import heavy_key_hashes, name
+from tablesync.sinks.ddl import with_missing
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources.lake import micros
 
 BROADCAST_LIMIT_BYTES = 32 << 20
+SHUFFLE_PART_BYTES = 64 << 20  # of files at rest; a shuffled partition is a few times that
 
 
 @dataclass(frozen=True)
@@ -60,6 +63,12 @@ def merge_options(target: DataFrame, batch: Staged, keys: Sequence[str], limit:
     return {"heavy": heavy_key_hashes(target, keys)}
 
 
+def shuffle_parts(spark: SparkSession, directory: VersionedDir) -> int:
+    """Shuffle partitions for rewriting a table: never fewer than configured, more for a large table."""
+    size = storage.size_bytes(spark, directory.path_of(directory.current()))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHUFFLE_PART_BYTES))
+
+
 def merge_into(
     directory: VersionedDir,
     batch: Staged,
@@ -79,8 +88,6 @@ def merge_into(
         return {"inserted": seen.get["inserted"], "updated": 0, "unchanged": 0, "kept": 0}
     target = directory.read()
     if evolve:
-        from tablesync.sinks.publish import with_missing
-
         target = with_missing(target, batch.df)
     merged = merge_with_actions(
         target,
@@ -90,5 +97,7 @@ def merge_into(
         order_by=order_by,
         **merge_options(target, batch, keys, broadcast_limit),
     )
-    directory.write(merged.observe(seen, *action_counts()).drop(ACTION), partition_by)
+    parts = shuffle_parts(directory.spark, directory)
+    with storage.conf(directory.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
+        directory.write(merged.observe(seen, *action_counts()).drop(ACTION), partition_by)
     return dict(seen.get)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from tablesync import storage
 from tablesync.operators.merge import apply_batch, unique_by_key
 from tablesync.operators.quality import null_keys, pk_violations
 from tablesync.operators.skew import any_null, name
-from tablesync.sinks.ddl import add_missing_columns, missing_fields
+from tablesync.sinks.ddl import add_missing_columns, with_missing
 from tablesync.sinks.versioned import VersionedDir
 
 KEY_PROPERTY = "tablesync.primary_key"
@@ -36,12 +35,6 @@ def key_first(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.select(*[F.col(name(c)) for c in [*keys, *[c for c in df.columns if c not in keys]]])
 
 
-def with_missing(df: DataFrame, other: DataFrame) -> DataFrame:
-    """The frame with the other frame's extra columns added as NULL."""
-    extra = missing_fields(df.schema, other.schema)
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-
-
 def empty_clone(spark: SparkSession, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True) -> None:
     """A table of the same columns (or some of them) and no rows; ``replace=False`` keeps an existing one."""
     if replace:
@@ -175,16 +168,6 @@ def register(directory: VersionedDir, table: str, properties: dict[str, str] | N
     spark.sql(f"CREATE TABLE {_quoted(table)} USING {directory.fmt} LOCATION '{path}'{clause}")
 
 
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def compact(directory: VersionedDir, file_mb: int = 128, partition_by: Sequence[str] = ()) -> int:
     """Rewrite the current version in files of about ``file_mb`` and return the new version.
 
@@ -194,7 +177,7 @@ def compact(directory: VersionedDir, file_mb: int = 128, partition_by: Sequence[
     spark = directory.spark
     df = directory.read()
     if partition_by:
-        with _conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{file_mb}m"):
+        with storage.conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=f"{file_mb}m"):
             return directory.write(df.hint("rebalance", *[F.col(name(c)) for c in partition_by]), partition_by)
     size = storage.size_bytes(spark, directory.path_of(directory.current()))
     return directory.write(df.coalesce(max(1, math.ceil(size / (file_mb << 20)))))

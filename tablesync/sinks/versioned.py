@@ -36,12 +36,20 @@ class VersionedDir:
         number = self.current() if version is None else version
         if number is None:
             raise FileNotFoundError(f"no committed version below {self.path}")
-        return self.spark.read.format(self.fmt).load(self.path_of(number))
+        reader = self.spark.read.format(self.fmt)
+        if storage.exists(self.spark, self._schema_path(number)):
+            reader = reader.schema(reader.load(self._schema_path(number)).schema)
+        return reader.load(self.path_of(number))
+
+    def _schema_path(self, version: int) -> str:
+        """Empty copy of a partitioned version: directory names alone do not tell the columns' types."""
+        return f"{self.path}/schema-{version:08d}"
 
     def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         number = (self.current() or 0) + 1
         writer = df.write.format(self.fmt).mode("overwrite")
         if partition_by:
+            df.limit(0).write.format(self.fmt).mode("overwrite").save(self._schema_path(number))
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path_of(number))
         return number
@@ -53,4 +61,5 @@ class VersionedDir:
         old = self.versions()[:-keep]
         for number in old:
             storage.delete(self.spark, self.path_of(number))
+            storage.delete(self.spark, self._schema_path(number))
         return old

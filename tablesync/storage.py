@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,17 @@ def new_dir(spark: SparkSession, purpose: str) -> str:
 
 def is_path(ref: str) -> bool:
     return "/" in ref
+
+
+@contextmanager
+def conf(spark: SparkSession, **values):
+    """Session settings (dots written as ``__``) for the jobs started inside the block."""
+    settings = {key.replace("__", "."): str(value) for key, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

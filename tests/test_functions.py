@@ -27,6 +27,12 @@ def test_key_values_separator_is_plain_text(spark):
     assert one(spark, fn.key_values(F.lit("a=1|b=2"), "|")) == {"a": "1", "b": "2"}
 
 
+def test_key_values_may_span_lines(spark):
+    assert one(spark, fn.key_values(F.lit("a=1\n2;b=\n;c=3\n"))) == {"a": "1\n2", "b": "\n", "c": "3\n"}
+    with pytest.raises(ValueError):
+        fn.key_values(F.lit("a"), "=")
+
+
 def test_period(spark):
     ts = F.lit("2024-02-03 04:05:06").cast("timestamp_ntz")
     for frequency in ("monthly", "MONTHLY", "", None):
