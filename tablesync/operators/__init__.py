@@ -10,7 +10,13 @@ from tablesync.operators.merge import (
     unique_by_key,
 )
 from tablesync.operators.quality import fail_flag, latest_version, null_keys, pk_violations, width_report
-from tablesync.operators.reconcile import compare_periods, period_counts, rows_to_resync
+from tablesync.operators.reconcile import (
+    compare_counts,
+    compare_periods,
+    period_counts,
+    rows_in_wrong_periods,
+    rows_to_resync,
+)
 from tablesync.operators.skew import heavy_key_hashes
 from tablesync.operators.splits import split_balance, split_bounds, splits_by_rows, splits_by_size
 from tablesync.operators.watermark import batch_watermark, newest_or_default
@@ -21,6 +27,7 @@ __all__ = [
     "batch_watermark",
     "change_feed",
     "common_columns",
+    "compare_counts",
     "compare_periods",
     "delete_insert",
     "fail_flag",
@@ -33,6 +40,7 @@ __all__ = [
     "null_keys",
     "period_counts",
     "pk_violations",
+    "rows_in_wrong_periods",
     "rows_to_resync",
     "split_balance",
     "split_bounds",

@@ -12,23 +12,31 @@ def period_counts(df: DataFrame, date_col: str, frequency: str = "monthly") -> D
     return df.groupBy(period(date_col, frequency).alias("period")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def compare_periods(source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
-    """Counts of both sides per period and their difference.
-
-    One aggregate over both sides instead of a join of two: a NULL period is compared like any
-    other, and each side is combined to one row per period before the shuffle.
-    """
-    bucket = period(date_col, frequency).alias("period")
-    sides = source.select(bucket, F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(
-        target.select(bucket, F.lit(0).alias("s"), F.lit(1).alias("t"))
-    )
+def _difference(sides: DataFrame) -> DataFrame:
+    """A sum over both sides instead of a join of two: a NULL period is compared like any other."""
     counts = sides.groupBy("period").agg(F.sum("s").alias("src_cnt"), F.sum("t").alias("tgt_cnt"))
     return counts.withColumn("diff", F.col("src_cnt") - F.col("tgt_cnt"))
 
 
-def rows_to_resync(
-    source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly"
-) -> DataFrame:
+def compare_counts(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
+    """Both sides' counts per period and their difference, from frames of ``period`` and ``cnt``."""
+    zero, count = F.lit(0).cast("bigint"), F.col("cnt").cast("bigint")
+    source = source_counts.select("period", count.alias("s"), zero.alias("t"))
+    return _difference(source.unionAll(target_counts.select("period", zero.alias("s"), count.alias("t"))))
+
+
+def compare_periods(source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
+    """The same from the rows themselves: one aggregate, combined to a row per period before its shuffle."""
+    bucket = period(date_col, frequency).alias("period")
+    rows = source.select(bucket, F.lit(1).alias("s"), F.lit(0).alias("t"))
+    return _difference(rows.unionAll(target.select(bucket, F.lit(0).alias("s"), F.lit(1).alias("t"))))
+
+
+def rows_in_wrong_periods(source: DataFrame, compared: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
     """Source rows of the periods whose counts differ."""
-    wrong = compare_periods(source, target, date_col, frequency).where("diff <> 0").select(F.col("period").alias("p"))
+    wrong = compared.where("diff <> 0").select(F.col("period").alias("p"))
     return source.join(wrong, period(date_col, frequency).eqNullSafe(F.col("p")), "left_semi")
+
+
+def rows_to_resync(source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
+    return rows_in_wrong_periods(source, compare_periods(source, target, date_col, frequency), date_col, frequency)

@@ -188,8 +188,13 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_type = 'error' THE
 FROM events""",
     "dsv_export": r"""
 SELECT doc_id, CASE WHEN lang = 'en' THEN '\n\n' ELSE lang END AS lang, source, sha256(text) AS text_hash FROM documents""",
-    "sync_run": """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders""",
+    "change_feed_published": FEED,
+    "sync_run": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
+    "sync_log": f"""
+SELECT 'orders' AS sync_key, 'success' AS current_status, TIMESTAMP '{BATCH_FROM}' AS watermark_value, 'ok' AS msg
+UNION ALL SELECT 'orders', 'success', max(o_orderdate), 'ok' FROM orders""",
+    "sync_from_target": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
+    "validate_and_sync": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "stream_upsert": f"""
 SELECT user_id, ts, event_type, value FROM ({NEWEST.format(where="true")}) AS n""",
 }

@@ -403,6 +403,15 @@ def feature_upsert(spark, sf_dir):
     return keyed.read()
 
 
+def change_feed_published(spark, sf_dir):
+    """Row changes kept with each version of a keyed table: those of its second load."""
+    keyed = VersionedDir(spark, storage.new_dir(spark, "fed"))
+    publish.upsert_keyed(_target(spark, sf_dir), keyed, "o_orderkey")
+    batch = _batch(spark, sf_dir).select(*ORDER_COLUMNS)
+    publish.upsert_keyed(batch, keyed, "o_orderkey", feed=True)
+    return keyed.read_changes(after=1).select("o_orderkey", "_change_type", "o_totalprice")
+
+
 def touched_partitions(spark, sf_dir):
     """Only the event types present in the batch are rewritten."""
     path = storage.new_dir(spark, "partitioned")
@@ -445,11 +454,7 @@ def dsv_export(spark, sf_dir):
 # whole runs
 
 
-def sync_run(spark, sf_dir):
-    """Registry row to log row: the target was loaded up to TARGET_UNTIL, the log says BATCH_FROM.
-
-    The run reads rows after the logged watermark, merges them, and logs the new watermark.
-    """
+def _run_sync(spark, sf_dir, **changes):
     base = storage.new_dir(spark, "sync")
     VersionedDir(spark, f"{base}/orders_copy").write(_target(spark, sf_dir))
     registry = _table(spark, sf_dir, "orders").agg(
@@ -470,9 +475,34 @@ def sync_run(spark, sf_dir):
         audit_col="o_orderdate",
         paths={"sales": sf_dir, "copy": base},
         fail_fast=True,
+        **changes,
     )
     run_all(spark, settings, "sales", "orders.parquet", LAKE)
-    return VersionedDir(spark, f"{base}/orders_copy").read()
+    return VersionedDir(spark, f"{base}/orders_copy").read(), control.read_log(spark, f"{base}/log")
+
+
+def sync_run(spark, sf_dir):
+    """Registry row to log row: the target was loaded up to TARGET_UNTIL, the log says BATCH_FROM.
+
+    The run reads rows after the logged watermark, merges them, and logs the new watermark.
+    """
+    return _run_sync(spark, sf_dir)[0]
+
+
+def sync_log(spark, sf_dir):
+    """The log after such a run."""
+    runs = _run_sync(spark, sf_dir, broadcast_limit=0)[1]
+    return runs.select("sync_key", "current_status", "watermark_value", "msg")
+
+
+def sync_from_target(spark, sf_dir):
+    """Rows from the target's own newest row on."""
+    return _run_sync(spark, sf_dir, window="target")[0]
+
+
+def validate_and_sync(spark, sf_dir):
+    """Only months whose counts differ between source and target are loaded again."""
+    return _run_sync(spark, sf_dir, load_type="VALIDATE_AND_SYNC")[0]
 
 
 def stream_upsert(spark, sf_dir):
@@ -497,8 +527,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
         resync_rows, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,
-        publish_merge_schema, schema_diff, feature_upsert, touched_partitions, compact, dsv_normalize, dsv_export,
-        sync_run, stream_upsert,
+        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, compact, dsv_normalize, dsv_export,
+        sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert,
     )
 }
 QUERIES["audit_key"] = audit_keys

@@ -4,23 +4,25 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
+from tablesync.operators import reconcile
 from tablesync.operators.merge import unique_by_key
-from tablesync.operators.reconcile import rows_to_resync
 from tablesync.plans.staging import BROADCAST_LIMIT_BYTES, merge_into, stage, watch
 from tablesync.sinks.jdbc import Warehouse
 from tablesync.sinks.versioned import VersionedDir
-from tablesync.sources import control
-from tablesync.sources.lake import newer_than, read, source_path
+from tablesync.sources import control, jdbc
+from tablesync.sources.lake import between, micros, newer_than, read, resolve_range, source_path
 
 log = logging.getLogger(__name__)
 
 LAKE = "lake"
 LOAD_TYPES = ("APPEND", "TRUNC_AND_LOAD", "VALIDATE_AND_SYNC")
+WINDOWS = ("log", "target", "user")
 _SECRET = re.compile(r"(?i)(password|passwd|pwd|secret|token)(\s*[=:]\s*)[^&;,\s]+")
 
 
@@ -38,6 +40,9 @@ class SyncSettings:
     registry_names: Mapping[str, str] = field(default_factory=dict)
     log_names: Mapping[str, str] = field(default_factory=dict)
     load_type: str = "APPEND"
+    window: str = "log"  # rows after the logged watermark; or from the "target"'s newest row, or by "user"
+    start: str | None = None
+    end: str | None = None
     frequency: str = "monthly"
     overlap: str | None = None
     on_duplicate: str = "error"
@@ -79,74 +84,135 @@ class SyncResult:
     message: str = "ok"
 
 
+def _cause(error: BaseException) -> str:
+    """Text of the innermost cause; Spark wraps what failed in the JVM, and several failures in one."""
+    inner = getattr(error, "java_exception", None)
+    if inner is None:
+        return str(error)
+    while True:
+        suppressed = inner.getSuppressed()
+        below = inner.getCause() or (suppressed[0] if len(suppressed) else None)
+        if below is None:
+            return inner.getMessage() or inner.getClass().getName()
+        inner = below
+
+
 def safe_message(error: BaseException) -> str:
     """First line of an error with anything that looks like a secret masked."""
-    text = str(error).strip().split("\n", 1)[0] or type(error).__name__
+    text = _cause(error).strip().split("\n", 1)[0] or type(error).__name__
     return _SECRET.sub(r"\1\2***", text)[: control.MESSAGE_LIMIT]
 
 
-def _order_by(settings: SyncSettings) -> tuple[str, ...]:
-    return (settings.audit_col, *settings.tie_break)
+class LakeTarget:
+    """A versioned directory. The batch is staged first: that is the only evaluation of the source."""
 
+    def __init__(self, spark: SparkSession, task: SyncTask, settings: SyncSettings):
+        self.spark, self.task, self.settings = spark, task, settings
+        self.directory = VersionedDir(spark, source_path(settings.paths, task.tgt_db, task.tgt_tbl))
 
-def _sync_lake(spark: SparkSession, task: SyncTask, settings: SyncSettings, source: DataFrame) -> SyncResult:
-    """Stage the batch (the only evaluation of the source), then bring the target up to date."""
-    target = VersionedDir(spark, source_path(settings.paths, task.tgt_db, task.tgt_tbl))
-    if settings.load_type == "VALIDATE_AND_SYNC" and target.current() is not None:
-        source = rows_to_resync(source, target.read(), settings.audit_col, settings.frequency)
-    batch = stage(spark, source, settings.audit_col)
-    try:
-        duplicates = {"on_duplicate": settings.on_duplicate, "order_by": _order_by(settings)}
-        stats: dict[str, int] = {}
-        if settings.load_type == "TRUNC_AND_LOAD":
-            target.write(unique_by_key(batch.df, task.merge_keys, **duplicates))
-            stats = {"inserted": batch.rows}
-        elif batch.rows:
-            stats = merge_into(
-                target,
-                batch,
-                task.merge_keys,
-                **duplicates,
-                broadcast_limit=settings.broadcast_limit,
-                evolve=settings.evolve,
-            )
-        target.vacuum(settings.keep_versions)
-        return SyncResult(task.sync_key, control.SUCCESS, batch.rows, batch.watermark_us, stats)
-    finally:
-        batch.drop()
-
-
-def _sync_warehouse(task: SyncTask, settings: SyncSettings, source: DataFrame) -> SyncResult:
-    """The stage table in the database is the only evaluation of the source."""
-    warehouse = settings.warehouses[task.tgt_db_typ]
-    unique = unique_by_key(source, task.merge_keys, settings.on_duplicate, _order_by(settings))
-    watched, seen = watch(unique, settings.audit_col)
-    table = f"{task.tgt_db}.{task.tgt_tbl}"
-    stats = warehouse.upsert(watched, table, task.merge_keys, lambda: seen.get["rows"])
-    return SyncResult(task.sync_key, control.SUCCESS, seen.get["rows"], seen.get["watermark_us"], stats)
-
-
-def run_one(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> SyncResult:
+    def newest_us(self) -> int | None:
+        if self.directory.current() is None:
+            return None
+        return self.directory.read().agg(F.max(micros(F.col(self.settings.audit_col)))).first()[0]
+
+    def period_counts(self) -> DataFrame | None:
+        if self.directory.current() is None:
+            return None
+        return reconcile.period_counts(self.directory.read(), self.settings.audit_col, self.settings.frequency)
+
+    def load(self, source: DataFrame) -> SyncResult:
+        settings, keys = self.settings, self.task.merge_keys
+        duplicates = {"on_duplicate": settings.on_duplicate, "order_by": (settings.audit_col, *settings.tie_break)}
+        batch = stage(self.spark, source, settings.audit_col)
+        try:
+            stats: dict[str, int] = {}
+            if settings.load_type == "TRUNC_AND_LOAD":
+                self.directory.write(unique_by_key(batch.df, keys, **duplicates))
+                stats = {"inserted": batch.rows}
+            elif batch.rows:
+                limit, evolve = settings.broadcast_limit, settings.evolve
+                stats = merge_into(self.directory, batch, keys, **duplicates, broadcast_limit=limit, evolve=evolve)
+            self.directory.vacuum(settings.keep_versions)
+            return SyncResult(self.task.sync_key, control.SUCCESS, batch.rows, batch.watermark_us, stats)
+        finally:
+            batch.drop()
+
+
+class WarehouseTarget:
+    """A database table. Its stage table is the only evaluation of the source."""
+
+    def __init__(self, spark: SparkSession, task: SyncTask, settings: SyncSettings):
+        self.spark, self.task, self.settings = spark, task, settings
+        self.warehouse = settings.warehouses[task.tgt_db_typ]
+        self.table = f"{task.tgt_db}.{task.tgt_tbl}"
+
+    def newest_us(self) -> int | None:
+        return self.warehouse.newest_us(self.spark, self.table, self.settings.audit_col)
+
+    def period_counts(self) -> DataFrame | None:
+        conn, settings = self.warehouse.conn, self.settings
+        return jdbc.period_counts(self.spark, conn, self.table, settings.audit_col, settings.frequency)
+
+    def load(self, source: DataFrame) -> SyncResult:
+        settings, keys = self.settings, self.task.merge_keys
+        unique = unique_by_key(source, keys, settings.on_duplicate, (settings.audit_col, *settings.tie_break))
+        watched, seen = watch(unique, settings.audit_col)
+        method = "replace" if settings.load_type == "TRUNC_AND_LOAD" else "upsert"
+        stats = self.warehouse.load(watched, self.table, keys, lambda: seen.get["rows"], method, settings.evolve)
+        return SyncResult(self.task.sync_key, control.SUCCESS, seen.get["rows"], seen.get["watermark_us"], stats)
+
+
+def _target(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> LakeTarget | WarehouseTarget:
+    if task.tgt_db_typ == LAKE:
+        return LakeTarget(spark, task, settings)
+    if task.tgt_db_typ in settings.warehouses:
+        return WarehouseTarget(spark, task, settings)
+    raise ValueError(f"no target configured for kind {task.tgt_db_typ!r}")
+
+
+def _batch(
+    source: DataFrame, target: LakeTarget | WarehouseTarget, settings: SyncSettings, last_mark: Callable[[], int | None]
+) -> DataFrame:
+    """The source rows this run is to load."""
+    if settings.load_type == "TRUNC_AND_LOAD":
+        return source
+    if settings.load_type == "VALIDATE_AND_SYNC":
+        counts = target.period_counts()
+        if counts is None:
+            return source
+        ours = reconcile.period_counts(source, settings.audit_col, settings.frequency)
+        compared = reconcile.compare_counts(ours, counts)
+        return reconcile.rows_in_wrong_periods(source, compared, settings.audit_col, settings.frequency)
+    if settings.window == "log":
+        return newer_than(source, settings.audit_col, last_mark(), settings.overlap)
+    by_user = settings.window == "user"
+    newest = None if by_user else target.newest_us()
+    return between(source, settings.audit_col, *resolve_range(by_user, settings.start, settings.end, newest))
+
+
+def run_one(
+    spark: SparkSession, task: SyncTask, settings: SyncSettings, marks: Mapping[str, int | None] | None = None
+) -> SyncResult:
     """Sync one table and log the outcome; an error is logged and raised again.
 
-    Success is logged after the target has switched. A crash in between repeats the batch, which a
-    keyed merge absorbs.
+    ``marks`` are last watermarks already looked up. Success is logged after the target has switched:
+    a crash in between repeats the batch, which a keyed merge absorbs.
     """
     if settings.load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
+    if settings.window not in WINDOWS:
+        raise ValueError(f"window must be one of {WINDOWS}")
     log_options = {"fmt": settings.control_format, "names": settings.log_names}
+
+    def last_mark() -> int | None:
+        if marks is not None:
+            return marks.get(task.sync_key)
+        return control.last_watermark_us(control.read_log(spark, settings.log, **log_options), task.sync_key)
+
     try:
-        if task.tgt_db_typ != LAKE and task.tgt_db_typ not in settings.warehouses:
-            raise ValueError(f"no target configured for kind {task.tgt_db_typ!r}")
+        target = _target(spark, task, settings)
         source = read(spark, source_path(settings.paths, task.src_db, task.src_tbl), settings.source_format)
-        if settings.load_type == "APPEND":
-            runs = control.read_log(spark, settings.log, **log_options)
-            mark = control.last_watermark_us(runs, task.sync_key)
-            source = newer_than(source, settings.audit_col, mark, settings.overlap)
-        if task.tgt_db_typ == LAKE:
-            result = _sync_lake(spark, task, settings, source)
-        else:
-            result = _sync_warehouse(task, settings, source)
+        result = target.load(_batch(source, target, settings, last_mark))
     except Exception as error:
         control.append_log(spark, settings.log, task.sync_key, control.FAIL, None, safe_message(error), **log_options)
         raise
@@ -159,14 +225,17 @@ def run_all(
 ) -> list[SyncResult]:
     """Run every registry row of a source table and target kind.
 
-    One failing table does not stop the others unless ``fail_fast`` is set.
+    The log is read once for all of them. One failing table does not stop the others unless
+    ``fail_fast`` is set.
     """
     registry = read(spark, settings.registry, settings.control_format)
     rows = control.registry_rows(registry, src_db, src_tbl, tgt_db_typ, settings.registry_names)
+    runs = control.read_log(spark, settings.log, settings.control_format, settings.log_names)
+    marks = control.watermarks_us(runs, rows)
     results: list[SyncResult] = []
     for row in rows.toLocalIterator():
         try:
-            results.append(run_one(spark, SyncTask.from_row(row), settings))
+            results.append(run_one(spark, SyncTask.from_row(row), settings, marks))
         except Exception as error:
             if settings.fail_fast:
                 raise

@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from tablesync.operators.merge import common_columns
 from tablesync.operators.quality import width_report
 from tablesync.operators.skew import name
-from tablesync.sinks.ddl import TEXT_WIDTH
-from tablesync.sources.jdbc import Connection, Dialect, query
+from tablesync.sinks.ddl import TEXT_WIDTH, add_column_ddl
+from tablesync.sources.jdbc import Connection, Dialect, newest_sql, query
 
 STAGE_SUFFIX = "_sync_stg"
 BATCH_ROWS = 10_000
+METHODS = ("upsert", "delete_insert", "replace")
 
 
 def text_column_types(df: DataFrame, width: int = TEXT_WIDTH) -> str:
@@ -123,6 +124,21 @@ def delete_insert_statements(dialect: Dialect, target: str, stage: str, keys: Se
     ]
 
 
+def load_statements(
+    dialect: Dialect, target: str, stage: str, keys: Sequence[str], columns: Sequence[str], method: str
+) -> list[str]:
+    """``upsert``, ``delete_insert``, or ``replace`` (delete all rows, insert the stage)."""
+    if method == "upsert":
+        return upsert_statements(dialect, target, stage, keys, columns)
+    if method == "delete_insert":
+        return delete_insert_statements(dialect, target, stage, keys, columns)
+    listed = ", ".join(dialect.quote(c) for c in columns)
+    return [
+        f"DELETE FROM {dialect.quote(target)}",
+        f"INSERT INTO {dialect.quote(target)} ({listed}) SELECT {listed} FROM {dialect.quote(stage)}",
+    ]
+
+
 def run_in_transaction(connect: Callable[[], object], statements: Sequence[str]) -> list[int]:
     """Run statements over one DB-API connection: all are committed or none. Returns row counts.
 
@@ -166,23 +182,47 @@ class Warehouse:
     def count(self, spark, table: str) -> int:
         return query(spark, self.conn, f"SELECT COUNT(*) AS cnt FROM {self.conn.dialect.quote(table)}").first()["cnt"]
 
-    def upsert(self, batch: DataFrame, target: str, keys: Sequence[str], expected_rows: Callable[[], int]) -> dict[str, int]:
-        """Stage the common columns, check that the stage holds the batch exactly, then merge.
+    def newest_us(self, spark, table: str, audit_col: str) -> int | None:
+        found = query(spark, self.conn, newest_sql(self.conn.dialect, table, audit_col))
+        return found.select(F.unix_micros(F.col("newest").cast("timestamp")).alias("us")).first()["us"]
+
+    def add_columns(self, table: str, current: T.StructType, wanted: T.StructType) -> None:
+        statements = add_column_ddl(table, current, wanted, self.conn.dialect)
+        if statements:
+            run_in_transaction(self.connect, statements)
+
+    def load(
+        self,
+        batch: DataFrame,
+        target: str,
+        keys: Sequence[str],
+        expected_rows: Callable[[], int],
+        method: str = "upsert",
+        evolve: bool = False,
+    ) -> dict[str, int]:
+        """Stage the common columns, check that the stage holds the batch exactly, then change the target.
 
         A task that is retried after its commit would leave rows twice in the stage; the count finds
         that before the target is touched. ``expected_rows`` is read after the batch has been written.
         """
+        if method not in METHODS:
+            raise ValueError(f"method must be one of {METHODS}")
         spark, dialect = batch.sparkSession, self.conn.dialect
         stage = target + STAGE_SUFFIX
-        shared = common_columns(self.columns(spark, target), batch)
-        projected = batch.select(*[F.col(name(b)).alias(t) for t, b in shared])
+        flat = nested_as_text(batch)
+        if evolve:
+            self.add_columns(target, self.columns(spark, target).schema, flat.schema)
+        shared = common_columns(self.columns(spark, target), flat)
         names = [t for t, _ in shared]
         run_in_transaction(self.connect, clone_statements(dialect, target, stage, names))
-        writer(projected, self.conn, stage, "append", self.partitions, self.text_width).save()
+        staged_rows = flat.select(*[F.col(name(b)).alias(t) for t, b in shared])
+        writer(staged_rows, self.conn, stage, "append", self.partitions, self.text_width).save()
         staged, expected = self.count(spark, stage), expected_rows()
         if staged != expected:
             raise RuntimeError(f"stage {stage} holds {staged} rows, the batch has {expected}")
         before = self.count(spark, target)
-        run_in_transaction(self.connect, upsert_statements(dialect, target, stage, keys, names))
+        run_in_transaction(self.connect, load_statements(dialect, target, stage, keys, names, method))
+        if method == "replace":
+            return {"stg_rows": staged, "deleted": before, "inserted": staged}
         inserted = self.count(spark, target) - before
         return {"stg_rows": staged, "inserted": inserted, "matched": staged - inserted}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync import storage
-from tablesync.operators.merge import apply_batch, unique_by_key
+from tablesync.operators.merge import apply_batch, change_feed, unique_by_key
 from tablesync.operators.quality import null_keys, pk_violations
 from tablesync.operators.skew import any_null, name
 from tablesync.sinks.ddl import add_missing_columns, with_missing
@@ -125,12 +125,15 @@ def upsert_keyed(
     partition_by: Sequence[str] = (),
     mode: str = "merge",
     table: str | None = None,
+    feed: bool = False,
     **merge_options,
 ) -> int:
     """Create or upsert a keyed table and return its new version.
 
     Rows are identified by primary and timestamp keys together. Columns new to the table are added.
     ``overwrite`` replaces all rows. With ``table`` the catalog entry is pointed at the new version.
+    ``feed`` also writes the row changes, for ``VersionedDir.read_changes``; ``df`` is then evaluated
+    twice, so pass a staged batch.
     """
     keys = [*_as_list(primary_keys), *_as_list(timestamp_keys)]
     if not _as_list(primary_keys):
@@ -138,12 +141,15 @@ def upsert_keyed(
     if mode not in ("merge", "overwrite"):
         raise ValueError("mode must be 'merge' or 'overwrite'")
     df = require_keys(key_first(df, keys), keys)
-    if mode == "overwrite" or directory.current() is None:
-        options = {k: v for k, v in merge_options.items() if k in ("on_duplicate", "order_by")}
-        result = unique_by_key(df, keys, **options)
+    existing = None if directory.current() is None else with_missing(key_first(directory.read(), keys), df)
+    duplicates = {k: v for k, v in merge_options.items() if k in ("on_duplicate", "order_by")}
+    if mode == "overwrite" or existing is None:
+        result = unique_by_key(df, keys, **duplicates)
     else:
-        existing = key_first(directory.read(), keys)
-        result = apply_batch(with_missing(existing, df), df, keys, **merge_options)
+        result = apply_batch(existing, df, keys, **merge_options)
+    if feed:
+        before = df.limit(0) if existing is None else existing
+        directory.write_changes(change_feed(before, df, keys, replace=mode == "overwrite", **merge_options))
     version = directory.write(result, partition_by)
     if table:
         properties = {KEY_PROPERTY: ",".join(_as_list(primary_keys)), TIME_KEY_PROPERTY: ",".join(_as_list(timestamp_keys))}

@@ -8,8 +8,10 @@ an unmarked directory that readers skip and the next write replaces. One writer
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync import storage
 
@@ -54,12 +56,29 @@ class VersionedDir:
         writer.save(self.path_of(number))
         return number
 
+    def changes_path(self, version: int) -> str:
+        return f"{self.path}/changes-{version:08d}"
+
+    def write_changes(self, feed: DataFrame) -> None:
+        """Row changes of the version about to be written; they count once that version is committed."""
+        feed.write.format(self.fmt).mode("overwrite").save(self.changes_path((self.current() or 0) + 1))
+
+    def read_changes(self, after: int = 0) -> DataFrame | None:
+        """Changes of the committed versions after ``after``, with ``_commit_version``; None without any."""
+        feeds = [
+            self.spark.read.format(self.fmt).load(self.changes_path(v)).withColumn("_commit_version", F.lit(v))
+            for v in self.versions()
+            if v > after and storage.exists(self.spark, self.changes_path(v))
+        ]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds) if feeds else None
+
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
+        """Delete all but the newest ``keep`` committed versions, with their changes."""
         if keep < 1:
             raise ValueError("keep at least the current version")
         old = self.versions()[:-keep]
         for number in old:
             storage.delete(self.spark, self.path_of(number))
             storage.delete(self.spark, self._schema_path(number))
+            storage.delete(self.spark, self.changes_path(number))
         return old

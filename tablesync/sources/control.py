@@ -97,6 +97,13 @@ def last_watermark_us(log: DataFrame, sync_key: str) -> int | None:
     return row["us"] if row else None
 
 
+def watermarks_us(log: DataFrame, registry: DataFrame) -> dict[str, int | None]:
+    """Last successful watermark of each given registry row; as many values as there are tables to run."""
+    wanted = last_success_watermarks(log).join(registry.select("sync_key").distinct(), "sync_key", "left_semi")
+    found = wanted.select("sync_key", micros(F.col("watermark")).alias("us"))
+    return {row["sync_key"]: row["us"] for row in found.toLocalIterator()}
+
+
 def append_log(
     spark: SparkSession,
     ref: str,

@@ -80,3 +80,27 @@ def find_split(spark: SparkSession, conn: Connection, table_or_sql: str, key: st
     if row["lower_limit"] is None:
         return None
     return Split(key, int(row["lower_limit"]), int(row["upper_limit"]), parts)
+
+
+# How each database formats a month.
+MONTH_TEXT = {Dialect.MYSQL: "DATE_FORMAT({c}, '%Y%m')", Dialect.REDSHIFT: "TO_CHAR({c}, 'YYYYMM')"}
+
+
+def period_sql(dialect: Dialect, column: str, frequency: str | None = "monthly") -> str:
+    """The database's own expression for ``functions.period``."""
+    c = dialect.quote(column)
+    monthly = (frequency or "").lower() in ("", "monthly")
+    return MONTH_TEXT[dialect].format(c=c) if monthly else f"DATE({c})"
+
+
+def period_counts(
+    spark: SparkSession, conn: Connection, table: str, date_col: str, frequency: str | None = "monthly"
+) -> DataFrame:
+    """Rows per period, counted by the database: one row per period crosses the network."""
+    bucket = period_sql(conn.dialect, date_col, frequency)
+    sql = f"SELECT {bucket} AS period, COUNT(*) AS cnt FROM {conn.dialect.quote(table)} GROUP BY {bucket}"
+    return query(spark, conn, sql)
+
+
+def newest_sql(dialect: Dialect, table: str, audit_col: str) -> str:
+    return f"SELECT MAX({dialect.quote(audit_col)}) AS newest FROM {dialect.quote(table)}"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.skew import name
-from tablesync.operators.watermark import DEFAULT_START
+from tablesync.operators.watermark import DEFAULT_END, DEFAULT_START
 from tablesync.storage import is_path
 
 DEFAULT_PARTITIONS = 200
@@ -62,17 +62,22 @@ def newer_than(df: DataFrame, audit_col: str, watermark_us: int | None, overlap:
     """
     if watermark_us is None:
         return df
-    mark = F.timestamp_micros(F.lit(int(watermark_us)))
+    mark = _instant(int(watermark_us))
     if overlap:
         mark = mark - F.expr(f"INTERVAL {overlap}")
     column, mark = _typed(df, audit_col, mark)
     return df.where(column > mark)
 
 
-def between(df: DataFrame, date_col: str, start: str | datetime, end: str | datetime) -> DataFrame:
+def _instant(value: str | datetime | int) -> Column:
+    """A literal timestamp from text, a datetime, or microseconds."""
+    return F.timestamp_micros(F.lit(value)) if isinstance(value, int) else F.lit(value).cast("timestamp")
+
+
+def between(df: DataFrame, date_col: str, start: str | datetime | int, end: str | datetime | int) -> DataFrame:
     """Inclusive range filter."""
-    column, low = _typed(df, date_col, F.lit(start).cast("timestamp"))
-    _, high = _typed(df, date_col, F.lit(end).cast("timestamp"))
+    column, low = _typed(df, date_col, _instant(start))
+    _, high = _typed(df, date_col, _instant(end))
     return df.where(column.between(low, high))
 
 
@@ -85,14 +90,21 @@ def where_equal(df: DataFrame, **values) -> DataFrame:
 
 
 def resolve_range(
-    user_range: bool, start: str | None, end: str | None, target_start: str | None, now: datetime | None = None
-) -> tuple[str, str | None]:
-    """The user's range when it is switched on, else target high-water mark (or the default) to now."""
+    user_range: bool,
+    start: str | None,
+    end: str | None,
+    target_newest: str | int | None,
+    now: datetime | None = None,
+) -> tuple[str | int, str | datetime]:
+    """The user's range when it is switched on, else target high-water mark (or the default) to now.
+
+    An open user range ends at the default end. A mark in microseconds stays exact.
+    """
     if user_range:
         if start is None:
             raise ValueError("a user range needs a start")
-        return start, end
-    return target_start or DEFAULT_START, (now or datetime.now()).strftime("%Y-%m-%d %H:%M:%S")
+        return start, end or DEFAULT_END
+    return DEFAULT_START if target_newest is None else target_newest, now or datetime.now()
 
 
 def extract(
@@ -117,7 +129,7 @@ def extract(
         raise ValueError("give a table reference or SQL")
     df = read(spark, ref, fmt)
     if not full_load and date_col is not None and start is not None:
-        df = between(df, date_col, start, end or "9999-12-31")
+        df = between(df, date_col, start, end or DEFAULT_END)
     return df if row_limit is None else df.limit(row_limit)
 
 

@@ -113,8 +113,10 @@ def test_range_resolution():
     from datetime import datetime
 
     now = datetime(2024, 5, 6, 7, 8, 9)
-    assert lake.resolve_range(True, "2024-01-01", None, "x", now) == ("2024-01-01", None)
-    assert lake.resolve_range(False, None, None, None, now) == ("1900-01-01", "2024-05-06 07:08:09")
+    assert lake.resolve_range(True, "2024-01-01", None, "x", now) == ("2024-01-01", "9999-12-31")
+    assert lake.resolve_range(True, "2024-01-01", "2024-02-01", 5, now) == ("2024-01-01", "2024-02-01")
+    assert lake.resolve_range(False, None, None, None, now) == ("1900-01-01", now)
+    assert lake.resolve_range(False, None, None, 0, now) == (0, now)
     assert lake.resolve_range(False, "ignored", "ignored", "2024-02-02", now)[0] == "2024-02-02"
     with pytest.raises(ValueError):
         lake.resolve_range(True, None, None, None)

@@ -120,6 +120,78 @@ def test_a_failing_statement_rolls_back(duck):
     assert content(duck) == before
 
 
+def test_replace_statements(duck):
+    statements = sink.load_statements(Dialect.REDSHIFT, "tgt", "tgt_sync_stg", [], ["id", "v"], "replace")
+    sink.run_in_transaction(lambda: Session(duck), statements)
+    assert content(duck) == sorted([(2, "B", None), (3, "c", None), (None, "m", None)], key=str)
+
+
+def test_period_statements():
+    assert source.period_sql(Dialect.MYSQL, "a.d") == "DATE_FORMAT(`a`.`d`, '%Y%m')"
+    assert source.period_sql(Dialect.REDSHIFT, "d", "") == "TO_CHAR(\"d\", 'YYYYMM')"
+    assert source.period_sql(Dialect.REDSHIFT, "d", "daily") == 'DATE("d")'
+    assert source.newest_sql(Dialect.REDSHIFT, "s.t", "d") == 'SELECT MAX("d") AS newest FROM "s"."t"'
+
+
+class FakeWarehouse(sink.Warehouse):
+    """Every call into a database replaced by a record of it."""
+
+    def columns(self, spark, table):
+        return spark.createDataFrame([], "id int, v string, own string")
+
+    def count(self, spark, table):
+        return self.conn.options["counts"].pop(0)
+
+
+@pytest.fixture
+def fake(spark, monkeypatch):
+    sent, written = [], []
+    monkeypatch.setattr(sink, "run_in_transaction", lambda connect, statements: sent.append(list(statements)))
+
+    class Writer:
+        def __init__(self, df, conn, table, *rest):
+            self.df, self.table = df, table
+
+        def save(self):
+            written.append((self.table, self.df.columns, self.df.count()))
+
+    monkeypatch.setattr(sink, "writer", Writer)
+
+    def make(*counts):
+        return FakeWarehouse(Connection("jdbc:x", Dialect.REDSHIFT, {"counts": list(counts)}), lambda: None), sent, written
+
+    return make
+
+
+def test_load_stages_common_columns_checks_and_merges(spark, fake):
+    warehouse, sent, written = fake(2, 10, 11)
+    batch = spark.createDataFrame([("extra", 1, "a"), ("extra", 2, "b")], "more string, ID int, v string")
+    stats = warehouse.load(batch, "s.t", ["id"], lambda: 2)
+    assert stats == {"stg_rows": 2, "inserted": 1, "matched": 1}
+    assert written == [("s.t_sync_stg", ["id", "v"], 2)]
+    assert sent == [
+        sink.clone_statements(Dialect.REDSHIFT, "s.t", "s.t_sync_stg", ["id", "v"]),
+        sink.upsert_statements(Dialect.REDSHIFT, "s.t", "s.t_sync_stg", ["id"], ["id", "v"]),
+    ]
+
+
+def test_load_refuses_a_stage_that_differs_from_the_batch(spark, fake):
+    warehouse, sent, _ = fake(3)
+    with pytest.raises(RuntimeError, match="holds 3 rows"):
+        warehouse.load(spark.createDataFrame([(1, "a")], "id int, v string"), "s.t", ["id"], lambda: 1)
+    assert len(sent) == 1
+    with pytest.raises(ValueError, match="method"):
+        warehouse.load(spark.range(1), "s.t", ["id"], lambda: 1, "other")
+
+
+def test_load_can_add_columns_first(spark, fake):
+    warehouse, sent, _ = fake(1, 5)
+    batch = spark.createDataFrame([(1, "a", 2.0)], "id int, v string, w double")
+    stats = warehouse.load(batch, "t", ["id"], lambda: 1, "replace", evolve=True)
+    assert sent[0] == ['ALTER TABLE "t" ADD COLUMN "w" DOUBLE PRECISION']
+    assert stats == {"stg_rows": 1, "deleted": 5, "inserted": 1}
+
+
 def test_mysql_statements():
     update, insert = sink.upsert_statements(Dialect.MYSQL, "d.tgt", "d.stg", ["a", "b"], ["a", "b", "v"])
     assert update == (

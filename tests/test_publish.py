@@ -98,6 +98,26 @@ def test_keyed_table(spark, tmp_path, name):
         publish.upsert_keyed(first.withColumn("id", F.lit(None).cast("int")), table, "id")
 
 
+def test_keyed_table_with_a_change_feed(spark, tmp_path):
+    table = VersionedDir(spark, f"{tmp_path}/keyed")
+    assert table.read_changes() is None
+    publish.upsert_keyed(two(spark), table, "id", feed=True)
+    publish.upsert_keyed(spark.createDataFrame([(2, "B")], "id int, v string"), table, "id", feed=True)
+    publish.upsert_keyed(two(spark).where("id = 1"), table, "id", feed=True, mode="overwrite")
+    assert rows(table.read_changes()) == Counter(
+        [
+            (1, "a", "insert", 1),
+            (2, "b", "insert", 1),
+            (2, "b", "update_preimage", 2),
+            (2, "B", "update_postimage", 2),
+            (2, "B", "delete", 3),
+        ]
+    )
+    assert rows(table.read_changes(after=2)) == Counter([(2, "B", "delete", 3)])
+    table.vacuum(1)
+    assert table.read_changes().count() == 1
+
+
 def test_keyed_table_moves_rows_between_partitions(spark, tmp_path):
     table = VersionedDir(spark, f"{tmp_path}/keyed")
     publish.upsert_keyed(two(spark), table, "id", partition_by=["v"])

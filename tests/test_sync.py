@@ -3,12 +3,11 @@ from collections import Counter
 from dataclasses import replace
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablesync.plans import SyncSettings, SyncTask, run_all, run_one
 from tablesync.plans.staging import stage
-from tablesync.plans.sync import LAKE, _sync_lake, safe_message
+from tablesync.plans.sync import LAKE, LakeTarget, safe_message
 from tablesync.sinks import VersionedDir
 from tablesync.sources import control, lake
 
@@ -98,7 +97,7 @@ def test_equal_watermark_is_skipped_unless_overlapping(site):
 
 def test_failed_runs_do_not_move_the_watermark(site):
     site.source((1, "a", "2024-01-01"), (1, "b", "2024-01-02"))
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception):
         site.run()
     row = site.log().first()
     assert (row["current_status"], row["watermark_value"]) == ("fail", None)
@@ -144,6 +143,25 @@ def test_validate_and_sync_loads_only_periods_that_differ(site):
     assert site.run(load_type="VALIDATE_AND_SYNC").rows == 0
 
 
+def test_window_from_the_target_is_inclusive_and_ends_now(site):
+    site.source((1, "a", "2024-01-01 00:00:00.000001"), (9, "future", "2999-01-01"))
+    assert site.run(window="target").rows == 1
+    site.source((2, "late", "2024-01-01"), (3, "c", "2024-01-02"))
+    result = site.run(window="target")
+    assert (result.rows, site.rows()) == (2, {1: "a", 3: "c"})
+
+
+def test_window_by_user(site):
+    site.source((1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-03"), (4, "d", None))
+    assert site.run(window="user", start="2024-01-02", end="2024-01-02").rows == 1
+    assert site.run(window="user", start="2024-01-02").rows == 2
+    assert site.rows() == {2: "b", 3: "c"}
+    with pytest.raises(ValueError, match="start"):
+        site.run(window="user")
+    with pytest.raises(ValueError, match="window"):
+        site.run(window="other")
+
+
 def test_new_source_columns_are_dropped_or_evolved(spark, site):
     site.source((1, "a", "2024-01-01"))
     site.run()
@@ -175,7 +193,7 @@ def test_source_is_evaluated_once(spark, site):
             yield batch
 
     batch = site.target.read().withColumn("v", F.lit("b"))
-    _sync_lake(spark, site.task, site.settings, batch.mapInArrow(count, batch.schema))
+    LakeTarget(spark, site.task, site.settings).load(batch.mapInArrow(count, batch.schema))
     assert evaluated.value == 20
     assert set(site.rows().values()) == {"b"}
 
