@@ -33,8 +33,12 @@ def compare_periods(source: DataFrame, target: DataFrame, date_col: str, frequen
 
 
 def rows_in_wrong_periods(source: DataFrame, compared: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
-    """Source rows of the periods whose counts differ."""
-    wrong = compared.where("diff <> 0").select(F.col("period").alias("p"))
+    """Source rows of the periods whose counts differ.
+
+    Periods are bounded by the calendar, not by the data (at most 12 per year, or 366), so the list is
+    broadcast and the source is never shuffled on its few period values.
+    """
+    wrong = F.broadcast(compared.where("diff <> 0").select(F.col("period").alias("p")))
     return source.join(wrong, period(date_col, frequency).eqNullSafe(F.col("p")), "left_semi")
 
 

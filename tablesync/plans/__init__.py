@@ -1,4 +1,4 @@
-from tablesync.plans.partitions import merge_partitions
+from tablesync.plans.staging import Staged, merge_into, stage
 from tablesync.plans.sync import SyncResult, SyncSettings, SyncTask, run_all, run_one
 
-__all__ = ["SyncResult", "SyncSettings", "SyncTask", "merge_partitions", "run_all", "run_one"]
+__all__ = ["Staged", "SyncResult", "SyncSettings", "SyncTask", "merge_into", "run_all", "run_one", "stage"]

@@ -25,11 +25,11 @@ from tablesync.functions import (
 )
 from tablesync.operators import merge, quality, reconcile, splits, watermark
 from tablesync.operators.skew import heavy_key_hashes
-from tablesync.plans.partitions import merge_partitions
 from tablesync.plans.staging import merge_into, stage
 from tablesync.plans.sync import LAKE, SyncSettings, run_all
 from tablesync.sinks import delimited, publish
 from tablesync.sinks.ddl import add_missing_columns, missing_fields
+from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources import control, lake
 from tablesync.streaming import upsert_stream
@@ -215,8 +215,10 @@ def merge_null_keys(spark, sf_dir):
 
 
 def delete_insert(spark, sf_dir):
-    """Batch with repeated keys: orders of the window, joined by customer, replace the customer's rows."""
-    return merge.delete_insert(_target(spark, sf_dir), _batch(spark, sf_dir), ["o_custkey"])
+    """Batch with repeated keys: a customer's orders in the window replace all the customer's orders."""
+    target = _target(spark, sf_dir)
+    heavy = heavy_key_hashes(target, ["o_custkey"])
+    return merge.delete_insert(target, _batch(spark, sf_dir), ["o_custkey"], heavy=heavy)
 
 
 def merge_stats(spark, sf_dir):
@@ -370,7 +372,7 @@ def empty_clone(spark, sf_dir):
     """Stage set-up: clone the target's columns without rows, then stage the whole table in the clone."""
     target = _temp_table(spark, _target(spark, sf_dir), "clone-source")
     stage_table = f"{target}_stg"
-    publish.empty_clone(spark, target, stage_table)
+    publish.empty_clone(spark, target, stage_table, location=storage.new_dir(spark, "clone"))
     publish.publish_table(
         _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS), stage_table, mode="append"
     )
@@ -414,14 +416,13 @@ def change_feed_published(spark, sf_dir):
 
 def touched_partitions(spark, sf_dir):
     """Only the event types present in the batch are rewritten."""
-    path = storage.new_dir(spark, "partitioned")
     events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
-    keys, parts = ["event_type", "event_id"], ["event_type"]
-    merge_partitions(spark, path, events.where(F.col("ts") <= _ntz(EVENTS_UNTIL)), keys, parts)
+    table = PartitionedDir(spark, storage.new_dir(spark, "partitioned"), ["event_type"])
+    table.write(events.where(F.col("ts") <= _ntz(EVENTS_UNTIL)))
     window = events.where((F.col("ts") > _ntz(EVENTS_FROM)) & F.col("event_type").isin("view", "click"))
     batch = stage(spark, window.withColumn("value", F.col("value") + 1.0), None)
-    merge_partitions(spark, path, batch.df, keys, parts)
-    return spark.read.parquet(path).select("event_id", F.col("event_type").cast("string"), "value", "ts")
+    merge_into(table, batch, ["event_type", "event_id"])
+    return table.read()
 
 
 def compact(spark, sf_dir):

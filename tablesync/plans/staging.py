@@ -18,6 +18,7 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.skew import heavy_key_hashes, name
 from tablesync.sinks.ddl import with_missing
+from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources.lake import micros
 
@@ -46,10 +47,14 @@ def watch(df: DataFrame, audit_col: str | None) -> tuple[DataFrame, Observation]
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(newest).alias("watermark_us")), seen
 
 
-def stage(spark: SparkSession, df: DataFrame, audit_col: str | None) -> Staged:
-    """Write the batch once; everything after reads the staged copy and never the source again."""
+def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: bool = True) -> Staged:
+    """Write the batch once; everything after reads the staged copy and never the source again.
+
+    ``gather`` brings the few rows a filter leaves in each input split together, so that a small batch
+    out of a huge table is not staged as one tiny file per split. Skewed pieces are split again.
+    """
     path = storage.new_dir(spark, "stage")
-    watched, seen = watch(df, audit_col)
+    watched, seen = watch(df.hint("rebalance") if gather else df, audit_col)
     watched.write.parquet(path)
     found = seen.get
     staged = spark.read.schema(df.schema).parquet(path)
@@ -63,30 +68,33 @@ def merge_options(target: DataFrame, batch: Staged, keys: Sequence[str], limit:
     return {"heavy": heavy_key_hashes(target, keys)}
 
 
-def shuffle_parts(spark: SparkSession, directory: VersionedDir) -> int:
+def shuffle_parts(spark: SparkSession, table: VersionedDir | PartitionedDir) -> int:
     """Shuffle partitions for rewriting a table: never fewer than configured, more for a large table."""
-    size = storage.size_bytes(spark, directory.path_of(directory.current()))
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHUFFLE_PART_BYTES))
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, math.ceil(table.rewrite_bytes() / SHUFFLE_PART_BYTES))
 
 
 def merge_into(
-    directory: VersionedDir,
+    table: VersionedDir | PartitionedDir,
     batch: Staged,
     keys: Sequence[str],
     *,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     evolve: bool = False,
 ) -> dict[str, int]:
-    """Upsert a staged batch into a versioned directory; statistics are observed during the write."""
+    """Upsert a staged batch into a table; statistics are observed during the write.
+
+    ``kept`` counts rows rewritten unchanged: the whole rest of a versioned table, the rest of the
+    touched partitions of a partitioned one.
+    """
     seen = Observation()
-    if directory.current() is None:
+    if not table.exists():
         first = unique_by_key(batch.df, keys, on_duplicate, order_by)
-        directory.write(first.observe(seen, F.count(F.lit(1)).alias("inserted")), partition_by)
+        table.replace(first.observe(seen, F.count(F.lit(1)).alias("inserted")))
         return {"inserted": seen.get["inserted"], "updated": 0, "unchanged": 0, "kept": 0}
-    target = directory.read()
+    target = table.rows_to_merge(batch.df, keys)
     if evolve:
         target = with_missing(target, batch.df)
     merged = merge_with_actions(
@@ -97,7 +105,7 @@ def merge_into(
         order_by=order_by,
         **merge_options(target, batch, keys, broadcast_limit),
     )
-    parts = shuffle_parts(directory.spark, directory)
-    with storage.conf(directory.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
-        directory.write(merged.observe(seen, *action_counts()).drop(ACTION), partition_by)
+    parts = shuffle_parts(table.spark, table)
+    with storage.conf(table.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
+        table.write(merged.observe(seen, *action_counts()).drop(ACTION))
     return dict(seen.get)

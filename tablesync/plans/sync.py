@@ -14,6 +14,7 @@ from tablesync.operators import reconcile
 from tablesync.operators.merge import unique_by_key
 from tablesync.plans.staging import BROADCAST_LIMIT_BYTES, merge_into, stage, watch
 from tablesync.sinks.jdbc import Warehouse
+from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources import control, jdbc
 from tablesync.sources.lake import between, micros, newer_than, read, resolve_range, source_path
@@ -51,6 +52,7 @@ class SyncSettings:
     broadcast_limit: int = BROADCAST_LIMIT_BYTES
     fail_fast: bool = False
     keep_versions: int = 2
+    partition_by: Sequence[str] = ()  # lake targets: partitioned in place, see PartitionedDir
 
 
 @dataclass(frozen=True)
@@ -76,6 +78,8 @@ class SyncTask:
 
 @dataclass(frozen=True)
 class SyncResult:
+    """Outcome of a run. ``rows`` is the batch; on a full load, the rows left after duplicates."""
+
     sync_key: str | None
     status: str
     rows: int = 0
@@ -104,35 +108,55 @@ def safe_message(error: BaseException) -> str:
 
 
 class LakeTarget:
-    """A versioned directory. The batch is staged first: that is the only evaluation of the source."""
+    """A table of files. The source is evaluated once: into the stage, or straight into a full load."""
 
     def __init__(self, spark: SparkSession, task: SyncTask, settings: SyncSettings):
         self.spark, self.task, self.settings = spark, task, settings
-        self.directory = VersionedDir(spark, source_path(settings.paths, task.tgt_db, task.tgt_tbl))
+        path = source_path(settings.paths, task.tgt_db, task.tgt_tbl)
+        self.table = PartitionedDir(spark, path, settings.partition_by) if settings.partition_by else VersionedDir(spark, path)
 
     def newest_us(self) -> int | None:
-        if self.directory.current() is None:
+        if not self.table.exists():
             return None
-        return self.directory.read().agg(F.max(micros(F.col(self.settings.audit_col)))).first()[0]
+        return self.table.read().agg(F.max(micros(F.col(self.settings.audit_col)))).first()[0]
 
     def period_counts(self) -> DataFrame | None:
-        if self.directory.current() is None:
+        if not self.table.exists():
             return None
-        return reconcile.period_counts(self.directory.read(), self.settings.audit_col, self.settings.frequency)
+        return reconcile.period_counts(self.table.read(), self.settings.audit_col, self.settings.frequency)
 
     def load(self, source: DataFrame) -> SyncResult:
-        settings, keys = self.settings, self.task.merge_keys
-        duplicates = {"on_duplicate": settings.on_duplicate, "order_by": (settings.audit_col, *settings.tie_break)}
+        result = self._load_all(source) if self._is_full() else self._merge(source)
+        self.table.vacuum(self.settings.keep_versions)
+        return result
+
+    def _is_full(self) -> bool:
+        return self.settings.load_type == "TRUNC_AND_LOAD" or not self.table.exists()
+
+    def _duplicates(self) -> dict:
+        order_by = (self.settings.audit_col, *self.settings.tie_break)
+        return {"on_duplicate": self.settings.on_duplicate, "order_by": order_by}
+
+    def _load_all(self, source: DataFrame) -> SyncResult:
+        watched, seen = watch(unique_by_key(source, self.task.merge_keys, **self._duplicates()), self.settings.audit_col)
+        self.table.replace(watched)
+        rows, newest = seen.get["rows"], seen.get["watermark_us"]
+        return SyncResult(self.task.sync_key, control.SUCCESS, rows, newest, {"inserted": rows})
+
+    def _merge(self, source: DataFrame) -> SyncResult:
+        settings = self.settings
         batch = stage(self.spark, source, settings.audit_col)
         try:
             stats: dict[str, int] = {}
-            if settings.load_type == "TRUNC_AND_LOAD":
-                self.directory.write(unique_by_key(batch.df, keys, **duplicates))
-                stats = {"inserted": batch.rows}
-            elif batch.rows:
-                limit, evolve = settings.broadcast_limit, settings.evolve
-                stats = merge_into(self.directory, batch, keys, **duplicates, broadcast_limit=limit, evolve=evolve)
-            self.directory.vacuum(settings.keep_versions)
+            if batch.rows:
+                stats = merge_into(
+                    self.table,
+                    batch,
+                    self.task.merge_keys,
+                    **self._duplicates(),
+                    broadcast_limit=settings.broadcast_limit,
+                    evolve=settings.evolve,
+                )
             return SyncResult(self.task.sync_key, control.SUCCESS, batch.rows, batch.watermark_us, stats)
         finally:
             batch.drop()

@@ -1,9 +1,11 @@
 from tablesync.sinks.ddl import add_column_ddl, missing_fields
 from tablesync.sinks.delimited import export_delimited, normalize
+from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.publish import compact, empty_clone, key_first, publish_table, upsert_keyed
 from tablesync.sinks.versioned import VersionedDir
 
 __all__ = [
+    "PartitionedDir",
     "VersionedDir",
     "add_column_ddl",
     "compact",

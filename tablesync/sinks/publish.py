@@ -35,17 +35,23 @@ def key_first(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.select(*[F.col(name(c)) for c in [*keys, *[c for c in df.columns if c not in keys]]])
 
 
-def empty_clone(spark: SparkSession, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True) -> None:
-    """A table of the same columns (or some of them) and no rows; ``replace=False`` keeps an existing one."""
+def empty_clone(
+    spark: SparkSession, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True, location: str | None = None
+) -> None:
+    """A table of the same columns (or some of them) and no rows; ``replace=False`` keeps an existing one.
+
+    ``location`` makes it an external table, for sessions whose warehouse folder is not shared.
+    """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {_quoted(new_table)}")
     elif spark.catalog.tableExists(new_table):
         return
     if columns:
-        rows = spark.table(table).select(*[name(c) for c in columns]).limit(0)
-        rows.write.saveAsTable(new_table, format="parquet")
+        writer = spark.table(table).select(*[name(c) for c in columns]).limit(0).write
+        (writer.option("path", location) if location else writer).saveAsTable(new_table, format="parquet")
     else:
-        spark.sql(f"CREATE TABLE {_quoted(new_table)} LIKE {_quoted(table)} USING parquet")
+        place = "" if location is None else " LOCATION '{}'".format(location.replace("'", "\\'"))
+        spark.sql(f"CREATE TABLE {_quoted(new_table)} LIKE {_quoted(table)} USING parquet{place}")
 
 
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:

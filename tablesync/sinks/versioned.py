@@ -47,6 +47,19 @@ class VersionedDir:
         """Empty copy of a partitioned version: directory names alone do not tell the columns' types."""
         return f"{self.path}/schema-{version:08d}"
 
+    def exists(self) -> bool:
+        return self.current() is not None
+
+    def rows_to_merge(self, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """A merge makes a whole new version."""
+        return self.read()
+
+    def rewrite_bytes(self) -> int:
+        return storage.size_bytes(self.spark, self.path_of(self.current()))
+
+    def replace(self, df: DataFrame) -> None:
+        self.write(df)
+
     def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         number = (self.current() or 0) + 1
         writer = df.write.format(self.fmt).mode("overwrite")

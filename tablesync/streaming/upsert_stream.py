@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.plans.staging import merge_into, stage
+from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 
 
 def upsert_stream(
     stream: DataFrame,
-    target: VersionedDir,
+    target: VersionedDir | PartitionedDir,
     keys: Sequence[str],
     checkpoint: str,
     *,
@@ -25,7 +26,8 @@ def upsert_stream(
 
     Several changes of one key in a micro-batch collapse to the newest by ``order_by``. The source
     offsets are committed after the target's new version, so a restart may merge a micro-batch again,
-    which changes nothing. The trigger defaults to ``availableNow=True``.
+    which changes nothing. A partitioned target rewrites only the partitions of the micro-batch. The
+    trigger defaults to ``availableNow=True``.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tablesync.operators import merge
 from tablesync.operators.reconcile import compare_periods
 from tablesync.operators.skew import null_salt
-from tablesync.plans import partitions, queries
-from tablesync.plans.staging import shuffle_parts
-from tablesync.sinks import VersionedDir
+from tablesync.plans import queries
+from tablesync.plans.staging import shuffle_parts, stage
+from tablesync.sinks import PartitionedDir, VersionedDir, partitioned
 
 
 def plan(df):
@@ -96,28 +96,39 @@ def test_hot_batch_key_is_combined_before_the_shuffle(spark):
 
 
 def test_touched_partitions_are_pruned_by_a_static_filter(spark, tmp_path):
-    path = f"{tmp_path}/p"
+    table = PartitionedDir(spark, f"{tmp_path}/p", ["code"])
     rows = spark.range(100).select("id", F.format_string("%03d", F.col("id") % 10).alias("code"))
-    rows.write.partitionBy("code").parquet(path)
-    batch = rows.where("id in (3, 14)")
-    target = partitions.read_partitioned(spark, path, "parquet", batch, ["code"])
-    assert target.schema["code"].dataType.simpleString() == "string"
-    found = partitions.touched(target, batch, ["code"])
+    table.write(rows)
+    assert table.read().schema["code"].dataType.simpleString() == "string"
+    found = table.rows_to_merge(rows.where("id in (3, 14)"), ["code", "id"])
     (scan,) = scans(found)
     assert "003" in scan.split("PartitionFilters")[1] and "004" in scan.split("PartitionFilters")[1]
     assert {r["code"] for r in found.collect()} == {"003", "004"}
 
 
+def test_wrong_periods_are_broadcast(spark, sf_dir):
+    text = plan(queries.resync_rows(spark, sf_dir))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_a_selective_batch_is_staged_in_few_files(spark):
+    scattered = spark.range(0, 100_000, 1, 64).where("id % 5000 = 0")
+    staged = stage(spark, scattered, None)
+    assert staged.rows == 20
+    assert len(staged.df.inputFiles()) < 8
+    staged.drop()
+
+
 def test_more_partitions_than_listed_are_joined(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(partitions, "MAX_LISTED", 1)
+    monkeypatch.setattr(partitioned, "MAX_LISTED", 1)
     rows = spark.range(20).select("id", (F.col("id") % 5).alias("p"))
-    found = partitions.touched(rows, rows.where("p in (1, 2)"), ["p"])
+    found = partitioned.touched(rows, rows.where("p in (1, 2)"), ["p"])
     assert sorted({r["p"] for r in found.collect()}) == [1, 2]
 
 
 def test_null_partition_values(spark):
     rows = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "id int, p string")
-    found = partitions.touched(rows, rows.where("id < 3"), ["p"])
+    found = partitioned.touched(rows, rows.where("id < 3"), ["p"])
     assert sorted(r["id"] for r in found.collect()) == [1, 2]
 
 

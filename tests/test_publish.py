@@ -6,8 +6,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.plans import merge_partitions
-from tablesync.sinks import VersionedDir, ddl, delimited, publish
+from tablesync.plans import merge_into, stage
+from tablesync.sinks import PartitionedDir, VersionedDir, ddl, delimited, publish
 from tablesync.sources.jdbc import Dialect
 
 
@@ -138,21 +138,40 @@ def test_compaction_keeps_rows_and_joins_files(spark, tmp_path):
     assert table.read().count() == 1000
 
 
-def test_touched_partitions_only(spark, tmp_path):
-    path = f"{tmp_path}/parts"
+def merge_rows(table, batch, keys, **options):
+    staged = stage(batch.sparkSession, batch, None)
+    return merge_into(table, staged, keys, **options)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_touched_partitions_only(spark, tmp_path, limit):
+    table = PartitionedDir(spark, f"{tmp_path}/parts", ["p"])
+    assert not table.exists()
     base = spark.range(30).select((F.col("id") % 3).cast("int").alias("p"), "id", F.lit("a").alias("v"))
-    merge_partitions(spark, path, base, ["p", "id"], ["p"])
-    before = set(spark.read.parquet(path).inputFiles())
+    assert merge_rows(table, base, ["p", "id"])["inserted"] == 30
+    before = set(table.read().inputFiles())
     batch = spark.createDataFrame([(1, 1, "b"), (1, 100, "n"), (7, 7, "new")], "p int, id bigint, v string")
-    merge_partitions(spark, path, batch, ["p", "id"], ["p"])
-    after = spark.read.parquet(path)
+    stats = merge_rows(table, batch, ["p", "id"], broadcast_limit=limit)
+    assert stats == {"inserted": 2, "updated": 1, "unchanged": 0, "kept": 9}
+    after = table.read()
     assert {f for f in before if "p=1" not in f} == {f for f in after.inputFiles() if "p=0" in f or "p=2" in f}
     assert after.count() == 32
     assert rows(after.where("v <> 'a'").select("p", "id", "v")) == rows(batch)
-    merge_partitions(spark, path, batch, ["p", "id"], ["p"])
-    assert spark.read.parquet(path).count() == 32
+    assert merge_rows(table, batch, ["p", "id"])["updated"] == 0
+    assert table.read().count() == 32
     with pytest.raises(ValueError, match="merge keys"):
-        merge_partitions(spark, path, batch, ["id"], ["p"])
+        merge_rows(table, batch, ["id"])
+
+
+def test_partitioned_table_keeps_types_and_null_partitions(spark, tmp_path):
+    table = PartitionedDir(spark, f"{tmp_path}/parts", ["code"])
+    first = spark.createDataFrame([("007", 1), (None, 2), ("a/b c", 3)], "code string, id int")
+    merge_rows(table, first, ["code", "id"])
+    merge_rows(table, first.where("id <> 1"), ["code", "id"])
+    # a NULL key never matches: the row is inserted again
+    assert rows(table.read().select("code", "id")) == Counter({("007", 1): 1, (None, 2): 2, ("a/b c", 3): 1})
+    table.replace(first.where("id = 1"))
+    assert rows(table.read().select("code", "id")) == Counter([("007", 1)])
 
 
 def test_export_quotes_minimally_and_keeps_empty_text(spark, tmp_path):

@@ -1,4 +1,4 @@
-from tablesync.sinks import VersionedDir
+from tablesync.sinks import PartitionedDir, VersionedDir
 from tablesync.streaming import upsert_stream
 
 SCHEMA = "id int, v string, t int"
@@ -33,3 +33,13 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
     upsert_stream(stream, target, ["id"], f"{tmp_path}/other", order_by=["t"]).awaitTermination(120)
     assert {r["id"]: r["v"] for r in target.read().collect()} == first
+
+
+def test_partitioned_target(spark, tmp_path):
+    target = PartitionedDir(spark, f"{tmp_path}/out", ["id"])
+    arrive(spark, tmp_path, (1, "a", 1), (2, "b", 1))
+    assert drain(spark, tmp_path, target) == {1: "a", 2: "b"}
+    kept = [f for f in target.read().inputFiles() if "id=1" in f]
+    arrive(spark, tmp_path, (2, "c", 2))
+    assert drain(spark, tmp_path, target) == {1: "a", 2: "c"}
+    assert [f for f in target.read().inputFiles() if "id=1" in f] == kept

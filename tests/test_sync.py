@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablesync.plans import SyncSettings, SyncTask, run_all, run_one
 from tablesync.plans.staging import stage
 from tablesync.plans.sync import LAKE, LakeTarget, safe_message
-from tablesync.sinks import VersionedDir
+from tablesync.sinks import PartitionedDir, VersionedDir
 from tablesync.sources import control, lake
 
 SCHEMA = "id int, v string, updated_at timestamp"
@@ -103,14 +103,32 @@ def test_failed_runs_do_not_move_the_watermark(site):
     assert (row["current_status"], row["watermark_value"]) == ("fail", None)
     assert "duplicate merge key" in row["msg"]
     assert site.target.current() is None
-    assert site.run(on_duplicate="latest").rows == 2
+    assert site.run(on_duplicate="latest").rows == 1
     assert site.rows() == {1: "b"}
 
 
-def test_first_load_into_an_empty_source_writes_nothing(site):
+def test_first_load_of_an_empty_source_makes_an_empty_table(site):
     site.source()
     assert site.run().rows == 0
-    assert site.target.current() is None
+    assert site.rows() == {}
+    assert site.target.read().columns == ["id", "v", "updated_at"]
+    site.source((1, "a", "2024-01-01"))
+    assert site.run().rows == 1
+
+
+def test_partitioned_target(spark, site):
+    settings = {"partition_by": ["id"], "broadcast_limit": 0}
+    site.source((1, "a", "2024-01-01"), (2, "b", "2024-01-02"))
+    site.run(**settings)
+    table = PartitionedDir(spark, site.target.path, ["id"])
+    kept = [f for f in table.read().inputFiles() if "id=1" in f]
+    site.source((2, "B", "2024-01-03"), (3, "c", "2024-01-03"))
+    assert dict(site.run(**settings).stats) == {"inserted": 1, "updated": 1, "unchanged": 0, "kept": 0}
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {1: "a", 2: "B", 3: "c"}
+    assert [f for f in table.read().inputFiles() if "id=1" in f] == kept
+    site.source((9, "z", "2023-01-01"), mode="overwrite")
+    site.run(load_type="TRUNC_AND_LOAD", **settings)
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {9: "z"}
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, site):
