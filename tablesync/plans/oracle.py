@@ -162,7 +162,7 @@ SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y%m') AS ym, CAST(l_ship
 SELECT event_id, sha256(CAST(user_id AS VARCHAR) || '~' || strftime(ts, '%Y-%m-%d %H:%M:%S')) AS log_key FROM events""",
     "kv_parse": "SELECT event_id, CAST(user_id AS VARCHAR) AS uid, event_type AS typ FROM events",
     "json_extract": """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, -1 AS none FROM events""",
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, -1 AS missing FROM events""",
     "config_parse": """
 SELECT o_orderkey, o_orderstatus = 'O' AS by_user, 'mysql' AS tgt_db_type, o_orderpriority AS second_key,
   CASE WHEN o_custkey >= 130 THEN CAST(o_custkey AS INTEGER) ELSE 130 END AS split_mb,

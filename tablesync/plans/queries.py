@@ -328,7 +328,7 @@ def kv_parse(spark, sf_dir):
 
 def json_extract(spark, sf_dir):
     return _table(spark, sf_dir, "events").select(
-        "event_id", json_field("props", "$.k", "int").alias("k"), json_field("props", "$.none", "int", -1).alias("none")
+        "event_id", json_field("props", "$.k", "int").alias("k"), json_field("props", "$.none", "int", -1).alias("missing")
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,11 +40,12 @@ class Staged:
         storage.delete(self.df.sparkSession, self.path)
 
 
-def watch(df: DataFrame, audit_col: str | None) -> tuple[DataFrame, Observation]:
-    """The frame with row count and newest audit value observed while it is written."""
+def watch(audit_col: str | None) -> tuple[Callable[[DataFrame], DataFrame], Observation]:
+    """Something that observes row count and newest audit value of a frame as it is written."""
     seen = Observation()
     newest = F.lit(None).cast("bigint") if audit_col is None else micros(F.col(name(audit_col)))
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(newest).alias("watermark_us")), seen
+    metrics = [F.count(F.lit(1)).alias("rows"), F.max(newest).alias("watermark_us")]
+    return lambda df: df.observe(seen, *metrics), seen
 
 
 def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: bool = True) -> Staged:
@@ -54,8 +55,8 @@ def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: boo
     out of a huge table is not staged as one tiny file per split. Skewed pieces are split again.
     """
     path = storage.new_dir(spark, "stage")
-    watched, seen = watch(df.hint("rebalance") if gather else df, audit_col)
-    watched.write.parquet(path)
+    watched, seen = watch(audit_col)
+    watched(df.hint("rebalance") if gather else df).write.parquet(path)
     found = seen.get
     staged = spark.read.schema(df.schema).parquet(path)
     return Staged(staged, path, found["rows"], found["watermark_us"], storage.size_bytes(spark, path))
@@ -92,7 +93,7 @@ def merge_into(
     seen = Observation()
     if not table.exists():
         first = unique_by_key(batch.df, keys, on_duplicate, order_by)
-        table.replace(first.observe(seen, F.count(F.lit(1)).alias("inserted")))
+        table.replace(first, finish=lambda df: df.observe(seen, F.count(F.lit(1)).alias("inserted")))
         return {"inserted": seen.get["inserted"], "updated": 0, "unchanged": 0, "kept": 0}
     target = table.rows_to_merge(batch.df, keys)
     if evolve:
@@ -107,5 +108,5 @@ def merge_into(
     )
     parts = shuffle_parts(table.spark, table)
     with storage.conf(table.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
-        table.write(merged.observe(seen, *action_counts()).drop(ACTION))
+        table.write(merged, finish=lambda df: df.observe(seen, *action_counts()).drop(ACTION))
     return dict(seen.get)

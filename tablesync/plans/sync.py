@@ -138,8 +138,8 @@ class LakeTarget:
         return {"on_duplicate": self.settings.on_duplicate, "order_by": order_by}
 
     def _load_all(self, source: DataFrame) -> SyncResult:
-        watched, seen = watch(unique_by_key(source, self.task.merge_keys, **self._duplicates()), self.settings.audit_col)
-        self.table.replace(watched)
+        watched, seen = watch(self.settings.audit_col)
+        self.table.replace(unique_by_key(source, self.task.merge_keys, **self._duplicates()), finish=watched)
         rows, newest = seen.get["rows"], seen.get["watermark_us"]
         return SyncResult(self.task.sync_key, control.SUCCESS, rows, newest, {"inserted": rows})
 
@@ -180,9 +180,9 @@ class WarehouseTarget:
     def load(self, source: DataFrame) -> SyncResult:
         settings, keys = self.settings, self.task.merge_keys
         unique = unique_by_key(source, keys, settings.on_duplicate, (settings.audit_col, *settings.tie_break))
-        watched, seen = watch(unique, settings.audit_col)
+        watched, seen = watch(settings.audit_col)
         method = "replace" if settings.load_type == "TRUNC_AND_LOAD" else "upsert"
-        stats = self.warehouse.load(watched, self.table, keys, lambda: seen.get["rows"], method, settings.evolve)
+        stats = self.warehouse.load(watched(unique), self.table, keys, lambda: seen.get["rows"], method, settings.evolve)
         return SyncResult(self.task.sync_key, control.SUCCESS, seen.get["rows"], seen.get["watermark_us"], stats)
 
 

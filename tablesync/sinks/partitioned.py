@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -13,6 +13,7 @@ from tablesync import storage
 from tablesync.operators.skew import name
 
 MAX_LISTED = 1000
+Finish = Callable[[DataFrame], DataFrame] | None
 
 
 def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -73,24 +74,30 @@ class PartitionedDir:
     def rewrite_bytes(self) -> int:
         return storage.size_bytes(self.spark, self.path)
 
-    def _save(self, df: DataFrame, overwrite: str) -> None:
+    def _save(self, df: DataFrame, overwrite: str, finish: Finish) -> None:
+        gathered = df.hint("rebalance", *[F.col(name(c)) for c in self.partition_by])
+        finished = finish(gathered) if finish else gathered
         (
-            df.hint("rebalance", *[F.col(name(c)) for c in self.partition_by])
-            .write.format(self.fmt)
+            finished.write.format(self.fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", overwrite)
             .partitionBy(*self.partition_by)
             .save(self.path)
         )
-        df.limit(0).write.format(self.fmt).mode("overwrite").save(self._schema_path)
+        empty = self.spark.createDataFrame([], finished.schema)
+        empty.write.format(self.fmt).mode("overwrite").save(self._schema_path)
 
-    def write(self, df: DataFrame) -> None:
-        """Replace the partitions that have rows in ``df``. A large partition is split over several files."""
-        self._save(df, "dynamic")
+    def write(self, df: DataFrame, finish: Finish = None) -> None:
+        """Replace the partitions that have rows in ``df``. A large partition is split over several files.
 
-    def replace(self, df: DataFrame) -> None:
+        ``finish`` is applied after the last shuffle. Metrics observed there count every row once, even
+        when a lost executor makes Spark repeat earlier stages.
+        """
+        self._save(df, "dynamic", finish)
+
+    def replace(self, df: DataFrame, finish: Finish = None) -> None:
         """Replace the whole table by rows that do not come from it."""
-        self._save(df, "static")
+        self._save(df, "static", finish)
 
     def vacuum(self, keep: int = 0) -> None:
         """Nothing is kept beside the current partitions."""

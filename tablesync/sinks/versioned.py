@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync import storage
+from tablesync.sinks.partitioned import Finish
 
 DONE = "_SUCCESS"
 
@@ -57,14 +58,17 @@ class VersionedDir:
     def rewrite_bytes(self) -> int:
         return storage.size_bytes(self.spark, self.path_of(self.current()))
 
-    def replace(self, df: DataFrame) -> None:
-        self.write(df)
+    def replace(self, df: DataFrame, finish: Finish = None) -> None:
+        self.write(df, finish=finish)
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), finish: Finish = None) -> int:
+        """Write the next version. ``finish`` as for ``PartitionedDir.write``."""
         number = (self.current() or 0) + 1
-        writer = df.write.format(self.fmt).mode("overwrite")
+        finished = finish(df) if finish else df
+        writer = finished.write.format(self.fmt).mode("overwrite")
         if partition_by:
-            df.limit(0).write.format(self.fmt).mode("overwrite").save(self._schema_path(number))
+            empty = self.spark.createDataFrame([], finished.schema)
+            empty.write.format(self.fmt).mode("overwrite").save(self._schema_path(number))
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path_of(number))
         return number
