@@ -2,26 +2,29 @@
 
 Plans, from the batch's size and the target's keys:
 
-* a batch of checked small size is broadcast: the target is read once and never shuffled;
+* a batch of checked small size is broadcast: the target is never shuffled;
 * otherwise one full outer join, target and batch shuffled once each on the keys;
-* keys found heavy in the target (``skew.heavy_key_hashes``) leave that shuffle: their few batch
+* rows with a NULL key part match nothing and are passed on without a shuffle, however many they are;
+* keys found heavy in the target (``skew.heavy_key_hashes``) leave the shuffle too: their few batch
   rows, at most one per heavy key, are broadcast to the target rows where they lie.
+
+The parts are split by filters on the keys, so each is deterministic when a lost task is run again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.skew import any_null, is_heavy, name, null_salt
+from tablesync.operators.skew import any_null, is_heavy, name
 
 ACTION = "_action"
 CHANGE_TYPE = "_change_type"
-_SALT = "__salt"
 _PICKED = "__picked"
 _COPIES = "__copies"
 
@@ -78,19 +81,37 @@ def unique_by_key(
     greatest by ``order_by``, then by its other columns, so the answer does not depend on row order.
     Both are aggregates: copies of a hot key are combined before the shuffle.
     """
-    return _unique(df, keys, on_duplicate, order_by).select(*[name(c) for c in df.columns])
+    complete = _unique(df.where(~any_null(keys)), keys, on_duplicate, order_by)
+    return complete.unionByName(df.where(any_null(keys)))
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Newest row per key; NULL is a key value of its own here, as in a window."""
-    return _pick_latest(df, list(keys), list(keys), order_by).select(*[name(c) for c in df.columns])
+    if not order_by:
+        raise ValueError("'latest' needs order_by columns")
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    grouped = df.groupBy(*[name(c) for c in keys])
+    if not rest:
+        return grouped.agg(F.count(F.lit(1)).alias(_COPIES)).drop(_COPIES)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    order = [c for c in order_by if c in rest]
+    ranked = order + [c for c in rest if c not in order and not _has_map(types[c])]
+    unranked = [c for c in rest if c not in ranked]
+    rank = F.struct(*[F.col(name(c)) for c in ranked])
+    if unranked:
+        text = [F.to_json(F.struct(F.col(name(c)).alias("v"))) for c in unranked]
+        row = F.struct(*[F.col(name(c)) for c in rest])
+        picked = F.max_by(row, F.struct(rank.alias("rank"), *[t.alias(f"m{i}") for i, t in enumerate(text)]))
+    else:
+        picked = F.max(rank)
+    return _unpack(grouped.agg(picked.alias(_PICKED)), df.columns, keys)
 
 
 def _unique(df: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str]) -> DataFrame:
-    salted = df.withColumn(_SALT, null_salt(keys))
-    group = [*keys, _SALT]
+    """One row per key of a frame of complete keys."""
     if on_duplicate == "latest":
-        return _pick_latest(salted, list(keys), group, order_by)
+        return latest_by_key(df, keys, order_by)
     if on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     rest = [c for c in df.columns if c not in keys]
@@ -102,39 +123,15 @@ def _unique(df: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Seq
         F.to_json(F.struct(*[F.col(name(k)) for k in keys])),
     )
     checked = (
-        salted.groupBy(*[name(c) for c in group])
+        df.groupBy(*[name(c) for c in keys])
         .agg(*aggs)
         .where(F.when(F.col(_COPIES) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     )
-    return _unpack(checked, df.columns, keys, [_SALT])
+    return _unpack(checked, df.columns, keys)
 
 
-def _pick_latest(df: DataFrame, keys: list[str], group: list[str], order_by: Sequence[str]) -> DataFrame:
-    if not order_by:
-        raise ValueError("'latest' needs order_by columns")
-    rest = [c for c in df.columns if c not in group]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    order = [c for c in order_by if c in rest]
-    ranked = order + [c for c in rest if c not in order and not _has_map(types[c])]
-    unranked = [c for c in rest if c not in ranked]
-    if not rest:
-        return df.groupBy(*[name(c) for c in group]).agg(F.count(F.lit(1)).alias(_COPIES)).drop(_COPIES)
-    rank = F.struct(*[F.col(name(c)) for c in ranked])
-    if unranked:
-        text = [F.to_json(F.struct(F.col(name(c)).alias("v"))) for c in unranked]
-        row = F.struct(*[F.col(name(c)) for c in rest])
-        picked = F.max_by(row, F.struct(rank.alias("rank"), *[t.alias(f"m{i}") for i, t in enumerate(text)]))
-    else:
-        picked = F.max(rank)
-    best = df.groupBy(*[name(c) for c in group]).agg(picked.alias(_PICKED))
-    return _unpack(best, [c for c in df.columns if c != _SALT], keys, [c for c in group if c not in keys])
-
-
-def _unpack(df: DataFrame, columns: Sequence[str], keys: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    return df.select(
-        *[F.col(name(c)) if c in keys else F.col(_PICKED)[c].alias(c) for c in columns],
-        *[F.col(name(c)) for c in extra],
-    )
+def _unpack(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(name(c)) if c in keys else F.col(_PICKED)[c].alias(c) for c in columns])
 
 
 class _Joined:
@@ -160,7 +157,7 @@ class _Joined:
             for i, f in enumerate(self.schema.fields)
             if f.name in self.common and f.name not in self.keys
         ]
-        return reduce(lambda a, b: a | b, tests, F.lit(False))
+        return reduce(or_, tests, F.lit(False))
 
     def action(self) -> Column:
         return (
@@ -184,49 +181,47 @@ def _join(
     common = {t for t, _ in common_columns(target, batch)}
     extra = [c for c in order_by if c.lower() not in {t.lower() for t in common}]
     aligned = _align(batch, target, extra=extra)
-    unique = _unique(aligned, keys, on_duplicate, order_by)
+    unique = _unique(aligned.where(~any_null(keys)), keys, on_duplicate, order_by)
     index = {c: i for i, c in enumerate(target.columns)}
+    types = {f"t{i}": f.dataType for i, f in enumerate(target.schema.fields)}
+    types |= {f"s{i}": target.schema[c].dataType for c, i in index.items() if c in common}
+    types |= {"in_t": T.BooleanType(), "in_s": T.BooleanType()}
 
     def target_side(df: DataFrame) -> DataFrame:
-        columns = [F.col(name(c)).alias(f"t{i}") for c, i in index.items()]
-        return df.select(*columns, F.lit(True).alias("in_t"), null_salt(keys).alias("salt_t"))
+        return df.select(*[F.col(name(c)).alias(f"t{i}") for c, i in index.items()], F.lit(True).alias("in_t"))
 
     def batch_side(df: DataFrame) -> DataFrame:
         columns = [F.col(name(c)).alias(f"s{i}") for c, i in index.items() if c in common]
-        return df.select(*columns, F.lit(True).alias("in_s"), F.col(_SALT).alias("salt_s"))
+        return df.select(*columns, F.lit(True).alias("in_s"))
+
+    def one_side(df: DataFrame) -> DataFrame:
+        present = set(df.columns)
+        return df.select(*[F.col(c) if c in present else F.lit(None).cast(t).alias(c) for c, t in types.items()])
 
-    key_match = [F.col(f"t{index[k]}") == F.col(f"s{index[k]}") for k in keys]
+    on = reduce(and_, [F.col(f"t{index[k]}") == F.col(f"s{index[k]}") for k in keys])
 
     def shuffled(t: DataFrame, s: DataFrame) -> DataFrame:
-        on = reduce(lambda a, b: a & b, [*key_match, F.col("salt_t") == F.col("salt_s")])
-        return target_side(t).join(batch_side(s), on, "full_outer").drop("salt_t", "salt_s")
+        return target_side(t).join(batch_side(s), on, "full_outer").select(*types)
 
     def broadcasted(t: DataFrame, s: DataFrame) -> DataFrame:
-        on = reduce(lambda a, b: a & b, key_match)
-        old, new = target_side(t).drop("salt_t"), batch_side(s).drop("salt_s")
-        touched = old.join(F.broadcast(new), on, "left_outer")
-        batch_keys = new.select(*[f"s{index[k]}" for k in keys])
-        present = (
-            old.select(*[f"t{index[k]}" for k in keys])
-            .join(F.broadcast(batch_keys), on, "left_semi")
-            .distinct()
-        )
-        absent = new.join(present, on, "left_anti")
-        types = dict(touched.dtypes)
-        added = absent.select(
-            *[F.col(c) if c in absent.columns else F.lit(None).cast(types[c]).alias(c) for c in touched.columns]
-        )
-        return touched.unionAll(added)
+        old, new = target_side(t), batch_side(s)
+        touched = old.join(F.broadcast(new), on, "left_outer").select(*types)
+        old_keys = old.select(*[f"t{index[k]}" for k in keys])
+        new_keys = new.select(*[f"s{index[k]}" for k in keys])
+        present = old_keys.join(F.broadcast(new_keys), on, "left_semi").distinct()
+        return touched.unionByName(one_side(new.join(present, on, "left_anti")))
 
     if small_batch:
         df = broadcasted(target, unique)
     elif heavy:
-        hot = F.coalesce(is_heavy(keys, heavy) & ~any_null(keys), F.lit(False))
-        df = shuffled(target.where(~hot), unique.where(~hot)).unionByName(
-            broadcasted(target.where(hot), unique.where(hot))
-        )
+        hot = is_heavy(keys, heavy)
+        aside = any_null(keys) | hot
+        df = shuffled(target.where(~aside), unique.where(~hot))
+        df = df.unionByName(broadcasted(target.where(aside), unique.where(hot)))
     else:
-        df = shuffled(target, unique)
+        df = shuffled(target.where(~any_null(keys)), unique)
+        df = df.unionByName(one_side(target_side(target.where(any_null(keys)))))
+    df = df.unionByName(one_side(batch_side(aligned.where(any_null(keys)))))
     return _Joined(df, target.schema, common, set(keys))
 
 
@@ -318,21 +313,16 @@ def delete_insert(
     keys = _check_keys(target, batch, keys)
     filled = _align(batch, target, fill=True)
     gone = filled.select(*[F.col(name(k)).alias(f"d{i}") for i, k in enumerate(keys)]).dropna().distinct()
-    match = reduce(lambda a, b: a & b, [F.col(name(k)) == F.col(f"d{i}") for i, k in enumerate(keys)])
-
-    def kept_by_shuffle(t: DataFrame, d: DataFrame) -> DataFrame:
-        salted = t.withColumn(_SALT, null_salt(keys))
-        zero = d.withColumn("d_salt", F.lit(0).cast("bigint"))
-        return salted.join(zero, match & (F.col(_SALT) == F.col("d_salt")), "left_anti").drop(_SALT)
-
+    match = reduce(and_, [F.col(name(k)) == F.col(f"d{i}") for i, k in enumerate(keys)])
     if small_batch:
         kept = target.join(F.broadcast(gone), match, "left_anti")
-    elif heavy:
-        hot = F.coalesce(is_heavy(keys, heavy) & ~any_null(keys), F.lit(False))
-        gone_hot = is_heavy([f"d{i}" for i in range(len(keys))], heavy)
-        kept = kept_by_shuffle(target.where(~hot), gone.where(~gone_hot)).unionByName(
-            target.where(hot).join(F.broadcast(gone.where(gone_hot)), match, "left_anti")
-        )
     else:
-        kept = kept_by_shuffle(target, gone)
+        hot = is_heavy(keys, heavy) if heavy else F.lit(False)
+        gone_hot = is_heavy([f"d{i}" for i in range(len(keys))], heavy) if heavy else F.lit(False)
+        aside = any_null(keys) | hot
+        kept = target.where(~aside).join(gone.where(~gone_hot), match, "left_anti")
+        beside = target.where(aside)
+        if heavy:
+            beside = beside.join(F.broadcast(gone.where(gone_hot)), match, "left_anti")
+        kept = kept.unionByName(beside)
     return kept.unionByName(filled)

@@ -1,4 +1,4 @@
-"""Hot keys. NULL keys get a spreading salt; frequent keys are found by a bounded sample."""
+"""Hot keys: frequent ones are found by a bounded sample."""
 
 from __future__ import annotations
 
@@ -20,21 +20,13 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(name(c)).isNull() for c in columns])
 
 
-def null_salt(keys: Sequence[str]) -> Column:
-    """0 for a complete key, a different number per row when a key part is NULL.
-
-    A NULL key never matches, yet all such rows would hash to one task. Joining or grouping on
-    (keys, salt) spreads them and changes no match between complete keys.
-    """
-    return F.when(any_null(keys), F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("bigint"))
-
-
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(name(k)) for k in keys])
 
 
 def is_heavy(keys: Sequence[str], hashes: Sequence[int]) -> Column:
-    return key_hash(keys).isin([int(h) for h in hashes])
+    """True for a complete key with one of the hashes; never NULL."""
+    return ~any_null(keys) & key_hash(keys).isin([int(h) for h in hashes])
 
 
 def heavy_key_hashes(

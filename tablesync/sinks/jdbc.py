@@ -46,15 +46,13 @@ def too_wide(df: DataFrame, width: int = TEXT_WIDTH) -> dict[str, int]:
     return {c: report[f"over_{c}"] for c in texts if report[f"over_{c}"]}
 
 
-def write_options(conn: Connection, table: str, df: DataFrame, partitions: int | None, text_width: int) -> dict[str, str]:
+def write_options(conn: Connection, table: str, df: DataFrame, text_width: int) -> dict[str, str]:
     options = {
         **conn.reader_options(),
         "dbtable": conn.dialect.quote(table),
         "truncate": "true",  # keep the typed stage table on overwrite
         "batchsize": str(BATCH_ROWS),
     }
-    if partitions:
-        options["numPartitions"] = str(partitions)
     types = text_column_types(df, text_width)
     if types:
         options["createTableColumnTypes"] = types
@@ -66,9 +64,14 @@ def write_options(conn: Connection, table: str, df: DataFrame, partitions: int |
 def writer(
     df: DataFrame, conn: Connection, table: str, mode: str = "append", partitions: int | None = None, text_width: int = TEXT_WIDTH
 ) -> DataFrameWriter:
-    """Configured writer; ``partitions`` bounds the connections open at once."""
+    """Configured writer; ``partitions`` bounds the connections open at once.
+
+    The bound is a coalesce here and not the ``numPartitions`` option: to apply that, Spark first asks
+    the plan for its partition count, which runs an adaptive plan's shuffles one more time.
+    """
     flat = nested_as_text(df)
-    return flat.write.format(conn.fmt).mode(mode).options(**write_options(conn, table, flat, partitions, text_width))
+    bounded = flat.coalesce(partitions) if partitions else flat
+    return bounded.write.format(conn.fmt).mode(mode).options(**write_options(conn, table, flat, text_width))
 
 
 def clone_statements(dialect: Dialect, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True) -> list[str]:

@@ -47,12 +47,13 @@ def test_write_options(spark):
     df = spark.sql("SELECT 1 AS id, 'x' AS `a b`, 'y' AS c, array(1) AS l")
     flat = sink.nested_as_text(df)
     assert dict(flat.dtypes)["l"] == "string" and flat.first()["l"] == "[1]"
-    options = sink.write_options(CONN, "t_stg", flat, 16, 4000)
+    options = sink.write_options(CONN, "t_stg", flat, 4000)
     assert options["createTableColumnTypes"] == "`a b` VARCHAR(4000), `c` VARCHAR(4000), `l` VARCHAR(4000)"
-    assert (options["truncate"], options["numPartitions"]) == ("true", "16")
-    assert "createTableColumnTypes" not in sink.write_options(CONN, "t", df.select("id"), None, 10)
+    assert (options["truncate"], options["batchsize"]) == ("true", "10000")
+    assert "numPartitions" not in options
+    assert "createTableColumnTypes" not in sink.write_options(CONN, "t", df.select("id"), 10)
     mysql = Connection("jdbc:mysql://h/d", Dialect.MYSQL)
-    assert sink.write_options(mysql, "t", df, None, 10)["rewriteBatchedStatements"] == "true"
+    assert sink.write_options(mysql, "t", df, 10)["rewriteBatchedStatements"] == "true"
 
 
 def test_too_wide(spark):
