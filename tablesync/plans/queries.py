@@ -443,7 +443,8 @@ def dsv_normalize(spark, sf_dir):
 def dsv_export(spark, sf_dir):
     """Whole documents through delimited files and back."""
     path = storage.new_dir(spark, "export")
-    documents = _table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("lang"), "source", "text")
+    lang = F.when(F.col("lang") != "en", F.col("lang")).alias("lang")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", lang, "source", "text")
     delimited.export_delimited(documents, path, delimiter="|")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in documents.columns])
     options = {"sep": "|", "header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": "\0"}
@@ -528,7 +529,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
         resync_rows, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,
-        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, compact, dsv_normalize, dsv_export,
+        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, compact,
+        dsv_normalize, dsv_export,
         sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert,
     )
 }

@@ -6,8 +6,9 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import storage
 from tablesync.operators.merge import (
@@ -22,13 +23,13 @@ from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources.lake import micros
 
-BROADCAST_LIMIT_BYTES = 32 << 20
+BROADCAST_LIMIT_BYTES = 64 << 20  # of values as they lie in memory, see row_bytes
 SHUFFLE_PART_BYTES = 64 << 20  # of files at rest; a shuffled partition is a few times that
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A batch at rest with its row count, newest audit value (microseconds) and size."""
+    """A batch at rest with its row count, newest audit value (microseconds) and size in memory."""
 
     df: DataFrame
     path: str
@@ -40,6 +41,19 @@ class Staged:
         storage.delete(self.df.sparkSession, self.path)
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """Size of a row's values in memory. Files on disk say little: they may be compressed a hundredfold."""
+    size = F.lit(16 * (len(schema.fields) + 1))
+    for f in schema.fields:
+        c = F.col(name(f.name))
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            c = F.to_json(F.struct(c))
+        elif not isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    return size.cast("bigint")
+
+
 def watch(audit_col: str | None) -> tuple[Callable[[DataFrame], DataFrame], Observation]:
     """Something that observes row count and newest audit value of a frame as it is written."""
     seen = Observation()
@@ -56,10 +70,11 @@ def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: boo
     """
     path = storage.new_dir(spark, "stage")
     watched, seen = watch(audit_col)
-    watched(df.hint("rebalance") if gather else df).write.parquet(path)
-    found = seen.get
+    measured = Observation()
+    gathered = watched(df.hint("rebalance") if gather else df)
+    gathered.observe(measured, F.sum(row_bytes(df.schema)).alias("bytes")).write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
-    return Staged(staged, path, found["rows"], found["watermark_us"], storage.size_bytes(spark, path))
+    return Staged(staged, path, seen.get["rows"], seen.get["watermark_us"], measured.get["bytes"] or 0)
 
 
 def merge_options(target: DataFrame, batch: Staged, keys: Sequence[str], limit: int = BROADCAST_LIMIT_BYTES) -> dict:

@@ -24,6 +24,7 @@ log = logging.getLogger(__name__)
 LAKE = "lake"
 LOAD_TYPES = ("APPEND", "TRUNC_AND_LOAD", "VALIDATE_AND_SYNC")
 WINDOWS = ("log", "target", "user")
+Reader = Callable[[SparkSession, str], DataFrame]  # from a table name, for JDBC or SQL sources
 _SECRET = re.compile(r"(?i)(password|passwd|pwd|secret|token)(\s*[=:]\s*)[^&;,\s]+")
 
 
@@ -36,6 +37,7 @@ class SyncSettings:
     audit_col: str
     paths: Mapping[str, str] = field(default_factory=dict)
     warehouses: Mapping[str, Warehouse] = field(default_factory=dict)
+    readers: Mapping[str, Reader] = field(default_factory=dict)  # by source database, instead of a path
     source_format: str = "parquet"
     control_format: str = "parquet"
     registry_names: Mapping[str, str] = field(default_factory=dict)
@@ -194,6 +196,12 @@ def _target(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> Lake
     raise ValueError(f"no target configured for kind {task.tgt_db_typ!r}")
 
 
+def _source(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> DataFrame:
+    if task.src_db in settings.readers:
+        return settings.readers[task.src_db](spark, task.src_tbl)
+    return read(spark, source_path(settings.paths, task.src_db, task.src_tbl), settings.source_format)
+
+
 def _batch(
     source: DataFrame, target: LakeTarget | WarehouseTarget, settings: SyncSettings, last_mark: Callable[[], int | None]
 ) -> DataFrame:
@@ -235,7 +243,7 @@ def run_one(
 
     try:
         target = _target(spark, task, settings)
-        source = read(spark, source_path(settings.paths, task.src_db, task.src_tbl), settings.source_format)
+        source = _source(spark, task, settings)
         result = target.load(_batch(source, target, settings, last_mark))
     except Exception as error:
         control.append_log(spark, settings.log, task.sync_key, control.FAIL, None, safe_message(error), **log_options)

@@ -74,7 +74,9 @@ def writer(
     return bounded.write.format(conn.fmt).mode(mode).options(**write_options(conn, table, flat, text_width))
 
 
-def clone_statements(dialect: Dialect, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True) -> list[str]:
+def clone_statements(
+    dialect: Dialect, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True
+) -> list[str]:
     """Empty copy of a table's columns, or of some of them."""
     q = dialect.quote
     listed = ", ".join(q(c) for c in columns) or "*"

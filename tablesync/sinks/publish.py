@@ -36,7 +36,12 @@ def key_first(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def empty_clone(
-    spark: SparkSession, table: str, new_table: str, columns: Sequence[str] = (), replace: bool = True, location: str | None = None
+    spark: SparkSession,
+    table: str,
+    new_table: str,
+    columns: Sequence[str] = (),
+    replace: bool = True,
+    location: str | None = None,
 ) -> None:
     """A table of the same columns (or some of them) and no rows; ``replace=False`` keeps an existing one.
 

@@ -6,8 +6,10 @@ from dataclasses import dataclass, field
 from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.operators.splits import MIN_SIZE_SPLITS
+from tablesync.functions.columns import DEFAULT_SPLIT_MB
+from tablesync.operators.splits import MIN_SIZE_SPLITS, splits_by_size
 
 
 class Dialect(Enum):
@@ -82,6 +84,34 @@ def find_split(spark: SparkSession, conn: Connection, table_or_sql: str, key: st
     return Split(key, int(row["lower_limit"]), int(row["upper_limit"]), parts)
 
 
+# Where each database keeps a table's size.
+SIZE_SQL = {
+    Dialect.MYSQL: "SELECT ROUND(data_length / 1024 / 1024) AS size_mb FROM information_schema.tables "
+    "WHERE table_schema = {schema} AND table_name = {table}",
+    Dialect.REDSHIFT: 'SELECT size AS size_mb FROM svv_table_info WHERE "schema" = {schema} AND "table" = {table}',
+}
+
+
+def _text(value: str) -> str:
+    if "\\" in value:  # means different things to different databases
+        raise ValueError(f"backslash in a table name: {value!r}")
+    return "'" + value.replace("'", "''") + "'"
+
+
+def size_sql(dialect: Dialect, table: str) -> str:
+    schema, _, short = table.rpartition(".")
+    return SIZE_SQL[dialect].format(schema=_text(schema), table=_text(short))
+
+
+def plan_split(
+    spark: SparkSession, conn: Connection, table: str, key: str, split_mb: int = DEFAULT_SPLIT_MB, sql: str | None = None
+) -> Split | None:
+    """Split for reading a table, or ``sql`` over it: pieces by the table's size, bounds by the extraction."""
+    sizes = query(spark, conn, size_sql(conn.dialect, table))
+    found = sizes.select(splits_by_size(F.col("size_mb").cast("double"), max(split_mb, DEFAULT_SPLIT_MB)).alias("parts")).first()
+    return find_split(spark, conn, sql or table, key, found["parts"] if found else MIN_SIZE_SPLITS)
+
+
 # How each database formats a month.
 MONTH_TEXT = {Dialect.MYSQL: "DATE_FORMAT({c}, '%Y%m')", Dialect.REDSHIFT: "TO_CHAR({c}, 'YYYYMM')"}
 

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import DEFAULT_ROWS_PER_PART
 from tablesync.operators.skew import name
+from tablesync.operators.splits import row_splits
 from tablesync.operators.watermark import DEFAULT_END, DEFAULT_START
 from tablesync.storage import is_path
 
@@ -139,3 +141,10 @@ def at_least_partitions(df: DataFrame, wanted: int = DEFAULT_PARTITIONS) -> Data
     if current < 1:
         return df.repartition(1)
     return df.repartition(wanted) if current < wanted else df
+
+
+def spread(df: DataFrame, rows_per_part: int = DEFAULT_ROWS_PER_PART) -> DataFrame:
+    """At least one partition per ``rows_per_part`` rows. Counts the rows first, so the frame should be cheap
+    to read twice, such as a scan."""
+    wanted = df.agg(row_splits(F.count(F.lit(1)), rows_per_part)).first()[0]
+    return at_least_partitions(df, wanted)

@@ -15,7 +15,7 @@ def spark():
 
     work = tempfile.mkdtemp(prefix="tablesync-test-")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,2]")
         .appName("tablesync-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -127,6 +127,12 @@ def test_repartition_only_upwards(spark):
     assert lake.at_least_partitions(spark.range(10, numPartitions=4), 2).rdd.getNumPartitions() == 4
 
 
+def test_spread_by_row_count(spark):
+    assert lake.spread(spark.range(0, 100, 1, 2), 10).rdd.getNumPartitions() == 10
+    assert lake.spread(spark.range(0, 100, 1, 2), 1000).rdd.getNumPartitions() == 2
+    assert lake.spread(spark.range(0), 10).count() == 0
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string", "date"])
 def test_newer_than_is_strict_and_drops_nulls(spark, kind):
     marks = ["2024-01-01", "2024-01-02", "2024-01-03"]

@@ -43,6 +43,23 @@ def test_bounds_statement_runs():
     assert con.execute(source.bounds_sql(CONN, "id", "SELECT * FROM t WHERE id > 5")).fetchall() == [(6, 9, 4)]
 
 
+@pytest.mark.parametrize("size_mb, parts", [(100, 8), (130 * 20, 24), (None, 8)])
+def test_split_planning(spark, monkeypatch, size_mb, parts):
+    def answer(spark, conn, sql):
+        if "svv_table_info" in sql:
+            assert "'s'" in sql and "'it''s'" in sql
+            return spark.createDataFrame([] if size_mb is None else [(size_mb,)], "size_mb int")
+        return spark.sql("SELECT 3 AS lower_limit, 90 AS upper_limit, 50 AS tbl_cnt")
+
+    monkeypatch.setattr(source, "query", answer)
+    assert source.plan_split(spark, CONN, "s.it's", "id") == Split("id", 3, 90, parts)
+
+
+def test_no_split_of_an_empty_extraction(spark, monkeypatch):
+    monkeypatch.setattr(source, "query", lambda *_: spark.sql("SELECT NULL AS lower_limit, NULL AS upper_limit, 0 AS tbl_cnt"))
+    assert source.find_split(spark, CONN, "t", "id", 8) is None
+
+
 def test_write_options(spark):
     df = spark.sql("SELECT 1 AS id, 'x' AS `a b`, 'y' AS c, array(1) AS l")
     flat = sink.nested_as_text(df)
