@@ -35,6 +35,15 @@ def common_columns(target: DataFrame, batch: DataFrame) -> list[tuple[str, str]]
     return [(c, by_lower[c.lower()]) for c in target.columns if c.lower() in by_lower]
 
 
+def _resolve(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """Names in the frame's own spelling; unknown ones are an error and never ignored."""
+    spelling = {c.lower(): c for c in df.columns}
+    unknown = [c for c in wanted if c.lower() not in spelling]
+    if unknown:
+        raise ValueError(f"no column {unknown} in {df.columns}")
+    return [spelling[c.lower()] for c in wanted]
+
+
 def _check_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> list[str]:
     """The keys in the target's spelling; each must be on both sides."""
     if not keys:
@@ -81,6 +90,7 @@ def unique_by_key(
     greatest by ``order_by``, then by its other columns, so the answer does not depend on row order.
     Both are aggregates: copies of a hot key are combined before the shuffle.
     """
+    keys = _resolve(df, keys)
     complete = _unique(df.where(~any_null(keys)), keys, on_duplicate, order_by)
     return complete.unionByName(df.where(any_null(keys)))
 
@@ -89,13 +99,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     """Newest row per key; NULL is a key value of its own here, as in a window."""
     if not order_by:
         raise ValueError("'latest' needs order_by columns")
-    keys = list(keys)
+    keys = _resolve(df, keys)
     rest = [c for c in df.columns if c not in keys]
     grouped = df.groupBy(*[name(c) for c in keys])
     if not rest:
         return grouped.agg(F.count(F.lit(1)).alias(_COPIES)).drop(_COPIES)
     types = {f.name: f.dataType for f in df.schema.fields}
-    order = [c for c in order_by if c in rest]
+    order = [c for c in _resolve(df, order_by) if c in rest]
     ranked = order + [c for c in rest if c not in order and not _has_map(types[c])]
     unranked = [c for c in rest if c not in ranked]
     rank = F.struct(*[F.col(name(c)) for c in ranked])
@@ -281,6 +291,9 @@ def change_feed(
     ``insert``, ``update_preimage`` and ``update_postimage``; with ``replace`` (the batch is the whole
     new table) also ``delete``. One join; both images of an update come from the same joined row.
     """
+    if replace:  # columns the batch lacks are lost
+        lower = {c.lower() for c in target.columns}
+        batch = _align(batch, target, fill=True, extra=[c for c in order_by if c.lower() not in lower])
     j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy)
     before = [j.old(i).alias(c) for i, c in enumerate(target.columns)]
     after = [j.new(i).alias(c) for i, c in enumerate(target.columns)]

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -92,3 +94,29 @@ def test_user_config_required_fields(spark):
 def test_text_or_sentinel(spark):
     assert one(spark, fn.text_or_sentinel(F.lit(None))) == "\\n\\n"
     assert one(spark, fn.text_or_sentinel(F.lit(1.05))) == "1.05"
+
+
+def parse(text, separator):
+    """Plain Python for key_values; None stands for an error."""
+    out = {}
+    for item in text.split(separator):
+        parts = item.split("=")
+        if len(parts) > 2:
+            return None
+        if len(parts) == 2:
+            out[parts[0]] = parts[1]
+    return out
+
+
+@pytest.mark.parametrize("separator", [";", ",", "|", "]", "^", "-", "\\"])
+def test_key_values_against_plain_python(spark, separator):
+    rnd = random.Random(separator)
+    texts = ["".join(rnd.choices(f"aab=={separator}{separator} \n", k=rnd.randrange(14))) for _ in range(800)]
+    good = [t for t in texts if parse(t, separator) is not None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    kept = df.where(F.col("t").isin(good)).select("t", fn.key_values("t", separator).alias("m"))
+    assert {r["t"]: r["m"] for r in kept.collect()} == {t: parse(t, separator) for t in good}
+    skipped = df.select("t", fn.key_values("t", separator, on_extra="skip").alias("m")).collect()
+    for row in skipped:
+        simple = separator.join(i for i in row["t"].split(separator) if i.count("=") < 2)
+        assert row["m"] == parse(simple, separator), row["t"]

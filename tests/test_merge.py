@@ -215,3 +215,21 @@ def test_change_feed(spark, option):
     assert rows(merge.change_feed(target, batch, ["id"], **option)) == Counter(changes)
     replaced = merge.change_feed(target, batch, ["id"], replace=True, **option)
     assert rows(replaced) == Counter([*changes, (1, "a", "delete")])
+
+
+def test_replacing_feed_shows_lost_columns(spark):
+    target = spark.createDataFrame([(1, "a", "own"), (2, "b", None)], "id int, v string, own string")
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], ROW)
+    expected = Counter([(1, "a", "own", "update_preimage"), (1, "a", None, "update_postimage")])
+    assert rows(merge.change_feed(target, batch, ["id"], replace=True)) == expected
+    assert merge.change_feed(target, batch, ["id"]).isEmpty()
+
+
+def test_names_match_in_any_case(spark):
+    df = spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "Id int, V string, T int")
+    assert rows(merge.unique_by_key(df, ["ID"], "latest", ["t"])) == Counter([(1, "new", 2)])
+    assert rows(merge.latest_by_key(df, ["id"], ["t"])) == Counter([(1, "new", 2)])
+    with pytest.raises(ValueError, match="seq"):
+        merge.latest_by_key(df, ["id"], ["seq"])
+    with pytest.raises(ValueError, match="other"):
+        merge.unique_by_key(df, ["other"])

@@ -1,3 +1,6 @@
+import csv
+import glob
+import random
 import uuid
 from collections import Counter
 
@@ -183,6 +186,20 @@ def test_export_quotes_minimally_and_keeps_empty_text(spark, tmp_path):
     assert lines == ["id,txt", "1,\\n\\n", "2,", '3,"a,""b"""', "4, plain ", "\\n\\n,x\\y"]
 
 
+@pytest.mark.parametrize("delimiter", [",", "|", "\t"])
+def test_export_is_read_back_by_a_csv_reader(spark, tmp_path, delimiter):
+    rnd = random.Random(delimiter)
+    values = ["".join(rnd.choices(f'ab "{delimiter}\\\n\'', k=rnd.randrange(8))) for _ in range(300)]
+    df = spark.createDataFrame([(i, v if i % 7 else None) for i, v in enumerate(values)], "ID int, Txt string")
+    delimited.export_delimited(df.coalesce(1), f"{tmp_path}/out", delimiter=delimiter)
+    (path,) = glob.glob(f"{tmp_path}/out/*.csv")
+    with open(path, newline="", encoding="utf-8") as file:
+        found = list(csv.reader(file, delimiter=delimiter))
+    assert found[0] == ["id", "txt"]
+    expected = [[str(i), v if i % 7 else "\\n\\n"] for i, v in enumerate(values)]
+    assert sorted(found[1:], key=lambda row: int(row[0])) == expected
+
+
 def test_schema_diff_statements():
     have = T.StructType.fromDDL("id int")
     want = T.StructType.fromDDL("ID int, s string, d decimal(10,2), t timestamp, v varchar(20)")
