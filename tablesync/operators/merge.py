@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ ACTION = "_action"
 CHANGE_TYPE = "_change_type"
 _PICKED = "__picked"
 _COPIES = "__copies"
+_RANK = "__rank"
 
 
 def common_columns(target: DataFrame, batch: DataFrame) -> list[tuple[str, str]]:
@@ -88,7 +89,7 @@ def unique_by_key(
 
     ``error`` raises when the frame is evaluated and a key repeats. ``latest`` keeps the row that is
     greatest by ``order_by``, then by its other columns, so the answer does not depend on row order.
-    Both are aggregates: copies of a hot key are combined before the shuffle.
+    Copies of a hot key are combined before the shuffle.
     """
     keys = _resolve(df, keys)
     complete = _unique(df.where(~any_null(keys)), keys, on_duplicate, order_by)
@@ -96,26 +97,19 @@ def unique_by_key(
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Newest row per key; NULL is a key value of its own here, as in a window."""
+    """Newest row per key; NULL is a key value of its own here.
+
+    Spark cuts each map task's rows to the first per key before the shuffle, so a hot key is no burden.
+    """
     if not order_by:
         raise ValueError("'latest' needs order_by columns")
-    keys = _resolve(df, keys)
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*[name(c) for c in keys])
-    if not rest:
-        return grouped.agg(F.count(F.lit(1)).alias(_COPIES)).drop(_COPIES)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    order = [c for c in _resolve(df, order_by) if c in rest]
-    ranked = order + [c for c in rest if c not in order and not _has_map(types[c])]
-    unranked = [c for c in rest if c not in ranked]
-    rank = F.struct(*[F.col(name(c)) for c in ranked])
-    if unranked:
-        text = [F.to_json(F.struct(F.col(name(c)).alias("v"))) for c in unranked]
-        row = F.struct(*[F.col(name(c)) for c in rest])
-        picked = F.max_by(row, F.struct(rank.alias("rank"), *[t.alias(f"m{i}") for i, t in enumerate(text)]))
-    else:
-        picked = F.max(rank)
-    return _unpack(grouped.agg(picked.alias(_PICKED)), df.columns, keys)
+    keys, order = _resolve(df, keys), _resolve(df, order_by)
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    ranked = order + [c for c in df.columns if c not in order and c not in keys]
+    # maps have no order: rank their text
+    terms = [F.to_json(F.struct(F.col(name(c)).alias("v"))) if _has_map(fields[c]) else F.col(name(c)) for c in ranked]
+    newest_first = Window.partitionBy(*[name(c) for c in keys]).orderBy(*[t.desc_nulls_last() for t in terms])
+    return df.withColumn(_RANK, F.row_number().over(newest_first)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def _unique(df: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str]) -> DataFrame:

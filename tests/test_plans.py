@@ -91,11 +91,14 @@ def test_rows_with_null_keys_are_not_shuffled(sides):
         assert any("w#" in scan for scan in loose)
 
 
-def test_hot_batch_key_is_combined_before_the_shuffle(spark):
-    df = spark.range(0, 100_000, 1, 8).select(F.lit(1).alias("k"), F.col("id").alias("t"))
+def test_hot_batch_key_is_cut_before_the_shuffle(spark):
+    key = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))
+    df = spark.range(0, 99_999, 1, 8).select(key.alias("k"), F.col("id").alias("t"))
     latest = merge.latest_by_key(df, ["k"], ["t"])
-    assert latest.first()["t"] == 99_999
-    assert plan(latest).count("partial_max") == 1
+    assert latest.where("k = 1").first()["t"] == 99_996
+    assert re.search(r"WindowGroupLimit .*, 1, Partial", plan(latest))
+    merged = merge.apply_batch(df.limit(0), df, ["k"], on_duplicate="latest", order_by=["t"])
+    assert re.search(r"WindowGroupLimit .*, 1, Partial", plan(merged))
 
 
 def test_touched_partitions_are_pruned_by_a_static_filter(spark, tmp_path):
