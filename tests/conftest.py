@@ -18,7 +18,7 @@ def spark():
         SparkSession.builder.master("local[8,2]")
         .appName("tablesync-tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TZ", "UTC"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", f"{work}/warehouse")

@@ -54,6 +54,22 @@ def test_merge_schema_append_and_overwrite(spark, name):
     assert rows(spark.table(name)) == Counter([(1, "a", None), (2, "b", None), (3, None, 1.5)])
 
 
+def test_merge_schema_overwrite_keeps_old_columns(spark, name):
+    publish.publish_table(two(spark), name)
+    new = spark.createDataFrame([(3, 1.5)], "id int, w double")
+    publish.publish_table(new, name, mode="overwrite", schema_option="mergeSchema")
+    assert rows(spark.table(name).select("id", "v", "w")) == Counter([(3, None, 1.5)])
+
+
+def test_partitioned_publish_and_append(spark, name):
+    publish.publish_table(two(spark).withColumn("p", F.lit("x")), name, partition_by=["p"], primary_keys="id")
+    more = spark.createDataFrame([("y", 3, 1.5)], "p string, id int, w double")
+    publish.publish_table(more, name, mode="append", schema_option="mergeSchema", primary_keys="id")
+    found = spark.table(name)
+    assert rows(found.select("id", "v", "p", "w")) == Counter([(1, "a", "x", None), (2, "b", "x", None), (3, None, "y", 1.5)])
+    assert any("p=y" in f for f in found.inputFiles())
+
+
 def test_keys_are_first_checked_and_recorded(spark, name):
     df = two(spark).select("v", "id")
     publish.publish_table(df, name, primary_keys="id", comment="it's a table")
