@@ -117,6 +117,9 @@ class LakeTarget:
         path = source_path(settings.paths, task.tgt_db, task.tgt_tbl)
         self.table = PartitionedDir(spark, path, settings.partition_by) if settings.partition_by else VersionedDir(spark, path)
 
+    def exists(self) -> bool:
+        return self.table.exists()
+
     def newest_us(self) -> int | None:
         if not self.table.exists():
             return None
@@ -172,6 +175,9 @@ class WarehouseTarget:
         self.warehouse = settings.warehouses[task.tgt_db_typ]
         self.table = f"{task.tgt_db}.{task.tgt_tbl}"
 
+    def exists(self) -> bool:
+        return True  # the stage is cloned from it; a missing table fails there
+
     def newest_us(self) -> int | None:
         return self.warehouse.newest_us(self.spark, self.table, self.settings.audit_col)
 
@@ -215,13 +221,22 @@ def _batch(
         ours = reconcile.period_counts(source, settings.audit_col, settings.frequency)
         compared = reconcile.compare_counts(ours, counts)
         return reconcile.rows_in_wrong_periods(source, compared, settings.audit_col, settings.frequency)
-    if settings.window == "log":
-        return newer_than(source, settings.audit_col, last_mark(), settings.overlap)
+    if settings.window == "log":  # a watermark says nothing about a target that is not there
+        mark = last_mark() if target.exists() else None
+        return newer_than(source, settings.audit_col, mark, settings.overlap)
     by_user = settings.window == "user"
     newest = None if by_user else target.newest_us()
     return between(source, settings.audit_col, *resolve_range(by_user, settings.start, settings.end, newest))
 
 
+def _advances(settings: SyncSettings) -> bool:
+    """May this run move the logged watermark? Only when nothing between the old and the new one is left out.
+
+    Chosen ranges and single periods log no watermark, or the next run would skip the rows before them.
+    """
+    return settings.load_type == "TRUNC_AND_LOAD" or (settings.load_type == "APPEND" and settings.window == "log")
+
+
 def run_one(
     spark: SparkSession, task: SyncTask, settings: SyncSettings, marks: Mapping[str, int | None] | None = None
 ) -> SyncResult:
@@ -248,7 +263,8 @@ def run_one(
     except Exception as error:
         control.append_log(spark, settings.log, task.sync_key, control.FAIL, None, safe_message(error), **log_options)
         raise
-    control.append_log(spark, settings.log, task.sync_key, control.SUCCESS, result.watermark_us, "ok", **log_options)
+    mark = result.watermark_us if _advances(settings) else None
+    control.append_log(spark, settings.log, task.sync_key, control.SUCCESS, mark, "ok", **log_options)
     return result
 
 

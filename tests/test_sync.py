@@ -170,6 +170,27 @@ def test_window_from_the_target_is_inclusive_and_ends_now(site):
     assert (result.rows, site.rows()) == (2, {1: "a", 3: "c"})
 
 
+@pytest.mark.parametrize(
+    "partial", [{"window": "user", "start": "2024-03-01"}, {"window": "target"}, {"load_type": "VALIDATE_AND_SYNC"}]
+)
+def test_partial_loads_do_not_move_the_watermark(site, partial):
+    site.source((1, "a", "2024-01-01"))
+    site.run()
+    site.source((2, "b", "2024-02-01"), (3, "c", "2024-03-01"))
+    site.run(**partial)
+    assert site.log().collect()[-1]["watermark_value"] is None
+    assert site.run().rows == 2
+    assert site.rows() == {1: "a", 2: "b", 3: "c"}
+
+
+def test_a_lost_target_is_loaded_whole(spark, site):
+    site.source((1, "a", "2024-01-01"))
+    site.run()
+    other = replace(site.task, tgt_tbl="rebuilt")
+    site.source((2, "b", "2024-01-02"))
+    assert run_one(spark, other, site.settings).rows == 2
+
+
 def test_source_from_a_reader(spark, site):
     site.source((1, "a", "2024-01-01"))
     calls = []
