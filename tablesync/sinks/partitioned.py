@@ -8,6 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import storage
 from tablesync.operators.skew import name
@@ -61,6 +62,19 @@ class PartitionedDir:
     def exists(self) -> bool:
         return storage.exists(self.spark, self._schema_path)
 
+    def adopt(self, schema: T.StructType) -> None:
+        """Take over a directory that something else wrote, with the types its columns should have."""
+        self._write_schema(schema)
+
+    def _write_schema(self, schema: T.StructType) -> None:
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.format(self.fmt).mode("overwrite").save(self._schema_path)
+
+    def _check_ours(self) -> None:
+        """Never overwrite a directory of unknown origin."""
+        if not self.exists() and storage.glob_names(self.spark, f"{self.path}/[!_.]*"):
+            raise FileExistsError(f"{self.path} holds files of unknown origin: adopt the directory or empty it")
+
     def read(self) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
         return reader.schema(reader.load(self._schema_path).schema).load(self.path)
@@ -75,6 +89,7 @@ class PartitionedDir:
         return storage.size_bytes(self.spark, self.path)
 
     def _save(self, df: DataFrame, overwrite: str, finish: Finish) -> None:
+        self._check_ours()
         gathered = df.hint("rebalance", *[F.col(name(c)) for c in self.partition_by])
         finished = finish(gathered) if finish else gathered
         (
@@ -84,8 +99,7 @@ class PartitionedDir:
             .partitionBy(*self.partition_by)
             .save(self.path)
         )
-        empty = self.spark.createDataFrame([], finished.schema)
-        empty.write.format(self.fmt).mode("overwrite").save(self._schema_path)
+        self._write_schema(finished.schema)
 
     def write(self, df: DataFrame, finish: Finish = None) -> None:
         """Replace the partitions that have rows in ``df``. A large partition is split over several files.

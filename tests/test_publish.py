@@ -193,6 +193,19 @@ def test_partitioned_table_keeps_types_and_null_partitions(spark, tmp_path):
     assert rows(table.read().select("code", "id")) == Counter([("007", 1)])
 
 
+def test_a_directory_of_unknown_origin_is_not_overwritten(spark, tmp_path):
+    df = spark.createDataFrame([("07", 1), ("08", 2)], "p string, id int")
+    df.write.partitionBy("p").parquet(f"{tmp_path}/theirs")
+    table = PartitionedDir(spark, f"{tmp_path}/theirs", ["p"])
+    for write in (table.write, table.replace):
+        with pytest.raises(FileExistsError):
+            write(df)
+    table.adopt(df.schema)
+    batch = spark.createDataFrame([("08", 3)], "p string, id int")
+    assert merge_rows(table, batch, ["p", "id"]) == {"inserted": 1, "updated": 0, "unchanged": 0, "kept": 1}
+    assert rows(table.read().select("p", "id")) == Counter([("07", 1), ("08", 2), ("08", 3)])
+
+
 def test_export_quotes_minimally_and_keeps_empty_text(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, None), (2, ""), (3, 'a,"b"'), (4, " plain "), (None, "x\\y")], "ID int, Txt string"
