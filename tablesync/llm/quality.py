@@ -34,7 +34,7 @@ class Rules:
     symbol_pct: int = 10
     dup_line_pct: int = 30
     word_length: tuple[int, int] = (2, 12)
-    reject_rate: float = 0.1
+    reject_rate: float = 0.05
     #: Bounds of the prior's weight in documents.
     prior_weight: tuple[float, float] = (2.0, 1e6)
 
