@@ -44,3 +44,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = new_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About ``rows`` rows (all, if there are no more), chosen by a hash of the key columns: the same rows in
+    every run, spread over all partitions."""
+    total = df.count()
+    if total <= rows:
+        return df
+    part = F.pmod(F.xxhash64(*(named(df, k) for k in keys)), F.lit(1 << 30))
+    return df.filter(part < int((1 << 30) * rows / total))

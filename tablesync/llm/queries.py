@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality
+from . import line_dedup, quality, secrets, token_files, url_filter
 from .common import staged, table
 
 
@@ -21,7 +21,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"m.{c}" for c in quality.MEASURES), F.col("m.base_failed"), "kept")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.train(docs)).drop("text")
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_files.token_folder(spark)
+    index = token_files.write_tokens(docs, folder)
+    return token_files.read_tokens(index, folder)
+
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_secret_scans": op6_secret_scans,
+    "op9_url_filters": op9_url_filters,
+    "op10_token_ids": op10_token_ids,
 }
