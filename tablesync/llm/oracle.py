@@ -66,7 +66,30 @@ SELECT doc_id, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, clean.text
 FROM ld LEFT JOIN clean USING (r)
 """
 
+JACCARD_STEPS = rf"""
+ja AS (SELECT row_number() OVER () AS r, doc_id,
+              regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+       FROM {{docs}}),
+jb AS (SELECT DISTINCT r, array_to_string(ws[i:i + 4], ' ') AS s
+       FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM ja WHERE len(ws) > 0)),
+jn AS (SELECT r, count(*) AS n FROM jb GROUP BY r),
+jp AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM jb a JOIN jb b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
+jl AS (SELECT x, y FROM jp JOIN jn p ON p.r = x JOIN jn q ON q.r = y WHERE 100 * common >= 80 * (p.n + q.n - common)),
+je AS (SELECT x, y FROM jl UNION SELECT y, x FROM jl),
+jr AS (SELECT r AS node, r AS reach FROM ja
+       UNION
+       SELECT jr.node, je.y FROM jr JOIN je ON je.x = jr.reach),
+jc AS (SELECT node, min(doc_id) AS component_id FROM jr JOIN ja ON ja.r = jr.reach GROUP BY node)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE {JACCARD_STEPS.format(docs="documents")}
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM ja LEFT JOIN jn USING (r) JOIN jc ON jc.node = ja.r
+"""
+
 ORACLE = {
     "op3_line_dedup": LINE_DEDUP,
     "op5_quality_rules": QUALITY,
+    "op7_ngram_jaccard_join": JACCARD,
 }

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, secrets, token_files, url_filter
+from . import decontaminate, jaccard, line_dedup, quality, secrets, token_files, url_filter
 from .common import staged, table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, removed="n_removed").select("doc_id", "n_removed", "text")
@@ -26,6 +31,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.train(docs)).drop("text")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -38,9 +47,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scans": op6_secret_scans,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
 }
