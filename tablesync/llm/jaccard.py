@@ -299,3 +299,12 @@ def join(docs: DataFrame, text: str = "text", how: Join = Join()) -> DataFrame:
     return labels.join(names, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", how: Join = Join()) -> DataFrame:
+    """The documents that name their component, with their own columns. Rows equal in doc_id and text stay once;
+    rows without doc_id cannot name a component and all stay."""
+    joined = join(docs, text, how)
+    keep = staged(joined.filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
+    named_rows = docs.join(keep.withColumnRenamed("doc_id", "kept_id"), named(docs, "doc_id") == F.col("kept_id"), "left_semi")
+    return named_rows.dropDuplicates(["doc_id", text]).unionByName(docs.filter(named(docs, "doc_id").isNull()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, line_dedup, quality, secrets, token_files, url_filter
+from . import decontaminate, jaccard, line_dedup, pieces, quality, secrets, token_files, url_filter
 from .common import staged, table
 
 
@@ -35,6 +35,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scans": op6_secret_scans,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
 }
