@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, line_dedup, pieces, quality, secrets, token_files, url_filter
+from . import decontaminate, html_text, jaccard, language, line_dedup, pieces, quality, secrets, token_files, url_filter
 from .common import staged, table
 
 
@@ -14,11 +14,23 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = language.train(docs.filter("doc_id IS NOT NULL").filter(~held_out))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, removed="n_removed").select("doc_id", "n_removed", "text")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     measured = staged(quality.measure(docs, "m").drop("text"), "measured")
@@ -52,7 +64,9 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scans": op6_secret_scans,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
