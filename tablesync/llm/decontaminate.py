@@ -270,7 +270,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", how: Search = Search()) -> DataFrame:
     """The documents in which no item is found, with their own columns."""
-    at = docs.columns.index(text)
+    at, names = docs.columns.index(text), docs.columns
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names))))
     for index in blocks(benchmark, item, "text", how):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -281,4 +282,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    return docs.toDF(*names)

@@ -89,8 +89,8 @@ def base_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str
 def train(docs: DataFrame, text: str = "text", how: Markov = Markov()) -> list[float]:
     """Log-likelihood ratios of character pairs, row by row of the alphabet (``ALPHABET`` folded to lower case).
 
-    Random strings are the values that the patterns find in the sample, ordinary identifiers the tokens of what
-    is left of its texts without them. One count per label and pair comes to the driver.
+    Random strings are the values that the patterns find in the sample, half and half with even letters; ordinary
+    identifiers are the tokens of its texts without them. One count per label and pair comes to the driver.
     """
     keys = [c for c in ("doc_id", text) if c in docs.columns]
     sample = bounded_sample(docs.select(*(named(docs, k) for k in keys)), how.sample_rows, *keys)
@@ -111,13 +111,18 @@ def train(docs: DataFrame, text: str = "text", how: Markov = Markov()) -> list[f
         .collect()
     )
     size = len(ALPHABET)
-    counts = np.full((2, size, size), how.smoothing)
+    counts = np.zeros((2, size, size))
     for label, pair_text, n in rows:
         a, b = ALPHABET.find(pair_text[0]), ALPHABET.find(pair_text[1])
         if a >= 0 and b >= 0:
             counts[label, a, b] += n
-    # What both models know of a character's neighbours is as much as they have seen; the rest is even.
-    model = np.log(counts / counts.sum(axis=2, keepdims=True))
+    # Pairs are smoothed by how common their second character is, characters by an even share.
+    single = counts.sum(axis=1) + how.smoothing
+    single /= single.sum(axis=1, keepdims=True)
+    model = (counts + single[:, None, :]) / (counts.sum(axis=2, keepdims=True) + 1)
+    # The patterns find random strings of few alphabets; others are as likely.
+    model[1] = (model[1] + 1 / size) / 2
+    model = np.log(model)
     return [float(x) for x in (model[1] - model[0]).round(6).ravel()]
 
 
