@@ -3,7 +3,8 @@
 Plans, from the batch's size and the target's keys:
 
 * a batch of checked small size is broadcast: the target is never shuffled;
-* otherwise one full outer join, target and batch shuffled once each on the keys;
+* otherwise target and batch are shuffled once each on the keys and joined left outer, a join whose target
+  side Spark can split where keys are hot; rows to insert come from an anti join with the target's keys;
 * rows with a NULL key part match nothing and are passed on without a shuffle, however many they are;
 * keys found heavy in the target (``skew.heavy_key_hashes``) leave the shuffle too: their few batch
   rows, at most one per heavy key, are broadcast to the target rows where they lie.
@@ -25,7 +26,6 @@ from tablesync.operators.skew import any_null, is_heavy, name
 
 ACTION = "_action"
 CHANGE_TYPE = "_change_type"
-_PICKED = "__picked"
 _COPIES = "__copies"
 _RANK = "__rank"
 
@@ -76,10 +76,25 @@ def _has_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def _comparable(c: Column, dtype: T.DataType) -> Column:
+    """A value that has equality and order: maps as sorted entries, variants as text."""
+    if not _has_map(dtype):
+        return c
+    if isinstance(dtype, T.StructType):
+        fields = [_comparable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _comparable(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        def entry(e: Column) -> Column:
+            return F.struct(e["key"].alias("key"), _comparable(e["value"], dtype.valueType).alias("value"))
+
+        return F.array_sort(F.transform(F.map_entries(c), entry))
+    return F.to_json(c)
+
+
 def _differs(left: Column, right: Column, dtype: T.DataType) -> Column:
-    if _has_map(dtype):  # maps have no equality: compare their text
-        left, right = F.to_json(F.struct(left.alias("v"))), F.to_json(F.struct(right.alias("v")))
-    return ~left.eqNullSafe(right)
+    return ~_comparable(left, dtype).eqNullSafe(_comparable(right, dtype))
 
 
 def unique_by_key(
@@ -106,8 +121,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     keys, order = _resolve(df, keys), _resolve(df, order_by)
     fields = {f.name: f.dataType for f in df.schema.fields}
     ranked = order + [c for c in df.columns if c not in order and c not in keys]
-    # maps have no order: rank their text
-    terms = [F.to_json(F.struct(F.col(name(c)).alias("v"))) if _has_map(fields[c]) else F.col(name(c)) for c in ranked]
+    terms = [_comparable(F.col(name(c)), fields[c]) for c in ranked]
     newest_first = Window.partitionBy(*[name(c) for c in keys]).orderBy(*[t.desc_nulls_last() for t in terms])
     return df.withColumn(_RANK, F.row_number().over(newest_first)).where(F.col(_RANK) == 1).drop(_RANK)
 
@@ -118,33 +132,36 @@ def _unique(df: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Seq
         return latest_by_key(df, keys, order_by)
     if on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    rest = [c for c in df.columns if c not in keys]
-    aggs = [F.count(F.lit(1)).alias(_COPIES)]
-    if rest:
-        aggs.append(F.first(F.struct(*[F.col(name(c)) for c in rest])).alias(_PICKED))
     message = F.concat(
         F.lit(f"duplicate merge key in the batch ({', '.join(keys)}): "),
         F.to_json(F.struct(*[F.col(name(k)) for k in keys])),
     )
-    checked = (
-        df.groupBy(*[name(c) for c in keys])
-        .agg(*aggs)
-        .where(F.when(F.col(_COPIES) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    # A look at the row before, in the order a merge join sorts by anyway.
+    columns = [F.col(name(k)) for k in keys]
+    again = F.lag(F.lit(True)).over(Window.partitionBy(*columns).orderBy(*columns))
+    return (
+        df.withColumn(_COPIES, again)
+        .where(F.when(F.col(_COPIES), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        .drop(_COPIES)
     )
-    return _unpack(checked, df.columns, keys)
-
-
-def _unpack(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(name(c)) if c in keys else F.col(_PICKED)[c].alias(c) for c in columns])
 
 
 class _Joined:
-    """Target and batch side by side: columns ``t<i>`` and ``s<i>``, presence flags ``in_t``/``in_s``."""
+    """Target and batch side by side: columns ``t<i>`` and ``s<i>``, presence flags ``in_t``/``in_s``.
 
-    def __init__(self, df: DataFrame, schema: T.StructType, common: set[str], keys: set[str]):
+    ``order`` are columns of both sides: where the batch's row is older by them, the target's row stays.
+    """
+
+    def __init__(self, df: DataFrame, schema: T.StructType, common: set[str], keys: set[str], order: Sequence[int] = ()):
         self.df, self.schema, self.common, self.keys = df, schema, common, keys
         self.in_target = F.col("in_t").isNotNull()
         self.in_batch = F.col("in_s").isNotNull()
+        self.wins = self.in_batch
+        if order:
+            old, new = (
+                F.struct(*[_comparable(F.col(f"{side}{i}"), schema.fields[i].dataType) for i in order]) for side in "ts"
+            )
+            self.wins = self.in_batch & ~(self.in_target & (new < old))  # NULL is the lowest value
 
     def old(self, i: int) -> Column:
         return F.col(f"t{i}")
@@ -153,7 +170,7 @@ class _Joined:
         """Value after the merge: from the batch where it has the row and the column."""
         if self.schema.names[i] not in self.common:
             return self.old(i)
-        return F.when(self.in_batch, F.col(f"s{i}")).otherwise(self.old(i))
+        return F.when(self.wins, F.col(f"s{i}")).otherwise(self.old(i))
 
     def changed(self) -> Column:
         tests = [
@@ -161,7 +178,7 @@ class _Joined:
             for i, f in enumerate(self.schema.fields)
             if f.name in self.common and f.name not in self.keys
         ]
-        return reduce(or_, tests, F.lit(False))
+        return self.wins & reduce(or_, tests, F.lit(False))
 
     def action(self) -> Column:
         return (
@@ -180,12 +197,17 @@ def _join(
     order_by: Sequence[str],
     small_batch: bool,
     heavy: Sequence[int],
+    keep_newer: bool,
 ) -> _Joined:
     keys = _check_keys(target, batch, keys)
     common = {t for t, _ in common_columns(target, batch)}
     extra = [c for c in order_by if c.lower() not in {t.lower() for t in common}]
     aligned = _align(batch, target, extra=extra)
-    unique = _unique(aligned.where(~any_null(keys)), keys, on_duplicate, order_by)
+    complete = aligned.where(~any_null(keys))
+    unique = _unique(complete, keys, on_duplicate, order_by)
+    # Repeated keys fail where rows are inserted; beside that the batch is joined as it is, straight from
+    # its shuffle, so that Spark may split the target's side.
+    plain = complete if on_duplicate == "error" else unique
     index = {c: i for i, c in enumerate(target.columns)}
     types = {f"t{i}": f.dataType for i, f in enumerate(target.schema.fields)}
     types |= {f"s{i}": target.schema[c].dataType for c, i in index.items() if c in common}
@@ -204,29 +226,34 @@ def _join(
 
     on = reduce(and_, [F.col(f"t{index[k]}") == F.col(f"s{index[k]}") for k in keys])
 
-    def shuffled(t: DataFrame, s: DataFrame) -> DataFrame:
-        return target_side(t).join(batch_side(s), on, "full_outer").select(*types)
+    def keys_of(t: DataFrame) -> DataFrame:
+        return t.select(*[F.col(name(k)).alias(f"t{index[k]}") for k in keys])
+
+    def shuffled(t: DataFrame, s: DataFrame, checked: DataFrame) -> DataFrame:
+        touched = target_side(t).join(batch_side(s), on, "left_outer").select(*types)
+        return touched.unionByName(one_side(batch_side(checked).join(keys_of(t).distinct(), on, "left_anti")))
 
-    def broadcasted(t: DataFrame, s: DataFrame) -> DataFrame:
-        old, new = target_side(t), batch_side(s)
-        touched = old.join(F.broadcast(new), on, "left_outer").select(*types)
-        old_keys = old.select(*[f"t{index[k]}" for k in keys])
+    def broadcasted(t: DataFrame, s: DataFrame, checked: DataFrame) -> DataFrame:
+        new = batch_side(s)
+        touched = target_side(t).join(F.broadcast(new), on, "left_outer").select(*types)
         new_keys = new.select(*[f"s{index[k]}" for k in keys])
-        present = old_keys.join(F.broadcast(new_keys), on, "left_semi").distinct()
-        return touched.unionByName(one_side(new.join(present, on, "left_anti")))
+        present = keys_of(t).join(F.broadcast(new_keys), on, "left_semi").distinct()
+        return touched.unionByName(one_side(batch_side(checked).join(present, on, "left_anti")))
 
     if small_batch:
-        df = broadcasted(target, unique)
+        df = broadcasted(target, plain, unique)
     elif heavy:
         hot = is_heavy(keys, heavy)
         aside = any_null(keys) | hot
-        df = shuffled(target.where(~aside), unique.where(~hot))
-        df = df.unionByName(broadcasted(target.where(aside), unique.where(hot)))
+        df = shuffled(target.where(~aside), plain.where(~hot), unique.where(~hot))
+        df = df.unionByName(broadcasted(target.where(aside), plain.where(hot), unique.where(hot)))
     else:
-        df = shuffled(target.where(~any_null(keys)), unique)
+        df = shuffled(target.where(~any_null(keys)), plain, unique)
         df = df.unionByName(one_side(target_side(target.where(any_null(keys)))))
     df = df.unionByName(one_side(batch_side(aligned.where(any_null(keys)))))
-    return _Joined(df, target.schema, common, set(keys))
+    names = {c.lower(): c for c in common}
+    order = [index[names[c.lower()]] for c in order_by if c.lower() in names] if keep_newer else []
+    return _Joined(df, target.schema, common, set(keys), order)
 
 
 def merge_with_actions(
@@ -243,10 +270,12 @@ def merge_with_actions(
 
     Rows match when all keys are equal; a NULL key never matches, so such batch rows are inserted.
     A match sets every common column from the batch; target-only columns stay (NULL on insert) and
-    batch-only columns are dropped. Nothing is deleted. ``small_batch`` broadcasts the batch: set it
-    only after measuring its size.
+    batch-only columns are dropped. Nothing is deleted. With ``latest`` a target row that is newer than
+    the batch's by the order columns both sides have stays as it is (``unchanged``), so batches may come
+    in any order; on equal order values the batch wins, and NULL is oldest. ``small_batch`` broadcasts the
+    batch: set it only after measuring its size.
     """
-    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy)
+    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest")
     columns = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
     return j.df.select(*columns, j.action().alias(ACTION))
 
@@ -288,7 +317,7 @@ def change_feed(
     if replace:  # columns the batch lacks are lost
         lower = {c.lower() for c in target.columns}
         batch = _align(batch, target, fill=True, extra=[c for c in order_by if c.lower() not in lower])
-    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy)
+    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest" and not replace)
     before = [j.old(i).alias(c) for i, c in enumerate(target.columns)]
     after = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
 

@@ -17,8 +17,8 @@ LOG = """
     CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS current_status,
     CASE WHEN event_type <> 'view' THEN ts END AS watermark_value FROM events"""
 NEWEST = """
-  SELECT * FROM (SELECT user_id, ts, event_type, value, row_number() OVER (
-    PARTITION BY user_id ORDER BY ts DESC, event_type DESC, value DESC) AS rn FROM events WHERE {where}) AS x WHERE rn = 1"""
+SELECT user_id, ts, event_id, event_type, value FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS x WHERE rn = 1"""
 MERGED = f"""
 SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
   CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
@@ -78,7 +78,7 @@ SELECT t, n, greatest(CAST(ceil(n / 5000.0) AS INTEGER), 1) AS parts FROM (
     "partition_plan_size": """
 SELECT p_partkey, greatest(CAST(round(p_retailprice / 130) + round((p_retailprice / 130) % 8) AS INTEGER), 8) AS parts
 FROM part""",
-    "repartition_up": "SELECT * FROM lineitem",
+    "repartition_up": "SELECT CAST(16 AS BIGINT) AS parts, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem",
     "last_success_watermark": f"""
 SELECT sync_key, max(watermark_value) AS watermark FROM ({LOG}) AS l WHERE current_status = 'success' GROUP BY sync_key""",
     "job_of_step": """SELECT c_custkey, c_name, c_mktsegment FROM customer
@@ -90,15 +90,15 @@ ORDER BY o_orderdate DESC, o_orderkey LIMIT 10""",
     "merge_heavy_keys": """
 SELECT e.user_id AS user_id, e.event_id AS event_id, e.event_type AS event_type,
   CASE WHEN c.c_custkey IS NOT NULL THEN c.c_acctbal ELSE e.value END AS value
-FROM events AS e LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') AS c ON c.c_custkey = e.user_id
+FROM events AS e LEFT JOIN customer AS c ON c.c_custkey = e.user_id
 UNION ALL
-SELECT c_custkey, NULL, NULL, c_acctbal FROM customer
-WHERE c_mktsegment <> 'BUILDING' AND c_custkey NOT IN (SELECT user_id FROM events)""",
+SELECT c_custkey, NULL, NULL, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
     "merge_target_only_cols": """
 SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey,
   CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal, t.c_name AS c_name
 FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') AS t
-FULL OUTER JOIN (SELECT c_custkey, c_acctbal + CAST(5 AS DOUBLE) AS c_acctbal FROM customer WHERE c_acctbal < 5000) AS s
+FULL OUTER JOIN (SELECT c_custkey, c_acctbal + CAST(5 AS DOUBLE) AS c_acctbal FROM customer
+  WHERE c_acctbal < 5000 OR c_mktsegment = 'BUILDING') AS s
 ON t.c_custkey = s.c_custkey""",
     "merge_null_keys": f"""
 WITH t AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS k, value AS v FROM events
@@ -126,11 +126,7 @@ WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({BATCH}) AS s)""",
     "dedup_latest": """
 SELECT event_id, user_id, event_type, ts FROM (SELECT event_id, user_id, event_type, ts, row_number() OVER (
   PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS x WHERE rn = 1""",
-    "merge_latest": f"""
-WITH t AS ({NEWEST.format(where=f"ts <= TIMESTAMP '{EVENTS_FROM}'")}),
-     s AS ({NEWEST.format(where=f"ts > TIMESTAMP '{EVENTS_UNTIL}'")})
-SELECT user_id, ts, event_type, value FROM s
-UNION ALL SELECT user_id, ts, event_type, value FROM t WHERE user_id NOT IN (SELECT user_id FROM s)""",
+    "merge_latest": NEWEST,
     "reconcile_monthly": MONTHS,
     "reconcile_daily": "SELECT CAST(ts AS DATE) AS period, count(*) AS cnt FROM events GROUP BY 1",
     "resync_rows": f"""
@@ -181,8 +177,8 @@ LEFT JOIN ({BATCH}) AS s ON s.o_orderkey = m.o_orderkey""",
 SELECT event_id, event_type,
   CASE WHEN ts > TIMESTAMP '{EVENTS_FROM}' AND event_type IN ('view', 'click') THEN value + CAST(1 AS DOUBLE) ELSE value END
     AS value, ts
-FROM events WHERE ts <= TIMESTAMP '{EVENTS_UNTIL}' OR event_type IN ('view', 'click')""",
-    "compact": "SELECT * FROM documents",
+FROM events""",
+    "compact": "SELECT true AS fewer, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents",
     "dsv_normalize": r"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_type = 'error' THEN '\n\n' ELSE event_type END AS event_type
 FROM events""",
@@ -195,6 +191,5 @@ SELECT 'orders' AS sync_key, 'success' AS current_status, TIMESTAMP '{BATCH_FROM
 UNION ALL SELECT 'orders', 'success', max(o_orderdate), 'ok' FROM orders""",
     "sync_from_target": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "validate_and_sync": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
-    "stream_upsert": f"""
-SELECT user_id, ts, event_type, value FROM ({NEWEST.format(where="true")}) AS n""",
+    "stream_upsert": NEWEST,
 }

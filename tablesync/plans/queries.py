@@ -151,8 +151,10 @@ def partition_plan_size(spark, sf_dir):
 
 
 def repartition_up(spark, sf_dir):
-    """Rows are unchanged by raising the number of partitions."""
-    return lake.at_least_partitions(_table(spark, sf_dir, "lineitem"), 16)
+    """Partitions with rows and rows in all, after raising the number of partitions."""
+    raised = lake.at_least_partitions(_table(spark, sf_dir, "lineitem"), 16)
+    sizes = raised.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    return sizes.agg(F.count_if(F.col("n") > 0).alias("parts"), F.sum("n").alias("n"), F.sum("q").alias("quantity"))
 
 
 # C: control look-ups, merges, reconciliation
@@ -192,7 +194,6 @@ def merge_heavy_keys(spark, sf_dir):
     target = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
     batch = (
         _table(spark, sf_dir, "customer")
-        .where(F.col("c_mktsegment") != "BUILDING")
         .select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("value"))
     )
     heavy = heavy_key_hashes(target, ["user_id"], share=0.001, fraction=1.0)
@@ -202,7 +203,8 @@ def merge_heavy_keys(spark, sf_dir):
 def merge_target_only_cols(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     target = customer.where(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_acctbal", "c_name")
-    batch = customer.where(F.col("c_acctbal") < 5000).select("c_custkey", (F.col("c_acctbal") + 5.0).alias("c_acctbal"))
+    aside = (F.col("c_acctbal") < 5000) | (F.col("c_mktsegment") == "BUILDING")
+    batch = customer.where(aside).select("c_custkey", (F.col("c_acctbal") + 5.0).alias("c_acctbal"))
     return merge.apply_batch(target, batch, ["c_custkey"])
 
 
@@ -242,12 +244,12 @@ def dedup_latest(spark, sf_dir):
 
 
 def merge_latest(spark, sf_dir):
-    """Upsert of a batch that repeats keys: each user's newest event wins."""
-    columns = ["user_id", "ts", "event_type", "value"]
-    events = _table(spark, sf_dir, "events")
-    target = merge.latest_by_key(events.where(F.col("ts") <= _ntz(EVENTS_FROM)).select(*columns), ["user_id"], ["ts"])
-    batch = events.where(F.col("ts") > _ntz(EVENTS_UNTIL)).select(*columns)
-    return merge.apply_batch(target, batch, ["user_id"], on_duplicate="latest", order_by=["ts"])
+    """Upsert of a late batch that repeats keys: the newest event of each user wins, whichever side has it."""
+    columns = ["user_id", "ts", "event_id", "event_type", "value"]
+    events = _table(spark, sf_dir, "events").select(*columns)
+    newer = (F.col("ts") > _ntz(EVENTS_FROM)) & (F.col("event_type") != "view")
+    target = merge.latest_by_key(events.where(newer), ["user_id"], ["ts", "event_id"])
+    return merge.apply_batch(target, events.where(~newer), ["user_id"], on_duplicate="latest", order_by=["ts", "event_id"])
 
 
 def reconcile_monthly(spark, sf_dir):
@@ -415,11 +417,12 @@ def change_feed_published(spark, sf_dir):
 
 
 def touched_partitions(spark, sf_dir):
-    """Only the event types present in the batch are rewritten."""
+    """Only the event types present in the batch are rewritten: two were loaded up to a time, the others whole."""
     events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
     table = PartitionedDir(spark, storage.new_dir(spark, "partitioned"), ["event_type"])
-    table.write(events.where(F.col("ts") <= _ntz(EVENTS_UNTIL)))
-    window = events.where((F.col("ts") > _ntz(EVENTS_FROM)) & F.col("event_type").isin("view", "click"))
+    moving = F.col("event_type").isin("view", "click")
+    table.write(events.where((F.col("ts") <= _ntz(EVENTS_UNTIL)) | ~moving))
+    window = events.where((F.col("ts") > _ntz(EVENTS_FROM)) & moving)
     batch = stage(spark, window.withColumn("value", F.col("value") + 1.0), None)
     merge_into(table, batch, ["event_type", "event_id"])
     return table.read()
@@ -428,8 +431,11 @@ def touched_partitions(spark, sf_dir):
 def compact(spark, sf_dir):
     table = VersionedDir(spark, storage.new_dir(spark, "compacted"))
     table.write(_table(spark, sf_dir, "documents").repartition(16))
+    before = F.countDistinct(F.input_file_name()).alias("files")
+    pieces = table.read().agg(before)
     publish.compact(table, file_mb=64)
-    return table.read()
+    rows = table.read().agg(before, F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    return rows.select(((F.col("files") < pieces.first()[0]) & (F.col("files") >= 1)).alias("fewer"), "n", "chars")
 
 
 def dsv_normalize(spark, sf_dir):
@@ -459,17 +465,8 @@ def dsv_export(spark, sf_dir):
 def _run_sync(spark, sf_dir, **changes):
     base = storage.new_dir(spark, "sync")
     VersionedDir(spark, f"{base}/orders_copy").write(_target(spark, sf_dir))
-    registry = _table(spark, sf_dir, "orders").agg(
-        F.lit("orders").alias("sync_key"),
-        F.lit("sales").alias("src_db"),
-        F.lit("orders.parquet").alias("src_tbl"),
-        F.lit(LAKE).alias("tgt_db_typ"),
-        F.lit("copy").alias("tgt_db"),
-        F.lit("orders_copy").alias("tgt_tbl"),
-        F.lit(" o_orderkey ").alias("merge_keys"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    registry.drop("n").write.parquet(f"{base}/registry")
+    entry = ("orders", "sales", "orders.parquet", LAKE, "copy", "orders_copy", " o_orderkey ")
+    spark.createDataFrame([entry], control.REGISTRY_SCHEMA).write.parquet(f"{base}/registry")
     control.append_log(spark, f"{base}/log", "orders", control.SUCCESS, _micros(spark, BATCH_FROM))
     settings = SyncSettings(
         registry=f"{base}/registry",
@@ -508,13 +505,15 @@ def validate_and_sync(spark, sf_dir):
 
 
 def stream_upsert(spark, sf_dir):
-    """Event files arrive as a stream; the target keeps each user's newest event."""
+    """Event files arrive as a stream, one a micro-batch and out of time order; the target keeps each user's newest event."""
     base = storage.new_dir(spark, "stream")
-    events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
-    events.repartitionByRange(3, "ts").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/in")
+    events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    early, late = F.col("ts") <= _ntz(EVENTS_FROM), F.col("ts") > _ntz(EVENTS_UNTIL)
+    for part in (late, early, ~(early | late)):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     target = VersionedDir(spark, f"{base}/out")
-    query = upsert_stream(stream, target, ["user_id"], f"{base}/checkpoint", order_by=["ts"])
+    query = upsert_stream(stream, target, ["user_id"], f"{base}/checkpoint", order_by=["ts", "event_id"])
     query.awaitTermination()
     return target.read()
 

@@ -24,7 +24,8 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Start a query that merges each micro-batch into the target.
 
-    Several changes of one key in a micro-batch collapse to the newest by ``order_by``. The source
+    Several changes of one key in a micro-batch collapse to the newest by ``order_by``, and rows older than
+    the target's are left out, so micro-batches may come in any order. The source
     offsets are committed after the target's new version, so a restart may merge a micro-batch again,
     which changes nothing. A partitioned target rewrites only the partitions of the micro-batch. The
     trigger defaults to ``availableNow=True``.

@@ -72,7 +72,7 @@ def test_duplicate_batch_key_is_an_error(spark):
 
 def test_duplicate_batch_key_latest(spark):
     schema = "id int, v string, t timestamp"
-    target = spark.createDataFrame([(5, "old", None)], schema)
+    target = spark.createDataFrame([(5, "old", None)], schema)  # NULL is older than any time
     batch = spark.sql(
         "SELECT * FROM VALUES (5, 'a', TIMESTAMP'2024-01-01'), (5, 'b', TIMESTAMP'2024-01-02'),"
         " (6, 'n', NULL), (6, 'm', TIMESTAMP'2023-01-01') AS x(id, v, t)"
@@ -233,3 +233,26 @@ def test_names_match_in_any_case(spark):
         merge.latest_by_key(df, ["id"], ["seq"])
     with pytest.raises(ValueError, match="other"):
         merge.unique_by_key(df, ["other"])
+
+
+def test_an_older_batch_row_does_not_replace_a_newer_one(spark):
+    schema = "id int, v string, t int, u int"
+    target = spark.createDataFrame([(1, "new", 10, 0), (2, "same", 5, 1), (3, "null", None, 0), (4, "set", 1, 0)], schema)
+    batch = spark.createDataFrame([(1, "late", 5, 9), (2, "equal", 5, 1), (3, "first", 1, 0), (4, "null", None, 0), (5, "n", 1, 1)], schema)
+    expected = Counter(
+        [(1, "new", "unchanged"), (2, "equal", "update"), (3, "first", "update"), (4, "set", "unchanged"), (5, "n", "insert")]
+    )
+    for df in plans(spark, target, batch, ["id"], on_duplicate="latest", order_by=["T", "u"]):
+        assert rows(df.select("id", "v", merge.ACTION)) == expected
+    feed = merge.change_feed(target, batch, ["id"], on_duplicate="latest", order_by=["t"])
+    assert {r["id"] for r in feed.collect()} == {2, 3, 5}
+    without_order = merge.apply_batch(target, batch, ["id"])
+    assert rows(without_order.select("id", "v")) == Counter([(1, "late"), (2, "equal"), (3, "first"), (4, "null"), (5, "n")])
+
+
+def test_map_order_is_no_difference(spark):
+    target = spark.sql("SELECT 1 AS id, map('a', 1, 'b', 2) AS m, array(named_struct('x', map('k', map('q', 1, 'r', 2)))) AS l")
+    batch = spark.sql("SELECT 1 AS id, map('b', 2, 'a', 1) AS m, array(named_struct('x', map('k', map('r', 2, 'q', 1)))) AS l")
+    assert merge.merge_with_actions(target, batch, ["id"]).first()[merge.ACTION] == "unchanged"
+    other = spark.sql("SELECT 1 AS id, map('b', 2, 'a', 1) AS m, array(named_struct('x', map('k', map('r', 3, 'q', 1)))) AS l")
+    assert merge.merge_with_actions(target, other, ["id"]).first()[merge.ACTION] == "update"

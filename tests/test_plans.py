@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync import storage
 from tablesync.operators import merge
 from tablesync.operators.reconcile import compare_periods
 from tablesync.plans import queries
@@ -16,6 +17,14 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def plan_after(df):
+    """The plan as it ran, with what was decided on the way."""
+    df.write.format("noop").mode("overwrite").save()
+    frame = df.where("true")
+    frame.collect()
+    return plan(frame)
+
+
 def details(df):
     jvm = df.sparkSession._jvm
     return jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
@@ -57,16 +66,38 @@ def test_large_batch_shuffles_each_side_once(spark, sides):
     target, batch = sides
     df = merge.apply_batch(target, batch, ["id"])
     text = plan(df)
-    assert len([scan for scan in scans(df) if "IsNotNull(id)" in scan]) == 2
-    assert text.count("Exchange hashpartitioning") == 2
-    assert text.count("FullOuter") == 1
+    # rows of the target go through one shuffle; a second one holds its keys alone
+    whole = [scan for scan in scans(df) if "IsNotNull(id)" in scan and "w:double" in scan]
+    assert len(whole) == 1
+    assert "LeftOuter" in text and "LeftAnti" in text and "FullOuter" not in text
+    assert "SortAggregate" not in text
 
 
-def test_change_feed_reads_each_side_once(sides):
+def test_change_feed_reads_the_target_rows_once(sides):
     target, batch = sides
     df = merge.change_feed(target, batch, ["id"])
-    assert len([scan for scan in scans(df) if "IsNotNull(id)" in scan]) == 2
-    assert plan(df).count("Exchange hashpartitioning") == 2
+    assert len([scan for scan in scans(df) if "IsNotNull(id)" in scan and "w:double" in scan]) == 1
+    assert "SortAggregate" not in plan(df)
+
+
+def test_a_hot_target_key_is_split(spark, tmp_path):
+    """A key with half a percent of a larger target, far below what a sample singles out."""
+    wide = F.concat(F.col("id").cast("string"), F.repeat(F.md5(F.col("id").cast("string")), 8))
+    key = F.when(F.col("id") % 200 == 0, -1).otherwise(F.col("id"))
+    spark.range(0, 400_000, 1, 8).select(key.alias("k"), wide.alias("v")).write.parquet(f"{tmp_path}/t")
+    batch = spark.range(-1, 50).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    settings = {
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64k",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.2",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
+        "spark__sql__adaptive__coalescePartitions__enabled": "false",
+        "spark__sql__shuffle__partitions": "200",
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+    }
+    with storage.conf(spark, **settings):
+        merged = merge.apply_batch(spark.read.parquet(f"{tmp_path}/t"), batch, ["k"])
+        counts = merged.groupBy("v").count().where("v = 'new'").collect()
+        assert counts[0]["count"] == 2000 + 50 and "skew=true" in plan_after(merged)
 
 
 def test_reconcile_is_one_aggregate_without_a_join(sides, spark):

@@ -43,3 +43,12 @@ def test_partitioned_target(spark, tmp_path):
     arrive(spark, tmp_path, (2, "c", 2))
     assert drain(spark, tmp_path, target) == {1: "a", 2: "c"}
     assert [f for f in target.read().inputFiles() if "id=1" in f] == kept
+
+
+def test_late_files_do_not_replace_newer_rows(spark, tmp_path):
+    for target in (VersionedDir(spark, f"{tmp_path}/v/out"), PartitionedDir(spark, f"{tmp_path}/p/out", ["id"])):
+        base = target.path.rsplit("/", 1)[0]
+        arrive(spark, base, (1, "new", 10), (2, "null", None))
+        arrive(spark, base, (1, "late", 5), (2, "set", 1))
+        arrive(spark, base, (1, "equal", 10), (2, "null again", None))
+        assert drain(spark, base, target) == {1: "equal", 2: "set"}
