@@ -11,12 +11,15 @@ difference; the shingle sets decide the rest.
 
 Leaving the same shingles out of all sketches keeps the argument whole. So shingles of many documents, the
 ``frequent`` most common ones, are left out and no key is common for their sake. Sets that then fill too few words
-(copies of much copied text, above all) are joined among themselves in a second key space, with single shingles
-as words and nothing left out, and keep all their words in the first. No candidate is capped or dropped.
+(copies of much copied text, above all) keep all their words there and are joined among themselves in a second key
+space with nothing left out; sets too small to fill enough words even so, in a third, with single shingles as
+words. No candidate is capped or dropped.
 
-Within a key the smallest node is compared with all others first. What that leaves in several components is then
-compared across components, so a large group of near copies costs one comparison a member and key, and no link
-between components is missed. The links returned connect exactly the components of the full join.
+Within a key the node with the fewest shingles of its own is compared with all others first: in a group of near
+copies that is the one closest to the rest. What that leaves in several components is then compared across
+components: all nodes of a key but the largest component's with all others, by their parity sketches, in blocks
+of bounded size, and only pairs that may link come out of a block. So no link between components is missed, and
+the links returned connect exactly the components of the full join.
 
 Defined results: NULL, empty and wordless texts have no shingles and link with nothing; equal rows are linked;
 rows with NULL doc_id link like others but never name a component that has another name; an empty table gives an
@@ -33,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.storage import conf
+
 from .common import named, staged
 from .components import components
 from .shingles import mixed, shingle_sets
@@ -52,6 +57,10 @@ class Join:
 #: Bits of the second sketch, and of the Bloom filter of candidate documents.
 PARITY_BITS = 2048
 BLOOM_BITS = 24
+#: Shingles counted at once, documents hashed at once, and nodes of a key in a block of comparisons.
+COUNTED = 4_000_000
+BATCH = 2500
+BLOCK = 1024
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,24 +90,32 @@ def first_keys(keys: np.ndarray, count: int) -> np.ndarray:
     return keys if len(keys) <= count else np.partition(keys, count - 1)[:count]
 
 
-def sketch_keys(shingles: np.ndarray, rare: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of a set (sorted hashes) in the first and the second key space; rare marks what is not left out."""
-    n = len(shingles)
-    count = slack(n, percent) + 1
-    own = shingles[rare]
-    first, poor = [], False
+def _words(own: np.ndarray, n: int, count: int, space: int) -> tuple[np.ndarray, bool]:
+    """Keys of the non-empty sketch words of part of a set of n, and whether they are too few."""
+    found, poor = [], False
     for band, width in bands(n):
+        keys = own
         if len(own):
             word = ((own >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)
             at = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             value = np.bitwise_xor.reduceat(own * _G, at)
-            keys = mixed(value ^ (word[at] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(band + 1)))
-        else:
-            keys = own
+            keys = mixed(value ^ (word[at] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(64 * space + band + 1)))
         poor |= len(keys) < count
-        first.append(first_keys(keys, count))
-    second = first_keys(mixed(shingles ^ np.uint64(0xA0761D6478BD642F)), count) if poor else shingles[:0]
-    return np.concatenate(first), second
+        found.append(first_keys(keys, count))
+    return np.concatenate(found), poor
+
+
+def sketch_keys(shingles: np.ndarray, rare: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set (sorted hashes) in the first and in the further key spaces; rare marks what is not left out."""
+    n = len(shingles)
+    count = slack(n, percent) + 1
+    first, poor = _words(shingles[rare], n, count, 0)
+    if not poor:
+        return first, first[:0]
+    further, poor = _words(shingles, n, count, 1)
+    if poor:
+        further = np.concatenate([further, first_keys(mixed(shingles ^ np.uint64(0xA0761D6478BD642F)), count)])
+    return first, further
 
 
 def set_hash(shingles: np.ndarray) -> np.ndarray:
@@ -130,17 +147,26 @@ class Members:
 
 
 def frequent_shingles(texts: DataFrame, how: Join) -> np.ndarray:
-    """Hashes of the most common shingles: counted in each batch of documents, and those seen twice or more
-    summed over all. The driver gets ``how.frequent`` numbers at most."""
+    """Hashes of the most common shingles: counted in each run of ``COUNTED`` shingles, and those seen in two
+    documents or more of it summed over all. The driver gets ``how.frequent`` numbers at most."""
+
+    def counts(sets: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+        edge = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+        n = np.diff(np.append(edge, len(flat)))
+        often = n > 1
+        return pa.RecordBatch.from_arrays([pa.array(_signed(flat[edge[often]])), pa.array(n[often])], names=["h", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, size = [], 0
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0), how.size))
-            flat = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-            edge = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-            n = np.diff(np.append(edge, len(flat)))
-            often = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(flat[edge[often]])), pa.array(n[often])], names=["h", "n"])
+            for own in shingle_sets(batch.column(0), how.size):
+                sets.append(own)
+                size += len(own)
+                if size >= COUNTED:
+                    yield counts(sets)
+                    sets, size = [], 0
+        yield counts(sets)
 
     counted = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= how.common)
     most = counted.orderBy(F.desc("n"), "h").limit(how.frequent).select("h").toPandas()["h"].to_numpy(dtype=np.int64)
@@ -148,30 +174,34 @@ def frequent_shingles(texts: DataFrame, how: Join) -> np.ndarray:
 
 
 def _rows(texts: DataFrame, members, how: Join) -> DataFrame:
-    """One pass: kind 0 a document (id, its node, n and parity sketch), kind 1 and 2 a key of a node."""
+    """One pass: kind 0 a document (id, its node, n, how many are not left out, parity sketch), kind 1 and 2 a key
+    of a node in the first and the further key spaces."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = members.value
         for batch in batches:
-            nodes, sizes, sketches, keys, seen = [], [], [], ([], []), set()
+            nodes, sizes, owns, sketches, keys, seen = [], [], [], [], ([], []), set()
             for own in shingle_sets(batch.column(1), how.size):
                 sizes.append(len(own))
                 if not len(own):
                     nodes.append(None)
                     sketches.append(None)
+                    owns.append(None)
                     continue
                 node = int(_signed(set_hash(own))[0])
                 nodes.append(node)
                 sketches.append(parity(own))
+                rare = ~often.has(own)
+                owns.append(int(rare.sum()))
                 if node in seen:  # a copy in the same batch
                     continue
                 seen.add(node)
-                for k, found in zip(keys, sketch_keys(own, ~often.has(own), how.percent)):
+                for k, found in zip(keys, sketch_keys(own, rare, how.percent)):
                     if len(found):
                         k.append((node, found))
             n = len(nodes)
             parts = [
-                [pa.array([0] * n, pa.int8()), pa.nulls(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), batch.column(0)]
+                [pa.array([0] * n, pa.int8()), pa.nulls(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(owns, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), batch.column(0)]
             ]
             for kind, found in enumerate(keys, 1):
                 if found:
@@ -179,19 +209,19 @@ def _rows(texts: DataFrame, members, how: Join) -> DataFrame:
                     owner = np.repeat(np.array([x for x, _ in found], dtype=np.int64), [len(k) for _, k in found])
                     m = len(flat)
                     parts.append(
-                        [pa.array(np.full(m, kind, np.int8)), pa.array(flat), pa.array(owner), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, batch.column(0).type)]
+                        [pa.array(np.full(m, kind, np.int8)), pa.array(flat), pa.array(owner), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, batch.column(0).type)]
                     )
             for columns in parts:
-                yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "node", "n", "sketch", "doc_id"])
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "node", "n", "own", "sketch", "doc_id"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(emit, f"kind tinyint, key long, node long, n long, sketch array<long>, doc_id {kind}")
+    return texts.mapInArrow(emit, f"kind tinyint, key long, node long, n long, own long, sketch array<long>, doc_id {kind}")
 
 
 def _shared_keys(rows: DataFrame) -> DataFrame:
     """(key, node) of the keys that two nodes or more have.
 
-    Keys of the first space are rare by construction, so neighbours in one sort tell. Those of the second may be
+    Keys of the first space are rare by construction, so neighbours in one sort tell. Others may be
     common: there the smallest and largest node of each key are found with map-side combining.
     """
     from pyspark.sql import Window
@@ -263,35 +293,102 @@ def _sets(texts: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
     return parsed.join(wanted.select("node"), "node", "left_semi")
 
 
+def _across(rest: DataFrame, how: Join) -> DataFrame:
+    """Pairs (a, b) of one key and different components that their parity sketches and sizes let link.
+
+    rest: key, g (nodes of the key), top (the key's largest component), node, c (its component), n, sketch. The
+    nodes of a key are dealt to blocks by hash; two blocks meet in one group, which holds some 2 * ``BLOCK`` nodes.
+    """
+    parts = F.ceil(F.col("g") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), parts).cast("int")
+    dealt = rest.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    columns = ["key", "lo", "hi", "block", "node", "c", "top", "n", "sketch"]
+    sorted_groups = dealt.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    s = how.percent
+
+    def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        one = lambda name: part.column(name).to_numpy()
+        sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1)
+        node, c, top, n, own = one("node"), one("c"), one("top"), one("n"), one("block")
+        lo, hi = one("lo")[0], one("hi")[0]
+        left, out = np.flatnonzero((c != top) | (lo != hi)), ([], [])
+        for at in range(0, len(left), 32):
+            i = left[at : at + 32]
+            apart = c[i][:, None] != c[None, :]
+            apart &= (c[i] != top[i])[:, None] | (c != top)[None, :]
+            if lo != hi:
+                apart &= (own[i] == lo)[:, None] & (own == hi)[None, :]
+            near = 100 * np.minimum(n[i][:, None], n[None, :]) >= s * np.maximum(n[i][:, None], n[None, :])
+            x, y = np.nonzero(apart & near)
+            step = 1 << 14
+            for k in range(0, len(x), step):
+                a, b = i[x[k : k + step]], y[k : k + step]
+                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+                good = (100 + s) * differ <= (100 - s) * (n[a] + n[b])
+                out[0].append(node[a[good]])
+                out[1].append(node[b[good]])
+        if not out[0]:
+            return node[:0], node[:0]
+        a, b = np.concatenate(out[0]), np.concatenate(out[1])
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return both[0], both[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # of the last group, which may go on
+
+        def done() -> pa.RecordBatch:
+            a, b = pairs(pa.concat_tables(held))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            ids = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)])
+            edges = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(edges[:-1], edges[1:]):
+                group = tuple(ids[:, start].tolist())
+                if held and group != last:
+                    yield done()
+                    held = []
+                last = group
+                held.append(table.slice(start, end - start))
+        if held:
+            yield done()
+
+    return sorted_groups.mapInArrow(run, "a long, b long").distinct()
+
+
 def join(docs: DataFrame, text: str = "text", how: Join = Join()) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; the component is named by its smallest doc_id."""
+    with conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH):
+        return _join(docs, text, how)
+
+
+def _join(docs: DataFrame, text: str, how: Join) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(named(docs, "doc_id").alias("doc_id"), named(docs, text).alias("text"))
     members = spark.sparkContext.broadcast(Members(frequent_shingles(texts.select("text"), how)))
     rows = staged(_rows(texts, members, how), "sketches")
     docs_of = rows.filter("kind = 0")
-    nodes = docs_of.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
+    facts = [F.first(c).alias(c) for c in ("n", "own", "sketch")]
+    nodes = docs_of.filter("node IS NOT NULL").groupBy("node").agg(*facts, F.min("doc_id").alias("doc_id"))
     shared = staged(_shared_keys(rows).distinct(), "shared-keys")
-    # Each key's smallest node with the others.
-    least = shared.groupBy("key").agg(F.min("node").alias("a"))
-    stars = shared.join(least, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    # Each key's node with the fewest shingles of its own, with the others.
+    least = shared.join(nodes.select("node", "own"), "node").groupBy("key").agg(F.min(F.struct("own", "node")).alias("m"))
+    stars = shared.join(least.select("key", F.col("m.node").alias("a")), "key").filter("a <> node")
+    stars = staged(stars.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "stars")
     links = staged(_verified(stars, nodes, texts, how), "links")
     found = staged(components(links), "components")
     # What a key still holds in several components: all but the largest of them with the rest.
     labelled = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     sizes = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    open_keys = largest.filter("parts > 1").select("key", F.col("top.c").alias("top"))
-    rest = staged(labelled.join(open_keys, "key"), "open-keys")
-    one, two = (rest.select("key", F.col("node").alias(x), F.col("c").alias(f"c{x}"), *([F.col("top")] if x == "x" else [])) for x in "xy")
-    across = (
-        one.filter("cx <> top")
-        .join(two, "key")
-        .filter("cx <> cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
-    across = across.join(stars, ["a", "b"], "left_anti")
+    largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("g"), F.count(F.lit(1)).alias("parts"))
+    open_keys = largest.filter("parts > 1 AND g > 2").select("key", "g", F.col("most.c").alias("top"))
+    rest = labelled.join(open_keys, "key").join(nodes.select("node", "n", "sketch"), "node")
+    across = staged(_across(rest, how).join(stars, ["a", "b"], "left_anti"), "across")
     more = staged(_verified(across, nodes, texts, how), "links")
     final = components(links.unionByName(more))
     labels = docs_of.join(final, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("c"))
