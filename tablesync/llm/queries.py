@@ -48,7 +48,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
