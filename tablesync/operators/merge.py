@@ -36,7 +36,7 @@ def common_columns(target: DataFrame, batch: DataFrame) -> list[tuple[str, str]]
     return [(c, by_lower[c.lower()]) for c in target.columns if c.lower() in by_lower]
 
 
-def _resolve(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+def resolve(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     """Names in the frame's own spelling; unknown ones are an error and never ignored."""
     spelling = {c.lower(): c for c in df.columns}
     unknown = [c for c in wanted if c.lower() not in spelling]
@@ -56,7 +56,7 @@ def _check_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> lis
     return [shared[k.lower()] for k in keys]
 
 
-def _align(batch: DataFrame, target: DataFrame, fill: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+def aligned(batch: DataFrame, target: DataFrame, fill: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Batch columns under the target's names, types and order; ``fill`` adds target-only ones as NULL."""
     source = {t: b for t, b in common_columns(target, batch)}
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -93,6 +93,11 @@ def _comparable(c: Column, dtype: T.DataType) -> Column:
     return F.to_json(c)
 
 
+def fingerprint(df: DataFrame) -> Column:
+    """64-bit hash of a row's values; equal rows of frames with the same columns have equal ones."""
+    return F.xxhash64(*[_comparable(F.col(name(f.name)), f.dataType) for f in df.schema.fields])
+
+
 def _differs(left: Column, right: Column, dtype: T.DataType) -> Column:
     return ~_comparable(left, dtype).eqNullSafe(_comparable(right, dtype))
 
@@ -106,7 +111,7 @@ def unique_by_key(
     greatest by ``order_by``, then by its other columns, so the answer does not depend on row order.
     Copies of a hot key are combined before the shuffle.
     """
-    keys = _resolve(df, keys)
+    keys = resolve(df, keys)
     complete = _unique(df.where(~any_null(keys)), keys, on_duplicate, order_by)
     return complete.unionByName(df.where(any_null(keys)))
 
@@ -118,7 +123,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     """
     if not order_by:
         raise ValueError("'latest' needs order_by columns")
-    keys, order = _resolve(df, keys), _resolve(df, order_by)
+    keys, order = resolve(df, keys), resolve(df, order_by)
     fields = {f.name: f.dataType for f in df.schema.fields}
     ranked = order + [c for c in df.columns if c not in order and c not in keys]
     terms = [_comparable(F.col(name(c)), fields[c]) for c in ranked]
@@ -202,8 +207,8 @@ def _join(
     keys = _check_keys(target, batch, keys)
     common = {t for t, _ in common_columns(target, batch)}
     extra = [c for c in order_by if c.lower() not in {t.lower() for t in common}]
-    aligned = _align(batch, target, extra=extra)
-    complete = aligned.where(~any_null(keys))
+    batch_rows = aligned(batch, target, extra=extra)
+    complete = batch_rows.where(~any_null(keys))
     unique = _unique(complete, keys, on_duplicate, order_by)
     # Repeated keys fail where rows are inserted; beside that the batch is joined as it is, straight from
     # its shuffle, so that Spark may split the target's side.
@@ -250,7 +255,7 @@ def _join(
     else:
         df = shuffled(target.where(~any_null(keys)), plain, unique)
         df = df.unionByName(one_side(target_side(target.where(any_null(keys)))))
-    df = df.unionByName(one_side(batch_side(aligned.where(any_null(keys)))))
+    df = df.unionByName(one_side(batch_side(batch_rows.where(any_null(keys)))))
     names = {c.lower(): c for c in common}
     order = [index[names[c.lower()]] for c in order_by if c.lower() in names] if keep_newer else []
     return _Joined(df, target.schema, common, set(keys), order)
@@ -316,7 +321,7 @@ def change_feed(
     """
     if replace:  # columns the batch lacks are lost
         lower = {c.lower() for c in target.columns}
-        batch = _align(batch, target, fill=True, extra=[c for c in order_by if c.lower() not in lower])
+        batch = aligned(batch, target, fill=True, extra=[c for c in order_by if c.lower() not in lower])
     j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest" and not replace)
     before = [j.old(i).alias(c) for i, c in enumerate(target.columns)]
     after = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
@@ -347,7 +352,7 @@ def delete_insert(
     Unlike the upsert, repeated batch keys are all kept and target-only columns become NULL.
     """
     keys = _check_keys(target, batch, keys)
-    filled = _align(batch, target, fill=True)
+    filled = aligned(batch, target, fill=True)
     gone = filled.select(*[F.col(name(k)).alias(f"d{i}") for i, k in enumerate(keys)]).dropna().distinct()
     match = reduce(and_, [F.col(name(k)) == F.col(f"d{i}") for i, k in enumerate(keys)])
     if small_batch:

@@ -56,5 +56,8 @@ def width_report(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame
 
 
 def latest_version(df: DataFrame, by: str, version: str) -> DataFrame:
-    """Greatest text version by number ("10" after "9"); text that is no number is left out."""
-    return df.groupBy(by).agg(F.max(F.col(name(version)).try_cast("bigint")).alias("latest"))
+    """Greatest text version by number ("10" after "9"); text that is no number is an error."""
+    text = F.col(name(version))
+    number = text.try_cast("bigint")
+    bad = F.raise_error(F.concat(F.lit("version is no number: "), text.cast("string"))).cast("bigint")
+    return df.groupBy(by).agg(F.max(F.when(text.isNotNull() & number.isNull(), bad).otherwise(number)).alias("latest"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.columns import period
+from tablesync.operators.merge import fingerprint
+from tablesync.operators.skew import name
 
 
 def period_counts(df: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
@@ -44,3 +49,42 @@ def rows_in_wrong_periods(source: DataFrame, compared: DataFrame, date_col: str,
 
 def rows_to_resync(source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly") -> DataFrame:
     return rows_in_wrong_periods(source, compare_periods(source, target, date_col, frequency), date_col, frequency)
+
+
+def differing_periods(source: DataFrame, target: DataFrame, date_col: str, frequency: str = "monthly") -> list:
+    """Periods whose rows differ, by number or by a checksum over all columns the two frames share (they are those
+    of ``source``). One aggregate over both sides; as many values as the calendar has periods come back."""
+    bucket = period(date_col, frequency).alias("period")
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        rows = df.select(*[name(c) for c in source.columns])
+        return rows.select(bucket, F.lit(sign).alias("n"), (F.lit(sign) * fingerprint(rows).cast("decimal(20,0)")).alias("h"))
+
+    sums = side(source, 1).unionAll(side(target, -1)).groupBy("period").agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    return [r["period"] for r in sums.where("n <> 0 OR h <> 0").select("period").collect()]
+
+
+def _bounds(value: str | date) -> tuple[str, str]:
+    """First day of a period and of the next one."""
+    if isinstance(value, date):
+        return value.isoformat(), date.fromordinal(value.toordinal() + 1).isoformat()
+    year, month = int(value[:-2]), int(value[-2:])
+    return f"{year:04d}-{month:02d}-01", f"{year + month // 12:04d}-{month % 12 + 1:02d}-01"
+
+
+def in_periods(df: DataFrame, date_col: str, periods: list, frequency: str = "monthly") -> Column:
+    """Is a row in one of the periods? Ranges on the bare column, neighbours joined, so a scan can skip files; never NULL."""
+    ranges: list[list[str]] = []
+    for low, high in sorted(_bounds(p) for p in periods if p is not None):
+        if ranges and ranges[-1][1] == low:
+            ranges[-1][1] = high
+        else:
+            ranges.append([low, high])
+    dtype = df.schema[date_col].dataType
+    c = F.col(name(date_col))
+    if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        c, dtype = c.cast("timestamp"), T.TimestampType()
+    found = c.isNull() if None in periods else F.lit(False)
+    for low, high in ranges:
+        found |= (c >= F.lit(low).cast(dtype)) & (c < F.lit(high).cast(dtype))
+    return F.coalesce(found, F.lit(False))

@@ -1,87 +1,29 @@
-"""Evaluate a batch once: write it to the shared folder and measure it on the way."""
+"""Merge staged batches into tables of files."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablesync import storage
 from tablesync.operators.merge import (
     ACTION,
     action_counts,
+    delete_insert,
     merge_with_actions,
     unique_by_key,
 )
-from tablesync.operators.skew import heavy_key_hashes, name
 from tablesync.sinks.ddl import with_missing
 from tablesync.sinks.partitioned import PartitionedDir
+from tablesync.sinks.staged import BROADCAST_LIMIT_BYTES, Staged, merge_options, stage, watch
 from tablesync.sinks.versioned import VersionedDir
-from tablesync.sources.lake import micros
 
-BROADCAST_LIMIT_BYTES = 64 << 20  # of values as they lie in memory, see row_bytes
 SHUFFLE_PART_BYTES = 64 << 20  # of files at rest; a shuffled partition is a few times that
 
-
-@dataclass(frozen=True)
-class Staged:
-    """A batch at rest with its row count, newest audit value (microseconds) and size in memory."""
-
-    df: DataFrame
-    path: str
-    rows: int
-    watermark_us: int | None
-    bytes: int
-
-    def drop(self) -> None:
-        storage.delete(self.df.sparkSession, self.path)
-
-
-def row_bytes(schema: T.StructType) -> Column:
-    """Size of a row's values in memory. Files on disk say little: they may be compressed a hundredfold."""
-    size = F.lit(16 * (len(schema.fields) + 1))
-    for f in schema.fields:
-        c = F.col(name(f.name))
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            c = F.to_json(F.struct(c))
-        elif not isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            continue
-        size = size + F.coalesce(F.octet_length(c), F.lit(0))
-    return size.cast("bigint")
-
-
-def watch(audit_col: str | None) -> tuple[Callable[[DataFrame], DataFrame], Observation]:
-    """Something that observes row count and newest audit value of a frame as it is written."""
-    seen = Observation()
-    newest = F.lit(None).cast("bigint") if audit_col is None else micros(F.col(name(audit_col)))
-    metrics = [F.count(F.lit(1)).alias("rows"), F.max(newest).alias("watermark_us")]
-    return lambda df: df.observe(seen, *metrics), seen
-
-
-def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: bool = True) -> Staged:
-    """Write the batch once; everything after reads the staged copy and never the source again.
-
-    ``gather`` brings the few rows a filter leaves in each input split together, so that a small batch
-    out of a huge table is not staged as one tiny file per split. Skewed pieces are split again.
-    """
-    path = storage.new_dir(spark, "stage")
-    watched, seen = watch(audit_col)
-    measured = Observation()
-    gathered = watched(df.hint("rebalance") if gather else df)
-    gathered.observe(measured, F.sum(row_bytes(df.schema)).alias("bytes")).write.parquet(path)
-    staged = spark.read.schema(df.schema).parquet(path)
-    return Staged(staged, path, seen.get["rows"], seen.get["watermark_us"], measured.get["bytes"] or 0)
-
-
-def merge_options(target: DataFrame, batch: Staged, keys: Sequence[str], limit: int = BROADCAST_LIMIT_BYTES) -> dict:
-    """Join plan by measured size: broadcast a small batch, else shuffle around the target's heavy keys."""
-    if batch.bytes <= limit:
-        return {"small_batch": True}
-    return {"heavy": heavy_key_hashes(target, keys)}
+__all__ = ["BROADCAST_LIMIT_BYTES", "Staged", "merge_into", "merge_options", "replace_keys", "replace_rows", "shuffle_parts", "stage", "watch"]
 
 
 def shuffle_parts(spark: SparkSession, table: VersionedDir | PartitionedDir) -> int:
@@ -125,3 +67,26 @@ def merge_into(
     with storage.conf(table.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
         table.write(merged, finish=lambda df: df.observe(seen, *action_counts()).drop(ACTION))
     return dict(seen.get)
+
+
+def replace_keys(
+    table: VersionedDir | PartitionedDir, batch: Staged, keys: Sequence[str], broadcast_limit: int = BROADCAST_LIMIT_BYTES, evolve: bool = False
+) -> dict[str, int]:
+    """Delete the rows whose keys are in a staged batch and insert the batch, repeated keys and all."""
+    target = table.rows_to_merge(batch.df, keys)
+    if evolve:
+        target = with_missing(target, batch.df)
+    changed = delete_insert(target, batch.df, keys, **merge_options(target, batch, keys, broadcast_limit))
+    parts = shuffle_parts(table.spark, table)
+    with storage.conf(table.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):
+        table.write(changed)
+    return {"inserted": batch.rows}
+
+
+def replace_rows(table: VersionedDir | PartitionedDir, keep: DataFrame, rows: DataFrame) -> None:
+    """Make the table some of its own rows and others, staged so that nothing is read while it is replaced."""
+    changed = stage(table.spark, keep.unionByName(rows), None, gather=False)
+    try:
+        table.replace(changed.df)
+    finally:
+        changed.drop()

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators import reconcile
-from tablesync.operators.merge import unique_by_key
-from tablesync.plans.staging import BROADCAST_LIMIT_BYTES, merge_into, stage, watch
-from tablesync.sinks.jdbc import Warehouse
+from tablesync.operators.merge import aligned, unique_by_key
+from tablesync.plans.staging import BROADCAST_LIMIT_BYTES, merge_into, replace_keys, replace_rows, stage, watch
+from tablesync.sinks.jdbc import METHODS, Warehouse
 from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources import control, jdbc
@@ -54,6 +54,7 @@ class SyncSettings:
     broadcast_limit: int = BROADCAST_LIMIT_BYTES
     fail_fast: bool = False
     keep_versions: int = 2
+    load_method: str = "upsert"  # or "delete_insert"; "unique_index" on MySQL; a full load always replaces
     partition_by: Sequence[str] = ()  # lake targets: partitioned in place, see PartitionedDir
 
 
@@ -90,23 +91,26 @@ class SyncResult:
     message: str = "ok"
 
 
-def _cause(error: BaseException) -> str:
-    """Text of the innermost cause; Spark wraps what failed in the JVM, and several failures in one."""
+def _causes(error: BaseException) -> list[str]:
+    """Texts of the innermost causes; Spark wraps what failed in the JVM, and several failures in one."""
     inner = getattr(error, "java_exception", None)
     if inner is None:
-        return str(error)
-    while True:
-        suppressed = inner.getSuppressed()
-        below = inner.getCause() or (suppressed[0] if len(suppressed) else None)
-        if below is None:
-            return inner.getMessage() or inner.getClass().getName()
-        inner = below
+        return [str(error)]
+    found: list[str] = []
+    todo = [inner]
+    while todo:
+        each = todo.pop(0)
+        below = [x for x in (each.getCause(), *each.getSuppressed()) if x is not None]
+        todo += below
+        if not below:
+            found.append(each.getMessage() or each.getClass().getName())
+    return list(dict.fromkeys(found))
 
 
 def safe_message(error: BaseException) -> str:
-    """First line of an error with anything that looks like a secret masked."""
-    text = _cause(error).strip().split("\n", 1)[0] or type(error).__name__
-    return _SECRET.sub(r"\1\2***", text)[: control.MESSAGE_LIMIT]
+    """The whole text of an error and of all failures in it, with anything that looks like a secret masked."""
+    text = "\n".join(_causes(error)).strip() or type(error).__name__
+    return _SECRET.sub(r"\1\2***", text)
 
 
 class LakeTarget:
@@ -131,10 +135,40 @@ class LakeTarget:
         return reconcile.period_counts(self.table.read(), self.settings.audit_col, self.settings.frequency)
 
     def load(self, source: DataFrame) -> SyncResult:
-        result = self._load_all(source) if self._is_full() else self._merge(source)
+        if self.settings.load_type == "VALIDATE_AND_SYNC" and self.table.exists():
+            result = self._repair(source)
+        else:
+            result = self._load_all(source) if self._is_full() else self._merge(source)
         self.table.vacuum(self.settings.keep_versions)
         return result
 
+    def _repair(self, source: DataFrame) -> SyncResult:
+        """Replace the periods in which source and target differ, by their number of rows or a checksum of
+        them; compare again, and fail if anything is still different."""
+        audit, frequency = self.settings.audit_col, self.settings.frequency
+
+        def different() -> list:
+            target = self.table.read()
+            return reconcile.differing_periods(aligned(unique, target), target, audit, frequency)
+
+        unique = unique_by_key(source, self.task.merge_keys, **self._duplicates())
+        periods = different()
+        if not periods:
+            return SyncResult(self.task.sync_key, control.SUCCESS, 0, None, {})
+        target = self.table.read()
+        inside = reconcile.in_periods(target, audit, periods, frequency)
+        found = reconcile.in_periods(unique, audit, periods, frequency)
+        batch = stage(self.spark, unique.where(found), audit)
+        try:
+            kept = target.where(~inside)
+            replace_rows(self.table, kept, aligned(batch.df, target, fill=True))
+            left = different()
+            if left:
+                raise RuntimeError(f"periods still differ after loading them again: {left}")
+            return SyncResult(self.task.sync_key, control.SUCCESS, batch.rows, batch.watermark_us, {"inserted": batch.rows})
+        finally:
+            batch.drop()
+
     def _is_full(self) -> bool:
         return self.settings.load_type == "TRUNC_AND_LOAD" or not self.table.exists()
 
@@ -153,7 +187,9 @@ class LakeTarget:
         batch = stage(self.spark, source, settings.audit_col)
         try:
             stats: dict[str, int] = {}
-            if batch.rows:
+            if batch.rows and settings.load_method == "delete_insert":
+                stats = replace_keys(self.table, batch, self.task.merge_keys, settings.broadcast_limit, settings.evolve)
+            elif batch.rows:
                 stats = merge_into(
                     self.table,
                     batch,
@@ -188,11 +224,21 @@ class WarehouseTarget:
     def load(self, source: DataFrame) -> SyncResult:
         settings, keys = self.settings, self.task.merge_keys
         unique = unique_by_key(source, keys, settings.on_duplicate, (settings.audit_col, *settings.tie_break))
+        validate = settings.load_type == "VALIDATE_AND_SYNC"
+        if validate:  # a database tells its counts only
+            unique = reconcile.rows_in_wrong_periods(unique, self._compared(source), settings.audit_col, settings.frequency)
         watched, seen = watch(settings.audit_col)
-        method = "replace" if settings.load_type == "TRUNC_AND_LOAD" else "upsert"
+        method = "replace" if settings.load_type == "TRUNC_AND_LOAD" else settings.load_method
         stats = self.warehouse.load(watched(unique), self.table, keys, lambda: seen.get["rows"], method, settings.evolve)
+        left = self._compared(source).where("diff <> 0").collect() if validate else []
+        if left:
+            raise RuntimeError(f"periods still differ after loading them again: {[r['period'] for r in left]}")
         return SyncResult(self.task.sync_key, control.SUCCESS, seen.get["rows"], seen.get["watermark_us"], stats)
 
+    def _compared(self, source: DataFrame) -> DataFrame:
+        ours = reconcile.period_counts(source, self.settings.audit_col, self.settings.frequency)
+        return reconcile.compare_counts(ours, self.period_counts())
+
 
 def _target(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> LakeTarget | WarehouseTarget:
     if task.tgt_db_typ == LAKE:
@@ -215,12 +261,7 @@ def _batch(
     if settings.load_type == "TRUNC_AND_LOAD":
         return source
     if settings.load_type == "VALIDATE_AND_SYNC":
-        counts = target.period_counts()
-        if counts is None:
-            return source
-        ours = reconcile.period_counts(source, settings.audit_col, settings.frequency)
-        compared = reconcile.compare_counts(ours, counts)
-        return reconcile.rows_in_wrong_periods(source, compared, settings.audit_col, settings.frequency)
+        return source  # the target finds what differs
     if settings.window == "log":  # a watermark says nothing about a target that is not there
         mark = last_mark() if target.exists() else None
         return newer_than(source, settings.audit_col, mark, settings.overlap)
@@ -237,6 +278,20 @@ def _advances(settings: SyncSettings) -> bool:
     return settings.load_type == "TRUNC_AND_LOAD" or (settings.load_type == "APPEND" and settings.window == "log")
 
 
+def _check(settings: SyncSettings) -> None:
+    if settings.load_type not in LOAD_TYPES:
+        raise ValueError(f"load_type must be one of {LOAD_TYPES}")
+    if settings.window not in WINDOWS:
+        raise ValueError(f"window must be one of {WINDOWS}")
+    if settings.load_method not in METHODS:
+        raise ValueError(f"load_method must be one of {METHODS}")
+
+
+def _log_failure(spark: SparkSession, settings: SyncSettings, sync_key: str | None, error: BaseException) -> None:
+    options = {"fmt": settings.control_format, "names": settings.log_names}
+    control.append_log(spark, settings.log, sync_key, control.FAIL, None, safe_message(error), **options)
+
+
 def run_one(
     spark: SparkSession, task: SyncTask, settings: SyncSettings, marks: Mapping[str, int | None] | None = None
 ) -> SyncResult:
@@ -245,10 +300,6 @@ def run_one(
     ``marks`` are last watermarks already looked up. Success is logged after the target has switched:
     a crash in between repeats the batch, which a keyed merge absorbs.
     """
-    if settings.load_type not in LOAD_TYPES:
-        raise ValueError(f"load_type must be one of {LOAD_TYPES}")
-    if settings.window not in WINDOWS:
-        raise ValueError(f"window must be one of {WINDOWS}")
     log_options = {"fmt": settings.control_format, "names": settings.log_names}
 
     def last_mark() -> int | None:
@@ -257,11 +308,12 @@ def run_one(
         return control.last_watermark_us(control.read_log(spark, settings.log, **log_options), task.sync_key)
 
     try:
+        _check(settings)
         target = _target(spark, task, settings)
         source = _source(spark, task, settings)
         result = target.load(_batch(source, target, settings, last_mark))
     except Exception as error:
-        control.append_log(spark, settings.log, task.sync_key, control.FAIL, None, safe_message(error), **log_options)
+        _log_failure(spark, settings, task.sync_key, error)
         raise
     mark = result.watermark_us if _advances(settings) else None
     control.append_log(spark, settings.log, task.sync_key, control.SUCCESS, mark, "ok", **log_options)
@@ -274,21 +326,34 @@ def run_all(
     """Run every registry row of a source table and target kind.
 
     The log is read once for all of them. One failing table does not stop the others unless
-    ``fail_fast`` is set.
+    ``fail_fast`` is set. Every failure is logged: of a run, of a registry row that makes no task, and, without
+    a key, of what comes before the first row.
     """
-    registry = read(spark, settings.registry, settings.control_format)
-    rows = control.registry_rows(registry, src_db, src_tbl, tgt_db_typ, settings.registry_names)
-    runs = control.read_log(spark, settings.log, settings.control_format, settings.log_names)
-    marks = control.watermarks_us(runs, rows)
+    try:
+        registry = read(spark, settings.registry, settings.control_format)
+        rows = control.registry_rows(registry, src_db, src_tbl, tgt_db_typ, settings.registry_names)
+        runs = control.read_log(spark, settings.log, settings.control_format, settings.log_names)
+        marks = control.watermarks_us(runs, rows)
+        if rows.isEmpty():
+            raise LookupError(f"no registry rows for {src_db}.{src_tbl} to {tgt_db_typ}")
+    except Exception as error:
+        _log_failure(spark, settings, None, error)
+        raise
     results: list[SyncResult] = []
     for row in rows.toLocalIterator():
         try:
-            results.append(run_one(spark, SyncTask.from_row(row), settings, marks))
+            results.append(run_one(spark, _task(spark, settings, row), settings, marks))
         except Exception as error:
             if settings.fail_fast:
                 raise
             log.error("sync %s failed: %s", row["sync_key"], safe_message(error))
             results.append(SyncResult(row["sync_key"], control.FAIL, message=safe_message(error)))
-    if not results:
-        raise LookupError(f"no registry rows for {src_db}.{src_tbl} to {tgt_db_typ}")
     return results
+
+
+def _task(spark: SparkSession, settings: SyncSettings, row: Row) -> SyncTask:
+    try:
+        return SyncTask.from_row(row)
+    except Exception as error:
+        _log_failure(spark, settings, row["sync_key"], error)
+        raise

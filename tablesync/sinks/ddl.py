@@ -49,12 +49,12 @@ def missing_fields(current: T.StructType, wanted: T.StructType) -> list[T.Struct
 
 
 def add_column_ddl(
-    table: str, current: T.StructType, wanted: T.StructType, dialect: Dialect | None = None
+    table: str, current: T.StructType, wanted: T.StructType, dialect: Dialect | None = None, text_width: int = TEXT_WIDTH
 ) -> list[str]:
     """One ``ALTER TABLE … ADD`` statement per missing column."""
     statements = []
     for f in missing_fields(current, wanted):
-        dtype = column_type(f.dataType, dialect)
+        dtype = column_type(f.dataType, dialect, text_width)
         if dialect is None:
             quoted = ".".join(name(p) for p in table.split("."))
             statements.append(f"ALTER TABLE {quoted} ADD COLUMNS ({name(f.name)} {dtype})")

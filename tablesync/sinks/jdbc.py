@@ -5,19 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.merge import common_columns
-from tablesync.operators.quality import width_report
 from tablesync.operators.skew import name
 from tablesync.sinks.ddl import TEXT_WIDTH, add_column_ddl
 from tablesync.sources.jdbc import Connection, Dialect, newest_sql, query
 
 STAGE_SUFFIX = "_sync_stg"
 BATCH_ROWS = 10_000
-METHODS = ("upsert", "delete_insert", "replace")
+METHODS = ("upsert", "delete_insert", "replace", "unique_index")
 
 
 def text_column_types(df: DataFrame, width: int = TEXT_WIDTH) -> str:
@@ -37,13 +36,15 @@ def nested_as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def too_wide(df: DataFrame, width: int = TEXT_WIDTH) -> dict[str, int]:
-    """Text columns with rows wider than the column type, and how many; one pass over the text."""
+def observe_wide(df: DataFrame, width: int = TEXT_WIDTH) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame, and what tells, once it has been written, the text columns with rows wider than the column type
+    and how many."""
     texts = [f.name for f in df.schema.fields if type(f.dataType) is T.StringType]
     if not texts:
-        return {}
-    report = width_report(df, texts, width).first()
-    return {c: report[f"over_{c}"] for c in texts if report[f"over_{c}"]}
+        return df, dict
+    seen = Observation()
+    counts = [F.count_if(F.length(F.col(name(c))) > width).alias(f"c{i}") for i, c in enumerate(texts)]
+    return df.observe(seen, *counts), lambda: {c: n for i, c in enumerate(texts) if (n := seen.get[f"c{i}"])}
 
 
 def write_options(conn: Connection, table: str, df: DataFrame, text_width: int) -> dict[str, str]:
@@ -132,11 +133,15 @@ def delete_insert_statements(dialect: Dialect, target: str, stage: str, keys: Se
 def load_statements(
     dialect: Dialect, target: str, stage: str, keys: Sequence[str], columns: Sequence[str], method: str
 ) -> list[str]:
-    """``upsert``, ``delete_insert``, or ``replace`` (delete all rows, insert the stage)."""
+    """``upsert``, ``delete_insert``, ``replace`` (delete all rows, insert the stage), or MySQL's ``unique_index``."""
     if method == "upsert":
         return upsert_statements(dialect, target, stage, keys, columns)
     if method == "delete_insert":
         return delete_insert_statements(dialect, target, stage, keys, columns)
+    if method == "unique_index":
+        if dialect is not Dialect.MYSQL:
+            raise ValueError("only MySQL matches on the target's unique indexes")
+        return [unique_index_upsert_statement(target, stage, columns)]
     listed = ", ".join(dialect.quote(c) for c in columns)
     return [
         f"DELETE FROM {dialect.quote(target)}",
@@ -178,7 +183,7 @@ class Warehouse:
 
     conn: Connection
     connect: Callable[[], object]
-    partitions: int | None = None
+    partitions: int  # connections open at once
     text_width: int = TEXT_WIDTH
 
     def columns(self, spark, table: str) -> DataFrame:
@@ -192,7 +197,7 @@ class Warehouse:
         return found.select(F.unix_micros(F.col("newest").cast("timestamp")).alias("us")).first()["us"]
 
     def add_columns(self, table: str, current: T.StructType, wanted: T.StructType) -> None:
-        statements = add_column_ddl(table, current, wanted, self.conn.dialect)
+        statements = add_column_ddl(table, current, wanted, self.conn.dialect, self.text_width)
         if statements:
             run_in_transaction(self.connect, statements)
 
@@ -221,13 +226,18 @@ class Warehouse:
         names = [t for t, _ in shared]
         run_in_transaction(self.connect, clone_statements(dialect, target, stage, names))
         staged_rows = flat.select(*[F.col(name(b)).alias(t) for t, b in shared])
-        writer(staged_rows, self.conn, stage, "append", self.partitions, self.text_width).save()
+        checked, wide = observe_wide(staged_rows, self.text_width)
+        writer(checked, self.conn, stage, "append", self.partitions, self.text_width).save()
         staged, expected = self.count(spark, stage), expected_rows()
         if staged != expected:
             raise RuntimeError(f"stage {stage} holds {staged} rows, the batch has {expected}")
+        if wide():  # a lenient database has cut them
+            raise ValueError(f"rows with text over {self.text_width} characters, by column: {wide()}")
         before = self.count(spark, target)
-        run_in_transaction(self.connect, load_statements(dialect, target, stage, keys, names, method))
+        counts = run_in_transaction(self.connect, load_statements(dialect, target, stage, keys, names, method))
         if method == "replace":
             return {"stg_rows": staged, "deleted": before, "inserted": staged}
+        if method == "unique_index":
+            return {"stg_rows": staged, **upsert_counts(before, self.count(spark, target), counts[0])}
         inserted = self.count(spark, target) - before
         return {"stg_rows": staged, "inserted": inserted, "matched": staged - inserted}

@@ -2,41 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_, or_
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import storage
 from tablesync.operators.skew import name
 
-MAX_LISTED = 1000
 Finish = Callable[[DataFrame], DataFrame] | None
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: how Spark names the partition of NULL
 
 
-def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions the batch has rows in.
-
-    Up to ``MAX_LISTED`` partitions are listed on the driver, as the table's own file listing is, and
-    become a static partition filter: the scan skips the other directories. With more, rows of all
-    partitions are read and joined.
-    """
-    parts = batch.select(*[F.col(name(c)).cast("string").alias(f"p{i}") for i, c in enumerate(partition_by)]).distinct()
-    listed = parts.limit(MAX_LISTED + 1).collect()
-    if len(listed) > MAX_LISTED:
-        on = [F.col(name(c)).cast("string").eqNullSafe(F.col(f"p{i}")) for i, c in enumerate(partition_by)]
-        return target.join(parts, reduce(and_, on), "left_semi")
-    types = {f.name: f.dataType for f in target.schema.fields}
-
-    def is_value(column: str, value: str | None) -> Column:
-        c = F.col(name(column))
-        return c.isNull() if value is None else c == F.lit(value).cast(types[column])
-
-    wanted = [reduce(and_, [is_value(c, row[i]) for i, c in enumerate(partition_by)]) for row in listed]
-    return target.where(reduce(or_, wanted, F.lit(False)))
+def glob_text(column: str) -> str:
+    """A column name as Spark writes it in directories, for a glob pattern."""
+    return column if re.fullmatch(r"[A-Za-z0-9_ .$-]+", column) else "*"
 
 
 class PartitionedDir:
@@ -70,9 +53,14 @@ class PartitionedDir:
         empty = self.spark.createDataFrame([], schema)
         empty.write.format(self.fmt).mode("overwrite").save(self._schema_path)
 
+    @property
+    def _pending_path(self) -> str:
+        """There while the table is being replaced: what lies in it then is ours, complete or not."""
+        return f"{self.path}.pending"
+
     def _check_ours(self) -> None:
         """Never overwrite a directory of unknown origin."""
-        if not self.exists() and storage.glob_names(self.spark, f"{self.path}/[!_.]*"):
+        if not self.exists() and not storage.exists(self.spark, self._pending_path) and storage.glob_names(self.spark, f"{self.path}/[!_.]*"):
             raise FileExistsError(f"{self.path} holds files of unknown origin: adopt the directory or empty it")
 
     def read(self) -> DataFrame:
@@ -83,7 +71,29 @@ class PartitionedDir:
         missing = [c for c in self.partition_by if c.lower() not in {k.lower() for k in keys}]
         if missing:
             raise ValueError(f"partition columns {missing} are not merge keys; use a VersionedDir")
-        return touched(self.read(), batch, self.partition_by)
+        found = self.touched(batch)
+        reader = self.spark.read.format(self.fmt)
+        schema = reader.load(self._schema_path).schema
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        return reader.schema(schema).option("basePath", self.path).load(found)
+
+    def touched(self, batch: DataFrame) -> list[str]:
+        """Directories of the table's partitions that the batch has rows in.
+
+        The driver holds the table's directory names, as any listing of the table does, and gets back those that
+        are also in the batch; only these are read, however many there are.
+        """
+        listed = storage.glob_names(self.spark, "/".join([self.path, *[f"{glob_text(c)}=*" for c in self.partition_by]]))
+        if not listed:
+            return []
+        depth = len(self.partition_by)
+        names = [f"p{i}" for i in range(depth)]
+        rows = [(*[unquote(part.split("=", 1)[1]) for part in path.split("/")[-depth:]], path) for path in listed]
+        there = self.spark.createDataFrame(rows, ", ".join(f"{c} string" for c in (*names, "path")))
+        text = [F.coalesce(F.nullif(F.col(name(c)).cast("string"), F.lit("")), F.lit(NULL_PARTITION)) for c in self.partition_by]
+        wanted = batch.select(*[t.alias(n) for t, n in zip(text, names)]).distinct()
+        return [r["path"] for r in there.join(wanted, names, "left_semi").select("path").collect()]
 
     def rewrite_bytes(self) -> int:
         return storage.size_bytes(self.spark, self.path)
@@ -92,6 +102,9 @@ class PartitionedDir:
         self._check_ours()
         gathered = df.hint("rebalance", *[F.col(name(c)) for c in self.partition_by])
         finished = finish(gathered) if finish else gathered
+        replaces = overwrite == "static" or not self.exists()
+        if replaces:
+            self.spark.createDataFrame([], finished.schema).write.format(self.fmt).mode("overwrite").save(self._pending_path)
         (
             finished.write.format(self.fmt)
             .mode("overwrite")
@@ -100,6 +113,8 @@ class PartitionedDir:
             .save(self.path)
         )
         self._write_schema(finished.schema)
+        if replaces:
+            storage.delete(self.spark, self._pending_path)
 
     def write(self, df: DataFrame, finish: Finish = None) -> None:
         """Replace the partitions that have rows in ``df``. A large partition is split over several files.

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync import storage
-from tablesync.operators.merge import apply_batch, change_feed, unique_by_key
-from tablesync.operators.quality import null_keys, pk_violations
+from tablesync.operators.merge import apply_batch, change_feed, resolve, unique_by_key
 from tablesync.operators.skew import any_null, name
 from tablesync.sinks.ddl import add_missing_columns, with_missing
+from tablesync.sinks.staged import merge_options, stage
 from tablesync.sinks.versioned import VersionedDir
 
 KEY_PROPERTY = "tablesync.primary_key"
@@ -31,7 +31,7 @@ def _quoted(table: str) -> str:
 
 
 def key_first(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    keys = _as_list(keys)
+    keys = resolve(df, _as_list(keys))
     return df.select(*[F.col(name(c)) for c in [*keys, *[c for c in df.columns if c not in keys]]])
 
 
@@ -60,11 +60,13 @@ def empty_clone(
 
 
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key is NULL or repeated. Reads the key columns only."""
-    incomplete = null_keys(df, keys).first()["incomplete"]
-    if incomplete:
-        raise ValueError(f"{incomplete} rows have a NULL in key {list(keys)}")
-    if not pk_violations(df, keys).isEmpty():
+    """Raise when a key is NULL or repeated: one aggregate over the key columns."""
+    columns = [F.col(name(k)) for k in keys]
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    bad = counts.agg(F.sum(F.when(any_null(keys), F.col("n"))).alias("nulls"), F.count_if(~any_null(keys) & (F.col("n") > 1)).alias("again")).first()
+    if bad["nulls"]:
+        raise ValueError(f"{bad['nulls']} rows have a NULL in key {list(keys)}")
+    if bad["again"]:
         raise ValueError(f"key {list(keys)} is not unique")
 
 
@@ -89,7 +91,8 @@ def publish_table(
 
     ``mergeSchema`` keeps the columns of both sides: appending alters the table and adds files, so the
     existing data is not rewritten. ``overwriteSchema`` lets an overwrite replace the schema. Keys
-    come first, are checked on the written table, and are kept in the table properties.
+    come first and are kept in the table properties; rows that would break them, also against the rows an
+    append adds to, are found in a staged copy, before any becomes visible.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -102,6 +105,37 @@ def publish_table(
     present = spark.catalog.tableExists(table)
     if present and mode == "ignore":
         return
+    staged = None
+    if keys:
+        keys = resolve(df, keys)
+        staged = storage.new_dir(spark, "publish")
+        df.write.parquet(staged)
+        df = spark.read.schema(df.schema).parquet(staged)
+    try:
+        if keys:
+            check_keys(df, keys)
+            if present and mode == "append":
+                _check_new_keys(df, spark.table(table), keys)
+        _write_table(spark, df, table, present, mode, schema_option, partition_by, fmt)
+    finally:
+        if staged:
+            storage.delete(spark, staged)
+    if comment:
+        escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {_quoted(table)} IS '{escaped}'")
+    if keys:
+        spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ('{KEY_PROPERTY}' = '{','.join(keys)}')")
+
+
+def _check_new_keys(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> None:
+    old = table.select(*[F.col(name(c)).alias(k) for c, k in zip(resolve(table, keys), keys)])
+    if not df.select(*[name(k) for k in keys]).join(old, list(keys), "left_semi").isEmpty():
+        raise ValueError(f"key {list(keys)} is not unique: the table has some of the new keys")
+
+
+def _write_table(
+    spark: SparkSession, df: DataFrame, table: str, present: bool, mode: str, schema_option: str, partition_by: Sequence[str], fmt: str
+) -> None:
     if present and mode == "append":
         if schema_option == "mergeSchema":
             add_missing_columns(spark, table, df)
@@ -119,12 +153,6 @@ def publish_table(
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
-    if comment:
-        escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {_quoted(table)} IS '{escaped}'")
-    if keys:
-        check_keys(spark.table(table), keys)
-        spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ('{KEY_PROPERTY}' = '{','.join(keys)}')")
 
 
 def upsert_keyed(
@@ -133,35 +161,41 @@ def upsert_keyed(
     primary_keys: str | Sequence[str],
     *,
     timestamp_keys: str | Sequence[str] | None = None,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] | None = None,
     mode: str = "merge",
     table: str | None = None,
     feed: bool = False,
-    **merge_options,
+    **options,
 ) -> int:
     """Create or upsert a keyed table and return its new version.
 
     Rows are identified by primary and timestamp keys together. Columns new to the table are added.
     ``overwrite`` replaces all rows. With ``table`` the catalog entry is pointed at the new version.
-    ``feed`` also writes the row changes, for ``VersionedDir.read_changes``; ``df`` is then evaluated
-    twice, so pass a staged batch.
+    ``feed`` also writes the row changes, for ``VersionedDir.read_changes``. ``df`` is staged, so it is evaluated
+    once, and its measured size picks the join. Partitions stay as they are unless others are given.
     """
     keys = [*_as_list(primary_keys), *_as_list(timestamp_keys)]
     if not _as_list(primary_keys):
         raise ValueError("a keyed table needs primary keys")
     if mode not in ("merge", "overwrite"):
         raise ValueError("mode must be 'merge' or 'overwrite'")
-    df = require_keys(key_first(df, keys), keys)
-    existing = None if directory.current() is None else with_missing(key_first(directory.read(), keys), df)
-    duplicates = {k: v for k, v in merge_options.items() if k in ("on_duplicate", "order_by")}
-    if mode == "overwrite" or existing is None:
-        result = unique_by_key(df, keys, **duplicates)
-    else:
-        result = apply_batch(existing, df, keys, **merge_options)
-    if feed:
-        before = df.limit(0) if existing is None else existing
-        directory.write_changes(change_feed(before, df, keys, replace=mode == "overwrite", **merge_options))
-    version = directory.write(result, partition_by)
+    spark = df.sparkSession
+    batch = stage(spark, require_keys(key_first(df, keys), keys), None)
+    try:
+        existing = None if directory.current() is None else with_missing(key_first(directory.read(), keys), batch.df)
+        duplicates = {k: v for k, v in options.items() if k in ("on_duplicate", "order_by")}
+        if existing is not None:
+            options = {**merge_options(existing, batch, keys), **options}
+        if mode == "overwrite" or existing is None:
+            result = unique_by_key(batch.df, keys, **duplicates)
+        else:
+            result = apply_batch(existing, batch.df, keys, **options)
+        if feed:
+            before = batch.df.limit(0) if existing is None else existing
+            directory.write_changes(change_feed(before, batch.df, keys, replace=mode == "overwrite", **options))
+        version = directory.write(result, partition_by)
+    finally:
+        batch.drop()
     if table:
         properties = {KEY_PROPERTY: ",".join(_as_list(primary_keys)), TIME_KEY_PROPERTY: ",".join(_as_list(timestamp_keys))}
         register(directory, table, properties)
@@ -185,16 +219,18 @@ def register(directory: VersionedDir, table: str, properties: dict[str, str] | N
     spark.sql(f"CREATE TABLE {_quoted(table)} USING {directory.fmt} LOCATION '{path}'{clause}")
 
 
-def compact(directory: VersionedDir, file_mb: int = 128, partition_by: Sequence[str] = ()) -> int:
+def compact(directory: VersionedDir, file_mb: int = 128, partition_by: Sequence[str] | None = None) -> int:
     """Rewrite the current version in files of about ``file_mb`` and return the new version.
 
-    Without partition columns tasks are only merged, with no shuffle. With them, rows are gathered
-    by partition, and a partition larger than a file is split over several tasks.
+    The partitions stay as they are unless others are given. Without any, tasks are only merged, with no
+    shuffle. With them, rows are gathered by partition, and a partition larger than a file is split over
+    several tasks.
     """
     spark = directory.spark
     df = directory.read()
-    if partition_by:
+    columns = directory.layout() if partition_by is None else list(partition_by)
+    if columns:
         with storage.conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=f"{file_mb}m"):
-            return directory.write(df.hint("rebalance", *[F.col(name(c)) for c in partition_by]), partition_by)
+            return directory.write(df, columns)
     size = storage.size_bytes(spark, directory.path_of(directory.current()))
-    return directory.write(df.coalesce(max(1, math.ceil(size / (file_mb << 20)))))
+    return directory.write(df.coalesce(max(1, math.ceil(size / (file_mb << 20)))), ())

@@ -12,11 +12,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import storage
+from tablesync.operators.skew import name
 from tablesync.sinks.partitioned import Finish
 
 DONE = "_SUCCESS"
+PARTITION = "partition"  # metadata: place among the partition columns
 
 
 class VersionedDir:
@@ -41,7 +44,8 @@ class VersionedDir:
             raise FileNotFoundError(f"no committed version below {self.path}")
         reader = self.spark.read.format(self.fmt)
         if storage.exists(self.spark, self._schema_path(number)):
-            reader = reader.schema(reader.load(self._schema_path(number)).schema)
+            plain = [T.StructField(f.name, f.dataType, f.nullable) for f in reader.load(self._schema_path(number)).schema.fields]
+            reader = reader.schema(T.StructType(plain))
         return reader.load(self.path_of(number))
 
     def _schema_path(self, version: int) -> str:
@@ -61,15 +65,35 @@ class VersionedDir:
     def replace(self, df: DataFrame, finish: Finish = None) -> None:
         self.write(df, finish=finish)
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = (), finish: Finish = None) -> int:
-        """Write the next version. ``finish`` as for ``PartitionedDir.write``."""
+    def layout(self) -> list[str]:
+        """Partition columns of the current version."""
+        number = self.current()
+        if number is None or not storage.exists(self.spark, self._schema_path(number)):
+            return []
+        fields = self.spark.read.format(self.fmt).load(self._schema_path(number)).schema.fields
+        marked = [f for f in fields if PARTITION in f.metadata]
+        return [f.name for f in sorted(marked, key=lambda f: f.metadata[PARTITION])]
+
+    def write(self, df: DataFrame, partition_by: Sequence[str] | None = None, finish: Finish = None) -> int:
+        """Write the next version, in the current one's partitions unless others (or none, ``()``) are given. Rows are
+        gathered by partition, a large one in several files. ``finish`` as for ``PartitionedDir.write``."""
+        columns = self.layout() if partition_by is None else list(partition_by)
         number = (self.current() or 0) + 1
+        if columns:
+            df = df.hint("rebalance", *[F.col(name(c)) for c in columns])
         finished = finish(df) if finish else df
         writer = finished.write.format(self.fmt).mode("overwrite")
-        if partition_by:
-            empty = self.spark.createDataFrame([], finished.schema)
+        if columns:
+            place = {c.lower(): i for i, c in enumerate(columns)}
+            marked = [
+                F.col(name(f.name)).alias(f.name, metadata={**f.metadata, PARTITION: place[f.name.lower()]})
+                if f.name.lower() in place
+                else F.col(name(f.name))
+                for f in finished.schema.fields
+            ]
+            empty = self.spark.createDataFrame([], finished.schema).select(*marked)
             empty.write.format(self.fmt).mode("overwrite").save(self._schema_path(number))
-            writer = writer.partitionBy(*partition_by)
+            writer = writer.partitionBy(*columns)
         writer.save(self.path_of(number))
         return number
 
@@ -81,10 +105,16 @@ class VersionedDir:
         feed.write.format(self.fmt).mode("overwrite").save(self.changes_path((self.current() or 0) + 1))
 
     def read_changes(self, after: int = 0) -> DataFrame | None:
-        """Changes of the committed versions after ``after``, with ``_commit_version``; None without any."""
+        """Changes of the committed versions after ``after``, with ``_commit_version``; None without any.
+
+        An error when versions after ``after`` have been deleted: what is left would not be all changes.
+        """
+        found = self.versions()
+        if found and after + 1 < found[0]:
+            raise LookupError(f"the changes of versions {after + 1} to {found[0] - 1} are gone; read the whole table again")
         feeds = [
             self.spark.read.format(self.fmt).load(self.changes_path(v)).withColumn("_commit_version", F.lit(v))
-            for v in self.versions()
+            for v in found
             if v > after and storage.exists(self.spark, self.changes_path(v))
         ]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds) if feeds else None

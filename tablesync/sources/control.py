@@ -19,7 +19,6 @@ from tablesync.storage import exists, is_path
 
 SUCCESS, FAIL = "success", "fail"
 ACTOR = "tablesync"
-MESSAGE_LIMIT = 1000
 
 REGISTRY_SCHEMA = T.StructType(
     [
@@ -130,7 +129,7 @@ def append_log(
         "updated_dt": now,
         "created_by": F.lit(ACTOR),
         "updated_by": F.lit(ACTOR),
-        "msg": F.lit(message[:MESSAGE_LIMIT]),
+        "msg": F.lit(message),
     }
     physical = names or {}
     df = spark.range(1, numPartitions=1).select(*[c.alias(physical.get(n, n)) for n, c in row.items()])

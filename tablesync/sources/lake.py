@@ -120,10 +120,11 @@ def extract(
     start: str | None = None,
     end: str | None = None,
     row_limit: int | None = None,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Table or user SQL. User SQL replaces the generated extraction: no range, no limit applies.
 
-    ``row_limit`` without an order returns arbitrary rows and is off by default.
+    ``row_limit`` takes the first rows by ``order_by`` and cannot go without it.
     """
     if sql:
         return from_sql(spark, sql)
@@ -132,7 +133,11 @@ def extract(
     df = read(spark, ref, fmt)
     if not full_load and date_col is not None and start is not None:
         df = between(df, date_col, start, end or DEFAULT_END)
-    return df if row_limit is None else df.limit(row_limit)
+    if row_limit is None:
+        return df
+    if not order_by:
+        raise ValueError("a row limit needs an order")
+    return df.orderBy(*[name(c) for c in order_by]).limit(row_limit)
 
 
 def at_least_partitions(df: DataFrame, wanted: int = DEFAULT_PARTITIONS) -> DataFrame:

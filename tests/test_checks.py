@@ -28,8 +28,10 @@ def test_pk_checks(spark):
 
 
 def test_latest_version_is_numeric(spark):
-    df = spark.createDataFrame([("m", "9"), ("m", "10"), ("m", "draft")], "name string, version string")
+    df = spark.createDataFrame([("m", "9"), ("m", "10"), ("m", None)], "name string, version string")
     assert quality.latest_version(df, "name", "version").first()["latest"] == 10
+    with pytest.raises(Exception, match="draft"):
+        quality.latest_version(df.unionAll(spark.sql("SELECT 'm', 'draft'")), "name", "version").collect()
 
 
 def test_watermark_of_nothing(spark):
@@ -104,7 +106,9 @@ def test_user_sql_replaces_the_generated_extraction(spark):
     spark.range(5).createOrReplaceTempView("five")
     df = lake.extract(spark, "five", sql="SELECT id FROM five WHERE id > 1", date_col="id", start="x", row_limit=1)
     assert df.count() == 3
-    assert lake.extract(spark, "five", row_limit=2).count() == 2
+    assert [r["id"] for r in lake.extract(spark, "five", row_limit=2, order_by=["id"]).collect()] == [0, 1]
+    with pytest.raises(ValueError, match="order"):
+        lake.extract(spark, "five", row_limit=2)
     with pytest.raises(ValueError):
         lake.extract(spark)
 

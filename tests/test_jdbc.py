@@ -5,6 +5,7 @@ The closing statements run in DuckDB's in-memory engine, the one that also check
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
 from tablesync.sinks import jdbc as sink
 from tablesync.sources import jdbc as source
@@ -75,8 +76,10 @@ def test_write_options(spark):
 
 def test_too_wide(spark):
     df = spark.createDataFrame([("short", "x" * 5001), ("short", None)], "a string, b string")
-    assert sink.too_wide(df) == {"b": 1}
-    assert sink.too_wide(spark.range(3)) == {}
+    checked, wide = sink.observe_wide(df)
+    checked.collect()
+    assert wide() == {"b": 1}
+    assert sink.observe_wide(spark.range(3))[1]() == {}
 
 
 @pytest.fixture
@@ -176,7 +179,7 @@ def fake(spark, monkeypatch):
     monkeypatch.setattr(sink, "writer", Writer)
 
     def make(*counts):
-        return FakeWarehouse(Connection("jdbc:x", Dialect.REDSHIFT, {"counts": list(counts)}), lambda: None), sent, written
+        return FakeWarehouse(Connection("jdbc:x", Dialect.REDSHIFT, {"counts": list(counts)}), lambda: None, 8), sent, written
 
     return make
 
@@ -210,6 +213,29 @@ def test_load_can_add_columns_first(spark, fake):
     assert stats == {"stg_rows": 1, "deleted": 5, "inserted": 1}
 
 
+def test_load_reports_text_that_is_too_long(spark, fake):
+    warehouse, sent, _ = fake(1)
+    with pytest.raises(ValueError, match="'v': 1"):
+        warehouse.load(spark.createDataFrame([(1, "x" * 4001)], "id int, v string"), "s.t", ["id"], lambda: 1)
+    assert len(sent) == 1  # the stage alone
+
+
+def test_added_columns_have_the_warehouse_width(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(sink, "run_in_transaction", lambda connect, statements: sent.extend(statements))
+    wide = sink.Warehouse(Connection("jdbc:x", Dialect.MYSQL, {}), lambda: None, 8, 300)
+    wide.add_columns("t", T.StructType(), T.StructType([T.StructField("v", T.StringType())]))
+    assert sent == ["ALTER TABLE `t` ADD COLUMN `v` VARCHAR(300)"]
+
+
+def test_unique_index_method(spark, monkeypatch):
+    assert sink.load_statements(Dialect.MYSQL, "t", "s", ["a"], ["a"], "unique_index") == [
+        sink.unique_index_upsert_statement("t", "s", ["a"])
+    ]
+    with pytest.raises(ValueError, match="MySQL"):
+        sink.load_statements(Dialect.REDSHIFT, "t", "s", ["a"], ["a"], "unique_index")
+
+
 def test_mysql_statements():
     update, insert = sink.upsert_statements(Dialect.MYSQL, "d.tgt", "d.stg", ["a", "b"], ["a", "b", "v"])
     assert update == (

@@ -134,7 +134,9 @@ def test_keyed_table_with_a_change_feed(spark, tmp_path):
     )
     assert rows(table.read_changes(after=2)) == Counter([(2, "B", "delete", 3)])
     table.vacuum(1)
-    assert table.read_changes().count() == 1
+    assert table.read_changes(after=2).count() == 1
+    with pytest.raises(LookupError, match="1 to 2"):
+        table.read_changes()
 
 
 def test_keyed_table_moves_rows_between_partitions(spark, tmp_path):
@@ -152,9 +154,35 @@ def test_compaction_keeps_rows_and_joins_files(spark, tmp_path):
     assert len(table.read().inputFiles()) == 1
     assert table.read().agg(F.sum("id"), F.count("id")).first()[:] == (499500, 1000)
     table.write(table.read().withColumn("p", F.col("id") % 2).repartition(20), ["p"])
-    publish.compact(table, partition_by=["p"])
-    assert len(table.read().inputFiles()) == 2
+    publish.compact(table)
+    assert len([f for f in table.read().inputFiles() if "p=" in f]) == 2 and table.layout() == ["p"]
     assert table.read().count() == 1000
+    publish.upsert_keyed(spark.range(990, 1010).withColumn("p", F.col("id") % 2), table, "id")
+    assert table.layout() == ["p"] and table.read().count() == 1010
+
+
+def test_a_refused_publish_leaves_the_table_as_it_was(spark, name):
+    publish.publish_table(two(spark), name, primary_keys="ID")
+    for bad in ([(3, "c"), (3, "d")], [(None, "n")], [(2, "again")]):
+        with pytest.raises(ValueError):
+            publish.publish_table(spark.createDataFrame(bad, "id int, v string"), name, mode="append", primary_keys="id")
+    assert rows(spark.table(name)) == Counter([(1, "a"), (2, "b")])
+    assert publish.key_first(two(spark), ["V"]).columns == ["v", "id"]
+
+
+def test_keyed_input_is_evaluated_once(spark, tmp_path):
+    table = VersionedDir(spark, f"{tmp_path}/keyed")
+    publish.upsert_keyed(two(spark), table, "id")
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    more = spark.createDataFrame([(2, "B"), (3, "c")], "id int, v string")
+    publish.upsert_keyed(more.mapInArrow(count, more.schema), table, "id", feed=True)
+    assert evaluated.value == 2 and table.read_changes(after=1).count() == 3
 
 
 def merge_rows(table, batch, keys, **options):

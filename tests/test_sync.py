@@ -138,10 +138,16 @@ def test_one_failing_table_does_not_stop_the_others(spark, site):
     site.register("k2", "src", "third")
     results = {r.sync_key: r.status for r in run_all(spark, site.settings, "lake", "src", LAKE)}
     assert results == {"k1": "success", "k0": "fail", "k2": "success"}
+    logged = {(r["sync_key"], r["current_status"]): r["msg"] for r in site.log().collect()}
+    assert "no merge keys" in logged["k0", "fail"] and len(logged) == 3
     with pytest.raises(ValueError):
         run_all(spark, replace(site.settings, fail_fast=True), "lake", "src", LAKE)
     with pytest.raises(LookupError):
         run_all(spark, site.settings, "lake", "unknown", LAKE)
+    assert site.log().where("sync_key IS NULL AND current_status = 'fail' AND msg LIKE 'no registry rows%'").count() == 1
+    with pytest.raises(ValueError):
+        site.run(load_type="OTHER")
+    assert "load_type" in site.log().collect()[-1]["msg"]
 
 
 def test_truncate_and_load(site):
@@ -157,9 +163,39 @@ def test_validate_and_sync_loads_only_periods_that_differ(site):
     site.run()
     site.source((3, "late", "2024-01-05"))
     result = site.run(load_type="VALIDATE_AND_SYNC")
-    assert (result.rows, result.stats["inserted"], result.stats["unchanged"]) == (2, 1, 1)
+    assert (result.rows, result.stats["inserted"]) == (2, 2)
     assert site.rows() == {1: "a", 2: "b", 3: "late"}
+    version = site.target.current()
     assert site.run(load_type="VALIDATE_AND_SYNC").rows == 0
+    assert site.target.current() == version
+
+
+def test_validate_and_sync_removes_surplus_and_mends_stale_rows(spark, site):
+    site.source((1, "a", "2024-01-01"), (2, "b", "2024-02-01"), (3, "c", "2024-12-31 23:59:59"), (4, "d", None), (5, "e", "2023-01-01"))
+    site.run()
+    site.source(
+        (1, "stale no more", "2024-01-01"), (3, "c", "2024-12-31 23:59:59"), (4, "D", None), (2, "b", "2025-01-01"), (6, "f", "2023-01-01"),
+        mode="overwrite",
+    )  # one changed, one moved, one gone, one new, one without a time
+    assert site.run(load_type="VALIDATE_AND_SYNC").rows == 4
+    assert site.rows() == {1: "stale no more", 2: "b", 3: "c", 4: "D", 6: "f"}
+    partitioned = replace(site.settings, partition_by=["id"], load_type="VALIDATE_AND_SYNC")
+    task = replace(site.task, tgt_tbl="parts")
+    run_one(spark, task, partitioned)
+    site.source((1, "again", "2024-01-01"), (7, "g", "2024-01-02"), mode="overwrite")
+    run_one(spark, task, partitioned)
+    table = PartitionedDir(spark, f"{site.base}/parts", ["id"])
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {1: "again", 7: "g"}
+
+
+def test_delete_and_insert_as_the_method(site):
+    site.source((1, "a", "2024-01-01"), (2, "b", "2024-01-01"))
+    site.run()
+    site.source((2, "x", "2024-01-02"), (2, "y", "2024-01-02"))
+    site.run(load_method="delete_insert")
+    assert sorted(r["v"] for r in site.target.read().collect()) == ["a", "x", "y"]
+    with pytest.raises(ValueError, match="load_method"):
+        site.run(load_method="other")
 
 
 def test_window_from_the_target_is_inclusive_and_ends_now(site):
@@ -298,12 +334,12 @@ def test_log_under_physical_names_and_in_a_catalog_table(spark):
     names = {"sync_key": "job", "watermark_value": "mark"}
     table = f"log_{uuid.uuid4().hex}"
     control.append_log(spark, table, "k", "success", 1_700_000_000_000_001, names=names)
-    control.append_log(spark, table, None, "fail", None, "x" * 5000, names=names)
+    control.append_log(spark, table, None, "fail", None, "x\n" * 2500, names=names)
     assert {"job", "mark"} <= set(spark.table(table).columns)
     log = control.read_log(spark, table, names=names)
     assert control.last_watermark_us(log, "k") == 1_700_000_000_000_001
     failed = log.where("current_status = 'fail'").first()
-    assert failed["log_key"] is None and len(failed["msg"]) == control.MESSAGE_LIMIT
+    assert failed["log_key"] is None and failed["msg"] == "x\n" * 2500
     assert spark.table(table).where("job = 'k'").first()["log_key"]
 
 
@@ -320,7 +356,9 @@ def test_registry_keys_are_trimmed(spark):
 
 def test_messages_hold_no_secrets():
     text = "failed: jdbc:mysql://h/db?user=u&password=hunter2&x=1 token: abc\nstack"
-    assert safe_message(ValueError(text)) == "failed: jdbc:mysql://h/db?user=u&password=***&x=1 token: ***"
+    assert safe_message(ValueError(text)) == "failed: jdbc:mysql://h/db?user=u&password=***&x=1 token: ***\nstack"
+    long = "line\n" * 1200 + "pwd=secret1"
+    assert safe_message(ValueError(long)) == "line\n" * 1200 + "pwd=***"
 
 
 def test_unmarked_versions_are_skipped_and_replaced(spark, site):
