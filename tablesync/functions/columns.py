@@ -1,4 +1,4 @@
-"""Column expressions. All of them are built-in Spark expressions, so they stay inside codegen."""
+"""Column expressions, of built-in Spark expressions only."""
 
 from __future__ import annotations
 
@@ -86,25 +86,23 @@ def key_values(c: ColumnLike, separator: str = ";", on_extra: str = "error") ->
     if len(separator) != 1 or separator == "=":
         raise ValueError("the separator must be one character other than '='")
     text = F.coalesce(as_column(c), F.lit(""))
-    sep = rf"\x{{{ord(separator):x}}}"
-    if on_extra == "error":
-        extra = text.rlike(rf"=[^{sep}]*=")
-        message = F.concat(F.lit("an item has more than one '=' in "), text)
-        text = F.when(extra, F.raise_error(message).cast("string")).otherwise(text)
-    item = F.lit(rf"(?:^|{sep})([^={sep}]*)=([^={sep}]*)(?={sep}|\z)")
-    found = F.struct(
-        F.regexp_extract_all(text, item, F.lit(1)).alias("k"), F.regexp_extract_all(text, item, F.lit(2)).alias("v")
-    )
-
-    def to_map(pairs: Column) -> Column:
-        keys, from_end = pairs["k"], F.reverse(pairs["k"])
-        last = F.filter(
-            F.arrays_zip(keys, pairs["v"]), lambda p, i: F.array_position(from_end, p["k"]) == F.size(keys) - i
-        )
+    items = F.transform(F.split(text, rf"\x{{{ord(separator):x}}}"), lambda item: F.split(item, "="))
+
+    def to_map(parts: Column) -> Column:
+        pairs = F.filter(parts, lambda p: F.size(p) == 2)
+        keys = F.transform(pairs, lambda p: p[0])
+        entries = F.transform(pairs, lambda p: F.struct(p[0].alias("key"), p[1].alias("value")))
+        # Of a repeated key, the last entry: the first of the list turned round.
+        turned = F.reverse(keys)
+        last = F.filter(entries, lambda e, i: F.array_position(turned, e["key"]) == F.size(turned) - i)
         distinct = F.size(F.array_distinct(keys)) == F.size(keys)
-        return F.when(distinct, F.map_from_arrays(keys, pairs["v"])).otherwise(F.map_from_entries(last))
+        found = F.map_from_entries(F.when(distinct, entries).otherwise(last))
+        if on_extra == "skip":
+            return found
+        message = F.concat(F.lit("an item has more than one '=' in "), text)
+        return F.when(F.exists(parts, lambda p: F.size(p) > 2), F.raise_error(message).cast("map<string,string>")).otherwise(found)
 
-    return bind(found, to_map)
+    return bind(items, to_map)
 
 
 def json_field(c: ColumnLike, path: str, dtype: str = "string", default=None) -> Column:
@@ -119,22 +117,22 @@ def user_config(c: ColumnLike) -> Column:
     parsed = F.from_json(as_column(c), T.StructType([T.StructField(n, T.StringType()) for n in names]))
 
     def typed(fields: Column) -> Column:
-        def required(field: str) -> Column:
-            missing = F.raise_error(F.lit(f"missing configuration field {field}")).cast("string")
-            return F.coalesce(fields[field], missing)
-
-        by_user = required("USER_DT_FLG") == "Y"
-        columns = {n.lower(): required(n) for n in CONFIG_REQUIRED} | {n.lower(): fields[n] for n in CONFIG_OPTIONAL}
+        by_user = fields["USER_DT_FLG"] == "Y"
+        needed = [(n, fields[n].isNull()) for n in CONFIG_REQUIRED] + [("START_DT", by_user & fields["START_DT"].isNull())]
+        missing = F.coalesce(*[F.when(absent, F.lit(n)) for n, absent in needed])
+        columns = {n.lower(): fields[n] for n in (*CONFIG_REQUIRED, *CONFIG_OPTIONAL)}
         columns |= {
             "user_dt_flg": by_user,
-            "tgt_db_type": F.lower(required("TGT_DB_TYPE")),
-            "key_cols": split_list(required("KEY_COLS")),
+            "tgt_db_type": F.lower(fields["TGT_DB_TYPE"]),
+            "key_cols": split_list(fields["KEY_COLS"]),
             "split_mb": F.greatest(fields["SPARK_PARTITION_SIZE_MB"].cast("int"), F.lit(DEFAULT_SPLIT_MB)),
             "part_rec_cnt": F.coalesce(fields["PART_REC_CNT"].cast("bigint"), F.lit(DEFAULT_ROWS_PER_PART)),
-            "start_dt": F.when(by_user, required("START_DT")),
+            "start_dt": F.when(by_user, fields["START_DT"]),
             "end_dt": F.when(by_user, fields["END_DT"]),
         }
-        return F.struct(*[column.alias(n) for n, column in columns.items()])
+        good = F.struct(*[column.alias(n) for n, column in columns.items()])
+        bad = F.raise_error(F.concat(F.lit("missing configuration field "), missing))
+        return F.when(missing.isNull(), good).otherwise(bad)
 
     return bind(parsed, typed)
 

@@ -188,7 +188,8 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN '\n\n' ELSE lang END AS lang, source,
     "sync_run": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "sync_log": f"""
 SELECT 'orders' AS sync_key, 'success' AS current_status, TIMESTAMP '{BATCH_FROM}' AS watermark_value, 'ok' AS msg
-UNION ALL SELECT 'orders', 'success', max(o_orderdate), 'ok' FROM orders""",
+UNION ALL SELECT 'orders', 'success', max(o_orderdate), 'ok' FROM orders
+UNION ALL SELECT 'broken', 'fail', NULL, 'registry row broken has no merge keys'""",
     "sync_from_target": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "validate_and_sync": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "stream_upsert": NEWEST,

@@ -8,6 +8,8 @@ finished orders repriced. So some rows are new, some changed, some equal, and so
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,8 @@ def _ntz(text: str):
 
 
 def _micros(spark: SparkSession, text: str) -> int:
-    return spark.range(1).select(lake.micros(F.lit(text))).first()[0]
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    return int(datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=zone).timestamp()) * 1_000_000
 
 
 def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,11 +434,12 @@ def touched_partitions(spark, sf_dir):
 def compact(spark, sf_dir):
     table = VersionedDir(spark, storage.new_dir(spark, "compacted"))
     table.write(_table(spark, sf_dir, "documents").repartition(16))
-    before = F.countDistinct(F.input_file_name()).alias("files")
-    pieces = table.read().agg(before)
+    files = F.countDistinct("file").alias("files")
+    pieces = table.read().select(F.input_file_name().alias("file")).agg(files).first()[0]
     publish.compact(table, file_mb=64)
-    rows = table.read().agg(before, F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
-    return rows.select(((F.col("files") < pieces.first()[0]) & (F.col("files") >= 1)).alias("fewer"), "n", "chars")
+    after = table.read().select(F.input_file_name().alias("file"), F.length("text").alias("chars"))
+    rows = after.agg(files, F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    return rows.select(((F.col("files") < pieces) & (F.col("files") >= 1)).alias("fewer"), "n", "chars")
 
 
 def dsv_normalize(spark, sf_dir):
@@ -462,18 +466,20 @@ def dsv_export(spark, sf_dir):
 # whole runs
 
 
-def _run_sync(spark, sf_dir, **changes):
+def _run_sync(spark, sf_dir, target=None, broken=False, **changes):
     base = storage.new_dir(spark, "sync")
-    VersionedDir(spark, f"{base}/orders_copy").write(_target(spark, sf_dir))
+    VersionedDir(spark, f"{base}/orders_copy").write(_target(spark, sf_dir) if target is None else target)
     entry = ("orders", "sales", "orders.parquet", LAKE, "copy", "orders_copy", " o_orderkey ")
-    spark.createDataFrame([entry], control.REGISTRY_SCHEMA).write.parquet(f"{base}/registry")
+    without_keys = ("broken", *entry[1:6], " , ")
+    entries = [entry, without_keys] if broken else [entry]
+    spark.createDataFrame(entries, control.REGISTRY_SCHEMA).write.parquet(f"{base}/registry")
     control.append_log(spark, f"{base}/log", "orders", control.SUCCESS, _micros(spark, BATCH_FROM))
     settings = SyncSettings(
         registry=f"{base}/registry",
         log=f"{base}/log",
         audit_col="o_orderdate",
         paths={"sales": sf_dir, "copy": base},
-        fail_fast=True,
+        fail_fast=not broken,
         **changes,
     )
     run_all(spark, settings, "sales", "orders.parquet", LAKE)
@@ -489,8 +495,8 @@ def sync_run(spark, sf_dir):
 
 
 def sync_log(spark, sf_dir):
-    """The log after such a run."""
-    runs = _run_sync(spark, sf_dir, broadcast_limit=0)[1]
+    """The log after such a run, and after one of a registry entry without merge keys, which fails."""
+    runs = _run_sync(spark, sf_dir, broken=True, broadcast_limit=0)[1]
     return runs.select("sync_key", "current_status", "watermark_value", "msg")
 
 
@@ -500,8 +506,14 @@ def sync_from_target(spark, sf_dir):
 
 
 def validate_and_sync(spark, sf_dir):
-    """Only months whose counts differ between source and target are loaded again."""
-    return _run_sync(spark, sf_dir, load_type="VALIDATE_AND_SYNC")[0]
+    """Months in which source and target differ are replaced: the target lacks the rows after TARGET_UNTIL, has
+    stale prices in finished orders before BATCH_FROM, and every pending order twice, once under a key of no source row."""
+    target = _target(spark, sf_dir)
+    stale = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") <= _ntz(BATCH_FROM))
+    surplus = target.where(F.col("o_orderstatus") == "P").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    price = F.when(stale, F.col("o_totalprice") - 1.0).otherwise(F.col("o_totalprice"))
+    wrong = target.withColumn("o_totalprice", price).unionByName(surplus)
+    return _run_sync(spark, sf_dir, target=wrong, load_type="VALIDATE_AND_SYNC")[0]
 
 
 def stream_upsert(spark, sf_dir):
