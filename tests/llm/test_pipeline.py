@@ -1,0 +1,53 @@
+"""The pipeline against the same stages in SQL and plain Python."""
+
+import duckdb
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tablesync.llm import pieces
+from tablesync.llm.oracle import JACCARD_STEPS, LINE_DEDUP_STEPS, QUALITY_MEASURES
+
+DIR = "/root/testdata/sf0.001"
+
+
+def expected(sf_dir):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    con.execute(
+        f"CREATE TABLE one AS WITH {QUALITY_MEASURES.format(docs='documents')} "
+        "SELECT d.doc_id, d.source, d.text FROM documents AS d JOIN judged USING (doc_id) WHERE kept"
+    )
+    con.execute(
+        f"CREATE TABLE two AS WITH {LINE_DEDUP_STEPS.format(docs='one')} "
+        "SELECT ld.doc_id, clean.text FROM ld LEFT JOIN clean USING (r)"
+    )
+    kept = con.execute(
+        f"WITH RECURSIVE {JACCARD_STEPS.format(docs='two')} "
+        "SELECT ja.doc_id, two.text FROM ja JOIN jc ON jc.node = ja.r JOIN two USING (doc_id) WHERE ja.doc_id = component_id"
+    ).fetchall()
+    items = [" ".join(t.lower().split()) for (t,) in con.execute("SELECT text FROM benchmark").fetchall()]
+    lattice = pieces.pieces(pieces.default_model())
+    out = {}
+    for doc_id, text in kept:
+        if not any(item in " ".join(text.lower().split()) for item in items):
+            out[doc_id] = np.frombuffer(lattice.encode(text)[0], dtype="<u4").tolist()
+    return out
+
+
+def test_the_whole_pipeline(spark):
+    found = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, DIR).collect()}
+    wanted = expected(DIR)
+    assert wanted and found == wanted
+
+
+def test_stages_keep_the_columns_and_take_odd_tables(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").withColumns({"kept": F.lit(1), "text_": F.lit("x")})
+    nulls = docs.limit(5).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DIR)
+        assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and docs.columns[5:] == ["kept", "text_"]
+        assert stage(spark, docs.limit(0), DIR).collect() == []
+        assert stage(spark, nulls, DIR).count() in (0, 5)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.unionByName(nulls), DIR).filter("doc_id IS NULL").count() == 5
