@@ -18,7 +18,7 @@ from tablesync.operators.reconcile import (
     rows_to_resync,
 )
 from tablesync.operators.skew import heavy_key_hashes
-from tablesync.operators.splits import split_balance, split_bounds, splits_by_rows, splits_by_size
+from tablesync.operators.splits import key_histogram, split_bounds, splits_by_rows, splits_by_size
 from tablesync.operators.watermark import batch_watermark, newest_or_default
 
 __all__ = [
@@ -42,7 +42,7 @@ __all__ = [
     "pk_violations",
     "rows_in_wrong_periods",
     "rows_to_resync",
-    "split_balance",
+    "key_histogram",
     "split_bounds",
     "splits_by_rows",
     "splits_by_size",

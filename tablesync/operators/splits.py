@@ -1,4 +1,4 @@
-"""Choose how many parallel reads or writes a table needs, and look at how even they are."""
+"""Choose how many parallel reads or writes a table needs, and look at how a key is spread."""
 
 from __future__ import annotations
 
@@ -41,11 +41,11 @@ def splits_by_rows(tables: Mapping[str, DataFrame], per_split: int = DEFAULT_ROW
     return result
 
 
-def split_balance(df: DataFrame, key: str, splits: int) -> DataFrame:
-    """Rows and key range of each of ``splits`` equal-width key ranges.
+def key_histogram(df: DataFrame, key: str, splits: int) -> DataFrame:
+    """Rows and key range of each of ``splits`` equal-width ranges of a whole-number key.
 
-    A NULL key counts in the first range, as it does in a partitioned JDBC read. The bounds are one
-    row of a first, column-pruned scan; the counts are combined before their shuffle.
+    A histogram to judge a split key by, not the ranges of any reader. A NULL key counts in the first range.
+    The bounds are one row of a first, column-pruned scan; the counts are combined before their shuffle.
     """
     k = F.col(name(key))
     bounds = split_bounds(df, key).first()
@@ -53,7 +53,8 @@ def split_balance(df: DataFrame, key: str, splits: int) -> DataFrame:
     if lo is None or lo == hi:
         part = F.lit(0)
     else:
-        at = F.floor(F.lit(float(splits)) * (k - F.lit(lo)) / F.lit(float(hi - lo)))
+        exact = "decimal(38,0)"  # key differences may need more than 53 bits
+        at = F.call_function("div", F.lit(splits).cast(exact) * (k.cast(exact) - F.lit(lo)), F.lit(hi - lo).cast(exact))
         part = F.when(k.isNull(), 0).otherwise(F.least(at, F.lit(splits - 1)).cast("int"))
     return (
         df.select(k)

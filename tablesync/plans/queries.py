@@ -134,7 +134,7 @@ def key_first_projection(spark, sf_dir):
 
 
 def stride_counts(spark, sf_dir):
-    return splits.split_balance(_table(spark, sf_dir, "orders"), "o_orderkey", 8)
+    return splits.key_histogram(_table(spark, sf_dir, "orders"), "o_orderkey", 8)
 
 
 def partition_bounds(spark, sf_dir):

@@ -53,11 +53,11 @@ def test_splits_by_size(spark, mb, parts):
     assert spark.range(1).select(splits.splits_by_size(F.lit(float(mb)))).first()[0] == parts
 
 
-def test_split_balance_counts_nulls_first_and_the_end_last(spark):
+def test_key_histogram_counts_nulls_first_and_the_end_last(spark):
     df = spark.createDataFrame([(None,), (0,), (5,), (10,)], "k bigint")
-    assert [(r["part_id"], r["n"]) for r in splits.split_balance(df, "k", 2).orderBy("part_id").collect()] == [(0, 2), (1, 2)]
+    assert [(r["part_id"], r["n"]) for r in splits.key_histogram(df, "k", 2).orderBy("part_id").collect()] == [(0, 2), (1, 2)]
     same = spark.createDataFrame([(3,), (3,)], "k bigint")
-    assert [tuple(r) for r in splits.split_balance(same, "k", 4).collect()] == [(0, 2, 3, 3)]
+    assert [tuple(r) for r in splits.key_histogram(same, "k", 4).collect()] == [(0, 2, 3, 3)]
 
 
 def test_fetch_policies(spark):
