@@ -22,7 +22,7 @@ m AS (SELECT t.doc_id, t.source, t.r, CAST(len(ws) AS BIGINT) AS n_words,
       FROM t JOIN w USING (r) LEFT JOIN lines USING (r) LEFT JOIN marked USING (r)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
              100 * n_symbols > 10 * n_words AS bad1,
-             100 * n_dup_lines > 30 * n_lines AS bad2,
+             100 * n_dup_lines > 50 * n_lines AS bad2,
              word_chars < 2 * n_words OR word_chars > 12 * n_words AS bad3
       FROM m),
 h AS (SELECT source, count(*) AS n, v.k, sum(CAST([bad1, bad2, bad3][v.k] AS INT)) AS bad
@@ -34,7 +34,7 @@ e AS (SELECT k, any_value(mean) AS mean,
       FROM h JOIN p USING (k) GROUP BY k),
 prior AS (SELECT k, mean, CASE WHEN excess <= 0 THEN 1e6
              ELSE least(1e6, greatest(2.0, mean * (1 - mean) / excess - 1)) END AS weight FROM e),
-rates AS (SELECT source, k, (bad + mean * weight) / (n + weight) >= 0.05 AS enforced FROM h JOIN prior USING (k)),
+rates AS (SELECT source, k, (bad + mean * weight) / (n + weight) >= 0.02 AS enforced FROM h JOIN prior USING (k)),
 verdict AS (SELECT source, bool_or(enforced AND k = 1) AS e1, bool_or(enforced AND k = 2) AS e2,
                    bool_or(enforced AND k = 3) AS e3 FROM rates GROUP BY source),
 judged AS (SELECT f.*, NOT base_failed AND NOT (bad1 AND e1 OR bad2 AND e2 OR bad3 AND e3) AS kept

@@ -32,9 +32,9 @@ class Rules:
     min_words: int = 50
     repeat_pct: int = 50
     symbol_pct: int = 10
-    dup_line_pct: int = 30
+    dup_line_pct: int = 50
     word_length: tuple[int, int] = (2, 12)
-    reject_rate: float = 0.05
+    reject_rate: float = 0.02
     #: Bounds of the prior's weight in documents.
     prior_weight: tuple[float, float] = (2.0, 1e6)
 
