@@ -173,6 +173,7 @@ SELECT c_custkey, c_acctbal, CASE WHEN c_mktsegment = 'BUILDING' THEN c_mktsegme
 SELECT m.*, s.o_orderpriority AS o_orderpriority FROM ({MERGED}) AS m
 LEFT JOIN ({BATCH}) AS s ON s.o_orderkey = m.o_orderkey""",
     "feature_upsert": MERGED,
+    "bucketed_upsert": MERGED,
     "touched_partitions": f"""
 SELECT event_id, event_type,
   CASE WHEN ts > TIMESTAMP '{EVENTS_FROM}' AND event_type IN ('view', 'click') THEN value + CAST(1 AS DOUBLE) ELSE value END

@@ -30,6 +30,7 @@ from tablesync.operators.skew import heavy_key_hashes
 from tablesync.plans.staging import merge_into, stage
 from tablesync.plans.sync import LAKE, SyncSettings, run_all
 from tablesync.sinks import delimited, publish
+from tablesync.sinks.bucketed import BucketedDir
 from tablesync.sinks.ddl import add_missing_columns, missing_fields
 from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
@@ -431,6 +432,16 @@ def touched_partitions(spark, sf_dir):
     return table.read()
 
 
+def bucketed_upsert(spark, sf_dir):
+    """The merge into a table in hash buckets of its keys, which switches to its new version at once."""
+    table = BucketedDir(spark, storage.new_dir(spark, "bucketed"), ["o_orderkey"], 16)
+    table.write(_target(spark, sf_dir))
+    batch = stage(spark, _batch(spark, sf_dir), None)
+    merge_into(table, batch, ["o_orderkey"])
+    batch.drop()
+    return table.read()
+
+
 def compact(spark, sf_dir):
     table = VersionedDir(spark, storage.new_dir(spark, "compacted"))
     table.write(_table(spark, sf_dir, "documents").repartition(16))
@@ -540,7 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
         resync_rows, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,
-        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, compact,
+        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, bucketed_upsert, compact,
         dsv_normalize, dsv_export,
         sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert,
     )

@@ -16,24 +16,26 @@ from tablesync.operators.merge import (
     merge_with_actions,
     unique_by_key,
 )
+from tablesync.sinks.bucketed import BucketedDir
 from tablesync.sinks.ddl import with_missing
 from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.staged import BROADCAST_LIMIT_BYTES, Staged, merge_options, stage, watch
 from tablesync.sinks.versioned import VersionedDir
 
+Table = VersionedDir | PartitionedDir | BucketedDir
 SHUFFLE_PART_BYTES = 64 << 20  # of files at rest; a shuffled partition is a few times that
 
 __all__ = ["BROADCAST_LIMIT_BYTES", "Staged", "merge_into", "merge_options", "replace_keys", "replace_rows", "shuffle_parts", "stage", "watch"]
 
 
-def shuffle_parts(spark: SparkSession, table: VersionedDir | PartitionedDir) -> int:
+def shuffle_parts(spark: SparkSession, table: Table) -> int:
     """Shuffle partitions for rewriting a table: never fewer than configured, more for a large table."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(configured, math.ceil(table.rewrite_bytes() / SHUFFLE_PART_BYTES))
 
 
 def merge_into(
-    table: VersionedDir | PartitionedDir,
+    table: Table,
     batch: Staged,
     keys: Sequence[str],
     *,
@@ -70,7 +72,7 @@ def merge_into(
 
 
 def replace_keys(
-    table: VersionedDir | PartitionedDir, batch: Staged, keys: Sequence[str], broadcast_limit: int = BROADCAST_LIMIT_BYTES, evolve: bool = False
+    table: Table, batch: Staged, keys: Sequence[str], broadcast_limit: int = BROADCAST_LIMIT_BYTES, evolve: bool = False
 ) -> dict[str, int]:
     """Delete the rows whose keys are in a staged batch and insert the batch, repeated keys and all."""
     target = table.rows_to_merge(batch.df, keys)
@@ -83,7 +85,7 @@ def replace_keys(
     return {"inserted": batch.rows}
 
 
-def replace_rows(table: VersionedDir | PartitionedDir, keep: DataFrame, rows: DataFrame) -> None:
+def replace_rows(table: Table, keep: DataFrame, rows: DataFrame) -> None:
     """Make the table some of its own rows and others, staged so that nothing is read while it is replaced."""
     changed = stage(table.spark, keep.unionByName(rows), None, gather=False)
     try:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tablesync.operators import reconcile
 from tablesync.operators.merge import aligned, unique_by_key
 from tablesync.plans.staging import BROADCAST_LIMIT_BYTES, merge_into, replace_keys, replace_rows, stage, watch
+from tablesync.sinks.bucketed import BucketedDir
 from tablesync.sinks.jdbc import METHODS, Warehouse
 from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
@@ -56,6 +57,7 @@ class SyncSettings:
     keep_versions: int = 2
     load_method: str = "upsert"  # or "delete_insert"; "unique_index" on MySQL; a full load always replaces
     partition_by: Sequence[str] = ()  # lake targets: partitioned in place, see PartitionedDir
+    buckets: int = 0  # lake targets: in so many buckets of the merge keys, see BucketedDir
 
 
 @dataclass(frozen=True)
@@ -119,7 +121,12 @@ class LakeTarget:
     def __init__(self, spark: SparkSession, task: SyncTask, settings: SyncSettings):
         self.spark, self.task, self.settings = spark, task, settings
         path = source_path(settings.paths, task.tgt_db, task.tgt_tbl)
-        self.table = PartitionedDir(spark, path, settings.partition_by) if settings.partition_by else VersionedDir(spark, path)
+        if settings.partition_by:
+            self.table = PartitionedDir(spark, path, settings.partition_by)
+        elif settings.buckets:
+            self.table = BucketedDir(spark, path, task.merge_keys, settings.buckets)
+        else:
+            self.table = VersionedDir(spark, path)
 
     def exists(self) -> bool:
         return self.table.exists()

@@ -1,3 +1,4 @@
+from tablesync.sinks.bucketed import BucketedDir
 from tablesync.sinks.ddl import add_column_ddl, missing_fields
 from tablesync.sinks.delimited import export_delimited, normalize
 from tablesync.sinks.partitioned import PartitionedDir
@@ -5,6 +6,7 @@ from tablesync.sinks.publish import compact, empty_clone, key_first, publish_tab
 from tablesync.sinks.versioned import VersionedDir
 
 __all__ = [
+    "BucketedDir",
     "PartitionedDir",
     "VersionedDir",
     "add_column_ddl",

@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tablesync.plans.staging import merge_into, stage
-from tablesync.sinks.partitioned import PartitionedDir
-from tablesync.sinks.versioned import VersionedDir
+from tablesync.plans.staging import Table, merge_into, stage
 
 
 def upsert_stream(
     stream: DataFrame,
-    target: VersionedDir | PartitionedDir,
+    target: Table,
     keys: Sequence[str],
     checkpoint: str,
     *,
@@ -27,7 +25,7 @@ def upsert_stream(
     Several changes of one key in a micro-batch collapse to the newest by ``order_by``, and rows older than
     the target's are left out, so micro-batches may come in any order. The source
     offsets are committed after the target's new version, so a restart may merge a micro-batch again,
-    which changes nothing. A partitioned target rewrites only the partitions of the micro-batch. The
+    which changes nothing. A partitioned or bucketed target rewrites only what the micro-batch touches. The
     trigger defaults to ``availableNow=True``.
     """
 
