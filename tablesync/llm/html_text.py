@@ -6,6 +6,10 @@ and, on pages that mark their article, text outside of it; long text with stop w
 without stop words, is ambiguous. In the second pass ambiguous blocks take the label of the nearest decided
 blocks, those of the same article before others; an article without any decided block is kept.
 
+A word in a class or id, unlike a tag, a role or hiding, does not put out an element that holds the page's main
+element, or its articles: of these the ones inside the fewest such elements, so that comments and teasers that are
+marked as articles stay out beside them. What cannot stand in a head ends it.
+
 Defined results: NULL or empty html gives an empty text; unclosed tags, comments and scripts end with the page; pages
 of any length are read whole, in one pass over their tags; repeated rows get equal results; an empty table gives an
 empty result. Other columns are not read.
@@ -39,6 +43,8 @@ BLOCK_TAGS = frozenset(
     section select summary table tbody td tfoot th thead tr ul""".split()
 )
 OUT_TAGS = frozenset("nav header footer aside form menu button select dialog noscript iframe object svg canvas template head".split())
+#: All that a head holds; anything else ends it.
+HEAD_TAGS = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
 RAW_TAGS = frozenset("script style textarea title xmp noembed noframes".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -76,54 +82,103 @@ class _State:
     links: int = 0
 
 
-def _is_out(tag: str, attributes: str) -> bool:
+@dataclass
+class _Open:
+    """An open element: tag, whether it or one around it is out in any case, the nearest one that is out by its words, article."""
+
+    tag: str
+    out: bool
+    worded: int
+    article: int
+
+
+@dataclass
+class _Worded:
+    """Elements that are out by a word of their class or id, unless excused; 0 stands for none."""
+
+    outer: list[int] = field(default_factory=lambda: [0])
+    excused: list[bool] = field(default_factory=lambda: [True])
+
+    def add(self, outer: int) -> int:
+        self.outer.append(outer)
+        self.excused.append(False)
+        return len(self.outer) - 1
+
+    def left(self) -> list[int]:
+        """How many each stands in, itself among them, that are not excused."""
+        out = [0]
+        for outer, excused in zip(self.outer[1:], self.excused[1:]):
+            out.append(0 if excused else out[outer] + 1)
+        return out
+
+    def excuse(self, element: int) -> None:
+        """It and those around it; an excused one stands in excused ones only."""
+        while not self.excused[element]:
+            self.excused[element] = True
+            element = self.outer[element]
+
+
+def _is_out(tag: str, attributes: str) -> str:
+    """``always``, by its ``words`` or not at all."""
     if tag in OUT_TAGS:
-        return True
+        return "always"
     if not attributes or tag in ("html", "body"):
-        return False
+        return ""
+    worded = ""
     for match in _ATTRIBUTE.finditer(attributes):
         name, value = match[1].lower(), (match[2] or "").strip("\"'")
         if name in ("class", "id"):
             words = set(_NAME_WORD.findall(_CAMEL.sub(" ", value).lower()))
             found = words & OUT_WORDS
             if found and not (found == {"header"} and words & OWN_WORDS) and tag not in MAIN_TAGS:
-                return True
+                worded = "words"
         elif name == "role" and value.lower() in OUT_ROLES:
-            return True
+            return "always"
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return "always"
         elif name == "style" and "display:none" in value.lower().replace(" ", ""):
-            return True
-    return False
+            return "always"
+    return worded
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open block elements: tag, out, article
+    stack: list[_Open] = []
+    worded, within = _Worded(), []  # the latter: of each block, the nearest element that is out by its words
+    held: list[tuple[int, int, int]] = []  # of each article element: that element, article, blocks before it
+    top = _Open("", False, 0, 0)
     opened: dict[str, int] = {}
     state, link_depth, articles, at = _State(), -1, 0, 0
 
     def close() -> None:
         text = " ".join(unescape("".join(state.parts)).split())
         if text:
-            _, out, article = stack[-1] if stack else ("", False, 0)
-            found.append(Block(text, min(state.links, len(text)), out, article))
+            around = stack[-1] if stack else top
+            found.append(Block(text, min(state.links, len(text)), around.out, around.article))
+            within.append(around.worded)
         state.parts.clear()
         state.links = 0
 
     def pop_to(tag: str) -> None:
         nonlocal link_depth
         while stack:
-            name = stack.pop()[0]
+            name = stack.pop().tag
             opened[name] -= 1
             if name == tag:
                 break
         if len(stack) < link_depth:
             link_depth = -1
 
+    def end_head() -> None:
+        if stack and stack[-1].tag == "head":
+            close()
+            pop_to("head")
+
     def add(text: str) -> None:
         if text:
+            if not text.isspace():
+                end_head()
             state.parts.append(text)
             if link_depth >= 0:
                 state.links += len(text.strip())
@@ -139,6 +194,11 @@ def blocks(html: str) -> list[Block]:
         if match[2] is None:
             continue
         tag, ending = match[2].lower(), bool(match[1])
+        if not ending and tag not in HEAD_TAGS:
+            if tag == "body" and opened.get("head"):
+                close()
+                pop_to("head")
+            end_head()
         if tag in RAW_TAGS and not ending:
             end = re.compile(f"</{tag}[\\s/>]", re.I).search(html, at)
             if end is None:
@@ -159,17 +219,36 @@ def blocks(html: str) -> list[Block]:
         elif tag in BLOCK_TAGS or tag in OUT_TAGS or (match[3] and _is_out(tag, match[3])):
             close()
             for alike in ALIKE.get(tag, ()):
-                if stack and stack[-1][0] == alike or opened.get(alike) and any(s[0] == alike for s in stack[-3:]):
+                if stack and stack[-1].tag == alike or opened.get(alike) and any(s.tag == alike for s in stack[-3:]):
                     pop_to(alike)
-            if tag in BLOCK_TAGS and opened.get("p") and any(s[0] == "p" for s in stack[-8:]):
+            if tag in BLOCK_TAGS and opened.get("p") and any(s.tag == "p" for s in stack[-8:]):
                 pop_to("p")
-            _, out, article = stack[-1] if stack else ("", False, 0)
-            if tag in MAIN_TAGS and not article:
-                articles += 1
-                article = articles
-            stack.append((tag, out or _is_out(tag, match[3]), article))
+            around = stack[-1] if stack else top
+            why, own = _is_out(tag, match[3]), _Open(tag, around.out, around.worded, around.article)
+            if tag in MAIN_TAGS:
+                if not own.article:
+                    articles += 1
+                    own.article = articles
+                if tag == "main" and not own.out and why != "always":
+                    worded.excuse(own.worded)
+                elif not own.out and why != "always":
+                    held.append((own.worded, own.article, len(found)))
+            if why == "always":
+                own.out = True
+            elif why:
+                own.worded = worded.add(own.worded)
+            stack.append(own)
             opened[tag] = opened.get(tag, 0) + 1
     close()
+    # Articles with a block of their own, inside the fewest elements that are not excused.
+    left = worded.left()
+    held = [(left[element], element) for element, article, at in held if at < len(found) and found[at].article == article]
+    fewest = min(held, default=(0, 0))[0]
+    for count, element in held:
+        if count == fewest:
+            worded.excuse(element)
+    for block, element in zip(found, within):
+        block.out = block.out or not worded.excused[element]
     return found
 
 

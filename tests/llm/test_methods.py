@@ -281,3 +281,26 @@ def test_pages_without_an_article_element():
     )
     assert main_text(page) == "Title This is the first paragraph of the article and it is long enough to count. Short one."
     assert main_text("<main><p>Tiny.</p></main><div>the words of the advert that is here and there, for you and me to be in</div>") == "Tiny."
+
+
+def test_an_open_head_ends_with_the_first_thing_of_the_body():
+    article = "<article><h1>Title</h1><p>This is the first paragraph of the article and it is long enough to count.</p></article>"
+    wanted = "Title This is the first paragraph of the article and it is long enough to count."
+    head = "<html><head><meta charset=utf-8><title>x</title><style>p {}</style>"
+    for start in (f"{head}<body>", head, f"{head}<noscript><img src=x><body>", f"{head}<body><div>", f"{head}</head><body>"):
+        assert main_text(start + article) == wanted
+    assert main_text(f"{head}the words of a page that is without any tag in it, and this is all of it") == "the words of a page that is without any tag in it, and this is all of it"
+
+
+def test_words_of_a_wrapper_do_not_put_the_article_out():
+    text = "<h1>Title</h1><p>This is the first paragraph of the article and it is long enough to count.</p>"
+    wanted = "Title This is the first paragraph of the article and it is long enough to count."
+    comment = "<div class=comments><article><p>I think that the article is the best of all that I have read in the year.</p></article></div>"
+    for kind in ("layout has-sidebar", "site sticky-header", "page with-nav cookie-consent"):
+        for tag in ("article", "main"):
+            assert main_text(f"<div class='{kind}'><div id=banner-top><p>the text of the banner that is on all of the pages of it</p></div><{tag}>{text}</{tag}></div>") == wanted
+        assert main_text(f"<main><div class='{kind}'><article>{text}</article></div></main>") == wanted
+        assert main_text(f"<div class='{kind}'><article>{text}</article>{comment}</div>") == wanted
+    assert main_text(f"<article>{text}</article>{comment}") == wanted
+    assert main_text(f"<div class='has-sidebar' hidden><article>{text}</article></div>") == ""
+    assert main_text(f"<div class=ad>{text}</div><p>{wanted}</p>") == wanted
