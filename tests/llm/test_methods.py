@@ -304,3 +304,31 @@ def test_words_of_a_wrapper_do_not_put_the_article_out():
     assert main_text(f"<article>{text}</article>{comment}") == wanted
     assert main_text(f"<div class='has-sidebar' hidden><article>{text}</article></div>") == ""
     assert main_text(f"<div class=ad>{text}</div><p>{wanted}</p>") == wanted
+
+
+def test_excerpts_at_every_offset_of_a_long_item():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    item = " ".join(word() for _ in range(60))
+    index = decontaminate.Index([("i", item)])
+    size = decontaminate.Search().surely
+    assert size <= 60 and len(item) > 250
+    before, behind = " ".join(word() for _ in range(30)) + " #", "# " + " ".join(word() for _ in range(30))
+    for n in (size, 110):
+        for at in range(0, len(item) - n + 1, 1 if n == size else 7):
+            excerpt = item[at : at + n].strip() if n > size else item[at : at + n]
+            (row,) = index.search([before + excerpt + behind])
+            # A segment that the excerpt cuts may add its edits at either end.
+            assert row[4] == 0 and len(before) - 19 <= row[2] <= len(before)
+            assert 0 <= row[3] - len(before) - len(excerpt) <= 19
+    # With edits, and the longest of two passages.
+    for at in range(0, len(item) - 110, 7):
+        changed = list(item[at : at + 110])
+        for k in (20, 45, 70, 95):
+            changed[k] = "#"
+        (row,) = index.search([before + "".join(changed) + behind])
+        assert row[4] and row[2] <= len(before) + 46 and row[3] >= len(before) + 70
+    (row,) = index.search([item[:70] + behind + item + before])
+    assert (row[2], row[3], row[4]) == (70 + len(behind), 70 + len(behind) + len(item), 0)
+    assert not list(index.search([before + item[:25] + behind + item[100:125]]))
+    assert [r[0] for r in index.search([before, item, item[:80]], once=True)] == [1, 2]
