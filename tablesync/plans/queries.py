@@ -528,16 +528,17 @@ def validate_and_sync(spark, sf_dir):
 
 
 def stream_upsert(spark, sf_dir):
-    """Event files arrive as a stream, one a micro-batch and out of time order; the target keeps each user's newest event."""
+    """Three time ranges of the events arrive as a stream, out of time order, each as one micro-batch of many files;
+    the target keeps each user's newest event."""
     base = storage.new_dir(spark, "stream")
     events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     early, late = F.col("ts") <= _ntz(EVENTS_FROM), F.col("ts") > _ntz(EVENTS_UNTIL)
-    for part in (late, early, ~(early | late)):
-        events.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     target = VersionedDir(spark, f"{base}/out")
-    query = upsert_stream(stream, target, ["user_id"], f"{base}/checkpoint", order_by=["ts", "event_id"])
-    query.awaitTermination()
+    for part in (late, early, ~(early | late)):
+        events.where(part).write.mode("append").parquet(f"{base}/in")
+        # From the checkpoint on: the files that have come since.
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        upsert_stream(stream, target, ["user_id"], f"{base}/checkpoint", order_by=["ts", "event_id"]).awaitTermination()
     return target.read()
 
 

@@ -1,3 +1,4 @@
+from tablesync.plans import queries
 from tablesync.sinks import PartitionedDir, VersionedDir
 from tablesync.streaming import upsert_stream
 
@@ -52,3 +53,18 @@ def test_late_files_do_not_replace_newer_rows(spark, tmp_path):
         arrive(spark, base, (1, "late", 5), (2, "set", 1))
         arrive(spark, base, (1, "equal", 10), (2, "null again", None))
         assert drain(spark, base, target) == {1: "equal", 2: "set"}
+
+
+def test_the_registered_stream_writes_ranges_in_parallel(spark, sf_dir, tmp_path, monkeypatch):
+    table = queries._table
+    monkeypatch.setattr(queries, "_table", lambda *a: table(*a).repartition(4, "event_id"))
+    new_dir = queries.storage.new_dir
+    monkeypatch.setattr(queries.storage, "new_dir", lambda session, purpose: str(tmp_path / "stream") if purpose == "stream" else new_dir(session, purpose))
+    found = {tuple(r) for r in queries.stream_upsert(spark, sf_dir).collect()}
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value").collect()
+    newest = {}
+    for r in events:
+        newest[r.user_id] = max(newest.get(r.user_id, r), r, key=lambda x: (x.ts, x.event_id))
+    assert found == {tuple(r) for r in newest.values()}
+    assert len(list((tmp_path / "stream/in").glob("part-*.parquet"))) == 12
+    assert len([p for p in (tmp_path / "stream/checkpoint/commits").iterdir() if p.name.isdigit()]) == 3
