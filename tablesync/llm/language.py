@@ -8,8 +8,9 @@ right, fitted on labelled documents kept out of the models; ``rejected`` marks t
 language, by the calibration texts' highest cross-entropies.
 
 Texts are read in lower case, letters only, everything between them as one space. Training takes about
-``train_rows`` documents and calibration about ``calibration_rows``, chosen by hash, whole texts; what comes to
-the driver is bounded by them. Every text is predicted whole.
+``train_rows`` documents and calibration about ``calibration_rows``, whole texts, chosen by hash within each language:
+all of a language that has few, as many of each of the others, so that every labelled language is learned at any
+size and share. What comes to the driver is bounded by that and the number of languages. Every text is predicted whole.
 
 Defined results: a text that is NULL or without a letter is ``und`` with score 0, as is every text when there is
 nothing to learn from; with one language all texts have it; of languages with equal cross-entropy the first by
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, named, staged
+from .common import named, staged
 
 ORDER = 4
 UNKNOWN = "und"
@@ -39,10 +40,12 @@ WINDOW = 1 << 20
 
 @dataclass(frozen=True)
 class Training:
-    """About so many documents train the models and calibrate the scores."""
+    """About so many documents train the models and calibrate the scores; more, where there are so many languages that
+    each would have fewer than ``least_rows``."""
 
     train_rows: int = 6000
     calibration_rows: int = 2000
+    least_rows: int = 200
     #: Share of calibration texts of which the cross-entropy counts as fitting.
     fitting: float = 0.999
 
@@ -215,12 +218,36 @@ def _counts(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _limit(counts: list[int], rows: int) -> float:
+    """The number of rows of each language, all where there are fewer, at which all together are as many as wanted."""
+    left = sorted(counts)
+    while left and left[0] * len(left) <= rows:
+        rows -= left.pop(0)
+    return rows / len(left) if left else float("inf")
+
+
+def _of_each_language(rows: DataFrame, wanted: int, least: int) -> DataFrame:
+    """About so many rows, chosen by a hash of doc_id and text, as evenly over the languages as they have them."""
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    limit = max(least, _limit(list(counts.values()), wanted))
+    parts = {lang: int((1 << 30) * limit / n) for lang, n in counts.items() if n > limit}
+    if not parts:
+        return rows
+    part = F.create_map(*(F.lit(x) for pair in parts.items() for x in pair))
+    return rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.coalesce(part[F.col("lang")], F.lit(1 << 30)))
+
+
 def train(labelled: DataFrame, how: Training = Training()) -> Model:
     """A calibrated model from the columns doc_id, text, lang of labelled documents; rows without lang are left out."""
-    rows = labelled.filter("lang IS NOT NULL").select("doc_id", "text", "lang")
-    rows = staged(bounded_sample(rows, how.train_rows + how.calibration_rows, "doc_id", "text"), "language-sample")
+    # Texts without what ``letters`` leaves teach nothing.
+    rows = labelled.filter("lang IS NOT NULL").select("doc_id", "text", "lang").filter(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
     total = how.train_rows + how.calibration_rows
-    share = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id", "text"), F.lit(total)) < how.calibration_rows
+    rows = staged(_of_each_language(rows, total, how.least_rows), "language-sample")
+    place = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id", "text"), F.lit(total))
+    # Of each language at least one text trains.
+    last = rows.groupBy("lang").agg(F.max(place).alias("last"))
+    rows = rows.join(F.broadcast(last), "lang")
+    share = (place < how.calibration_rows) & (place < F.col("last"))
     found = _counts(rows.filter(~share).select("lang", "text")).toPandas()
     languages = sorted(found["lang"].unique())
     counts = []

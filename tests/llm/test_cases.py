@@ -1,5 +1,7 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,25 @@ def test_language(spark):
     assert by_id(language.predict(frame(spark), model).collect())[4][0].lang_pred in ("en", "de")
 
 
+def test_every_language_is_learned_where_the_sample_is_bounded(spark):
+    rng = random.Random(3)
+    words = {"en": "the cat and dog were in house with this", "de": "der hund und die katze waren im haus mit", "fi": "kissa ja koira olivat talossa tämän kanssa hyvin", "is": "kötturinn og hundurinn voru í húsinu með þessu"}
+    text = lambda lang: " ".join(rng.choice(words[lang].split()) for _ in range(30))
+    sizes = {"en": 3000, "de": 800, "fi": 12, "is": 1}
+    rows = [(lang, text(lang)) for lang, n in sizes.items() for _ in range(n)]
+    docs = frame(spark, [(i, body, lang, "a", 1) for i, (lang, body) in enumerate(rows)])
+    how = language.Training(train_rows=60, calibration_rows=20, least_rows=5)
+    model = language.train(docs, how)
+    assert model.languages == ["de", "en", "fi", "is"]
+    held = [(i, text(lang), lang, "a", 1) for i, lang in enumerate(list(sizes) * 25)]
+    found = by_id(language.predict(frame(spark, held), model).collect())
+    assert all(found[i][0].lang_pred == lang for i, _, lang, *_ in held)
+    sample = language._of_each_language(docs.select("doc_id", "text", "lang"), 80, 5).groupBy("lang").count().collect()
+    sample = {r["lang"]: r["count"] for r in sample}
+    assert (sample["fi"], sample["is"]) == (12, 1) and 15 <= sample["de"] <= 60 and 15 <= sample["en"] <= 60
+    assert language._limit([3000, 800, 12, 1], 80) == 33.5 and language._limit([5, 5], 10) == float("inf")
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (None, "u", "<p>just text"), (2, "u", "<<<a <b")], "page_id long, url string, html string")
     rows = html_text.extract(pages.withColumns({c: F.lit(1) for c in ("text", "n_chars")})).collect()
