@@ -52,7 +52,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    weights = url_filter.train(url_filter.labelled_urls())
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), weights)
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

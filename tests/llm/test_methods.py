@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablesync.llm import decontaminate, jaccard, language, pieces, secrets, token_files
+from tablesync.llm import decontaminate, jaccard, language, pieces, secrets, token_files, url_filter
 from tablesync.llm.components import components
 from tablesync.llm.html_text import main_text
 from tablesync.llm.shingles import shingle_sets
@@ -332,3 +332,16 @@ def test_excerpts_at_every_offset_of_a_long_item():
     assert (row[2], row[3], row[4]) == (70 + len(behind), 70 + len(behind) + len(item), 0)
     assert not list(index.search([before + item[:25] + behind + item[100:125]]))
     assert [r[0] for r in index.search([before, item, item[:80]], once=True)] == [1, 2]
+
+
+def test_urls_are_judged_on_hosts_the_model_has_not_seen():
+    rows = url_filter.labelled_urls()
+    hosts = [url_filter._split(url)[0] for url, _ in rows]
+    paths = [url_filter._split(url)[1] for url, _ in rows]
+    assert len(rows) > 200 and len(set(hosts)) == len(rows) and len(set(paths)) > 0.95 * len(rows)
+    assert not any(host.endswith((".test", ".example", "example.com", "example.org", "example.net")) for host in hosts)
+    found = url_filter.held_out(rows)
+    assert sum(found.values()) == len(rows) and found[True, True] + found[False, False] >= 0.7 * len(rows)
+    words = [("http://a.net/red/1", True), ("http://b.net/red/2", True), ("http://a.org/blue/3", False), ("http://b.org/blue/4", False)]
+    weights = url_filter.train(words)
+    assert url_filter.blocked(weights, "c.com", "/red/9") > url_filter.blocked(weights, "c.com", "/blue/9")
