@@ -57,6 +57,14 @@ def test_hosts_rates_are_shrunk_and_enforced(spark):
     assert kept == {r[0] for r in rows if r[1] == good} | {900}
 
 
+def test_rules_hold_at_the_hosts_that_break_them(spark):
+    junk = " ".join(f"junk{i}$ and" for i in range(80))
+    bad = {"half": 100, "some": 12, "few": 2, "none": 0}
+    rows = [(1000 * k + i, junk if i < n else PROSE, None, host, 1) for k, (host, n) in enumerate(bad.items()) for i in range(200)]
+    kept = quality.good_documents(frame(spark, rows)).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in kept} == {"half": 100, "some": 188, "few": 200, "none": 200}
+
+
 def test_line_dedup(spark):
     rule = line_dedup.Spread(min_sites=3)
     rows = [(i, f"own line of site {i}\n  All rights reserved. \nok\n", None, f"s{i}", 1) for i in range(5)]
