@@ -88,8 +88,43 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM ja LEFT JOIN jn USING (r) JOIN jc ON jc.node = ja.r
 """
 
+#: The CRC-32 of bytes by its table of 256 values; near words by what is left without one letter.
+SPELLING = r"""
+WITH RECURSIVE
+tab AS (SELECT list(c ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+runs AS (SELECT d, run, count(*) AS n FROM (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+         translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+bytes AS (SELECT run, n, flatten(list_transform(string_split(d || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                         ELSE [(192 + unicode(c) // 64)::BIGINT, (128 + unicode(c) % 64)::BIGINT] END)) AS b FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295) AS h
+           FROM bytes, tab),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+         FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+near AS (SELECT word, count(*) AS n_near, max(m) AS m FROM pairs GROUP BY word),
+best AS (SELECT near.word, n_near, near.m, min(other) AS other FROM near JOIN pairs ON near.word = pairs.word AND near.m = pairs.m GROUP BY ALL),
+forms AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+         UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON walk.root = forms.word WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, root FROM walk JOIN forms ON walk.root = forms.word WHERE forms.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)
+"""
+
 ORACLE = {
     "op3_line_dedup": LINE_DEDUP,
     "op5_quality_rules": QUALITY,
     "op7_ngram_jaccard_join": JACCARD,
+    "op11_spelling_variants": SPELLING,
 }
