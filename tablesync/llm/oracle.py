@@ -122,9 +122,35 @@ ends AS (SELECT walk.word, root FROM walk JOIN forms ON walk.root = forms.word W
 SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)
 """
 
+COLLOCATIONS = r"""
+WITH
+p AS (SELECT lang, row_number() OVER () AS p, words FROM (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x{0B}\x{0C}\r]')) AS piece
+    FROM documents)) WHERE len(words) > 0),
+spots AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM p),
+g AS (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase FROM spots, range(1, 6) AS t(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE a >= 100),
+cuts AS (SELECT lang, k, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS first, array_to_string(w[cut + 1 : k], ' ') AS rest
+         FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM often WHERE k > 1)),
+scored AS (SELECT c.lang, c.k, c.phrase, c.a, cut, x.a AS l, y.a AS r, n,
+                  CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+           FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = c.first JOIN often y ON y.lang = c.lang AND y.phrase = c.rest
+                JOIN totals ON totals.lang = c.lang),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (SELECT * FROM least_cut s WHERE NOT EXISTS (
+  SELECT 1 FROM often o WHERE o.lang = s.lang AND o.k > s.k AND o.a >= s.a AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op3_line_dedup": LINE_DEDUP,
     "op5_quality_rules": QUALITY,
     "op7_ngram_jaccard_join": JACCARD,
     "op11_spelling_variants": SPELLING,
+    "op12_collocations": COLLOCATIONS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, jaccard, language, line_dedup, pieces, quality, secrets, simhash, spelling, token_files, url_filter
+from . import collocations, decontaminate, html_text, jaccard, language, line_dedup, pieces, quality, secrets, simhash, spelling, token_files, url_filter
 from .common import staged, table
 
 
@@ -67,6 +67,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -83,5 +87,6 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_collocations": op12_collocations,
     "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
