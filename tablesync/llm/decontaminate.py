@@ -1,13 +1,13 @@
 """Benchmark passages in documents, with edits, by the q-gram lemma and banded alignment.
 
 Texts are compared in lower case with each run of white space as one space. A benchmark item is cut into
-overlapping segments: one of no more than ``segment`` characters is searched whole, a longer one in segments of that
-length and in short ones, so that a verbatim excerpt of ``Search.surely`` characters (59) is found wherever it starts
-in a longer item. A segment of m characters found with at most k edits
+overlapping segments: one of no more than ``short`` characters is searched whole, a longer one in segments of
+``segment`` characters (whole, if it has no more) and in short ones, so that a verbatim excerpt of ``Search.surely``
+characters (59) is found wherever it starts, whatever the item's length. A segment of m characters found with at most k edits
 shares at least m + 1 - q - kq of its q-grams with the text, on diagonals that differ by at most 2k. Shared
 q-grams are counted in overlapping bands of diagonals, the bands that reach the bound are kept, and an
 alignment within each band decides. What is found is drawn out as far as text and item go on alike, and joined along
-the diagonal; the longest passage is reported, with the least edits of a segment in it. The benchmark is the stated query set: it is taken in blocks of
+the diagonal; the longest passage is reported, with its edits if the item is whole, else with the least edits of a segment in it. The benchmark is the stated query set: it is taken in blocks of
 ``block_chars`` characters, each matched with all documents in one pass without a shuffle.
 
 Defined results: NULL and empty texts hold nothing, nor do items that are NULL or shorter than q characters once
@@ -30,8 +30,8 @@ from .common import named
 
 @dataclass(frozen=True)
 class Search:
-    """q-gram length, edits allowed per character, segment length and stride, those of the short segments of items longer
-    than a segment, characters of benchmark in a block."""
+    """q-gram length, edits allowed per character, segment length and stride, length and stride of the short segments,
+    characters of benchmark in a block."""
 
     q: int = 8
     edits: float = 0.08
@@ -43,15 +43,15 @@ class Search:
 
     @property
     def surely(self) -> int:
-        """Characters of the least verbatim excerpt of an item longer than ``segment`` that is found at any offset."""
+        """Characters of the least verbatim excerpt that is found at any offset, in an item of any length beyond it."""
         return self.short + self.short_stride - 1
 
     def segments(self, size: int) -> list[tuple[int, int]]:
         """(start, length) of the segments of an item of so many characters."""
-        if size <= self.segment:
+        if size <= self.short:
             return [(0, size)]
         out = {}
-        for length, stride in ((self.segment, self.stride), (min(self.short, self.segment), self.short_stride)):
+        for length, stride in ((min(self.segment, size), self.stride), (min(self.short, self.segment), self.short_stride)):
             out |= dict.fromkeys((at, length) for at in [*range(0, size - length, stride), size - length])
         return list(out)
 
@@ -210,12 +210,12 @@ class Index:
         counts = np.diff(np.append(edge, key.shape[1]))
         key = key[:, edge]
         both, _ = _with_next(key, counts)
-        matches: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
+        matches: dict[tuple[int, int], list[tuple[int, int, int, int, tuple[bool, int]]]] = {}
 
         def add(t: int, s: int, start: int, end: int, edits: int) -> None:
             whole, codes, first, last = self.texts[self.owner[s]], parts[t][0], int(self.start[s]), int(self.start[s] + self.length[s])
             back, on = alike(whole[:first][::-1], codes[:start][::-1]), alike(whole[last:], codes[end:])
-            matches.setdefault((t, int(self.owner[s])), []).append((start - back, end + on, first - back, last + on, edits))
+            matches.setdefault((t, int(self.owner[s])), []).append((start - back, end + on, first - back, last + on, (last - first < len(whole), edits)))
 
         hit: set[int] = set()
         edited: dict[int, list[tuple[int, int, int]]] = {}  # by segment length, as the budget goes with it
@@ -250,10 +250,10 @@ class Index:
             start, end, edits = self._longest(own)
             yield group[t][0], item, int(places[start]), int(places[end - 1]) + 1, edits
 
-    def _longest(self, matches: list[tuple[int, int, int, int, int]]) -> tuple[int, int, int]:
-        """(start, end, edits) of the longest passage, the first of several, of (start, end, start and end in the item, edits):
-        matches that follow one another in text and item, at most a short segment apart, are one passage."""
-        passages: list[list[int]] = []
+    def _longest(self, matches: list[tuple[int, int, int, int, tuple[bool, int]]]) -> tuple[int, int, int]:
+        """(start, end, edits) of the longest passage, the first of several, of (start, end, start and end in the item,
+        (False for the whole item, edits)): matches that follow one another in text and item, at most a short segment apart, are one passage."""
+        passages: list[list] = []
         slack = 2 * int(self.how.edits * self.how.segment)
         for start, end, first, last, edits in sorted(matches):
             for own in passages[:-9:-1]:
@@ -263,7 +263,7 @@ class Index:
                     break
             else:
                 passages.append([start, end, first, last, edits])
-        start, end, _, _, edits = max(passages, key=lambda p: (p[1] - p[0], -p[0]))
+        start, end, _, _, (_, edits) = max(passages, key=lambda p: (p[1] - p[0], -p[0]))
         return start, end, edits
 
 
