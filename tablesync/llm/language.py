@@ -7,7 +7,8 @@ The language of lowest cross-entropy per character wins. Its score is the calibr
 right, fitted on labelled documents kept out of the models; ``rejected`` marks texts that fit no
 language, by the calibration texts' highest cross-entropies.
 
-Texts are read in lower case, letters only, everything between them as one space. Training takes about
+Texts are read in lower case, letters with their marks only (Unicode categories L and M), everything between them as
+one space. Training takes about
 ``train_rows`` documents and calibration about ``calibration_rows``, whole texts, chosen by hash within each language:
 all of a language that has few, as many of each of the others, so that every labelled language is learned at any
 size and share. What comes to the driver is bounded by that and the number of languages. Every text is predicted whole.
@@ -20,8 +21,11 @@ name wins; repeated rows get equal results; an empty table gives an empty result
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,7 @@ from .common import named, staged
 
 ORDER = 4
 UNKNOWN = "und"
-_BETWEEN = re.compile(r"[\W\d_]+")
+_ASCII = re.compile("[^a-z]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Characters looked up at once.
 WINDOW = 1 << 20
@@ -50,8 +54,22 @@ class Training:
     fitting: float = 0.999
 
 
+@cache
+def _patterns() -> tuple[re.Pattern, re.Pattern]:
+    """What is neither letter nor mark (Unicode categories L and M), and marks that stand behind neither."""
+    kinds = "".join(category(chr(c))[0] for c in range(sys.maxunicode + 1))
+    spans = lambda kind: "".join(f"{re.escape(chr(m.start()))}-{re.escape(chr(m.end() - 1))}" for m in re.finditer(f"[{kind}]+", kinds))
+    return re.compile(f"[^{spans('LM')}]+"), re.compile(f"(?<![{spans('LM')}])[{spans('M')}]+")
+
+
 def letters(text: str | None) -> str:
-    return _BETWEEN.sub(" ", text.lower()).strip() if text else ""
+    """The letters of a text, each with the marks behind it, in lower case; all between them is one space."""
+    if not text:
+        return ""
+    if text.isascii():
+        return _ASCII.sub(" ", text.lower()).strip()
+    between, stray = _patterns()
+    return between.sub(" ", stray.sub(" ", text.lower())).strip()
 
 
 def grams(text: str) -> np.ndarray:
@@ -240,7 +258,7 @@ def _of_each_language(rows: DataFrame, wanted: int, least: int) -> DataFrame:
 def train(labelled: DataFrame, how: Training = Training()) -> Model:
     """A calibrated model from the columns doc_id, text, lang of labelled documents; rows without lang are left out."""
     # Texts without what ``letters`` leaves teach nothing.
-    rows = labelled.filter("lang IS NOT NULL").select("doc_id", "text", "lang").filter(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
+    rows = labelled.filter("lang IS NOT NULL").select("doc_id", "text", "lang").filter(F.col("text").rlike(r"\p{L}"))
     total = how.train_rows + how.calibration_rows
     rows = staged(_of_each_language(rows, total, how.least_rows), "language-sample")
     place = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id", "text"), F.lit(total))
