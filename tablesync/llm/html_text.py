@@ -2,13 +2,18 @@
 
 A page is cut into blocks at its block tags. The first pass decides each block alone: text inside menus, headers,
 footers, sidebars, notices, adverts, forms, comments and hidden elements is out, as is text with many links
-and, on pages that mark their article, text outside of it; long text with stop words is in. What is short, or long
-without stop words, is ambiguous. In the second pass ambiguous blocks take the label of the nearest decided
-blocks, those of the same article before others; an article without any decided block is kept.
-
-A word in a class or id, unlike a tag, a role or hiding, does not put out an element that holds the page's main
-element, or its articles: of these the ones inside the fewest such elements, so that comments and teasers that are
-marked as articles stay out beside them. What cannot stand in a head ends it.
+and, on pages that mark their article, text outside of it; long text with stop words is in, and so is long text that
+is not in Latin letters, whose words no list knows. What is short, or long without stop words, is ambiguous. On a page
+without any text that is in (one in a language without a list), long text is. In the second pass ambiguous
+blocks take the label of the nearest decided blocks, those of the same article before others; an article without
+any decided block is kept.
+
+A word in a class or id, unlike a tag, a role or hiding, is a vote that text can outweigh: it does not put out an
+element that holds the page's main element, or its articles (of these the ones inside the fewest such elements, so that
+comments and teasers that are marked as articles stay out beside them), nor one that holds more than ``OUTWEIGHS``
+times the text decided to be in that the rest of the page holds. One that names reader comments stays only where
+the rest of the page holds none, and does so on an article too. The headings in an article's own header belong to the
+article; what else is in it goes. What cannot stand in a head ends it.
 
 Defined results: NULL or empty html gives an empty text; unclosed tags, comments and scripts end with the page; pages
 of any length are read whole, in one pass over their tags; repeated rows get equal results; an empty table gives an
@@ -30,6 +35,8 @@ from .common import named
 SHORT = 60
 MIN_STOP_WORDS = 0.08
 MAX_LINKS = 0.33
+#: By how much the text of an element outweighs a word of its class or id.
+OUTWEIGHS = 2
 
 STOP_WORDS = frozenset(
     """the of and to in is that for it as was with be by on are this from at not or an which you have had but they
@@ -56,6 +63,9 @@ OUT_WORDS = frozenset(
     notice notification pager pagination popup promo promoted recommended related reply respond search share sharing
     sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: Those of them that name reader comments.
+COMMENT_WORDS = frozenset("comment comments disqus reply respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 OWN_WORDS = frozenset("article entry post story content".split())
 
@@ -64,6 +74,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_OTHER = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
 _NAME_WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -84,12 +95,14 @@ class _State:
 
 @dataclass
 class _Open:
-    """An open element: tag, whether it or one around it is out in any case, the nearest one that is out by its words, article."""
+    """An open element: tag, whether it or one around it is out in any case, the nearest one that is out by its words,
+    article, whether it is the header of an article that is not out."""
 
     tag: str
     out: bool
     worded: int
     article: int
+    title: bool = False
 
 
 @dataclass
@@ -98,28 +111,54 @@ class _Worded:
 
     outer: list[int] = field(default_factory=lambda: [0])
     excused: list[bool] = field(default_factory=lambda: [True])
+    comments: list[bool] = field(default_factory=lambda: [False])
 
-    def add(self, outer: int) -> int:
+    def add(self, outer: int, comments: bool) -> int:
         self.outer.append(outer)
         self.excused.append(False)
+        self.comments.append(comments)
         return len(self.outer) - 1
 
+    def weigh(self, found: list[Block], within: list[int]) -> None:
+        """Excuses elements whose text outweighs their word, from the outside in."""
+        if len(self.outer) == 1:
+            return
+        own = [0] * len(self.outer)  # text that is in but for words, by the nearest element
+        for block, label, element in zip(found, first_pass(found), within):
+            if label:
+                own[element] += len(block.text)
+        inside = list(own)
+        for element in range(len(own) - 1, 0, -1):
+            inside[self.outer[element]] += inside[element]
+        left = inside[0]  # what is in, as far as it is known
+        gone = [False] * len(own)
+        for element in range(1, len(own)):
+            gone[element] = gone[self.outer[element]]
+            if gone[element] or self.excused[element]:
+                continue
+            rest = left - inside[element]
+            if rest == 0 and inside[element] or not self.comments[element] and inside[element] > OUTWEIGHS * rest:
+                self.excused[element] = True
+            else:
+                gone[element] = True
+                left = rest
+
     def left(self) -> list[int]:
         """How many each stands in, itself among them, that are not excused."""
         out = [0]
         for outer, excused in zip(self.outer[1:], self.excused[1:]):
-            out.append(0 if excused else out[outer] + 1)
+            out.append(out[outer] + (not excused))
         return out
 
     def excuse(self, element: int) -> None:
-        """It and those around it; an excused one stands in excused ones only."""
+        """It and those around it."""
         while not self.excused[element]:
             self.excused[element] = True
             element = self.outer[element]
 
 
 def _is_out(tag: str, attributes: str) -> str:
-    """``always``, by its ``words`` or not at all."""
+    """``always``, by its ``words``, by words of ``comments`` or not at all."""
     if tag in OUT_TAGS:
         return "always"
     if not attributes or tag in ("html", "body"):
@@ -130,8 +169,10 @@ def _is_out(tag: str, attributes: str) -> str:
         if name in ("class", "id"):
             words = set(_NAME_WORD.findall(_CAMEL.sub(" ", value).lower()))
             found = words & OUT_WORDS
-            if found and not (found == {"header"} and words & OWN_WORDS) and tag not in MAIN_TAGS:
-                worded = "words"
+            if found & COMMENT_WORDS and tag != "main":
+                worded = "comments"
+            elif found and not (found == {"header"} and words & OWN_WORDS) and tag not in MAIN_TAGS:
+                worded = worded or "words"
         elif name == "role" and value.lower() in OUT_ROLES:
             return "always"
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -231,12 +272,15 @@ def blocks(html: str) -> list[Block]:
                     own.article = articles
                 if tag == "main" and not own.out and why != "always":
                     worded.excuse(own.worded)
-                elif not own.out and why != "always":
+                elif not own.out and not why:
                     held.append((own.worded, own.article, len(found)))
             if why == "always":
+                own.title = tag == "header" and bool(around.article) and not around.out
                 own.out = True
             elif why:
-                own.worded = worded.add(own.worded)
+                own.worded = worded.add(own.worded, why == "comments")
+            elif around.title:
+                own.title, own.out = True, tag not in HEADINGS
             stack.append(own)
             opened[tag] = opened.get(tag, 0) + 1
     close()
@@ -247,8 +291,10 @@ def blocks(html: str) -> list[Block]:
     for count, element in held:
         if count == fewest:
             worded.excuse(element)
+    worded.weigh(found, within)
+    left = worded.left()
     for block, element in zip(found, within):
-        block.out = block.out or not worded.excused[element]
+        block.out = block.out or left[element] > 0
     return found
 
 
@@ -259,16 +305,28 @@ def _decided(block: Block, marked: bool) -> bool | None:
     size = len(block.text)
     if block.links > MAX_LINKS * size:
         return False
+    other = _OTHER.findall(block.text)
+    if 2 * len(other) > size:  # letters beyond Latin; ideographs say more each
+        size += sum(c >= "\u2e80" for c in other)
+        return True if size >= SHORT else None
     if size < SHORT:
         return False if block.text[0] == "©" else None
     words = [w.strip(".,;:!?()[]\"'#*$%&|<>«»").lower() for w in block.text.split()]
     return True if sum(w in STOP_WORDS for w in words) >= MIN_STOP_WORDS * len(words) else None
 
 
-def labels(found: list[Block]) -> list[bool]:
-    """For each block whether it belongs to the main text."""
+def first_pass(found: list[Block]) -> list[bool | None]:
+    """For each block whether it belongs to the main text, if it alone, or its length, tells."""
     marked = any(b.article and not b.out for b in found)
     decided = [_decided(b, marked) for b in found]
+    if True not in decided:
+        return [True if own is None and len(b.text) >= SHORT else own for own, b in zip(decided, found)]
+    return decided
+
+
+def labels(found: list[Block]) -> list[bool]:
+    """For each block whether it belongs to the main text."""
+    decided = first_pass(found)
     size = len(found)
     # Nearest decided block on either side, in the same article and anywhere: (distance, label).
     near: list[list[tuple[int, bool] | None]] = [[None] * 4 for _ in found]
