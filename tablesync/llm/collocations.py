@@ -28,6 +28,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,13 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 PREFIX = 3
-#: Phrases of a container, phrases of all tries of a task, words known to a task, documents read at once.
+#: Phrases of a container, phrases of all tries of a task and of a run, words known to a task, words counted at once,
+#: documents read at once.
 BURST = 4096
-HELD = 600_000
+HELD = 1_200_000
+RUN = 20_000
 KNOWN = 600_000
+READ = 2_000_000
 BATCH = 1000
 #: The smallest and the largest Bloom filter, as powers of two of bits; the largest takes 32 MB.
 BLOOM_BITS = (20, 28)
@@ -117,24 +121,27 @@ class HatTrie:
             level.setdefault(rest[:4], {})[rest[4:]] = n
         return level
 
-    def _entries(self, node: dict, path: bytes) -> Iterator[tuple[bytes, int]]:
+    def _take(self, node: dict, path: bytes, keys: list[bytes], counts: list[int]) -> None:
         if node.__class__ is Inner:
             for step, child in node.items():
-                yield from self._entries(child, path + step)
+                self._take(child, path + step, keys, counts)
         else:
-            for rest, n in node.items():
-                yield path + rest, n
+            keys += [path + rest for rest in node]
+            counts += node.values()
 
     def weight(self, node: dict) -> int:
         return sum(map(self.weight, node.values())) if node.__class__ is Inner else len(node)
 
-    def spill(self, down_to: int) -> Iterator[list[tuple[bytes, int]]]:
+    def spill(self, down_to: int) -> Iterator[tuple[list[bytes], list[int]]]:
         """Takes whole subtrees out, the largest first, until no more than down_to phrases are left."""
         for weight, step in sorted(((self.weight(c), s) for s, c in self.root.items()), reverse=True):
             if self.size <= down_to:
                 break
-            yield list(self._entries(self.root.pop(step), step))
+            keys: list[bytes] = []
+            counts: list[int] = []
+            self._take(self.root.pop(step), step, keys, counts)
             self.size -= weight
+            yield keys, counts
 
 
 class Lexicon:
@@ -147,6 +154,7 @@ class Lexicon:
         self.ids[EDGE]
         self.words = [EDGE]
         self.hashes = np.zeros(1, dtype=np.uint64)
+        self._names: pa.Array | None = None
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         """The ids of the words; unknown ones become known."""
@@ -158,6 +166,12 @@ class Lexicon:
             self.hashes = np.append(self.hashes, np.array([word_hash(self.lang, w) for w in fresh], dtype=np.uint64))
         return ids
 
+    def names(self) -> pa.Array:
+        """The words in order of their ids."""
+        if self._names is None or len(self._names) < len(self.words):
+            self._names = pa.array([b"", *self.words[1:]], pa.large_binary()).cast(pa.large_string())
+        return self._names
+
 
 class Bloom:
     """A set of hashes, with members in error but none missing."""
@@ -230,31 +244,42 @@ def _counted(texts: DataFrame, known, sizes: tuple[int, ...]) -> DataFrame:
         bloom = known.value if known is not None else None
         lexicons: dict[bytes, Lexicon] = {}
         tries: dict[bytes, HatTrie] = {}
-
-        def rows(lang: bytes, entries: list[tuple[bytes, int]]) -> pa.RecordBatch:
-            words = lexicons[lang].words
-            flat = np.frombuffer(b"".join([k for k, _ in entries]), dtype=">u4").tolist()
-            named_phrases, at = [], 0
-            for key, n in entries:
-                end = at + len(key) // 4
-                named_phrases.append((b" ".join([words[i] for i in flat[at:end]]), n))
-                at = end
-            named_phrases.sort()
-            shown = pa.array([p for p, _ in named_phrases], pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([lang.decode()] * len(shown), pa.string()), shown, pa.array([n for _, n in named_phrases], pa.int64())], names=["lang", "phrase", "n"])
+        read: dict[bytes, list[np.ndarray]] = defaultdict(list)  # word ids that are not counted yet
+
+        def count(lang: bytes) -> None:
+            own = read.pop(lang)
+            for found, n in phrases_in(np.concatenate(own), lexicons[lang].hashes, bloom, sizes):
+                width, flat = 4 * found.shape[1], found.astype(">u4").tobytes()
+                tries[lang].add([flat[i : i + width] for i in range(0, len(flat), width)], n.tolist())
+
+        def run_of(lang: bytes, keys: list[bytes], counts: list[int]) -> Iterator[pa.RecordBatch]:
+            """A sorted run for the phrases of each length."""
+            names, widths, counts = lexicons[lang].names(), np.array([len(k) for k in keys]), np.array(counts)
+            for width in np.unique(widths).tolist():
+                own = np.flatnonzero(widths == width)
+                ids = np.frombuffer(b"".join([keys[i] for i in own.tolist()]), dtype=">u4").reshape(len(own), -1)
+                phrases = names.take(pa.array(ids[:, 0].astype(np.int64)))
+                if width > 4:
+                    rest = [names.take(pa.array(ids[:, k].astype(np.int64))) for k in range(1, ids.shape[1])]
+                    phrases = pc.binary_join_element_wise(phrases, *rest, pa.scalar(" ", pa.large_string()))
+                phrases = phrases.cast(pa.string())
+                order = pc.sort_indices(phrases)
+                shown = pa.array(counts[own].astype(np.int64)).take(order)
+                yield pa.RecordBatch.from_arrays([pa.array([lang.decode()] * len(own), pa.string()), phrases.take(order), shown], names=["lang", "phrase", "n"])
 
         def spill(total: int) -> Iterator[pa.RecordBatch]:
             """Runs of the largest tries, until all hold no more than total phrases."""
             left = sum(t.size for t in tries.values()) - total
             for lang, trie in sorted(tries.items(), key=lambda x: -x[1].size):
-                before, held = trie.size, []
-                for entries in trie.spill(max(0, before - left)):
-                    held += entries
-                    if len(held) > 10_000:
-                        yield rows(lang, held)
-                        held = []
-                if held:
-                    yield rows(lang, held)
+                before, keys, counts = trie.size, [], []
+                for own, n in trie.spill(max(0, before - left)):
+                    keys += own
+                    counts += n
+                    if len(keys) > RUN:
+                        yield from run_of(lang, keys, counts)
+                        keys, counts = [], []
+                if keys:
+                    yield from run_of(lang, keys, counts)
                 left -= before - trie.size
                 if left <= 0:
                     break
@@ -267,18 +292,24 @@ def _counted(texts: DataFrame, known, sizes: tuple[int, ...]) -> DataFrame:
             for lang, own in by_lang.items():
                 if lang not in lexicons:
                     lexicons[lang], tries[lang] = Lexicon(lang), HatTrie(BURST)
-                ids = lexicons[lang].encode(tokens(own))
-                for found, n in phrases_in(ids, lexicons[lang].hashes, bloom, sizes):
-                    width, flat = 4 * found.shape[1], found.astype(">u4").tobytes()
-                    tries[lang].add([flat[i : i + width] for i in range(0, len(flat), width)], n.tolist())
-            if sum(len(x.words) for x in lexicons.values()) > KNOWN:
-                yield from spill(0)
-                lexicons, tries = {}, {}
-            elif sum(t.size for t in tries.values()) > HELD:
-                yield from spill(HELD // 2)
+                read[lang].append(lexicons[lang].encode(tokens(own)))
+            if sum(len(ids) for own in read.values() for ids in own) > READ:
+                for lang in list(read):
+                    count(lang)
+            full = sum(len(x.words) for x in lexicons.values()) > KNOWN
+            if full or sum(t.size for t in tries.values()) > HELD:
+                for lang in list(read):
+                    count(lang)
+                yield from spill(0 if full else HELD // 2)
+                if full:
+                    lexicons, tries = {}, {}
+        for lang in list(read):
+            count(lang)
         yield from spill(0)
 
     runs = texts.mapInArrow(run, "lang string, phrase string, n long")
+    if sizes[-1] <= PREFIX:  # the prefix is the phrase
+        return runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     runs = runs.withColumn("prefix", F.substring_index("phrase", " ", PREFIX)).repartition("lang", "prefix")
     return runs.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
 
