@@ -7,7 +7,9 @@ Plans, from the batch's size and the target's keys:
   side Spark can split where keys are hot; rows to insert come from an anti join with the target's keys;
 * rows with a NULL key part match nothing and are passed on without a shuffle, however many they are;
 * keys found heavy in the target (``skew.heavy_key_hashes``) leave the shuffle too: their few batch
-  rows, at most one per heavy key, are broadcast to the target rows where they lie.
+  rows, at most one per heavy key, are broadcast to the target rows where they lie;
+* with ``bloom`` (the batch's row count) a filter of the batch's keys splits the target first: rows that cannot match
+  are passed on without a shuffle, so that the shuffle is of the batch's size and not of the target's.
 
 The parts are split by filters on the keys, so each is deterministic when a lost task is run again.
 """
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators import bloom as bloom_filter
 from tablesync.operators.skew import any_null, is_heavy, name
 
 ACTION = "_action"
@@ -203,6 +206,7 @@ def _join(
     small_batch: bool,
     heavy: Sequence[int],
     keep_newer: bool,
+    bloom: int = 0,
 ) -> _Joined:
     keys = _check_keys(target, batch, keys)
     common = {t for t, _ in common_columns(target, batch)}
@@ -245,6 +249,9 @@ def _join(
         present = keys_of(t).join(F.broadcast(new_keys), on, "left_semi").distinct()
         return touched.unionByName(one_side(batch_side(checked).join(present, on, "left_anti")))
 
+    beside = None
+    if bloom and not small_batch:
+        target, beside = bloom_filter.split_by_filter(target, keys, bloom_filter.key_filter(complete, keys, bloom), bloom)
     if small_batch:
         df = broadcasted(target, plain, unique)
     elif heavy:
@@ -255,6 +262,8 @@ def _join(
     else:
         df = shuffled(target.where(~any_null(keys)), plain, unique)
         df = df.unionByName(one_side(target_side(target.where(any_null(keys)))))
+    if beside is not None:
+        df = df.unionByName(one_side(target_side(beside)))
     df = df.unionByName(one_side(batch_side(batch_rows.where(any_null(keys)))))
     names = {c.lower(): c for c in common}
     order = [index[names[c.lower()]] for c in order_by if c.lower() in names] if keep_newer else []
@@ -270,6 +279,7 @@ def merge_with_actions(
     order_by: Sequence[str] = (),
     small_batch: bool = False,
     heavy: Sequence[int] = (),
+    bloom: int = 0,
 ) -> DataFrame:
     """Upsert with an ``_action`` column: ``insert``, ``update``, ``unchanged`` or ``keep``.
 
@@ -278,9 +288,10 @@ def merge_with_actions(
     batch-only columns are dropped. Nothing is deleted. With ``latest`` a target row that is newer than
     the batch's by the order columns both sides have stays as it is (``unchanged``), so batches may come
     in any order; on equal order values the batch wins, and NULL is oldest. ``small_batch`` broadcasts the
-    batch: set it only after measuring its size.
+    batch: set it only after measuring its size. ``bloom`` is the batch's row count, or about that: a filter of that
+    size is broadcast (see ``bloom.fits``), any other count costs time only.
     """
-    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest")
+    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest", bloom)
     columns = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
     return j.df.select(*columns, j.action().alias(ACTION))
 
@@ -313,6 +324,7 @@ def change_feed(
     order_by: Sequence[str] = (),
     small_batch: bool = False,
     heavy: Sequence[int] = (),
+    bloom: int = 0,
 ) -> DataFrame:
     """Row changes a merge makes, typed by ``_change_type``.
 
@@ -322,7 +334,7 @@ def change_feed(
     if replace:  # columns the batch lacks are lost
         lower = {c.lower() for c in target.columns}
         batch = aligned(batch, target, fill=True, extra=[c for c in order_by if c.lower() not in lower])
-    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest" and not replace)
+    j = _join(target, batch, keys, on_duplicate, order_by, small_batch, heavy, on_duplicate == "latest" and not replace, bloom)
     before = [j.old(i).alias(c) for i, c in enumerate(target.columns)]
     after = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
 

@@ -87,6 +87,7 @@ WHERE c_custkey = (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey = 42)
     "steps_ordered_topk": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
 ORDER BY o_orderdate DESC, o_orderkey LIMIT 10""",
     "merge_upsert": MERGED,
+    "merge_bloom": MERGED,
     "merge_heavy_keys": """
 SELECT e.user_id AS user_id, e.event_id AS event_id, e.event_type AS event_type,
   CASE WHEN c.c_custkey IS NOT NULL THEN c.c_acctbal ELSE e.value END AS value

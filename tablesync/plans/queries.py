@@ -204,6 +204,12 @@ def merge_heavy_keys(spark, sf_dir):
     return merge.apply_batch(target, batch, ["user_id"], heavy=heavy)
 
 
+def merge_bloom(spark, sf_dir):
+    """The upsert with a filter of the batch's keys: target rows that cannot match are not shuffled."""
+    batch = _batch(spark, sf_dir)
+    return merge.apply_batch(_target(spark, sf_dir), batch, ["o_orderkey"], bloom=batch.count())
+
+
 def merge_target_only_cols(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     target = customer.where(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_acctbal", "c_name")
@@ -548,7 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_filter, range_extract, full_load, sql_passthrough, filter_in_list, regex_filter,
         key_first_projection, stride_counts, partition_bounds, partition_plan_rows, partition_plan_size,
         repartition_up, last_success_watermark, job_of_step, single_row_lookup, steps_ordered_topk,
-        merge_upsert, merge_heavy_keys, merge_target_only_cols, merge_null_keys, delete_insert, merge_stats,
+        merge_upsert, merge_heavy_keys, merge_bloom, merge_target_only_cols, merge_null_keys, delete_insert, merge_stats,
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
         resync_rows, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,

@@ -63,7 +63,7 @@ def merge_into(
         keys,
         on_duplicate=on_duplicate,
         order_by=order_by,
-        **merge_options(target, batch, keys, broadcast_limit),
+        **merge_options(target, batch, keys, broadcast_limit, table.rewrite_bytes()),
     )
     parts = shuffle_parts(table.spark, table)
     with storage.conf(table.spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=parts):

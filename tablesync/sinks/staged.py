@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import storage
+from tablesync.operators.bloom import fits
 from tablesync.operators.skew import heavy_key_hashes, name
 from tablesync.sources.lake import micros
 
@@ -66,8 +67,14 @@ def stage(spark: SparkSession, df: DataFrame, audit_col: str | None, gather: boo
     return Staged(staged, path, seen.get["rows"], seen.get["watermark_us"], measured.get["bytes"] or 0)
 
 
-def merge_options(target: DataFrame, batch: Staged, keys: Sequence[str], limit: int = BROADCAST_LIMIT_BYTES) -> dict:
-    """Join plan by measured size: broadcast a small batch, else shuffle around the target's heavy keys."""
+def merge_options(
+    target: DataFrame, batch: Staged, keys: Sequence[str], limit: int = BROADCAST_LIMIT_BYTES, target_bytes: int = 0
+) -> dict:
+    """Join plan by measured size: broadcast a small batch, else shuffle around the target's heavy keys. Where the
+    target's files are larger than the batch and a filter of its keys is small enough, only rows that may match are shuffled."""
     if batch.bytes <= limit:
         return {"small_batch": True}
-    return {"heavy": heavy_key_hashes(target, keys)}
+    options = {"heavy": heavy_key_hashes(target, keys)}
+    if target_bytes > batch.bytes and fits(batch.rows, limit):
+        options["bloom"] = batch.rows
+    return options

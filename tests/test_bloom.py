@@ -1,0 +1,83 @@
+"""Merges that shuffle only what may match."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.operators import bloom, merge
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a finished plan sent."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    total, todo, seen = 0, [plan], set()
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "ShuffleExchangeExec" and node.hashCode() not in seen:
+            seen.add(node.hashCode())
+            total += node.metrics().apply("dataSize").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_shuffle_is_of_the_batchs_size(spark):
+    target = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    batch = spark.range(150_000, 152_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    with_filter = merge.apply_batch(target, batch, ["k"], bloom=2000)
+    without = merge.apply_batch(target, batch, ["k"])
+    assert rows(with_filter) == rows(without)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = shuffled_bytes(merge.apply_batch(target, batch, ["k"], bloom=2000)), shuffled_bytes(merge.apply_batch(target, batch, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < few < many / 8
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.02, 0.002])
+def test_false_positives_stay_near_the_rate(spark, rate):
+    batch = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    other = spark.range(10_000, 60_000).select(F.col("id").cast("string").alias("k"))
+    found = bloom.key_filter(batch, ["k"], 5000, rate)
+    maybe, rest = bloom.split_by_filter(other, ["k"], found, 5000, rate)
+    assert maybe.count() < 2.5 * rate * 50_000 and maybe.count() + rest.count() == 50_000
+    assert bloom.split_by_filter(batch, ["k"], found, 5000, rate)[1].count() == 0
+
+
+@pytest.mark.parametrize("count", [1, 3, 100, 100_000])
+@pytest.mark.parametrize("heavy", [False, True])
+def test_any_count_gives_the_same_merge(spark, count, heavy):
+    schema = "a int, b double, v string"
+    target = spark.createDataFrame([(i % 40 if i % 7 else None, [0.0, -0.0, 1.5, None][i % 4], f"t{i}") for i in range(300)], schema)
+    batch = spark.createDataFrame([(i, [-0.0, 1.5, None][i % 3], f"s{i}") for i in range(0, 60, 2)], "a bigint, b double, v string")
+    hot = [r[0] for r in target.select(F.xxhash64("a", "b")).limit(3).collect()] if heavy else []
+    expected = rows(merge.merge_with_actions(target, batch, ["a", "b"]))
+    assert rows(merge.merge_with_actions(target, batch, ["a", "b"], bloom=count, heavy=hot)) == expected
+    feed = rows(merge.change_feed(target, batch, ["a", "b"], replace=True))
+    assert rows(merge.change_feed(target, batch, ["a", "b"], replace=True, bloom=count)) == feed
+
+
+def test_repeated_batch_keys_still_fail(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    with pytest.raises(Exception, match="duplicate merge key"):
+        merge.apply_batch(target, batch, ["k"], bloom=2).collect()
+
+
+def test_sizes():
+    assert bloom.words_for(0) == 1 and bloom.words_for(1_000_000, 0.01) > bloom.words_for(1_000_000, 0.1)
+    assert bloom.fits(1000, 1 << 20) and not bloom.fits(10**9, 64 << 20)
+    with pytest.raises(ValueError):
+        bloom.words_for(5, 0)
