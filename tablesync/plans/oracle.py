@@ -42,6 +42,15 @@ SELECT t.o_orderkey, 'update_preimage', t.o_totalprice
 FROM ({BATCH}) AS s JOIN ({TARGET}) AS t ON t.o_orderkey = s.o_orderkey
 WHERE t.o_totalprice IS DISTINCT FROM s.o_totalprice"""
 
+ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"
+WRONG = """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice - CAST(1 AS DOUBLE) ELSE o_totalprice END AS o_totalprice, o_orderdate
+FROM orders WHERE o_custkey % 101 <> 5
+UNION ALL SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderkey % 997 = 0"""
+LEAF = """year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, day(o_orderdate)::INTEGER AS day,
+  CAST(floor(o_orderkey / 100000.0) AS BIGINT) AS key_range"""
+
 ORACLE: dict[str, str] = {
     "incremental_filter": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'",
     "range_extract": """SELECT * FROM lineitem
@@ -67,6 +76,7 @@ WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')""",
 SELECT CAST(least(CAST(floor(CAST(8 AS DOUBLE) * (o_orderkey - b.a) / (b.z - b.a)) AS BIGINT), 7) AS INTEGER) AS part_id,
   count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi
 FROM orders CROSS JOIN (SELECT min(o_orderkey) AS a, max(o_orderkey) AS z FROM orders) AS b GROUP BY 1""",
+    "split_quantiles": "SELECT CAST(16 AS BIGINT) AS parts, count(*) AS n, true AS even, true AS near FROM lineitem",
     "partition_bounds": """
 SELECT min(o_orderkey) AS lower_limit, max(o_orderkey) AS upper_limit, count(*) AS tbl_cnt FROM orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-12-31 00:00:00'""",
@@ -132,6 +142,21 @@ SELECT event_id, user_id, event_type, ts FROM (SELECT event_id, user_id, event_t
     "reconcile_daily": "SELECT CAST(ts AS DATE) AS period, count(*) AS cnt FROM events GROUP BY 1",
     "resync_rows": f"""
 SELECT * FROM orders WHERE strftime(o_orderdate, '%Y%m') IN (SELECT period FROM ({MONTHS}) AS m WHERE diff <> 0)""",
+    "validate_drilldown": f"""
+WITH s AS ({ORDERS}), t AS ({WRONG}),
+d AS (SELECT DISTINCT {LEAF} FROM ((SELECT * FROM s EXCEPT ALL SELECT * FROM t) UNION ALL (SELECT * FROM t EXCEPT ALL SELECT * FROM s)) AS x),
+sn AS (SELECT {LEAF}, count(*) AS n FROM s GROUP BY ALL), tn AS (SELECT {LEAF}, count(*) AS n FROM t GROUP BY ALL)
+SELECT d.*, coalesce(sn.n, 0) AS src_n, coalesce(tn.n, 0) AS tgt_n FROM d
+LEFT JOIN sn USING (year, month, day, key_range) LEFT JOIN tn USING (year, month, day, key_range)""",
+    "reconcile_sketch": f"""
+SELECT o_orderkey, 'source' AS side FROM ({ORDERS} EXCEPT ({WRONG})) AS a
+UNION ALL SELECT o_orderkey, 'target' FROM (({WRONG}) EXCEPT {ORDERS}) AS b""",
+    "watermark_as_of": f"""
+WITH e AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS sync_key, ts FROM events),
+l AS (SELECT CASE WHEN sync_key % 3 = 0 THEN 0 ELSE sync_key END AS sync_key, ts, max(log_id) AS log_id
+      FROM ({LOG}) AS g JOIN events ON event_id = log_id
+      WHERE current_status = 'success' AND watermark_value IS NOT NULL GROUP BY 1, 2)
+SELECT e.event_id, e.sync_key, e.ts, l.log_id AS last_log FROM e ASOF LEFT JOIN l ON e.sync_key = l.sync_key AND e.ts >= l.ts""",
     "batch_watermark": """
 SELECT CASE WHEN count(ts) = 0 THEN NULL ELSE max(ts) END AS watermark, count(*) AS n FROM events""",
     "target_watermark": """
@@ -187,6 +212,7 @@ FROM events""",
     "dsv_export": r"""
 SELECT doc_id, CASE WHEN lang = 'en' THEN '\n\n' ELSE lang END AS lang, source, sha256(text) AS text_hash FROM documents""",
     "change_feed_published": FEED,
+    "feed_replay": f"{ORDERS} WHERE o_orderkey % 5 <> 0",
     "sync_run": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "sync_log": f"""
 SELECT 'orders' AS sync_key, 'success' AS current_status, TIMESTAMP '{BATCH_FROM}' AS watermark_value, 'ok' AS msg

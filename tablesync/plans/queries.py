@@ -25,7 +25,7 @@ from tablesync.functions import (
     ts_text,
     user_config,
 )
-from tablesync.operators import merge, quality, reconcile, splits, watermark
+from tablesync.operators import asof, drilldown, feeds, iblt, merge, quality, quantiles, reconcile, splits, watermark
 from tablesync.operators.skew import heavy_key_hashes
 from tablesync.plans.staging import merge_into, stage
 from tablesync.plans.sync import LAKE, SyncSettings, run_all
@@ -138,6 +138,19 @@ def stride_counts(spark, sf_dir):
     return splits.key_histogram(_table(spark, sf_dir, "orders"), "o_orderkey", 8)
 
 
+def split_quantiles(spark, sf_dir):
+    """Sixteen splits of a key with wide gaps: even row counts, and bounds whose true ranks are near their share."""
+    key = F.col("l_orderkey").cast("bigint")
+    lines = _table(spark, sf_dir, "lineitem").select((key * key * key).alias("k"))
+    bounds = quantiles.even_bounds(lines, "k", 16)
+    sizes = quantiles.split_sizes(lines, bounds)
+    total = sizes.agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    below = [F.sum(F.when(F.col("part_id") < p, F.col("n")).otherwise(0)) / F.sum("n") - p / 16 for p in range(1, bounds.parts)]
+    near = sizes.agg(F.greatest(*[F.abs(b) for b in below]).alias("off"))
+    shown = total.crossJoin(near)  # one row each
+    return shown.select("parts", "n", (F.col("most") <= 1.1 * F.col("n") / F.col("parts")).alias("even"), (F.col("off") <= 0.01).alias("near"))
+
+
 def partition_bounds(spark, sf_dir):
     year = lake.between(_table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "1996-12-31")
     return splits.split_bounds(year, "o_orderkey")
@@ -274,6 +287,40 @@ def resync_rows(spark, sf_dir):
     return reconcile.rows_to_resync(_table(spark, sf_dir, "orders"), _target(spark, sf_dir), "o_orderdate", "monthly")
 
 
+def _wrong_copy(spark, sf_dir):
+    """The orders with some missing, some stale and some that the source has not."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    key = F.col("o_orderkey")
+    stale = F.when(key % 89 == 0, F.col("o_totalprice") - 1.0).otherwise(F.col("o_totalprice"))
+    copy = orders.where(F.col("o_custkey") % 101 != 5).withColumn("o_totalprice", stale)
+    surplus = orders.where(key % 997 == 0).withColumn("o_orderkey", -1 - key)
+    return copy.unionByName(surplus)
+
+
+def validate_drilldown(spark, sf_dir):
+    """Days and ranges of a hundred thousand keys in which source and copy differ, by one tree of checksums."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    path = storage.new_dir(spark, "checksum-tree")
+    drilldown.checksum_tree(orders, _wrong_copy(spark, sf_dir), "o_orderdate", "o_orderkey", 100_000).write.parquet(path)
+    return drilldown.differing_leaves(spark.read.parquet(path))
+
+
+def reconcile_sketch(spark, sf_dir):
+    """Keys whose rows differ between source and copy, by cells of sums that cancel."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    return iblt.differing_keys(orders, _wrong_copy(spark, sf_dir), ["o_orderkey"])
+
+
+def watermark_as_of(spark, sf_dir):
+    """For every event the last successful log entry of its table at that time; one table has a third of all."""
+    log = _sync_log(spark, sf_dir).select("log_id", "current_status", "watermark_value")
+    events = _table(spark, sf_dir, "events")
+    table = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("sync_key")
+    rows = events.select("event_id", table, "ts")
+    done = events.join(log, F.col("event_id") == F.col("log_id")).where((F.col("current_status") == control.SUCCESS) & F.col("watermark_value").isNotNull())
+    return asof.as_of(rows, done.select(table, "ts", "log_id"), ["sync_key"], "ts", "log_id", "last_log")
+
+
 # D: aggregates
 
 
@@ -426,6 +473,19 @@ def change_feed_published(spark, sf_dir):
     return keyed.read_changes(after=1).select("o_orderkey", "_change_type", "o_totalprice")
 
 
+def feed_replay(spark, sf_dir):
+    """A replica of the first version that applies the net changes of two more, with deleted and inserted again rows."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    key = F.col("o_orderkey")
+    repriced = F.when(key % 3 == 0, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice"))
+    table = VersionedDir(spark, storage.new_dir(spark, "replayed"))
+    table.write(_target(spark, sf_dir))
+    for new in (orders.where(key % 7 != 0).withColumn("o_totalprice", repriced), orders.where(key % 5 != 0)):
+        table.write_changes(merge.change_feed(table.read(), new, ["o_orderkey"], replace=True))
+        table.write(new)
+    return feeds.apply_feed(table.read(1), table.read_changes(after=1), ["o_orderkey"])
+
+
 def touched_partitions(spark, sf_dir):
     """Only the event types present in the batch are rewritten: two were loaded up to a time, the others whole."""
     events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
@@ -552,13 +612,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         incremental_filter, range_extract, full_load, sql_passthrough, filter_in_list, regex_filter,
-        key_first_projection, stride_counts, partition_bounds, partition_plan_rows, partition_plan_size,
+        key_first_projection, stride_counts, split_quantiles, partition_bounds, partition_plan_rows, partition_plan_size,
         repartition_up, last_success_watermark, job_of_step, single_row_lookup, steps_ordered_topk,
         merge_upsert, merge_heavy_keys, merge_bloom, merge_target_only_cols, merge_null_keys, delete_insert, merge_stats,
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
-        resync_rows, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
+        resync_rows, validate_drilldown, reconcile_sketch, watermark_as_of, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,
-        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, touched_partitions, bucketed_upsert, compact,
+        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, feed_replay, touched_partitions, bucketed_upsert, compact,
         dsv_normalize, dsv_export,
         sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert,
     )
