@@ -1,0 +1,39 @@
+"""Connections for the data source's tests: they note what is executed, and may fail once after a commit."""
+
+import os
+import sqlite3
+
+paramstyle = "qmark"
+
+
+class _Cursor(sqlite3.Cursor):
+    def execute(self, statement, *rest):
+        with open(self.connection.notes, "a") as notes:
+            notes.write(f"{statement} {rest}\n")
+        return super().execute(statement, *rest)
+
+
+class _Connection(sqlite3.Connection):
+    notes = fail = None
+
+    def cursor(self, *rest):
+        return super().cursor(_Cursor)
+
+    def commit(self):
+        super().commit()
+        if self.fail and self.staged():
+            try:
+                os.close(os.open(self.fail, os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                return
+            raise OSError("lost after the commit")
+
+    def staged(self):
+        """Has this connection put rows into a stage table?"""
+        return self.total_changes > 0
+
+
+def connect(path, notes, fail=None):
+    connection = sqlite3.connect(path, timeout=120, factory=_Connection)
+    connection.notes, connection.fail = notes, fail
+    return connection
