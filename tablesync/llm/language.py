@@ -37,6 +37,9 @@ from .common import named, staged
 ORDER = 4
 UNKNOWN = "und"
 _ASCII = re.compile("[^a-z]+")
+#: The same for texts without marks, whose only numbers beyond digits are these; and what else a text may hold.
+_LATIN = re.compile(r"[\W\d_²³¹¼½¾]+")
+_BEYOND = re.compile("[\u02ec-\u1dff\u2070-\U0010ffff]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Characters looked up at once.
 WINDOW = 1 << 20
@@ -66,10 +69,13 @@ def letters(text: str | None) -> str:
     """The letters of a text, each with the marks behind it, in lower case; all between them is one space."""
     if not text:
         return ""
+    text = text.lower()
     if text.isascii():
-        return _ASCII.sub(" ", text.lower()).strip()
+        return _ASCII.sub(" ", text).strip()
+    if not _BEYOND.search(text):
+        return _LATIN.sub(" ", text).strip()
     between, stray = _patterns()
-    return between.sub(" ", stray.sub(" ", text.lower())).strip()
+    return between.sub(" ", stray.sub(" ", text)).strip()
 
 
 def grams(text: str) -> np.ndarray:

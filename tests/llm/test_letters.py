@@ -24,6 +24,10 @@ def test_letters_are_those_of_isalpha():
         if not char.isalpha() and not unicodedata.category(char).startswith("M"):
             assert language.letters(f"é{char}b") == "é b"
     assert lower_differs > 1000
+    between, stray = language._patterns()
+    for start in range(0, 0x2070, 7):  # the short ways give what the long one gives
+        text = "".join(f"{chr(c)}Ab {chr(c)}é{chr(c)}1" for c in range(start, start + 7))
+        assert language.letters(text) == between.sub(" ", stray.sub(" ", text.lower())).strip()
 
 
 def test_marks_stay_with_their_letters():
