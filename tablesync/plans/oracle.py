@@ -206,6 +206,14 @@ SELECT event_id, event_type,
     AS value, ts
 FROM events""",
     "compact": "SELECT true AS fewer, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents",
+    "compact_clustered": "SELECT true AS fewer, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders",
+    "profile_incremental": "UNION ALL".join(
+        f"""
+SELECT '{c}' AS "column", count(*) AS n, count(*) - count({c}) AS nulls,
+  CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS width, true AS near FROM events
+"""
+        for c in ("event_id", "user_id", "event_type", "ts", "props")
+    ),
     "dsv_normalize": r"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_type = 'error' THEN '\n\n' ELSE event_type END AS event_type
 FROM events""",
@@ -221,4 +229,5 @@ UNION ALL SELECT 'broken', 'fail', NULL, 'registry row broken has no merge keys'
     "sync_from_target": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "validate_and_sync": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
     "stream_upsert": NEWEST,
+    "stream_state_latest": NEWEST,
 }

@@ -25,7 +25,7 @@ from tablesync.functions import (
     ts_text,
     user_config,
 )
-from tablesync.operators import asof, drilldown, feeds, iblt, merge, quality, quantiles, reconcile, splits, watermark
+from tablesync.operators import asof, drilldown, feeds, iblt, merge, profile, quality, quantiles, reconcile, splits, watermark
 from tablesync.operators.skew import heavy_key_hashes
 from tablesync.plans.staging import merge_into, stage
 from tablesync.plans.sync import LAKE, SyncSettings, run_all
@@ -35,7 +35,7 @@ from tablesync.sinks.ddl import add_missing_columns, missing_fields
 from tablesync.sinks.partitioned import PartitionedDir
 from tablesync.sinks.versioned import VersionedDir
 from tablesync.sources import control, lake
-from tablesync.streaming import upsert_stream
+from tablesync.streaming import settled_upsert_stream, upsert_stream
 
 BATCH_FROM = "1998-01-01 00:00:00"
 TARGET_UNTIL = "2000-06-30 00:00:00"
@@ -519,6 +519,42 @@ def compact(spark, sf_dir):
     return rows.select(((F.col("files") < pieces) & (F.col("files") >= 1)).alias("fewer"), "n", "chars")
 
 
+def compact_clustered(spark, sf_dir):
+    """Orders rewritten along a curve over customer and date: a filter on either meets at most half of the files that all met before."""
+    table = VersionedDir(spark, storage.new_dir(spark, "clustered"))
+    table.write(_table(spark, sf_dir, "orders").repartition(16))
+
+    def met():
+        rows = table.read().select(F.input_file_name().alias("file"), "o_custkey", "o_orderdate")
+        files = rows.groupBy("file").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("o_custkey", "o_orderdate")], F.max(F.lit(1)).alias("one"))
+        spans = rows.agg(F.min("o_custkey").alias("a"), F.max("o_custkey").alias("z"))
+        low = F.col("a") + (F.col("z") - F.col("a")) * 0.4
+        by_customer = (F.col("min_o_custkey") <= low + (F.col("z") - F.col("a")) * 0.05) & (F.col("max_o_custkey") >= low)
+        by_date = (F.col("min_o_orderdate") <= _ntz("1996-03-31")) & (F.col("max_o_orderdate") >= _ntz("1996-03-01"))
+        return files.crossJoin(spans).agg(*[(F.count_if(c) / F.count(F.lit(1))).alias(n) for c, n in ((by_customer, "c"), (by_date, "d"))]).first()  # spans is one row
+
+    before = met()
+    publish.compact_clustered(table, ["o_custkey", "o_orderdate"], files=16)
+    after = met()
+    rows = table.read().agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    fewer = F.lit(before["c"] == before["d"] == 1.0 and after["c"] <= 0.5 and after["d"] <= 0.5)
+    return rows.select(fewer.alias("fewer"), "n", "keys")
+
+
+def profile_incremental(spark, sf_dir):
+    """A profile kept by day: the first days', then only the later ones', merged; sketches beside exact values."""
+    columns = ["event_id", "user_id", "event_type", "ts", "props"]
+    events = _table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    store = PartitionedDir(spark, storage.new_dir(spark, "profiles"), ["partition"])
+    first = F.col("ts") < _ntz(EVENTS_UNTIL)
+    store.write(profile.partition_profiles(events.where(first), "day", columns))
+    store.write(profile.partition_profiles(events.where(~first), "day", columns))
+    found = profile.merged_profile(store.read())
+    exact = events.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.countDistinct(c).alias("exact")) for c in columns]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    off = F.abs(F.col("distinct_values") - F.col("exact")) / F.col("exact")
+    return found.join(exact, "column").select("column", "n", "nulls", "width", (off <= profile.DISTINCT_ERROR).alias("near"))
+
+
 def dsv_normalize(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     holed = events.select(
@@ -608,6 +644,21 @@ def stream_upsert(spark, sf_dir):
     return target.read()
 
 
+def stream_state_latest(spark, sf_dir):
+    """The same ranges, out of time order, settled in the stream's state: only changes newer than all seen are merged."""
+    base = storage.new_dir(spark, "settled")
+    events = _table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type", "value")
+    early, late = F.col("ts") <= _ntz(EVENTS_FROM), F.col("ts") > _ntz(EVENTS_UNTIL)
+    target = VersionedDir(spark, f"{base}/out")
+    for part in (late, early, ~(early | late)):
+        events.where(part).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        settled_upsert_stream(
+            stream, target, ["user_id"], f"{base}/checkpoint", time="ts", order_by=["ts", "event_id"], delay="400 days"
+        ).awaitTermination()
+    return target.read().withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -618,9 +669,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_feed, change_feed_replace, dedup_latest, merge_latest, reconcile_monthly, reconcile_daily,
         resync_rows, validate_drilldown, reconcile_sketch, watermark_as_of, batch_watermark, target_watermark, table_counts, dq_fail_flag, pk_violations, string_width,
         latest_version, period_bucket, kv_parse, json_extract, config_parse, split_keys, empty_clone,
-        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, feed_replay, touched_partitions, bucketed_upsert, compact,
+        publish_merge_schema, schema_diff, feature_upsert, change_feed_published, feed_replay, touched_partitions, bucketed_upsert, compact, compact_clustered, profile_incremental,
         dsv_normalize, dsv_export,
-        sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert,
+        sync_run, sync_log, sync_from_target, validate_and_sync, stream_upsert, stream_state_latest,
     )
 }
 QUERIES["audit_key"] = audit_keys

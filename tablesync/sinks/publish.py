@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync import storage
+from tablesync.operators.clustering import BITS, clustered
 from tablesync.operators.merge import apply_batch, change_feed, resolve, unique_by_key
 from tablesync.operators.skew import any_null, name
 from tablesync.sinks.ddl import add_missing_columns, with_missing
@@ -219,6 +220,16 @@ def register(directory: VersionedDir, table: str, properties: dict[str, str] | N
     spark.sql(f"CREATE TABLE {_quoted(table)} USING {directory.fmt} LOCATION '{path}'{clause}")
 
 
+def compact_clustered(directory: VersionedDir, columns: Sequence[str], file_mb: int = 128, files: int | None = None, bits: int = BITS) -> int:
+    """Rewrite the current version along a space-filling curve of the columns, in files of about ``file_mb`` or in
+    so many files, and return the new version. A filter on any of the columns then meets few files and row groups.
+    Partitions are given up."""
+    if files is None:
+        size = storage.size_bytes(directory.spark, directory.path_of(directory.current()))
+        files = max(1, math.ceil(size / (file_mb << 20)))
+    return directory.write(clustered(directory.read(), columns, files, bits), ())
+
+
 def compact(directory: VersionedDir, file_mb: int = 128, partition_by: Sequence[str] | None = None) -> int:
     """Rewrite the current version in files of about ``file_mb`` and return the new version.
 

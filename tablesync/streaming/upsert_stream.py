@@ -18,6 +18,7 @@ def upsert_stream(
     *,
     order_by: Sequence[str],
     keep_versions: int = 2,
+    output_mode: str = "append",
     **trigger,
 ) -> StreamingQuery:
     """Start a query that merges each micro-batch into the target.
@@ -40,6 +41,7 @@ def upsert_stream(
 
     return (
         stream.writeStream.foreachBatch(merge)
+        .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
