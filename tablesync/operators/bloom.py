@@ -38,14 +38,14 @@ def fits(rows: int, limit_bytes: int, rate: float = FALSE_POSITIVES) -> bool:
     return words_for(rows, rate) * WORD_BYTES <= limit_bytes
 
 
-def _values(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+def key_values(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Keys whose equal values have equal hashes: 0.0 and -0.0 are one value."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return [F.col(name(k)) + F.lit(0.0).cast(kinds[k]) if isinstance(kinds[k], (T.FloatType, T.DoubleType)) else F.col(name(k)) for k in keys]
 
 
 def _place(df: DataFrame, keys: Sequence[str], words: int) -> tuple[Column, Column]:
-    values = _values(df, keys)
+    values = key_values(df, keys)
     bits = F.xxhash64(F.lit("bits"), *values)
     mask = reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(bits, 6 * k).bitwiseAND(63).cast("int")) for k in range(BITS)])
     return F.pmod(F.xxhash64(*values), F.lit(words)), mask

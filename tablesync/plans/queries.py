@@ -499,7 +499,7 @@ def touched_partitions(spark, sf_dir):
 
 
 def bucketed_upsert(spark, sf_dir):
-    """The merge into a table in hash buckets of its keys, which switches to its new version at once."""
+    """The merge into a table partitioned by a hash of its keys: only the buckets of the batch are rewritten."""
     table = BucketedDir(spark, storage.new_dir(spark, "bucketed"), ["o_orderkey"], 16)
     table.write(_target(spark, sf_dir))
     batch = stage(spark, _batch(spark, sf_dir), None)

@@ -57,7 +57,7 @@ class SyncSettings:
     keep_versions: int = 2
     load_method: str = "upsert"  # or "delete_insert"; "unique_index" on MySQL; a full load always replaces
     partition_by: Sequence[str] = ()  # lake targets: partitioned in place, see PartitionedDir
-    buckets: int = 0  # lake targets: in so many buckets of the merge keys, see BucketedDir
+    buckets: int = 0  # lake targets: partitioned by a hash of the merge keys, in so many buckets
 
 
 @dataclass(frozen=True)

@@ -1,132 +1,66 @@
-"""A keyed table in hash buckets whose merges rewrite only the buckets a batch touches, and switch at once.
-
-Rows lie in ``data-<n>/bucket=<b>``, ``b`` being a hash of the keys. ``manifest-<n>`` lists for version n the
-directory of every bucket; Spark writes its ``_SUCCESS`` last, and that marker is the commit: until then readers see
-the version before, whole. A merge reads the touched buckets, writes them anew, and lists the others where they are.
-A crash leaves directories that no manifest names; the next write replaces them. One writer at a time.
-"""
+"""A keyed table partitioned by a hash of its keys, so that merges rewrite only the buckets a batch touches."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync import storage
+from tablesync.operators.bloom import key_values
 from tablesync.operators.merge import resolve
 from tablesync.operators.skew import name
-from tablesync.sinks.partitioned import Finish
+from tablesync.sinks.partitioned import Finish, PartitionedDir
 
 BUCKET = "__bucket"
-_MANIFEST = "bucket int, dir string, buckets int"
+COUNT = "buckets"  # metadata of the bucket column: how many there are
+
 
+class BucketedDir(PartitionedDir):
+    """A ``PartitionedDir`` with a bucket column of its own, which readers do not see.
 
-class BucketedDir:
-    """``buckets`` counts for the first write; a table keeps its number. Choose it so that a bucket is some 256 MB."""
+    ``buckets`` counts for the first write; a table keeps its number. Choose it so that a bucket is some 256 MB. A
+    row's bucket follows from its keys, so no row can change it, and Spark's dynamic overwrite replaces the buckets a
+    merge has read. Rows with NULL in all keys share a bucket, in several files.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64, fmt: str = "parquet"):
         if not keys or buckets < 1:
             raise ValueError("keys and a positive number of buckets are required")
-        self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
+        super().__init__(spark, path, [BUCKET], fmt)
         self.keys, self.buckets = list(keys), buckets
-        self._reading: list[int] | None = None  # buckets of the merge under way; None is all
-
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
-        marks = storage.glob_names(self.spark, f"{self.path}/manifest-*/_SUCCESS")
-        return sorted(int(m.rsplit("/", 2)[1].removeprefix("manifest-")) for m in marks)
-
-    def current(self) -> int | None:
-        found = self.versions()
-        return found[-1] if found else None
-
-    def exists(self) -> bool:
-        return self.current() is not None
-
-    def _entries(self, version: int) -> dict[int, str]:
-        """Directory of each bucket; as many rows as the table has buckets."""
-        rows = self.spark.read.schema(_MANIFEST).json(f"{self.path}/manifest-{version:08d}").collect()
-        if rows:
-            self.buckets = rows[0]["buckets"]
-        return {r["bucket"]: r["dir"] for r in rows if r["dir"]}
-
-    def _schema(self, version: int) -> T.StructType:
-        return self.spark.read.format(self.fmt).load(f"{self.path}/schema-{version:08d}").schema
 
-    def _load(self, version: int, dirs: Sequence[str]) -> DataFrame:
-        schema = self._schema(version)
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.format(self.fmt).schema(schema).load([f"{self.path}/{d}" for d in dirs])
+    def _stored(self) -> T.StructType | None:
+        """The table's schema with its bucket column; the number of buckets comes with it."""
+        if not self.exists():
+            return None
+        schema = self.spark.read.format(self.fmt).load(self._schema_path).schema
+        self.buckets = schema[BUCKET].metadata.get(COUNT, self.buckets)
+        return schema
 
-    def read(self, version: int | None = None) -> DataFrame:
-        number = self.current() if version is None else version
-        if number is None:
-            raise FileNotFoundError(f"no committed version below {self.path}")
-        return self._load(number, list(self._entries(number).values()))
+    def _write_schema(self, schema: T.StructType) -> None:
+        marked = [T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, COUNT: self.buckets} if f.name == BUCKET else f.metadata) for f in schema.fields]
+        super()._write_schema(T.StructType(marked))
 
-    def _bucket(self, df: DataFrame, schema: T.StructType) -> Column:
-        """Bucket of a row, by the keys in the table's types."""
-        spelled = resolve(df, self.keys)
+    def _placed(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        """The rows with their buckets, by the keys in the table's types."""
         types = {f.name.lower(): f.dataType for f in schema.fields}
-        keys = [F.col(name(c)).cast(types[c.lower()]) for c in spelled]
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        spelled = resolve(df, self.keys)
+        typed = df.select(*[F.col(name(k)).cast(types[k.lower()]).alias(k) if k in spelled else F.col(name(k)) for k in df.columns])
+        return typed.withColumn(BUCKET, F.pmod(F.xxhash64(*key_values(typed, spelled)), F.lit(self.buckets)).cast("int"))
+
+    def read(self) -> DataFrame:
+        self._stored()
+        return super().read().drop(BUCKET)
 
     def rows_to_merge(self, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Rows of the buckets that the batch has keys in; the write that follows replaces these."""
         if {k.lower() for k in keys} != {k.lower() for k in self.keys}:
             raise ValueError(f"merge keys {list(keys)} are not those of the buckets, {self.keys}")
-        number = self.current()
-        entries = self._entries(number)
-        touched = batch.select(self._bucket(batch, self._schema(number)).alias("b")).distinct().collect()
-        self._reading = sorted(r["b"] for r in touched)
-        return self._load(number, [entries[b] for b in self._reading if b in entries])
-
-    def rewrite_bytes(self) -> int:
-        entries = self._entries(self.current())
-        dirs = entries.values() if self._reading is None else [entries[b] for b in self._reading if b in entries]
-        return sum(storage.size_bytes(self.spark, f"{self.path}/{d}") for d in dirs)
-
-    def write(self, df: DataFrame, finish: Finish = None) -> int:
-        """Commit the rows as the new content of the buckets last given by ``rows_to_merge``, or of all. Metrics of
-        ``finish`` are observed after the last shuffle."""
-        before = self.current()
-        number = (before or 0) + 1
-        entries = {} if before is None else self._entries(before)
-        kept = {} if self._reading is None else {b: d for b, d in entries.items() if b not in set(self._reading)}
-        self._reading = None
-        placed = df.withColumn(BUCKET, self._bucket(df, df.schema)).hint("rebalance", F.col(BUCKET))
-        finished = finish(placed) if finish else placed
-        data = f"data-{number:08d}"
-        finished.write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(f"{self.path}/{data}")
-        empty = self.spark.createDataFrame([], finished.drop(BUCKET).schema)
-        empty.write.format(self.fmt).mode("overwrite").save(f"{self.path}/schema-{number:08d}")
-        new = [d.rsplit("/", 1)[1] for d in storage.glob_names(self.spark, f"{self.path}/{data}/{BUCKET}=*")]
-        listed = {**kept, **{int(d.split("=")[1]): f"{data}/{d}" for d in new}}
-        rows = [(b, d, self.buckets) for b, d in sorted(listed.items())] or [(None, None, self.buckets)]
-        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-        manifest.write.mode("overwrite").json(f"{self.path}/manifest-{number:08d}")
-        return number
-
-    def replace(self, df: DataFrame, finish: Finish = None) -> int:
-        """Commit rows that do not come from the table as all of it."""
-        self._reading = None
-        return self.write(df, finish)
+        return super().rows_to_merge(self._placed(batch, self._stored()), [*keys, BUCKET]).drop(BUCKET)
 
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` versions: their manifests, then every directory none of the kept names."""
-        if keep < 1:
-            raise ValueError("keep at least the current version")
-        found = self.versions()
-        old, stay = found[:-keep], found[-keep:]
-        for number in old:
-            storage.delete(self.spark, f"{self.path}/manifest-{number:08d}")
-            storage.delete(self.spark, f"{self.path}/schema-{number:08d}")
-        if old:
-            used = {d for number in stay for d in self._entries(number).values()}
-            for path in storage.glob_names(self.spark, f"{self.path}/data-*/{BUCKET}=*"):
-                if "/".join(path.rsplit("/", 2)[1:]) not in used:
-                    storage.delete(self.spark, path)
-        return old
+    def _save(self, df: DataFrame, overwrite: str, finish: Finish) -> None:
+        stored = self._stored()
+        types = stored if stored is not None and overwrite == "dynamic" else df.schema
+        super()._save(self._placed(df, types), overwrite, finish)

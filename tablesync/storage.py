@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -36,16 +35,11 @@ def glob_names(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to the machine's own temporary folder.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one in the warehouse where that is not set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return f"{tempfile.gettempdir()}/tablesync"
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tablesync-scratch"
 
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
