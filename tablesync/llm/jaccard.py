@@ -17,8 +17,8 @@ words. No candidate is capped or dropped.
 
 Within a key the node with the fewest shingles of its own is compared with all others first: in a group of near
 copies that is the one closest to the rest. What that leaves in several components is then compared across
-components: all nodes of a key but the largest component's with all others, by their parity sketches, in blocks
-of bounded size, and only pairs that may link come out of a block. So no link between components is missed, and
+components: all nodes of a key but the largest component's with all others, by their parity sketches, in groups
+of bounded size, and only pairs that may link come out of a group. So no link between components is missed, and
 the links returned connect exactly the components of the full join.
 
 Defined results: NULL, empty and wordless texts have no shingles and link with nothing; equal rows are linked;
@@ -293,37 +293,42 @@ def _sets(texts: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
     return parsed.join(wanted.select("node"), "node", "left_semi")
 
 
+def _dealt(rest: DataFrame) -> DataFrame:
+    """The nodes of each key in groups (key, block, slice) of bounded size: ``ask`` marks the outsiders of a block, which
+    meet all nodes of a slice there. Outsiders are the nodes outside the key's largest component; they alone are cut into
+    blocks, so a node is sent once for each ``BLOCK`` outsiders, and an outsider once more for each slice."""
+    outsiders = F.col("g") - F.col("m")
+    blocks = F.ceil(outsiders / BLOCK).cast("int")
+    slices = F.ceil(F.col("g") / (4 * BLOCK)).cast("int")
+    own = F.xxhash64("node")
+    met = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("slice", F.pmod(own, slices).cast("int"))
+    asking = rest.filter("c <> top").withColumn("block", F.pmod(own, blocks).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    columns = ["key", "block", "slice", "node", "c", "top", "n", "sketch"]
+    return met.select(*columns, F.lit(False).alias("ask")).unionByName(asking.select(*columns, F.lit(True).alias("ask")))
+
+
 def _across(rest: DataFrame, how: Join) -> DataFrame:
     """Pairs (a, b) of one key and different components that their parity sketches and sizes let link.
 
-    rest: key, g (nodes of the key), top (the key's largest component), node, c (its component), n, sketch. The
-    nodes of a key are dealt to blocks by hash; two blocks meet in one group, which holds some 2 * ``BLOCK`` nodes.
+    rest: key, g (nodes of the key), top (the key's largest component), m (its nodes), node, c (its component), n, sketch.
     """
-    parts = F.ceil(F.col("g") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), parts).cast("int")
-    dealt = rest.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    columns = ["key", "lo", "hi", "block", "node", "c", "top", "n", "sketch"]
-    sorted_groups = dealt.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    sorted_groups = _dealt(rest).repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice")
     s = how.percent
 
     def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         one = lambda name: part.column(name).to_numpy()
         sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1)
-        node, c, top, n, own = one("node"), one("c"), one("top"), one("n"), one("block")
-        lo, hi = one("lo")[0], one("hi")[0]
-        left, out = np.flatnonzero((c != top) | (lo != hi)), ([], [])
+        node, c, top, n, ask = one("node"), one("c"), one("top"), one("n"), part.column("ask").to_numpy(zero_copy_only=False).astype(bool)
+        left, right, out = np.flatnonzero(ask), np.flatnonzero(~ask), ([], [])
         for at in range(0, len(left), 32):
             i = left[at : at + 32]
-            apart = c[i][:, None] != c[None, :]
-            apart &= (c[i] != top[i])[:, None] | (c != top)[None, :]
-            if lo != hi:
-                apart &= (own[i] == lo)[:, None] & (own == hi)[None, :]
-            near = 100 * np.minimum(n[i][:, None], n[None, :]) >= s * np.maximum(n[i][:, None], n[None, :])
+            # Of two outsiders the smaller node asks.
+            apart = (c[i][:, None] != c[right][None, :]) & ((c[right] == top[right])[None, :] | (node[i][:, None] < node[right][None, :]))
+            near = 100 * np.minimum(n[i][:, None], n[right][None, :]) >= s * np.maximum(n[i][:, None], n[right][None, :])
             x, y = np.nonzero(apart & near)
             step = 1 << 14
             for k in range(0, len(x), step):
-                a, b = i[x[k : k + step]], y[k : k + step]
+                a, b = i[x[k : k + step]], right[y[k : k + step]]
                 differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
                 good = (100 + s) * differ <= (100 - s) * (n[a] + n[b])
                 out[0].append(node[a[good]])
@@ -386,7 +391,7 @@ def _join(docs: DataFrame, text: str, how: Join) -> DataFrame:
     labelled = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     sizes = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("g"), F.count(F.lit(1)).alias("parts"))
-    open_keys = largest.filter("parts > 1 AND g > 2").select("key", "g", F.col("most.c").alias("top"))
+    open_keys = largest.filter("parts > 1 AND g > 2").select("key", "g", F.col("most.c").alias("top"), F.col("most.m").alias("m"))
     rest = labelled.join(open_keys, "key").join(nodes.select("node", "n", "sketch"), "node")
     across = staged(_across(rest, how).join(stars, ["a", "b"], "left_anti"), "across")
     more = staged(_verified(across, nodes, texts, how), "links")

@@ -1,0 +1,43 @@
+"""How many copies of a key's nodes are dealt, and that every pair across components meets."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.llm import jaccard
+
+
+def frame(spark, keys):
+    """keys: for each key the component of each of its nodes."""
+    rows = []
+    for key, parts in enumerate(keys):
+        top = max(sorted(set(parts)), key=parts.count)
+        rows += [(key, len(parts), top, parts.count(top), 1000 * key + i, c, 10, [i % 4] * 32) for i, c in enumerate(parts)]
+    return spark.createDataFrame(rows, "key long, g long, top long, m long, node long, c long, n long, sketch array<long>")
+
+
+def test_an_outsider_does_not_multiply_its_key(spark):
+    rest = frame(spark, [[1] * 5000 + [2], [3] * 700 + [4] * 40])
+    sizes = {r.key: r.n for r in jaccard._dealt(rest).groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sizes[0] < 3 * 5001 and sizes[1] < 3 * 740
+    groups = jaccard._dealt(rest).groupBy("key", "block", "slice").agg(F.count_if("ask").alias("a"), F.count_if(~F.col("ask")).alias("b")).collect()
+    assert all(g.a <= 2 * jaccard.BLOCK and g.b <= 8 * jaccard.BLOCK for g in groups)
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_every_pair_across_components_meets(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(block)
+    keys = [[rng.choice((1, 1, 1, 2, 3 + i)) for i in range(rng.randrange(3, 40))] for _ in range(8)]
+    keys = [k for k in keys if len(set(k)) > 1]
+    rest = frame(spark, keys)
+    found = {(r.a, r.b) for r in jaccard._across(rest, jaccard.Join()).collect()}
+    wanted = set()
+    for key, parts in enumerate(keys):
+        for i in range(len(parts)):
+            for j in range(i):
+                # Equal sketches differ in no bit; others in two bits of each word.
+                if parts[i] != parts[j] and 180 * 32 * ((i % 4) ^ (j % 4)).bit_count() <= 20 * 20:
+                    wanted.add((1000 * key + j, 1000 * key + i))
+    assert found == wanted
