@@ -154,6 +154,16 @@ def _unique(df: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Seq
     )
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a complete key repeats: one aggregate of the key columns, combined in each task before its shuffle."""
+    keys = resolve(df, keys)
+    columns = [F.col(name(k)) for k in keys]
+    again = df.where(~any_null(keys)).groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES)).where(F.col(_COPIES) > 1)
+    found = again.select(F.to_json(F.struct(*columns)).alias("key")).first()
+    if found:
+        raise ValueError(f"duplicate merge key in the batch ({', '.join(keys)}): {found['key']}")
+
+
 class _Joined:
     """Target and batch side by side: columns ``t<i>`` and ``s<i>``, presence flags ``in_t``/``in_s``.
 

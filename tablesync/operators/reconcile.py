@@ -64,6 +64,28 @@ def differing_periods(source: DataFrame, target: DataFrame, date_col: str, frequ
     return [r["period"] for r in sums.where("n <> 0 OR h <> 0").select("period").collect()]
 
 
+def wrong_periods(source: DataFrame, target: DataFrame) -> list:
+    """Periods in which two frames of (period, cnt, chk) differ; as many values as the calendar has periods come back."""
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select("period", *[(F.lit(sign) * F.coalesce(F.col(c).cast("decimal(38,0)"), zero)).cast("decimal(38,0)").alias(c) for c in ("cnt", "chk")])
+
+    sums = side(source, 1).unionAll(side(target, -1)).groupBy("period").agg(F.sum("cnt").alias("n"), F.sum("chk").alias("h"))
+    return [r["period"] for r in sums.where("n <> 0 OR h <> 0").select("period").collect()]
+
+
+def period_ranges(periods: list) -> list[tuple[str, str]]:
+    """(first day, day behind the last) of the periods that are not NULL, neighbours joined."""
+    ranges: list[list[str]] = []
+    for low, high in sorted(_bounds(p) for p in periods if p is not None):
+        if ranges and ranges[-1][1] == low:
+            ranges[-1][1] = high
+        else:
+            ranges.append([low, high])
+    return [tuple(r) for r in ranges]
+
+
 def _bounds(value: str | date) -> tuple[str, str]:
     """First day of a period and of the next one."""
     if isinstance(value, date):
@@ -74,12 +96,7 @@ def _bounds(value: str | date) -> tuple[str, str]:
 
 def in_periods(df: DataFrame, date_col: str, periods: list, frequency: str = "monthly") -> Column:
     """Is a row in one of the periods? Ranges on the bare column, neighbours joined, so a scan can skip files; never NULL."""
-    ranges: list[list[str]] = []
-    for low, high in sorted(_bounds(p) for p in periods if p is not None):
-        if ranges and ranges[-1][1] == low:
-            ranges[-1][1] = high
-        else:
-            ranges.append([low, high])
+    ranges = period_ranges(periods)
     dtype = df.schema[date_col].dataType
     c = F.col(name(date_col))
     if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):

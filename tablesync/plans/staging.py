@@ -86,7 +86,11 @@ def replace_keys(
 
 
 def replace_rows(table: Table, keep: DataFrame, rows: DataFrame) -> None:
-    """Make the table some of its own rows and others, staged so that nothing is read while it is replaced."""
+    """Make the table some of its own rows and others. A table replaced in place is staged first, so that nothing is read
+    while it is replaced; a new version is written at once."""
+    if isinstance(table, VersionedDir):
+        table.write(keep.unionByName(rows))
+        return
     changed = stage(table.spark, keep.unionByName(rows), None, gather=False)
     try:
         table.replace(changed.df)

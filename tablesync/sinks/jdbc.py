@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.merge import common_columns
+from tablesync.operators.reconcile import period_ranges
 from tablesync.operators.skew import name
 from tablesync.sinks.ddl import TEXT_WIDTH, add_column_ddl
 from tablesync.sources.jdbc import Connection, Dialect, newest_sql, query
 
 STAGE_SUFFIX = "_sync_stg"
 BATCH_ROWS = 10_000
-METHODS = ("upsert", "delete_insert", "replace", "unique_index")
+METHODS = ("upsert", "delete_insert", "replace", "unique_index", "replace_periods")
 
 
 def text_column_types(df: DataFrame, width: int = TEXT_WIDTH) -> str:
@@ -130,10 +131,20 @@ def delete_insert_statements(dialect: Dialect, target: str, stage: str, keys: Se
     ]
 
 
+def in_periods_sql(dialect: Dialect, date_col: str, periods: Sequence) -> str:
+    """Is a row in one of the periods? Ranges on the bare column, so an index can serve them."""
+    c = dialect.quote(date_col)
+    found = [f"({c} >= '{low}' AND {c} < '{high}')" for low, high in period_ranges(list(periods))]
+    return " OR ".join([*found, *([f"{c} IS NULL"] if None in periods else [])]) or "1 = 0"
+
+
 def load_statements(
-    dialect: Dialect, target: str, stage: str, keys: Sequence[str], columns: Sequence[str], method: str
+    dialect: Dialect, target: str, stage: str, keys: Sequence[str], columns: Sequence[str], method: str, within: str = ""
 ) -> list[str]:
-    """``upsert``, ``delete_insert``, ``replace`` (delete all rows, insert the stage), or MySQL's ``unique_index``."""
+    """``upsert``, ``delete_insert``, ``replace`` (delete all rows, insert the stage), ``replace_periods`` (delete the rows
+    ``within`` a condition, insert the stage), or MySQL's ``unique_index``."""
+    if method == "replace_periods" and not within:
+        raise ValueError("replace_periods needs the condition of the rows to replace")
     if method == "upsert":
         return upsert_statements(dialect, target, stage, keys, columns)
     if method == "delete_insert":
@@ -144,7 +155,7 @@ def load_statements(
         return [unique_index_upsert_statement(target, stage, columns)]
     listed = ", ".join(dialect.quote(c) for c in columns)
     return [
-        f"DELETE FROM {dialect.quote(target)}",
+        f"DELETE FROM {dialect.quote(target)}" + (f" WHERE {within}" if method == "replace_periods" else ""),
         f"INSERT INTO {dialect.quote(target)} ({listed}) SELECT {listed} FROM {dialect.quote(stage)}",
     ]
 
@@ -209,6 +220,7 @@ class Warehouse:
         expected_rows: Callable[[], int],
         method: str = "upsert",
         evolve: bool = False,
+        within: str = "",
     ) -> dict[str, int]:
         """Stage the common columns, check that the stage holds the batch exactly, then change the target.
 
@@ -234,9 +246,11 @@ class Warehouse:
         if wide():  # a lenient database has cut them
             raise ValueError(f"rows with text over {self.text_width} characters, by column: {wide()}")
         before = self.count(spark, target)
-        counts = run_in_transaction(self.connect, load_statements(dialect, target, stage, keys, names, method))
+        counts = run_in_transaction(self.connect, load_statements(dialect, target, stage, keys, names, method, within))
         if method == "replace":
             return {"stg_rows": staged, "deleted": before, "inserted": staged}
+        if method == "replace_periods":
+            return {"stg_rows": staged, "deleted": before + staged - self.count(spark, target), "inserted": staged}
         if method == "unique_index":
             return {"stg_rows": staged, **upsert_counts(before, self.count(spark, target), counts[0])}
         inserted = self.count(spark, target) - before

@@ -7,7 +7,7 @@ an unmarked directory that readers skip and the next write replaces. One writer
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,9 +74,12 @@ class VersionedDir:
         marked = [f for f in fields if PARTITION in f.metadata]
         return [f.name for f in sorted(marked, key=lambda f: f.metadata[PARTITION])]
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] | None = None, finish: Finish = None) -> int:
+    def write(
+        self, df: DataFrame, partition_by: Sequence[str] | None = None, finish: Finish = None, check: Callable[[DataFrame], None] | None = None
+    ) -> int:
         """Write the next version, in the current one's partitions unless others (or none, ``()``) are given. Rows are
-        gathered by partition, a large one in several files. ``finish`` as for ``PartitionedDir.write``."""
+        gathered by partition, a large one in several files. ``finish`` as for ``PartitionedDir.write``. ``check`` gets the
+        written rows before readers do; if it raises, the version does not count."""
         columns = self.layout() if partition_by is None else list(partition_by)
         number = (self.current() or 0) + 1
         if columns:
@@ -94,7 +97,12 @@ class VersionedDir:
             empty = self.spark.createDataFrame([], finished.schema).select(*marked)
             empty.write.format(self.fmt).mode("overwrite").save(self._schema_path(number))
             writer = writer.partitionBy(*columns)
-        writer.save(self.path_of(number))
+        if check is None:
+            writer.save(self.path_of(number))
+        else:  # the marker comes after the check
+            writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").save(self.path_of(number))
+            check(self.spark.read.format(self.fmt).schema(finished.schema).load(self.path_of(number)))
+            storage.touch(self.spark, f"{self.path_of(number)}/{DONE}")
         return number
 
     def changes_path(self, version: int) -> str:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from enum import Enum
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.columns import DEFAULT_SPLIT_MB
+from tablesync.operators.quantiles import Bounds, even_bounds
+from tablesync.operators.skew import name
 from tablesync.operators.splits import MIN_SIZE_SPLITS, splits_by_size
 
 
@@ -132,5 +135,77 @@ def period_counts(
     return query(spark, conn, sql)
 
 
+# How each database writes values as text, and reads a hexadecimal number.
+DATE_TEXT = {Dialect.MYSQL: "DATE_FORMAT({c}, '%Y-%m-%d')", Dialect.REDSHIFT: "TO_CHAR({c}, 'YYYY-MM-DD')"}
+TIME_TEXT = {Dialect.MYSQL: "DATE_FORMAT({c}, '%Y-%m-%d %H:%i:%s')", Dialect.REDSHIFT: "TO_CHAR({c}, 'YYYY-MM-DD HH24:MI:SS')"}
+PLAIN_TEXT = {Dialect.MYSQL: "CAST({c} AS CHAR)", Dialect.REDSHIFT: "CAST({c} AS VARCHAR(64))"}
+HEX_NUMBER = {Dialect.MYSQL: "CAST(CONV({h}, 16, 10) AS UNSIGNED)", Dialect.REDSHIFT: "STRTOL({h}, 16)"}
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def portable_columns(schema: T.StructType) -> tuple[list[str], list[str]]:
+    """Columns whose values Spark and the databases write as the same text, and the others."""
+    kinds = (*_WHOLE, *_TIMES, T.DateType, T.DecimalType, T.StringType)
+    sound = [f.name for f in schema.fields if isinstance(f.dataType, kinds)]
+    return sound, [f.name for f in schema.fields if f.name not in sound]
+
+
+def _text_sql(dialect: Dialect, f: T.StructField) -> str:
+    c = dialect.quote(f.name)
+    if isinstance(f.dataType, T.StringType):
+        return c
+    forms = DATE_TEXT if isinstance(f.dataType, T.DateType) else TIME_TEXT if isinstance(f.dataType, _TIMES) else PLAIN_TEXT
+    return forms[dialect].format(c=c)
+
+
+def row_number_sql(dialect: Dialect, fields: list[T.StructField]) -> str:
+    """A number from the MD5 of a row's values as text, each behind its length; the same as ``row_number``."""
+    parts = []
+    for f in fields:
+        t = _text_sql(dialect, f)
+        pieces = (f"CHAR_LENGTH({t})", "':'", t)
+        joined = f"CONCAT({', '.join(pieces)})" if dialect is Dialect.MYSQL else " || ".join(pieces)
+        parts.append(f"COALESCE({joined}, '~')")
+    text = f"CONCAT({', '.join(parts)})" if dialect is Dialect.MYSQL else " || ".join(parts)
+    return HEX_NUMBER[dialect].format(h=f"SUBSTRING(MD5({text}), 1, 8)")
+
+
+def row_number(schema: T.StructType, columns: list[str]) -> Column:
+    """What ``row_number_sql`` has the database compute."""
+    parts = []
+    for column in columns:
+        c, dtype = F.col(name(column)), schema[column].dataType
+        form = "yyyy-MM-dd" if isinstance(dtype, T.DateType) else "yyyy-MM-dd HH:mm:ss" if isinstance(dtype, _TIMES) else None
+        t = F.date_format(c, form) if form else c.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")))
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("bigint")
+
+
+def checksums_sql(dialect: Dialect, table: str, date_col: str, frequency: str | None, fields: list[T.StructField]) -> str:
+    bucket = period_sql(dialect, date_col, frequency)
+    number = row_number_sql(dialect, fields)
+    return f"SELECT {bucket} AS period, COUNT(*) AS cnt, SUM({number}) AS chk FROM {dialect.quote(table)} GROUP BY {bucket}"
+
+
+def period_checksums(
+    spark: SparkSession, conn: Connection, table: str, date_col: str, frequency: str | None, fields: list[T.StructField]
+) -> DataFrame:
+    """Rows and the sum of their numbers per period, computed by the database."""
+    return query(spark, conn, checksums_sql(conn.dialect, table, date_col, frequency, fields))
+
+
+def read_parts(spark: SparkSession, conn: Connection, table: str, bounds: Bounds) -> DataFrame:
+    """A table read in parts with even row counts: one statement for each range of a whole-number key."""
+    predicates = bounds.predicates(conn.dialect.quote(bounds.column))
+    return spark.read.jdbc(conn.url, conn.dialect.quote(table), predicates=predicates, properties=dict(conn.options))
+
+
+def even_split(spark: SparkSession, conn: Connection, table: str, key: str, parts: int) -> Bounds:
+    """Bounds for ``read_parts`` from the key column alone, read in equal strides."""
+    keys = f"SELECT {conn.dialect.quote(key)} FROM {conn.dialect.quote(table)}"
+    return even_bounds(read_table(spark, conn, keys, find_split(spark, conn, table, key, parts)), key, parts)
+
+
 def newest_sql(dialect: Dialect, table: str, audit_col: str) -> str:
     return f"SELECT MAX({dialect.quote(audit_col)}) AS newest FROM {dialect.quote(table)}"

@@ -28,6 +28,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, p = file_system(spark, path)
+    fs.create(p, True).close()
+
+
 def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = file_system(spark, pattern)
     found = fs.globStatus(p) or []
