@@ -86,23 +86,18 @@ def key_values(c: ColumnLike, separator: str = ";", on_extra: str = "error") ->
     if len(separator) != 1 or separator == "=":
         raise ValueError("the separator must be one character other than '='")
     text = F.coalesce(as_column(c), F.lit(""))
-    items = F.transform(F.split(text, rf"\x{{{ord(separator):x}}}"), lambda item: F.split(item, "="))
-
-    def to_map(parts: Column) -> Column:
-        pairs = F.filter(parts, lambda p: F.size(p) == 2)
-        keys = F.transform(pairs, lambda p: p[0])
-        entries = F.transform(pairs, lambda p: F.struct(p[0].alias("key"), p[1].alias("value")))
-        # Of a repeated key, the last entry: the first of the list turned round.
-        turned = F.reverse(keys)
-        last = F.filter(entries, lambda e, i: F.array_position(turned, e["key"]) == F.size(turned) - i)
-        distinct = F.size(F.array_distinct(keys)) == F.size(keys)
-        found = F.map_from_entries(F.when(distinct, entries).otherwise(last))
-        if on_extra == "skip":
-            return found
-        message = F.concat(F.lit("an item has more than one '=' in "), text)
-        return F.when(F.exists(parts, lambda p: F.size(p) > 2), F.raise_error(message).cast("map<string,string>")).otherwise(found)
-
-    return bind(items, to_map)
+    mark = rf"\x{{{ord(separator):x}}}"
+    item = rf"(?:\A|{mark})([^={mark}]*)=([^={mark}]*)(?={mark}|\z)"
+    keys, values = (F.regexp_extract_all(text, F.lit(item), F.lit(group)) for group in (1, 2))
+    # Of a repeated key, the last entry: the first of the list turned round.
+    turned = F.reverse(keys)
+    entries = F.filter(F.arrays_zip(keys.alias("key"), values.alias("value")), lambda e, i: F.array_position(turned, e["key"]) == F.size(turned) - i)
+    distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+    found = F.when(distinct, F.map_from_arrays(keys, values)).otherwise(F.map_from_entries(entries))
+    if on_extra == "skip":
+        return found
+    message = F.concat(F.lit("an item has more than one '=' in "), text)
+    return F.when(text.rlike(rf"=[^{mark}]*="), F.raise_error(message).cast("map<string,string>")).otherwise(found)
 
 
 def json_field(c: ColumnLike, path: str, dtype: str = "string", default=None) -> Column:
