@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.functions.columns import period
+from tablesync.functions.columns import period, user_config
 from tablesync.operators import reconcile
 from tablesync.operators.merge import aligned, require_unique, unique_by_key
 from tablesync.operators.skew import name
@@ -59,6 +59,7 @@ class SyncSettings:
     keep_versions: int = 2
     load_method: str = "upsert"  # or "delete_insert"; "unique_index" on MySQL; a full load always replaces
     partition_by: Sequence[str] = ()  # lake targets: partitioned in place, see PartitionedDir
+    configs: str | None = None  # path or table of (sync_key, config): JSON settings of single tables, see user_config
     buckets: int = 0  # lake targets: partitioned by a hash of the merge keys, in so many buckets
 
 
@@ -382,7 +383,8 @@ def run_all(
     results: list[SyncResult] = []
     for row in rows.toLocalIterator():
         try:
-            results.append(run_one(spark, _task(spark, settings, row), settings, marks))
+            task, own = _own_settings(spark, _task(spark, settings, row), settings)
+            results.append(run_one(spark, task, own, marks))
         except Exception as error:
             if settings.fail_fast:
                 raise
@@ -397,3 +399,26 @@ def _task(spark: SparkSession, settings: SyncSettings, row: Row) -> SyncTask:
     except Exception as error:
         _log_failure(spark, settings, row["sync_key"], error)
         raise
+
+
+def _own_settings(spark: SparkSession, task: SyncTask, settings: SyncSettings) -> tuple[SyncTask, SyncSettings]:
+    """Task and settings under the table's own configuration, where it has one: load type, key and date columns, and the
+    range of dates if the user sets it. A configuration that is not whole is logged and raised."""
+    if settings.configs is None:
+        return task, settings
+    try:
+        held = read(spark, settings.configs, settings.control_format).where(F.col("sync_key") == task.sync_key)
+        found = held.select(user_config("config").alias("c")).limit(2).collect()
+        if len(found) > 1:
+            raise ValueError(f"registry row {task.sync_key} has more than one configuration")
+        if not found:
+            return task, settings
+        c = found[0]["c"]
+        keys = tuple(k for k in c["key_cols"] if k)
+        own = replace(settings, load_type=c["load_type"].upper(), audit_col=c["user_dt_col"])
+        if c["user_dt_flg"]:
+            own = replace(own, window="user", start=c["start_dt"], end=c["end_dt"])
+        return replace(task, merge_keys=keys or task.merge_keys), own
+    except Exception as error:
+        _log_failure(spark, settings, task.sync_key, error)
+        raise

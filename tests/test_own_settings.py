@@ -1,0 +1,56 @@
+"""Settings of single tables from their JSON configurations."""
+
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+from test_sync import Site
+
+from tablesync.plans import run_all
+from tablesync.plans.sync import LAKE
+from tablesync.sinks import VersionedDir
+
+FIELDS = ("SRC_DB_TYPE", "SRC_DB", "SRC_PORT", "SRC_TABLE", "SRC_SCHEMA", "TGT_DB", "TGT_DB_TYPE", "TGT_PORT", "STG_SCHEMA", "TGT_SCHEMA", "TGT_TABLE")
+
+
+def config(**changes):
+    base = dict.fromkeys(FIELDS, "x") | {"USER_DT_COL": "updated_at", "USER_DT_FLG": "N", "LOAD_TYPE": "APPEND", "KEY_COLS": "id"} | changes
+    return json.dumps({k: v for k, v in base.items() if v is not None})
+
+
+@pytest.fixture
+def site(spark, tmp_path):
+    site = Site(spark, tmp_path)
+    site.register("k2", "src", "other", keys="v")
+    site.source((1, "a", "2024-01-01"), (2, "b", "2024-02-01"), (3, "c", "2024-03-01"))
+    site.settings = replace(site.settings, configs=f"{site.base}/configs")
+    return site
+
+
+def configure(spark, site, *rows):
+    spark.createDataFrame(rows, "sync_key string, config string").write.mode("overwrite").parquet(f"{site.base}/configs")
+
+
+def test_each_table_follows_its_own(spark, site):
+    configure(spark, site, ("k2", config(USER_DT_FLG="Y", START_DT="2024-01-15 00:00:00", END_DT="2024-02-15 00:00:00")), ("k9", "{}"))
+    results = {r.sync_key: r for r in run_all(spark, site.settings, "lake", "src", LAKE)}
+    assert (results["k1"].rows, results["k2"].rows) == (3, 1)
+    assert site.rows() == {1: "a", 2: "b", 3: "c"}
+    other = VersionedDir(spark, f"{site.base}/other")
+    assert [r.id for r in other.read().collect()] == [2]
+    # Keys come from the configuration: id, not v as the registry says.
+    configure(spark, site, ("k2", config(LOAD_TYPE="trunc_and_load")), ("k1", config()))
+    site.source((3, "again", "2024-04-01"), (1, "a", "2024-05-01"), mode="overwrite")
+    results = {r.sync_key: r for r in run_all(spark, site.settings, "lake", "src", LAKE)}
+    assert {r.id: r.v for r in other.read().collect()} == {1: "a", 3: "again"}
+    assert site.rows() == {1: "a", 2: "b", 3: "again"}
+
+
+def test_a_broken_configuration_is_logged(spark, site):
+    configure(spark, site, ("k2", config(LOAD_TYPE=None)), ("k1", config()), ("k1", config()))
+    results = {r.sync_key: r for r in run_all(spark, site.settings, "lake", "src", LAKE)}
+    assert {k: r.status for k, r in results.items()} == {"k1": "fail", "k2": "fail"}
+    logged = {r.sync_key: r.msg for r in site.log().where("current_status = 'fail'").collect()}
+    assert "LOAD_TYPE" in logged["k2"] and "more than one configuration" in logged["k1"]
+    assert not site.target.exists()
