@@ -361,6 +361,23 @@ def change_feed(
     return j.df.select(F.explode(images).alias("row")).select("row.*")
 
 
+def merge_images(target: DataFrame, batch: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    """All rows of an upsert and all its row changes from one join, told apart by ``_change_type``: ``keep`` for what stays
+    as it is, and the types of :func:`change_feed`. Options as for :func:`merge_with_actions`."""
+    on_duplicate = options.get("on_duplicate", "error")
+    order_by, small, heavy = options.get("order_by", ()), options.get("small_batch", False), options.get("heavy", ())
+    j = _join(target, batch, keys, on_duplicate, order_by, small, heavy, on_duplicate == "latest", options.get("bloom", 0))
+    before = [j.old(i).alias(c) for i, c in enumerate(target.columns)]
+    after = [j.new(i).alias(c) for i, c in enumerate(target.columns)]
+
+    def image(kind: str, columns: list[Column]) -> Column:
+        return F.struct(*columns, F.lit(kind).alias(CHANGE_TYPE))
+
+    changed = F.array(image("update_preimage", before), image("update_postimage", after))
+    images = F.when(~j.in_target, F.array(image("insert", after))).when(j.in_target & j.in_batch & j.changed(), changed)
+    return j.df.select(F.explode(images.otherwise(F.array(image("keep", after)))).alias("row")).select("row.*")
+
+
 def delete_insert(
     target: DataFrame,
     batch: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablesync import storage
 from tablesync.operators.clustering import BITS, clustered
-from tablesync.operators.merge import apply_batch, change_feed, resolve, unique_by_key
+from tablesync.operators.merge import CHANGE_TYPE, apply_batch, change_feed, merge_images, resolve, unique_by_key
 from tablesync.operators.skew import any_null, name
 from tablesync.sinks.ddl import add_missing_columns, with_missing
 from tablesync.sinks.staged import merge_options, stage
@@ -187,14 +187,17 @@ def upsert_keyed(
         duplicates = {k: v for k, v in options.items() if k in ("on_duplicate", "order_by")}
         if existing is not None:
             options = {**merge_options(existing, batch, keys), **options}
-        if mode == "overwrite" or existing is None:
-            result = unique_by_key(batch.df, keys, **duplicates)
+        if feed and mode == "merge" and existing is not None:
+            version = _write_with_changes(directory, merge_images(existing, batch.df, keys, **options), partition_by)
         else:
-            result = apply_batch(existing, batch.df, keys, **options)
-        if feed:
-            before = batch.df.limit(0) if existing is None else existing
-            directory.write_changes(change_feed(before, batch.df, keys, replace=mode == "overwrite", **options))
-        version = directory.write(result, partition_by)
+            if mode == "overwrite" or existing is None:
+                result = unique_by_key(batch.df, keys, **duplicates)
+            else:
+                result = apply_batch(existing, batch.df, keys, **options)
+            if feed:
+                before = batch.df.limit(0) if existing is None else existing
+                directory.write_changes(change_feed(before, batch.df, keys, replace=mode == "overwrite", **options))
+            version = directory.write(result, partition_by)
     finally:
         batch.drop()
     if table:
@@ -203,6 +206,20 @@ def upsert_keyed(
     return version
 
 
+def _write_with_changes(directory: VersionedDir, images: DataFrame, partition_by: Sequence[str] | None) -> int:
+    """Table and feed from one joined result: it is staged by kind of change, and either reads the kinds it needs."""
+    spark = directory.spark
+    path = storage.new_dir(spark, "images")
+    images.write.partitionBy(CHANGE_TYPE).parquet(path)
+    try:
+        held = spark.read.schema(images.schema).parquet(path).select(*[name(c) for c in images.columns])
+        directory.write_changes(held.where(F.col(CHANGE_TYPE) != "keep"))
+        rows = held.where(F.col(CHANGE_TYPE).isin("keep", "insert", "update_postimage")).drop(CHANGE_TYPE)
+        return directory.write(rows, partition_by)
+    finally:
+        storage.delete(spark, path)
+
+
 def register(directory: VersionedDir, table: str, properties: dict[str, str] | None = None) -> None:
     """Point an external catalog table at the current version; a changed schema re-creates the entry."""
     spark = directory.spark

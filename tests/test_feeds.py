@@ -96,3 +96,17 @@ def test_as_of_sorts_no_key_in_one_task(spark):
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k0#" in text and "part#" in text
     assert all(r.last == r.at // 10 * 10 for r in found.collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"small_batch": True}, {"bloom": 40}, {"on_duplicate": "latest", "order_by": ["t"]}])
+def test_images_are_the_table_and_its_feed(spark, options):
+    rng = random.Random(3)
+    schema = "k int, v string, t int, own int"
+    target = spark.createDataFrame([(i if i % 9 else None, rng.choice("ab"), rng.randrange(9), i) for i in range(80)], schema)
+    batch = spark.createDataFrame([(i if i % 11 else None, rng.choice("ab"), rng.randrange(9)) for i in range(40, 120)], "k bigint, v string, t int")
+    images = merge.merge_images(target, batch, ["k"], **options).cache()
+    bag = lambda df: sorted(map(repr, df.collect()))
+    rows = images.where("_change_type IN ('keep', 'insert', 'update_postimage')").drop("_change_type")
+    assert bag(rows) == bag(merge.apply_batch(target, batch, ["k"], **options))
+    assert bag(images.where("_change_type <> 'keep'")) == bag(merge.change_feed(target, batch, ["k"], **options))
+    images.unpersist()
