@@ -24,6 +24,7 @@ import uuid
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,9 @@ END_ID = 2
 FRAME_IDS = 1 << 16
 #: Pieces of text that one Python worker keeps with their ids; later ones are encoded each time.
 CACHED_PIECES = 1_000_000
-#: New pieces that the library gets at once.
+#: New pieces that the library gets at once, and characters of texts cut into pieces at once.
 LINES = 2000
+TOGETHER = 1 << 20
 
 # Fixed values of the public zstd seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -91,23 +93,31 @@ class Encoder:
                 start = end + 4
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        kept, find, out = self.kept, self._piece.findall, []
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; new pieces of ``TOGETHER`` characters of texts go to the library at once."""
+        group, size = [], 0
         for text in texts:
-            if self._whole.search(text):
-                out += self._ids([text])
-                continue
-            pieces = find(text)
-            new = {p for p in pieces if p not in kept}
-            more = self._new(list(new)) if new else {}
-            if len(kept) < CACHED_PIECES:
-                kept.update(more)
-                more = {}
-            if more:
-                out.append(b"".join([kept[p] if p in kept else more[p] for p in pieces]))
+            group.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._encode(group)
+                group, size = [], 0
+        yield from self._encode(group)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        kept, find = self.kept, self._piece.findall
+        found = [None if self._whole.search(text) else find(text) for text in texts]
+        more = self._new(list(set(chain.from_iterable(p for p in found if p)).difference(kept)))
+        if len(kept) < CACHED_PIECES:
+            kept.update(more)
+            more = {}
+        for text, pieces in zip(texts, found):
+            if pieces is None:
+                yield self._ids([text])[0]
+            elif more:
+                yield b"".join([kept[p] if p in kept else more[p] for p in pieces])
             else:
-                out.append(b"".join(map(kept.__getitem__, pieces)))
-        return out
+                yield b"".join(map(kept.__getitem__, pieces))
 
 
 _encoders: dict[str, Encoder] = {}
