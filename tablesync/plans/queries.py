@@ -534,7 +534,7 @@ def compact_clustered(spark, sf_dir):
         return files.crossJoin(spans).agg(*[(F.count_if(c) / F.count(F.lit(1))).alias(n) for c, n in ((by_customer, "c"), (by_date, "d"))]).first()  # spans is one row
 
     before = met()
-    publish.compact_clustered(table, ["o_custkey", "o_orderdate"], files=16)
+    publish.compact_clustered(table, ["o_custkey", "o_orderdate"], files=64)
     after = met()
     rows = table.read().agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
     fewer = F.lit(before["c"] == before["d"] == 1.0 and after["c"] <= 0.5 and after["d"] <= 0.5)

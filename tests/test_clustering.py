@@ -28,14 +28,14 @@ def test_compaction_keeps_all_rows_and_skips_files(spark, tmp_path):
     rows = rows.unionByName(spark.createDataFrame([(None, None, -1), (None, date(2021, 1, 1), -2)], "a bigint, d date, id bigint"))
     table = VersionedDir(spark, f"{tmp_path}/t")
     table.write(rows.repartition(9))
-    version = publish.compact_clustered(table, ["a", "d"], files=16, bits=4)
+    version = publish.compact_clustered(table, ["a", "d"], files=64, bits=4)
     found = table.read()
     assert table.current() == version == 2
     assert Counter(map(tuple, found.collect())) == Counter(map(tuple, rows.collect()))
     files = found.groupBy(F.input_file_name()).agg(F.min("a").alias("la"), F.max("a").alias("ha"), F.min("d").alias("ld"), F.max("d").alias("hd"), F.count(F.lit(1)).alias("n")).collect()
-    assert len(files) == 16 and max(f.n for f in files) < 3 * 40_000 / 16
-    assert sum(f.la <= 5000 <= f.ha for f in files) <= 8
-    assert sum(f.ld <= date(2021, 5, 1) <= f.hd for f in files) <= 8
+    assert len(files) == 64 and max(f.n for f in files) < 3 * 40_000 / 64
+    assert sum(f.la <= 5000 <= f.ha for f in files) <= 32
+    assert sum(f.ld <= date(2021, 5, 1) <= f.hd for f in files) <= 32
     publish.compact_clustered(table, ["a", "d"])
     assert table.read().count() == 40_002 and len(table.read().inputFiles()) == 1
 
