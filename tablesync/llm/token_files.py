@@ -93,16 +93,16 @@ class Encoder:
                 start = end + 4
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new pieces of ``TOGETHER`` characters of texts go to the library at once."""
-        group, size = [], 0
+        out, group, size = [], [], 0
         for text in texts:
             group.append(text)
             size += len(text)
             if size >= TOGETHER:
-                yield from self._encode(group)
+                out += self._encode(group)
                 group, size = [], 0
-        yield from self._encode(group)
+        return out + list(self._encode(group))
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         kept, find = self.kept, self._piece.findall
