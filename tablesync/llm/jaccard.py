@@ -294,17 +294,20 @@ def _sets(texts: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
 
 
 def _dealt(rest: DataFrame) -> DataFrame:
-    """The nodes of each key in groups (key, block, slice) of bounded size: ``ask`` marks the outsiders of a block, which
-    meet all nodes of a slice there. Outsiders are the nodes outside the key's largest component; they alone are cut into
-    blocks, so a node is sent once for each ``BLOCK`` outsiders, and an outsider once more for each slice."""
+    """The nodes of each key in groups (key, block, slice) of bounded size: the outsiders of a block (``ask``) meet all
+    nodes of a slice (``met``) there. Outsiders are the nodes outside the key's largest component; they alone are cut into
+    blocks, so a node is sent once for each ``BLOCK`` outsiders, and an outsider once more for each slice but its own."""
     outsiders = F.col("g") - F.col("m")
     blocks = F.ceil(outsiders / BLOCK).cast("int")
     slices = F.ceil(F.col("g") / (4 * BLOCK)).cast("int")
-    own = F.xxhash64("node")
-    met = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("slice", F.pmod(own, slices).cast("int"))
-    asking = rest.filter("c <> top").withColumn("block", F.pmod(own, blocks).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    own_block, own_slice = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), slices).cast("int")
+    outside = F.col("c") != F.col("top")
+    met = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("slice", own_slice)
+    others = F.array_remove(F.sequence(F.lit(0), slices - 1), own_slice)
+    asking = rest.filter(outside & (slices > 1)).withColumn("block", own_block).withColumn("slice", F.explode(others))
     columns = ["key", "block", "slice", "node", "c", "top", "n", "sketch"]
-    return met.select(*columns, F.lit(False).alias("ask")).unionByName(asking.select(*columns, F.lit(True).alias("ask")))
+    met = met.select(*columns, (outside & (F.col("block") == own_block)).alias("ask"), F.lit(True).alias("met"))
+    return met.unionByName(asking.select(*columns, F.lit(True).alias("ask"), F.lit(False).alias("met")))
 
 
 def _across(rest: DataFrame, how: Join) -> DataFrame:
@@ -318,8 +321,8 @@ def _across(rest: DataFrame, how: Join) -> DataFrame:
     def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         one = lambda name: part.column(name).to_numpy()
         sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1)
-        node, c, top, n, ask = one("node"), one("c"), one("top"), one("n"), part.column("ask").to_numpy(zero_copy_only=False).astype(bool)
-        left, right, out = np.flatnonzero(ask), np.flatnonzero(~ask), ([], [])
+        node, c, top, n = one("node"), one("c"), one("top"), one("n")
+        left, right, out = np.flatnonzero(one("ask")), np.flatnonzero(one("met")), ([], [])
         for at in range(0, len(left), 32):
             i = left[at : at + 32]
             # Of two outsiders the smaller node asks.
