@@ -1,0 +1,18 @@
+"""The query of even splits on keys as large as tables of any size have."""
+
+import pytest
+
+from tablesync.plans.queries import QUERIES
+
+
+@pytest.mark.parametrize("first", [0, 9_000_000, 1 << 40, (1 << 63) - 20_000])
+def test_large_keys(spark, tmp_path, first):
+    spark.range(first, first + 19_999).selectExpr("id AS l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(r) for r in QUERIES["split_quantiles"](spark, str(tmp_path)).collect()] == [(16, 19_999, True, True)]
+
+
+def test_null_and_negative_keys(spark, tmp_path):
+    rows = spark.range(-5000, 15_000).selectExpr("IF(id % 400 = 0, NULL, id) AS l_orderkey")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    (row,) = QUERIES["split_quantiles"](spark, str(tmp_path)).collect()
+    assert (row.parts, row.n) == (16, 20_000)
