@@ -61,6 +61,8 @@ BLOOM_BITS = 24
 COUNTED = 4_000_000
 BATCH = 2500
 BLOCK = 1024
+#: Pairs compared at once.
+PAIRS = 1 << 14
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,17 +148,23 @@ class Members:
         return out
 
 
+def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """(h, n) of the shingles that two sets or more have. The list is emptied, so that the shingles are held once."""
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    sets.clear()
+    flat.sort()
+    same = np.zeros(len(flat) + 1, dtype=bool)
+    np.equal(flat[1:], flat[:-1], out=same[1 : len(flat)])
+    # Behind the first of equal ones same begins, behind the last it ends.
+    first = np.flatnonzero(same[1:] & ~same[:-1])
+    last = np.flatnonzero(same[:-1] & ~same[1:])
+    return pa.RecordBatch.from_arrays([pa.array(_signed(flat[first])), pa.array(last - first + 1)], names=["h", "n"])
+
+
 def frequent_shingles(texts: DataFrame, how: Join) -> np.ndarray:
     """Hashes of the most common shingles: counted in each run of ``COUNTED`` shingles, and those seen in two
     documents or more of it summed over all. The driver gets ``how.frequent`` numbers at most."""
 
-    def counts(sets: list[np.ndarray]) -> pa.RecordBatch:
-        flat = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        edge = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-        n = np.diff(np.append(edge, len(flat)))
-        often = n > 1
-        return pa.RecordBatch.from_arrays([pa.array(_signed(flat[edge[often]])), pa.array(n[often])], names=["h", "n"])
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, size = [], 0
         for batch in batches:
@@ -164,9 +172,9 @@ def frequent_shingles(texts: DataFrame, how: Join) -> np.ndarray:
                 sets.append(own)
                 size += len(own)
                 if size >= COUNTED:
-                    yield counts(sets)
-                    sets, size = [], 0
-        yield counts(sets)
+                    yield repeated(sets)
+                    size = 0
+        yield repeated(sets)
 
     counted = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= how.common)
     most = counted.orderBy(F.desc("n"), "h").limit(how.frequent).select("h").toPandas()["h"].to_numpy(dtype=np.int64)
@@ -310,44 +318,40 @@ def _dealt(rest: DataFrame) -> DataFrame:
     return met.unionByName(asking.select(*columns, F.lit(True).alias("ask"), F.lit(False).alias("met")))
 
 
+def group_pairs(part: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b), a < b, of a group's askers and the nodes they meet that may link, some ``PAIRS`` at a time; none twice."""
+    one = lambda name: part.column(name).to_numpy()
+    sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1)
+    node, c, top, n = one("node"), one("c"), one("top"), one("n")
+    left, right = np.flatnonzero(one("ask")), np.flatnonzero(one("met"))
+    for at in range(0, len(left), 32):
+        i = left[at : at + 32]
+        # Of two outsiders the smaller node asks.
+        apart = (c[i][:, None] != c[right][None, :]) & ((c[right] == top[right])[None, :] | (node[i][:, None] < node[right][None, :]))
+        near = 100 * np.minimum(n[i][:, None], n[right][None, :]) >= percent * np.maximum(n[i][:, None], n[right][None, :])
+        x, y = np.nonzero(apart & near)
+        for k in range(0, len(x), PAIRS):
+            a, b = i[x[k : k + PAIRS]], right[y[k : k + PAIRS]]
+            differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+            good = (100 + percent) * differ <= (100 - percent) * (n[a] + n[b])
+            a, b = node[a[good]], node[b[good]]
+            if len(a):
+                yield np.minimum(a, b), np.maximum(a, b)
+
+
 def _across(rest: DataFrame, how: Join) -> DataFrame:
     """Pairs (a, b) of one key and different components that their parity sketches and sizes let link.
 
     rest: key, g (nodes of the key), top (the key's largest component), m (its nodes), node, c (its component), n, sketch.
     """
     sorted_groups = _dealt(rest).repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice")
-    s = how.percent
-
-    def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        one = lambda name: part.column(name).to_numpy()
-        sketch = part.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1)
-        node, c, top, n = one("node"), one("c"), one("top"), one("n")
-        left, right, out = np.flatnonzero(one("ask")), np.flatnonzero(one("met")), ([], [])
-        for at in range(0, len(left), 32):
-            i = left[at : at + 32]
-            # Of two outsiders the smaller node asks.
-            apart = (c[i][:, None] != c[right][None, :]) & ((c[right] == top[right])[None, :] | (node[i][:, None] < node[right][None, :]))
-            near = 100 * np.minimum(n[i][:, None], n[right][None, :]) >= s * np.maximum(n[i][:, None], n[right][None, :])
-            x, y = np.nonzero(apart & near)
-            step = 1 << 14
-            for k in range(0, len(x), step):
-                a, b = i[x[k : k + step]], right[y[k : k + step]]
-                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
-                good = (100 + s) * differ <= (100 - s) * (n[a] + n[b])
-                out[0].append(node[a[good]])
-                out[1].append(node[b[good]])
-        if not out[0]:
-            return node[:0], node[:0]
-        a, b = np.concatenate(out[0]), np.concatenate(out[1])
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return both[0], both[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []  # of the last group, which may go on
 
-        def done() -> pa.RecordBatch:
-            a, b = pairs(pa.concat_tables(held))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def done() -> Iterator[pa.RecordBatch]:
+            for a, b in group_pairs(pa.concat_tables(held), how.percent):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         last = None
         for batch in batches:
@@ -359,12 +363,12 @@ def _across(rest: DataFrame, how: Join) -> DataFrame:
             for start, end in zip(edges[:-1], edges[1:]):
                 group = tuple(ids[:, start].tolist())
                 if held and group != last:
-                    yield done()
+                    yield from done()
                     held = []
                 last = group
                 held.append(table.slice(start, end - start))
         if held:
-            yield done()
+            yield from done()
 
     return sorted_groups.mapInArrow(run, "a long, b long").distinct()
 

@@ -1,7 +1,11 @@
 """How many copies of a key's nodes are dealt, and that every pair across components meets."""
 
 import random
+import tracemalloc
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,3 +45,28 @@ def test_every_pair_across_components_meets(spark, monkeypatch, block):
                 if parts[i] != parts[j] and 180 * 32 * ((i % 4) ^ (j % 4)).bit_count() <= 20 * 20:
                     wanted.add((1000 * key + j, 1000 * key + i))
     assert found == wanted
+
+
+def test_pairs_of_a_group_come_in_bounded_parts():
+    nodes = np.arange(1500)
+    sketch = pa.array([[7] * 32] * 1500, pa.list_(pa.int64()))
+    ask = pa.array(nodes < 700)
+    part = pa.table({"node": nodes, "c": nodes, "top": np.full(1500, 1400), "n": np.full(1500, 10), "sketch": sketch, "ask": ask, "met": pa.array([True] * 1500)})
+    found = list(jaccard.group_pairs(part, 80))
+    assert max(len(a) for a, _ in found) <= jaccard.PAIRS
+    pairs = {(x, y) for a, b in found for x, y in zip(a.tolist(), b.tolist())}
+    assert len(pairs) == sum(len(a) for a, _ in found) and pairs == {(x, y) for x in range(700) for y in range(x + 1, 1500)}
+
+
+def test_counting_holds_the_shingles_once():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60_000, 5000).astype(np.uint64) << np.uint64(45)) for _ in range(200)]
+    wanted = {k: n for k, n in Counter(np.concatenate(sets).view(np.int64).tolist()).items() if n > 1}
+    size = sum(x.nbytes for x in sets)
+    tracemalloc.start()
+    found = jaccard.repeated(sets)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(zip(*(c.to_pylist() for c in found.columns))) == wanted and not sets
+    assert most < 2 * size
+    assert jaccard.repeated([]).num_rows == 0 and jaccard.repeated([np.array([5], np.uint64)]).num_rows == 0
