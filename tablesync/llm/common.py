@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.storage import new_dir
+from tablesync.storage import conf, new_dir
 
 #: Java pattern of white space between words.
 GAP = r"[\x20\x09-\x0D]+"
@@ -40,9 +40,11 @@ def named(df: DataFrame, column: str) -> Column:
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written once to the shared folder and read back: work is done once and survives lost executors."""
+    """The frame written once to the shared folder and read back: work is done once and survives lost executors.
+    The shuffle files of the write go with its end and not whenever the driver collects its garbage."""
     path = new_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with conf(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
