@@ -23,6 +23,7 @@ from array import array
 from bisect import insort
 from collections.abc import Iterator
 from itertools import product
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,9 @@ SPACE = "▁"
 OWN_SPACE = "\0" + SPACE
 N_BEST = 3
 #: Chunks and parts of chunks kept by one Python worker; later ones are searched each time.
-KEPT = 500_000
+KEPT = 1_000_000
+#: Characters at each place of a chunk whose pieces are looked up at once.
+HEAD = 4
 #: Documents of one output batch.
 ROWS = 500
 
@@ -76,6 +79,7 @@ class Pieces:
         self.pairs = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         if any(pair[1] == SPACE != pair[0] for pair in self.pairs):
             raise ValueError("the vocabulary has pieces that go on behind a space")
+        self.heads: dict[str, tuple[list[tuple[int, tuple]], dict | None]] = {}
         #: Of a character without a piece: below any piece, as in the public library.
         self.unknown = -float(len(self.surface)) - 10
         # What is kept of a chunk or part of one: score, ids as bytes, what the second segmentation is worse by.
@@ -84,39 +88,60 @@ class Pieces:
         self._find = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
         self.kept[OWN_SPACE] = self.unknown, array("I", [self.bytes[b] for b in SPACE.encode()]).tobytes(), np.inf
 
-    def search(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of a chunk as (score, ids), best first.
+    def _head(self, head: str) -> tuple[list[tuple[int, tuple]], dict | None]:
+        """(length, piece) of the pieces at the start of a few characters, and the node behind them if any go on."""
+        ends, node = [], self.trie
+        for k, char in enumerate(head, 1):
+            node, found = node.get(char) or ({}, None)
+            if found is not None:
+                ends.append((k, found))
+            elif k == 1:  # the character has no piece
+                ends.append((1, (tuple([self.bytes[b] for b in char.encode()]), self.unknown)))
+        out = ends, node if len(head) == HEAD else None
+        if len(self.heads) < KEPT:
+            self.heads[head] = out
+        return out
 
-        As the heuristic is exact, every entry of the open list is the cost of a whole segmentation, and the
-        cheapest way into a place goes on at that cost. So an entry is followed to the start at once, and no more
-        entries are kept than segmentations are wanted: the work is n ways through the lattice, ties or not.
-        """
-        size, unknown, trie, chars, longest = len(chunk), self.unknown, self.trie, list(chunk), self.longest
+    def _forward(self, chunk: str) -> tuple[list[float], list, list[list]]:
+        """Of each place of a chunk: the least cost up to it, the edge of that cost, and all edges into it."""
+        size, longest, heads = len(chunk), self.longest, self.heads
         best = [0.0] + [np.inf] * size  # costs: scores with the sign turned
         lead: list = [None] * (size + 1)  # cheapest edge into each place, of equal ones the longest
         edges: list[list] = [[] for _ in range(size + 1)]
         for i in range(size):
-            here, node, j, single = best[i], trie, i, False
-            for char in chars[i : i + longest]:
-                step = node.get(char)
-                if step is None:
-                    break
-                node, found = step
-                j += 1
-                if found is not None:
-                    cost = here - found[1]
-                    edge = cost, i, found
-                    edges[j].append(edge)
-                    if cost < best[j]:
-                        best[j], lead[j] = cost, edge
-                    if j == i + 1:
-                        single = True
-            if not single:  # the character has no piece
-                j, cost = i + 1, here - unknown
-                edge = cost, i, (tuple([self.bytes[b] for b in chars[i].encode()]), unknown)
+            here, head = best[i], chunk[i : i + HEAD]
+            ends, node = heads.get(head) or self._head(head)
+            for k, found in ends:
+                j, cost = i + k, here - found[1]
+                edge = cost, i, found
                 edges[j].append(edge)
                 if cost < best[j]:
                     best[j], lead[j] = cost, edge
+            if node:
+                j = i + HEAD
+                for char in chunk[j : i + longest]:
+                    step = node.get(char)
+                    if step is None:
+                        break
+                    node, found = step
+                    j += 1
+                    if found is not None:
+                        cost = here - found[1]
+                        edge = cost, i, found
+                        edges[j].append(edge)
+                        if cost < best[j]:
+                            best[j], lead[j] = cost, edge
+        return best, lead, edges
+
+    def search(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The n best segmentations of a chunk as (score, ids), best first.
+
+        As the heuristic is exact, every entry of the open list is the cost of a whole segmentation, and the
+        cheapest way into a place goes on at that cost. So an entry is followed to the start at once, and no more
+        entries are kept than segmentations are wanted: the work is n ways through the lattice, ties or not.
+        """
+        size = len(chunk)
+        best, lead, edges = self._forward(chunk)
         count, room, out = 0, n, []
         opened: list = [(best[size], 0, size, 0.0, None, None)]
         while opened:
@@ -147,12 +172,11 @@ class Pieces:
 
     def _cut(self, chunk: str) -> list[str]:
         """Parts of a chunk between which no piece of the vocabulary goes on."""
-        out, start = [], 0
-        for i in range(1, len(chunk)):
-            if chunk[i - 1 : i + 1] not in self.pairs:
-                out.append(chunk[start:i])
-                start = i
-        return [*out, chunk[start:]]
+        pairs = self.pairs
+        ends = [i for i, pair in enumerate(map(add, chunk, chunk[1:]), 1) if pair not in pairs]
+        if not ends:
+            return [chunk]
+        return [chunk[i:j] for i, j in zip([0, *ends], [*ends, len(chunk)])]
 
     def _ways(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations of a chunk from those of its parts."""
@@ -170,8 +194,22 @@ class Pieces:
 
     def _part(self, part: str) -> tuple[float, bytes, float]:
         """What is kept of a part that is not cut."""
-        two = self.search(part, min(2, self.n))
-        found = two[0][0], array("I", two[0][1]).tobytes(), two[0][0] - two[1][0] if len(two) > 1 else np.inf
+        best, lead, edges = self._forward(part)
+        at, done, second, ids = len(part), 0.0, np.inf, []
+        # The search backwards up to where the cost of the second segmentation is known.
+        while at:
+            edge = lead[at]
+            if self.n > 1:
+                for other in edges[at]:
+                    if other[0] + done < second and other is not edge:
+                        second = other[0] + done
+            _, at, piece = edge
+            done -= piece[1]
+            if piece[0].__class__ is tuple:
+                ids += piece[0][::-1]
+            else:
+                ids.append(piece[0])
+        found = -done, array("I", ids[::-1]).tobytes(), second - best[-1]
         if len(self.kept) < KEPT:
             self.kept[part] = found
         return found
@@ -210,18 +248,20 @@ class Pieces:
 
     def segmentations(self, text: str | None) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a text as (score, ids)."""
+        return [(score, np.frombuffer(ids, dtype="<u4").tolist()) for score, ids in self.n_best(text)]
+
+    def n_best(self, text: str | None) -> list[tuple[float, bytes]]:
+        """The n best segmentations of a text as (score, ids as little-endian bytes)."""
         if not text:
-            return [(0.0, [])]
+            return [(0.0, b"")]
         chunks = self._chunks(text)
         entries, out = self._entries(chunks), []
+        best = [e[1] for e in entries]
         for score, choice in self._doc_best(chunks, entries):
-            ids = array("I")
-            for k, (c, e) in enumerate(zip(chunks, entries)):
-                if k in choice:
-                    ids.extend(self._ways(c)[choice[k]][1])
-                else:
-                    ids.frombytes(e[1])
-            out.append((score, ids.tolist()))
+            own = best.copy()
+            for k, way in choice.items():
+                own[k] = array("I", self._ways(chunks[k])[way][1]).tobytes()
+            out.append((score, b"".join(own)))
         return out
 
     def _doc_best(self, chunks: list[str], entries: list[tuple]) -> list[tuple[float, dict[int, int]]]:
@@ -255,29 +295,41 @@ def pieces(path: str, n: int = N_BEST) -> Pieces:
     return _loaded[path, n]
 
 
+def _lists(rows: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // 4 for x in rows], dtype=np.int64).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+
+
 def encode(docs: DataFrame, text: str = "text", model: str | None = None, n: int = N_BEST, digest: bool = False) -> DataFrame:
     """doc_id, ids, n_tokens, scores of the n best segmentations, and whether decoding gives the text back.
 
-    With ``digest`` the column ``ids_crc32`` stands for ids: their CRC-32, 32 bits each, little-endian.
+    With ``digest`` the column ``ids_crc32`` stands for ids: their CRC-32, 32 bits each, little-endian; and behind the
+    others stands ``segmentations``, the ids of all the n best, the best first.
     """
     model = model or default_model()
     column = "ids_crc32" if digest else "ids"
 
     def rows(lattice: Pieces, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, scores, same = [], [], []
+        ids, scores, same, ways = [], [], [], []
         for body in batch.column(1).to_pylist():
-            own, best = lattice.encode(body)
+            if digest:
+                found = lattice.n_best(body)
+                own, best = found[0][1], [score for score, _ in found]
+                ways.append([x for _, x in found])
+            else:
+                own, best = lattice.encode(body)
             ids.append(own)
             scores.append(best)
             same.append(lattice.decode(own) == (body or ""))
         sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-        if digest:
-            shown = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-        else:
-            ends = pa.array(np.cumsum(np.append(0, sizes)).astype(np.int32))
-            shown = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
+        shown = pa.array([zlib.crc32(x) for x in ids], pa.int64()) if digest else _lists(ids)
         columns = [batch.column(0), shown, pa.array(sizes), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", column, "n_tokens", "scores", "decoded"])
+        names = ["doc_id", column, "n_tokens", "scores", "decoded"]
+        if digest:
+            ends = np.cumsum([0] + [len(x) for x in ways], dtype=np.int64).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), _lists([x for own in ways for x in own])))
+            names.append("segmentations")
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = pieces(model, n)
@@ -287,5 +339,5 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None, n: int
 
     pairs = docs.select(named(docs, "doc_id").alias("doc_id"), named(docs, text).alias("text"))
     kind = pairs.schema["doc_id"].dataType.simpleString()
-    shown = "ids_crc32 long" if digest else "ids array<int>"
-    return pairs.mapInArrow(run, f"doc_id {kind}, {shown}, n_tokens long, scores array<double>, decoded boolean")
+    shown, more = ("ids_crc32 long", ", segmentations array<array<int>>") if digest else ("ids array<int>", "")
+    return pairs.mapInArrow(run, f"doc_id {kind}, {shown}, n_tokens long, scores array<double>, decoded boolean{more}")

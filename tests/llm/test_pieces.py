@@ -3,10 +3,13 @@
 import heapq
 import random
 import time
+import zlib
 
+import numpy as np
 import pytest
 
 from tablesync.llm import pieces
+from tablesync.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +78,18 @@ def test_best_of_whole_texts(lattice):
         if wanted:
             assert [s for s, _ in found] == wanted
         assert len({tuple(ids) for _, ids in found}) == len(found)
+
+
+def test_the_query_returns_every_segmentation(spark, lattice, tmp_path):
+    texts = ["the nations", "", None, "a" * 400, "thand\n-- é▁ 木 " * 30, "x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op8_sentencepiece"](spark, str(tmp_path)).collect()}
+    plain = {r.doc_id: r for r in pieces.encode(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()}
+    for k, text in enumerate(texts):
+        row, wanted = rows[k], lattice.segmentations(text)
+        assert [list(x) for x in row.segmentations] == [ids for _, ids in wanted] and list(row.scores) == [s for s, _ in wanted]
+        packed = [np.array(x, "<u4").tobytes() for x in row.segmentations]
+        assert zlib.crc32(packed[0]) == row.ids_crc32 and len(packed[0]) == 4 * row.n_tokens
+        assert all(lattice.decode(x) == (text or "") for x in packed) and len(set(packed)) == len(packed)
+        assert list(plain[k].ids) == list(row.segmentations[0]) and plain[k].scores == row.scores
+    assert len(rows[0].segmentations) == 3
