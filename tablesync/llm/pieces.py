@@ -3,8 +3,9 @@
 The pieces and their scores come from a public model file. A forward Viterbi pass over a lattice gives the best
 score up to each place; these scores are the exact heuristic of an A* search backwards from the end, which
 then meets the segmentations in order of their scores. Lattices are cut at places that no piece of the
-vocabulary spans, so a text's N best segmentations are put together exactly from those of its chunks, and the
-chunks, words above all, are searched once and kept.
+vocabulary spans, so a text's N best segmentations are put together exactly from those of its chunks. Chunks, each with
+the spaces before it, are cut further between characters that no piece joins, letters and punctuation above all; these
+parts are searched once and kept.
 
 Conventions are those of the model: one space is put before the text and stands as U+2581; a character
 without a piece becomes its UTF-8 bytes. A U+2581 of the text itself becomes bytes as well, so decoding gives
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from array import array
 from bisect import insort
@@ -35,20 +37,41 @@ SPACE = "▁"
 #: Chunk that stands for a U+2581 of the text itself; no text has such a chunk, for a chunk holds U+2581 at its start only.
 OWN_SPACE = "\0" + SPACE
 N_BEST = 3
-#: Chunks and parts of chunks kept by one Python worker; later ones are searched each time.
-KEPT = 1_000_000
+#: Bytes of parts kept by one Python worker, and of what else it keeps; later ones are searched each time.
+KEPT = 64 << 20
+KEPT_ELSE = 16 << 20
+#: Bytes that something kept takes beside its characters and ids: two objects and a place in a dictionary.
+ENTRY = 130
 #: Characters at each place of a chunk whose pieces are looked up at once.
 HEAD = 4
 #: Documents of one output batch.
 ROWS = 500
 
 
+#: Before the ids of a part: score, and what the second segmentation is worse by.
+_COSTS = struct.Struct("<dd")
+
+
 def default_model() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Kept(dict):
+    """A dictionary that takes what fits into so many bytes."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room = room
+
+    def keep(self, key: str, value, size: int):
+        if size <= self.room:
+            self.room -= size
+            self[key] = value
+        return value
+
+
 class Pieces:
     """The lattice of one model file."""
 
@@ -79,14 +102,29 @@ class Pieces:
         self.pairs = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         if any(pair[1] == SPACE != pair[0] for pair in self.pairs):
             raise ValueError("the vocabulary has pieces that go on behind a space")
-        self.heads: dict[str, tuple[list[tuple[int, tuple]], dict | None]] = {}
+        # Chunks keep the spaces of their text, as strings without U+2581 are small; ``_forward`` puts it there.
+        self.pairs = {pair.replace(SPACE, " ") for pair in self.pairs}
+        self.heads = Kept(KEPT_ELSE)
         #: Of a character without a piece: below any piece, as in the public library.
         self.unknown = -float(len(self.surface)) - 10
-        # What is kept of a chunk or part of one: score, ids as bytes, what the second segmentation is worse by.
-        self.kept: dict[str, tuple[float, bytes, float]] = {}
-        self.ways: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
-        self._find = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
-        self.kept[OWN_SPACE] = self.unknown, array("I", [self.bytes[b] for b in SPACE.encode()]).tobytes(), np.inf
+        # Of a part: score, what the second segmentation is worse by, ids, in one object.
+        self.kept = Kept(KEPT)
+        self.ways = Kept(KEPT_ELSE)
+        alike = "".join(f"[{re.escape(''.join(group))}]+|" for group in self._groups())
+        self._find = re.compile(f" *(?:{alike}[^ ])| +", re.DOTALL).findall
+        self.kept[OWN_SPACE] = _COSTS.pack(self.unknown, np.inf) + array("I", [self.bytes[b] for b in SPACE.encode()]).tobytes()
+
+    def _groups(self) -> list[list[str]]:
+        """Characters that pieces join, directly or through others; the largest group first."""
+        group: dict[str, list[str]] = {}
+        for pair in sorted(self.pairs):
+            if pair[0] != " ":
+                one, other = (group.setdefault(char, [char]) for char in pair)
+                if one is not other:
+                    one += other
+                    for char in other:
+                        group[char] = one
+        return sorted({id(x): x for x in group.values()}.values(), key=len, reverse=True)
 
     def _head(self, head: str) -> tuple[list[tuple[int, tuple]], dict | None]:
         """(length, piece) of the pieces at the start of a few characters, and the node behind them if any go on."""
@@ -98,12 +136,11 @@ class Pieces:
             elif k == 1:  # the character has no piece
                 ends.append((1, (tuple([self.bytes[b] for b in char.encode()]), self.unknown)))
         out = ends, node if len(head) == HEAD else None
-        if len(self.heads) < KEPT:
-            self.heads[head] = out
-        return out
+        return self.heads.keep(head, out, (2 + len(ends)) * ENTRY)
 
     def _forward(self, chunk: str) -> tuple[list[float], list, list[list]]:
         """Of each place of a chunk: the least cost up to it, the edge of that cost, and all edges into it."""
+        chunk = chunk.replace(" ", SPACE)
         size, longest, heads = len(chunk), self.longest, self.heads
         best = [0.0] + [np.inf] * size  # costs: scores with the sign turned
         lead: list = [None] * (size + 1)  # cheapest edge into each place, of equal ones the longest
@@ -188,12 +225,10 @@ class Pieces:
             both = enumerate(product(joined, self.search(part, self.n)))
             best = heapq.nsmallest(self.n, ((-(a + b), k, x + y) for k, ((a, x), (b, y)) in both))
             joined = [(-s, ids) for s, _, ids in best]
-        if len(self.ways) < KEPT:
-            self.ways[chunk] = joined
-        return joined
+        return self.ways.keep(chunk, joined, ENTRY + len(chunk) + sum(2 * ENTRY + 8 * len(ids) for _, ids in joined))
 
-    def _part(self, part: str) -> tuple[float, bytes, float]:
-        """What is kept of a part that is not cut."""
+    def _part(self, part: str) -> bytes:
+        """What is kept of a part."""
         best, lead, edges = self._forward(part)
         at, done, second, ids = len(part), 0.0, np.inf, []
         # The search backwards up to where the cost of the second segmentation is known.
@@ -209,42 +244,29 @@ class Pieces:
                 ids += piece[0][::-1]
             else:
                 ids.append(piece[0])
-        found = -done, array("I", ids[::-1]).tobytes(), second - best[-1]
-        if len(self.kept) < KEPT:
-            self.kept[part] = found
-        return found
-
-    def _entry(self, chunk: str) -> tuple[float, bytes, float]:
-        parts = self._cut(chunk)
-        if len(parts) == 1:
-            return self._part(chunk)
-        get, own = self.kept.get, self._part
-        found = [get(part) or own(part) for part in parts]
-        entry = sum([e[0] for e in found]), b"".join([e[1] for e in found]), min([e[2] for e in found])
-        if len(self.kept) < KEPT:
-            self.kept[chunk] = entry
-        return entry
-
-    def _chunks(self, text: str) -> list[str]:
-        """The chunks of a text; a U+2581 of the text itself is ``OWN_SPACE``."""
+        found = _COSTS.pack(-done, second - best[-1]) + array("I", ids[::-1]).tobytes()
+        return self.kept.keep(part, found, ENTRY + len(part) + len(found))
+
+    def _parts(self, text: str) -> list[str]:
+        """The parts of a text; a U+2581 of the text itself is ``OWN_SPACE``."""
         out = []
-        for k, part in enumerate(text.split(SPACE)):
+        for k, body in enumerate(text.split(SPACE)):
             if k:
                 out.append(OWN_SPACE)
-            out += self._find(("" if k else SPACE) + part.replace(" ", SPACE))
+            out += self._find(body if k else " " + body)
         return out
 
-    def _entries(self, chunks: list[str]) -> list[tuple[float, bytes, float]]:
-        get, entry = self.kept.get, self._entry
-        return [get(c) or entry(c) for c in chunks]
+    def _entries(self, parts: list[str]) -> list[bytes]:
+        get, own = self.kept.get, self._part
+        return [get(p) or own(p) for p in parts]
 
     def encode(self, text: str | None) -> tuple[bytes, list[float]]:
         """Ids of the best segmentation as little-endian bytes, and the scores of the n best."""
         if not text:
             return b"", [0.0]
-        chunks = self._chunks(text)
-        entries = self._entries(chunks)
-        return b"".join([e[1] for e in entries]), [s for s, _ in self._doc_best(chunks, entries)]
+        parts = self._parts(text)
+        entries = self._entries(parts)
+        return b"".join([e[_COSTS.size :] for e in entries]), [s for s, _ in self._doc_best(parts, entries)]
 
     def segmentations(self, text: str | None) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a text as (score, ids)."""
@@ -254,28 +276,40 @@ class Pieces:
         """The n best segmentations of a text as (score, ids as little-endian bytes)."""
         if not text:
             return [(0.0, b"")]
-        chunks = self._chunks(text)
-        entries, out = self._entries(chunks), []
-        best = [e[1] for e in entries]
-        for score, choice in self._doc_best(chunks, entries):
+        parts = self._parts(text)
+        entries, out = self._entries(parts), []
+        best = [e[_COSTS.size :] for e in entries]
+        for score, choice in self._doc_best(parts, entries):
             own = best.copy()
-            for k, way in choice.items():
-                own[k] = array("I", self._ways(chunks[k])[way][1]).tobytes()
+            for (start, end), way in choice.items():
+                ids = array("I", self._ways("".join(parts[start:end]))[way][1]).tobytes()
+                own[start:end] = [ids, *[b""] * (end - start - 1)]
             out.append((score, b"".join(own)))
         return out
 
-    def _doc_best(self, chunks: list[str], entries: list[tuple]) -> list[tuple[float, dict[int, int]]]:
+    def _chunk_at(self, parts: list[str], k: int) -> tuple[int, int]:
+        """The chunk that a part belongs to, as the range of its parts."""
+        starts = lambda i: parts[i][0] == " " or OWN_SPACE in parts[i - 1 : i + 1]
+        start, end = k, k + 1
+        while start and not starts(start):
+            start -= 1
+        while end < len(parts) and not starts(end):
+            end += 1
+        return start, end
+
+    def _doc_best(self, parts: list[str], entries: list[bytes]) -> list[tuple[float, dict[tuple[int, int], int]]]:
         """(score, other segmentation by chunk) of the n best. Only the n - 1 chunks whose second segmentation
         costs least can differ from their best."""
-        total = sum([e[0] for e in entries])
-        worse, few = [e[2] for e in entries], []
+        costs = np.frombuffer(b"".join([e[: _COSTS.size] for e in entries]), dtype="<f8").reshape(-1, 2)
+        best = costs[:, 0].tolist()
+        total, worse, few = sum(best), costs[:, 1].copy(), []
         for _ in range(self.n - 1):
-            least = min(worse)
-            if least == np.inf:
+            least = int(worse.argmin())
+            if worse[least] == np.inf:
                 break
-            few.append((least, worse.index(least)))
-            worse[few[-1][1]] = np.inf
-        ways = [[(entries[k][0] - s, (k, i)) for i, (s, _) in enumerate(self._ways(chunks[k]))] for _, k in few]
+            few.append(self._chunk_at(parts, least))
+            worse[slice(*few[-1])] = np.inf
+        ways = [[(sum(best[a:b]) - s, ((a, b), i)) for i, (s, _) in enumerate(self._ways("".join(parts[a:b])))] for a, b in few]
         choices = ((sum(c for c, _ in way), [x for _, x in way]) for way in product(*ways))
         return [(total - cost, {k: i for k, i in way if i}) for cost, way in heapq.nsmallest(self.n, choices)]
 
