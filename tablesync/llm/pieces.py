@@ -25,7 +25,7 @@ from array import array
 from bisect import insort
 from collections.abc import Iterator
 from itertools import product
-from operator import add
+from operator import add, itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ SPACE = "▁"
 OWN_SPACE = "\0" + SPACE
 N_BEST = 3
 #: Bytes of parts kept by one Python worker, and of what else it keeps; later ones are searched each time.
-KEPT = 64 << 20
+KEPT = 96 << 20
 KEPT_ELSE = 16 << 20
 #: Bytes that something kept takes beside its characters and ids: two objects and a place in a dictionary.
 ENTRY = 130
@@ -50,6 +50,7 @@ ROWS = 500
 
 #: Before the ids of a part: score, and what the second segmentation is worse by.
 _COSTS = struct.Struct("<dd")
+_costs, _ids = itemgetter(slice(_COSTS.size)), itemgetter(slice(_COSTS.size, None))
 
 
 def default_model() -> str:
@@ -266,7 +267,7 @@ class Pieces:
             return b"", [0.0]
         parts = self._parts(text)
         entries = self._entries(parts)
-        return b"".join([e[_COSTS.size :] for e in entries]), [s for s, _ in self._doc_best(parts, entries)]
+        return b"".join(map(_ids, entries)), [s for s, _ in self._doc_best(parts, entries)]
 
     def segmentations(self, text: str | None) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a text as (score, ids)."""
@@ -278,7 +279,7 @@ class Pieces:
             return [(0.0, b"")]
         parts = self._parts(text)
         entries, out = self._entries(parts), []
-        best = [e[_COSTS.size :] for e in entries]
+        best = list(map(_ids, entries))
         for score, choice in self._doc_best(parts, entries):
             own = best.copy()
             for (start, end), way in choice.items():
@@ -300,7 +301,7 @@ class Pieces:
     def _doc_best(self, parts: list[str], entries: list[bytes]) -> list[tuple[float, dict[tuple[int, int], int]]]:
         """(score, other segmentation by chunk) of the n best. Only the n - 1 chunks whose second segmentation
         costs least can differ from their best."""
-        costs = np.frombuffer(b"".join([e[: _COSTS.size] for e in entries]), dtype="<f8").reshape(-1, 2)
+        costs = np.frombuffer(b"".join(map(_costs, entries)), dtype="<f8").reshape(-1, 2)
         best = costs[:, 0].tolist()
         total, worse, few = sum(best), costs[:, 1].copy(), []
         for _ in range(self.n - 1):
